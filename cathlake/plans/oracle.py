@@ -119,3 +119,126 @@ ORACLE["series_expand"] = """
 SELECT p_partkey, p_size, n
 FROM part, LATERAL (SELECT unnest(generate_series(1, p_size - 40)) AS n)
 """
+
+_LI_ALL = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
+           "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
+
+ORACLE["rank_ts"] = """
+SELECT event_id, user_id, CAST(ts AS DATE) AS day,
+       CAST(rank() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE)) AS BIGINT) AS rank
+FROM events
+"""
+
+ORACLE["dense_rank_day"] = """
+SELECT event_id, user_id, CAST(ts AS DATE) AS day,
+       CAST(dense_rank() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE)) AS BIGINT) AS drank
+FROM events
+"""
+
+ORACLE["row_number_ts"] = """
+SELECT event_id, user_id, ts,
+       CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS rn
+FROM events
+"""
+
+ORACLE["serial_ids"] = f"""
+SELECT {_LI_ALL},
+       CAST(row_number() OVER (ORDER BY {_LI_ALL.replace(',', ' NULLS FIRST,')} NULLS FIRST) - 1 AS BIGINT) AS rowid
+FROM lineitem
+"""
+
+ORACLE["dedup_key"] = f"""
+SELECT {_LI_ALL} FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_shipdate NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
+           l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST,
+           l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) = 1
+"""
+
+ORACLE["batch_assign"] = """
+WITH n AS (SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS idx FROM part),
+     c AS (SELECT ceil(count(*) / 8.0) AS size FROM part)
+SELECT p_partkey, p_name, CAST(idx AS BIGINT) AS idx, CAST(floor(idx / size) AS BIGINT) AS batch
+FROM n, c
+"""
+
+ORACLE["dup_groups"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+"""
+
+_CUST = """(SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_custkey END AS ckey
+            FROM customer)"""
+
+ORACLE["anti_not_in"] = f"""
+SELECT c_custkey, c_name, ckey FROM {_CUST} c
+WHERE ckey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+"""
+
+ORACLE["anti_not_in_null"] = f"""
+SELECT c_custkey, c_name, ckey FROM {_CUST} c
+WHERE ckey NOT IN (SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END FROM orders)
+"""
+
+# Row-value NOT IN spelled out with SQL's pairwise rule: a left row is kept
+# unless some right row agrees with it on every pair where both are
+# non-NULL. k1 and k4 are never NULL in this data, so they are plain
+# equalities (which also lets DuckDB hash the join).
+ORACLE["anti_tuple"] = """
+WITH l AS (SELECT l_orderkey AS k1, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_partkey END AS k2,
+                  l_suppkey AS k3, l_linenumber AS k4, l_shipdate FROM lineitem),
+     r AS (SELECT l_orderkey AS k1, l_partkey AS k2,
+                  CASE WHEN l_tax = 0 THEN NULL ELSE l_suppkey END AS k3, l_linenumber AS k4
+           FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01')
+SELECT * FROM l WHERE NOT EXISTS (
+  SELECT 1 FROM r WHERE r.k1 = l.k1 AND r.k4 = l.k4
+    AND (r.k2 = l.k2 OR r.k2 IS NULL OR l.k2 IS NULL)
+    AND (r.k3 = l.k3 OR r.k3 IS NULL OR l.k3 IS NULL))
+"""
+
+ORACLE["semi_in"] = """
+SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
+"""
+
+ORACLE["union_distinct"] = """
+SELECT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'click'
+UNION SELECT user_id, CAST(ts AS DATE) FROM events WHERE event_type = 'view'
+UNION SELECT user_id, CAST(ts AS DATE) FROM events WHERE event_type = 'purchase'
+UNION SELECT user_id, CAST(ts AS DATE) FROM events WHERE event_type = 'error'
+"""
+
+ORACLE["union_all"] = """
+SELECT c_custkey AS key, c_name AS name, c_nationkey AS nationkey, c_mktsegment AS segment FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, s_nationkey, NULL FROM supplier
+"""
+
+_ORD = """SELECT o_orderkey * 2 AS rowid, o_custkey, o_orderkey,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+       o_orderpriority, o_orderdate, '/{tag}/' || CAST(o_orderkey AS VARCHAR) AS path
+FROM orders WHERE {cond}"""
+
+ORACLE["catalog_upsert"] = f"""
+WITH base AS ({_ORD.format(tag='a', cond="o_orderdate < TIMESTAMP '1997-01-01'")}),
+     stg0 AS ({_ORD.format(tag='b', cond="o_orderdate >= TIMESTAMP '1996-01-01'")}),
+     stg AS (SELECT * FROM stg0 QUALIFY row_number() OVER (
+               PARTITION BY o_custkey, o_orderkey, o_orderstatus, o_orderpriority
+               ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST, rowid, path) = 1),
+     fresh AS (SELECT * FROM stg s WHERE NOT EXISTS (
+               SELECT 1 FROM base b WHERE
+                 (b.o_custkey = s.o_custkey OR b.o_custkey IS NULL OR s.o_custkey IS NULL)
+             AND (b.o_orderkey = s.o_orderkey OR b.o_orderkey IS NULL OR s.o_orderkey IS NULL)
+             AND (b.o_orderstatus = s.o_orderstatus OR b.o_orderstatus IS NULL OR s.o_orderstatus IS NULL)
+             AND (b.o_orderpriority = s.o_orderpriority OR b.o_orderpriority IS NULL OR s.o_orderpriority IS NULL))),
+     mx AS (SELECT coalesce(max(rowid), -1) AS m FROM base)
+SELECT b.rowid, b.o_custkey, b.o_orderkey, b.o_orderstatus, b.o_orderpriority, b.o_orderdate,
+       coalesce(s.path, b.path) AS path
+FROM base b LEFT JOIN stg s
+  ON b.o_custkey = s.o_custkey AND b.o_orderkey = s.o_orderkey
+ AND b.o_orderstatus = s.o_orderstatus AND b.o_orderpriority = s.o_orderpriority
+UNION ALL
+SELECT CAST(mx.m + row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS BIGINT),
+       o_custkey, o_orderkey, o_orderstatus, o_orderpriority, o_orderdate, path
+FROM fresh, mx
+"""

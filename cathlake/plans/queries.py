@@ -100,3 +100,159 @@ def distinct_entry(spark: SparkSession, d: str) -> DataFrame:
 def series_expand(spark: SparkSession, d: str) -> DataFrame:
     p = read_table(spark, d, "part").select("p_partkey", "p_size")
     return episodes.series_expand(p, F.lit(1), F.col("p_size") - 40, "n")
+
+
+# ------------------------------------------------------------ numbering
+from cathlake.operators import numbering, setjoin, upsert  # noqa: E402
+
+LI_ALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+          "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+          "l_shipdate"]
+
+
+@register("rank_ts")
+def rank_ts(spark: SparkSession, d: str) -> DataFrame:
+    ev = read_table(spark, d, "events").select(
+        "event_id", "user_id", F.to_date("ts").alias("day"))
+    return numbering.group_rank(ev, ["user_id"], ["day"], "rank", "rank")
+
+
+@register("dense_rank_day")
+def dense_rank_day(spark: SparkSession, d: str) -> DataFrame:
+    ev = read_table(spark, d, "events").select(
+        "event_id", "user_id", F.to_date("ts").alias("day"))
+    return numbering.group_rank(ev, ["user_id"], ["day"], "drank", "dense_rank")
+
+
+@register("row_number_ts")
+def row_number_ts(spark: SparkSession, d: str) -> DataFrame:
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts")
+    return numbering.group_rank(ev, ["user_id"], ["ts"], "rn", "row_number",
+                                tiebreak=["event_id"])
+
+
+@register("serial_ids")
+def serial_ids(spark: SparkSession, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem").select(*LI_ALL)
+    return numbering.dense_ids(li, LI_ALL, "rowid", start=0)
+
+
+@register("dedup_key")
+def dedup_key(spark: SparkSession, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem").select(*LI_ALL)
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+    return numbering.keep_first(li, ["l_orderkey", "l_linenumber"], order)
+
+
+@register("batch_assign")
+def batch_assign(spark: SparkSession, d: str) -> DataFrame:
+    """Split the part list into 8 work batches of ceil(n / 8) consecutive rows."""
+    p = read_table(spark, d, "part").select("p_partkey", "p_name")
+    ids = numbering.dense_ids(p, ["p_partkey"], "idx")
+    size = p.agg(F.ceil(F.count("*") / F.lit(8)).alias("_cl_size")).withColumn("_cl_one", F.lit(1))
+    out = ids.withColumn("_cl_one", F.lit(1)).join(F.broadcast(size), "_cl_one")
+    return out.select("p_partkey", "p_name", "idx",
+                      F.floor(F.col("idx") / F.col("_cl_size")).cast("long").alias("batch"))
+
+
+@register("dup_groups")
+def dup_groups(spark: SparkSession, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem")
+    return (li.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
+            .where(F.col("n") > 1))
+
+
+# ------------------------------------------------------------ set joins
+def _cust_keys(spark, d):
+    c = read_table(spark, d, "customer")
+    return c.select("c_custkey", "c_name",
+                    F.when(F.col("c_acctbal") < 0, None).otherwise(F.col("c_custkey")).alias("ckey"))
+
+
+@register("anti_not_in")
+def anti_not_in(spark: SparkSession, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return setjoin.not_in(_cust_keys(spark, d), o, "ckey", "o_custkey")
+
+
+@register("anti_not_in_null")
+def anti_not_in_null(spark: SparkSession, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders").select(
+        F.when(F.col("o_orderstatus") == "P", None).otherwise(F.col("o_custkey")).alias("k"))
+    return setjoin.not_in(_cust_keys(spark, d), o, "ckey", "k")
+
+
+TUPLE_KEYS = ["k1", "k2", "k3", "k4"]
+
+
+def _tuple_sides(spark, d):
+    li = read_table(spark, d, "lineitem")
+    left = li.select(F.col("l_orderkey").alias("k1"),
+                     F.when(F.col("l_linenumber") == 7, None).otherwise(F.col("l_partkey")).alias("k2"),
+                     F.col("l_suppkey").alias("k3"), F.col("l_linenumber").alias("k4"),
+                     "l_shipdate")
+    right = li.where(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz")).select(
+        F.col("l_orderkey").alias("k1"), F.col("l_partkey").alias("k2"),
+        F.when(F.col("l_tax") == 0, None).otherwise(F.col("l_suppkey")).alias("k3"),
+        F.col("l_linenumber").alias("k4"))
+    return left, right
+
+
+@register("anti_tuple")
+def anti_tuple(spark: SparkSession, d: str) -> DataFrame:
+    left, right = _tuple_sides(spark, d)
+    return setjoin.not_in_tuple(left, right, TUPLE_KEYS)
+
+
+@register("semi_in")
+def semi_in(spark: SparkSession, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = read_table(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
+    return setjoin.semi_in(o, li, ["o_orderkey"], ["l_orderkey"])
+
+
+@register("union_distinct")
+def union_distinct(spark: SparkSession, d: str) -> DataFrame:
+    ev = read_table(spark, d, "events")
+    parts = [ev.where(F.col("event_type") == t).select("user_id", F.to_date("ts").alias("day"))
+             for t in ("click", "view", "purchase", "error")]
+    return setjoin.union_distinct(*parts)
+
+
+@register("union_all")
+def union_all(spark: SparkSession, d: str) -> DataFrame:
+    c = read_table(spark, d, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nationkey"), F.col("c_mktsegment").alias("segment"))
+    s = read_table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nationkey"))
+    return setjoin.union_all(c, s)
+
+
+# ------------------------------------------------------------ K2 upsert
+ORD_KEYS = ["o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority"]
+
+
+def _orders_catalog(spark, d, lo=None, hi=None, tag="a"):
+    o = read_table(spark, d, "orders")
+    if lo is not None:
+        o = o.where(F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
+    if hi is not None:
+        o = o.where(F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))
+    return o.select(
+        (F.col("o_orderkey") * 2).alias("rowid"), "o_custkey", "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", None).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        "o_orderpriority", "o_orderdate",
+        F.concat(F.lit(f"/{tag}/"), F.col("o_orderkey").cast("string")).alias("path"))
+
+
+@register("catalog_upsert")
+def catalog_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Base = orders placed before 1997, staging = orders from 1996 on with a
+    new path; 1996 overlaps."""
+    base = _orders_catalog(spark, d, hi="1997-01-01", tag="a")
+    stg = _orders_catalog(spark, d, lo="1996-01-01", tag="b")
+    return upsert.upsert_catalog(base, stg, ORD_KEYS, refresh=["path"],
+                                 order=["o_orderdate", "o_orderkey"])
