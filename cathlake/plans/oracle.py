@@ -242,3 +242,88 @@ SELECT CAST(mx.m + row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderk
        o_custkey, o_orderkey, o_orderstatus, o_orderpriority, o_orderdate, path
 FROM fresh, mx
 """
+
+ORACLE["link_window"] = """
+WITH l AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'error'),
+     r AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase')
+SELECT l.event_id, l.user_id, l.ts, l.value,
+       r.event_id AS pats_event_id, r.ts AS pats_ts, r.value AS pats_value
+FROM l LEFT JOIN r ON l.user_id = r.user_id
+  AND r.ts BETWEEN l.ts - INTERVAL 6 HOURS AND l.ts + INTERVAL 6 HOURS
+QUALIFY row_number() OVER (PARTITION BY l.event_id
+  ORDER BY abs(epoch_us(r.ts) - epoch_us(l.ts)) NULLS LAST, r.ts, r.event_id) = 1
+"""
+
+
+def _wide(measures, sites, reducer="min"):
+    return ",\n  ".join(f"{reducer}(CASE WHEN l_linenumber = {s} THEN {m} END) AS {p}{s}"
+                        for m, p in measures for s in sites)
+
+
+ORACLE["registry_wide"] = f"""
+SELECT l_orderkey,
+  arg_min(l_shipdate, (l_linenumber, l_partkey, l_suppkey)) AS l_shipdate,
+  arg_min(l_linestatus, (l_linenumber, l_partkey, l_suppkey, l_shipdate)) AS l_linestatus,
+  {_wide([("l_quantity", "qty_"), ("l_discount", "disc_"), ("l_returnflag", "flag_")], range(1, 8))}
+FROM lineitem GROUP BY l_orderkey
+"""
+
+ORACLE["registry_first"] = """
+WITH f AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+           QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                   ORDER BY l_partkey, l_suppkey, l_shipdate, l_quantity) = 1)
+SELECT l_orderkey, """ + ", ".join(
+    f"max(CASE WHEN l_linenumber = {s} THEN l_quantity END) AS qty_{s}" for s in range(1, 8)) + """
+FROM f GROUP BY l_orderkey
+"""
+
+ORACLE["pivot_conflicts"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+WHERE l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+"""
+
+_PROFILE_COLS = ["l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"]
+ORACLE["cardinality_profile"] = "WITH g AS (SELECT l_orderkey, " + ", ".join(
+    f"count(DISTINCT {c}) AS {c}" for c in _PROFILE_COLS) + " FROM lineitem GROUP BY l_orderkey)\n" + \
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_counts, "
+        f"count(DISTINCT {c}) <> 1 AS multi_entry FROM g" for c in _PROFILE_COLS)
+
+_ORD_CAT = """(SELECT o_orderstatus AS Modality, CAST(o_custkey AS VARCHAR) AS PatientID,
+       CASE WHEN starts_with(o_orderpriority, '5') THEN NULL ELSE o_orderpriority END AS StudyInstanceUID,
+       CASE WHEN o_totalprice > 400000 THEN NULL ELSE '/f/' || CAST(o_orderkey AS VARCHAR) END AS DcmPathFlatten
+FROM orders)"""
+
+ORACLE["cohort_counts"] = f"""
+SELECT count(*) AS n_rows,
+       count(*) FILTER (WHERE Modality = 'F') AS n_f,
+       count(*) FILTER (WHERE Modality = 'O') AS n_o,
+       count(*) FILTER (WHERE Modality = 'P') AS n_p,
+       count(DcmPathFlatten) AS n_paths,
+       count(DISTINCT PatientID) AS n_patients,
+       count(DISTINCT (PatientID, StudyInstanceUID)) AS n_studies,
+       count(DISTINCT DcmPathFlatten) AS n_loops,
+       count(DISTINCT PatientID) FILTER (WHERE Modality = 'F') AS n_patients_f,
+       count(DISTINCT (PatientID, StudyInstanceUID)) FILTER (WHERE Modality = 'F') AS n_studies_f
+FROM {_ORD_CAT}
+"""
+
+ORACLE["funnel"] = """
+SELECT count(*) AS n_candidates,
+       count(*) FILTER (WHERE json_extract_string(props, '$.k') IS NOT NULL) AS n_valid,
+       count(*) FILTER (WHERE json_extract_string(props, '$.k') IS NOT NULL
+                          AND event_type <> 'error') AS n_transformable
+FROM events
+"""
+
+ORACLE["cohort_phase"] = """
+SELECT o_orderkey, o_custkey,
+       CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'AUTOMOBILE')
+            THEN 'test' ELSE 'train' END AS phase
+FROM orders
+"""
+
+ORACLE["label_merge"] = """
+SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id IS NOT DISTINCT FROM l.doc_id
+"""

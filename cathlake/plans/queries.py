@@ -256,3 +256,109 @@ def catalog_upsert(spark: SparkSession, d: str) -> DataFrame:
     stg = _orders_catalog(spark, d, lo="1996-01-01", tag="b")
     return upsert.upsert_catalog(base, stg, ORD_KEYS, refresh=["path"],
                                  order=["o_orderdate", "o_orderkey"])
+
+
+# ------------------------------------------------------------ K4 linkage
+from cathlake.operators import cohort, labels, linkage, registry  # noqa: E402
+
+
+@register("link_window")
+def link_window(spark: SparkSession, d: str) -> DataFrame:
+    """Each error event with the nearest purchase of the same user within
+    +-6 h (inclusive), or NULLs."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value", "event_type")
+    err = ev.where(F.col("event_type") == "error").drop("event_type")
+    pur = ev.where(F.col("event_type") == "purchase").drop("event_type")
+    return linkage.link_window(err, pur, "user_id", "user_id", "ts", "ts", "event_id",
+                               lid=["event_id"], hours=6,
+                               rcols=["event_id", "ts", "value"])
+
+
+# ------------------------------------------------------------ K3 registry
+@register("registry_wide")
+def registry_wide(spark: SparkSession, d: str) -> DataFrame:
+    """lineitem as a long registry: entry = order, site = line number 1-7,
+    measures quantity / discount / return flag (min per site), attributes
+    from the entry's first line."""
+    li = read_table(spark, d, "lineitem")
+    return registry.pivot_measures(
+        li, ["l_orderkey"], "l_linenumber", list(range(1, 8)),
+        {"l_quantity": "qty_", "l_discount": "disc_", "l_returnflag": "flag_"},
+        reducer="min", order=["l_linenumber", "l_partkey", "l_suppkey"],
+        attrs=["l_shipdate", "l_linestatus"])
+
+
+@register("registry_first")
+def registry_first(spark: SparkSession, d: str) -> DataFrame:
+    """Same registry with the ``first`` reducer: the value of the first row
+    (by part, supplier, ship date) among duplicate (entry, site) rows."""
+    li = read_table(spark, d, "lineitem")
+    return registry.pivot_measures(
+        li, ["l_orderkey"], "l_linenumber", list(range(1, 8)),
+        {"l_quantity": "qty_"}, reducer="first",
+        order=["l_partkey", "l_suppkey", "l_shipdate", "l_quantity"])
+
+
+@register("pivot_conflicts")
+def pivot_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem")
+    return registry.pivot_conflicts(li, ["l_orderkey"], "l_linenumber")
+
+
+@register("cardinality_profile")
+def cardinality_profile(spark: SparkSession, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem")
+    return registry.cardinality_profile(
+        li, ["l_orderkey"], ["l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
+                             "l_linestatus", "l_shipdate"])
+
+
+# ------------------------------------------------------------ K8 cohort
+def _orders_as_catalog(spark, d):
+    o = read_table(spark, d, "orders")
+    return o.select(
+        F.col("o_orderstatus").alias("Modality"),
+        F.col("o_custkey").cast("string").alias("PatientID"),
+        F.when(F.col("o_orderpriority").startswith("5"), None)
+         .otherwise(F.col("o_orderpriority")).alias("StudyInstanceUID"),
+        F.when(F.col("o_totalprice") > 400000, None)
+         .otherwise(F.concat(F.lit("/f/"), F.col("o_orderkey").cast("string"))).alias("DcmPathFlatten"))
+
+
+@register("cohort_counts")
+def cohort_counts(spark: SparkSession, d: str) -> DataFrame:
+    return cohort.cohort_report(_orders_as_catalog(spark, d), modalities=("F", "O", "P"), main="F")
+
+
+@register("funnel")
+def funnel(spark: SparkSession, d: str) -> DataFrame:
+    ev = read_table(spark, d, "events")
+    return cohort.funnel(ev, {
+        "n_candidates": F.lit(True),
+        "n_valid": F.get_json_object("props", "$.k").isNotNull(),
+        "n_transformable": F.col("event_type") != "error",
+    })
+
+
+@register("cohort_phase")
+def cohort_phase(spark: SparkSession, d: str) -> DataFrame:
+    """Orders of customers on the cohort list (automobile segment) go to the
+    test phase, the rest keep 'train'."""
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", F.lit("train").alias("phase"))
+    ids = read_table(spark, d, "customer").where(F.col("c_mktsegment") == "AUTOMOBILE")
+    return labels.assign_phase(o, ids, key="o_custkey", id_col="c_custkey")
+
+
+# ------------------------------------------------------------ K5 / K11
+@register("label_merge")
+def label_merge(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents").select(
+        "doc_id", "lang", "source", "n_chars", F.lit(None).cast("int").alias("quality"))
+    ann = read_table(spark, d, "labels")
+    return labels.merge_annotations(docs, ann, keys=["doc_id"], values=["quality", "toxic"])
+
+
+@register("synth_labels")
+def synth_labels(spark: SparkSession, d: str) -> DataFrame:
+    ev = read_table(spark, d, "events").select("event_id", "user_id")
+    return labels.synthetic_labels(ev, id_col="event_id", seed=7)
