@@ -327,3 +327,139 @@ ORACLE["label_merge"] = """
 SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id IS NOT DISTINCT FROM l.doc_id
 """
+
+_TIME_RAW = """CASE event_type
+    WHEN 'view' THEN CAST(hour(ts) * 10000 + minute(ts) * 100 + second(ts) AS VARCHAR)
+    WHEN 'purchase' THEN ''
+    WHEN 'click' THEN strftime(ts, '%H%M%S') || '.123'
+    WHEN 'signup' THEN CAST(hour(ts) AS VARCHAR)
+    ELSE strftime(ts, '%H%M%S') END"""
+
+ORACLE["time_norm"] = f"""
+SELECT event_id, t_raw,
+       substr(rpad(t_raw, CAST(greatest(6, length(t_raw)) AS INTEGER), '0'), 1, 8) AS t_text,
+       substr(coalesce(nullif(t_raw, ''), '000000'), 1, 6) AS t_prefix,
+       lpad(t_raw, CAST(greatest(6, length(t_raw)) AS INTEGER), '0') AS t_pad
+FROM (SELECT event_id, {_TIME_RAW} AS t_raw FROM events)
+"""
+
+_NULLTOK = "CASE WHEN {c} IN ('None', 'NaT', 'None00', 'nan', '') THEN NULL ELSE {c} END"
+
+ORACLE["num_norm"] = f"""
+SELECT event_id, s,
+       CAST(trunc(TRY_CAST({_NULLTOK.format(c='s')} AS DOUBLE)) AS BIGINT) AS as_long,
+       TRY_CAST({_NULLTOK.format(c='s')} AS DOUBLE) AS as_double
+FROM (SELECT event_id, CASE event_type WHEN 'error' THEN 'None' WHEN 'view' THEN ''
+        WHEN 'signup' THEN 'NaT'
+        WHEN 'click' THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || '.7'
+        ELSE 'x' || CAST(event_id AS VARCHAR) END AS s FROM events)
+"""
+
+
+def _digits(c: str, n: int) -> str:
+    v = f"CAST(coalesce(CAST(trunc(TRY_CAST({_NULLTOK.format(c=c)} AS DOUBLE)) AS BIGINT), 0) AS VARCHAR)"
+    return f"lpad({v}, CAST(greatest({n}, length({v})) AS INTEGER), '0')"
+
+
+_DATE_RAW = """CASE WHEN event_type = 'error' THEN ''
+    WHEN event_type = 'signup' THEN strftime(ts, '%Y%m%d') || '.0'
+    WHEN event_type = 'view' AND value > 45 THEN '20240230'
+    ELSE strftime(ts, '%Y%m%d') END"""
+_SERIES_TIME = """CASE event_type
+    WHEN 'view' THEN CAST(hour(ts) * 10000 + minute(ts) * 100 + second(ts) AS VARCHAR)
+    WHEN 'purchase' THEN 'None'
+    WHEN 'click' THEN strftime(ts, '%H%M%S') || '.5'
+    ELSE strftime(ts, '%H%M%S') END"""
+
+ORACLE["ts_combine"] = f"""
+SELECT event_id, date_s, time_s,
+       try_strptime({_digits('date_s', 8)} || {_digits('time_s', 6)}, '%Y%m%d%H%M%S') AS "TimeStamp"
+FROM (SELECT event_id, {_DATE_RAW} AS date_s, {_SERIES_TIME} AS time_s FROM events)
+"""
+
+ORACLE["text_clean"] = r"""
+SELECT doc_id, replace(replace(text, chr(13), 'r'), '\', '') AS text_clean FROM documents
+"""
+
+ORACLE["text_export"] = r"""
+SELECT doc_id,
+       coalesce(replace(CASE WHEN text IN ('None', 'NaT') THEN NULL ELSE text END, chr(10), '\n'), '\N')
+         AS text_export
+FROM documents
+"""
+
+ORACLE["path_build"] = """
+WITH o AS (SELECT o_orderkey, '/data/' || CAST(o_custkey AS VARCHAR) || '/' || CAST(o_orderkey AS VARCHAR)
+                  || '/' || CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END
+                  || '/' || o_orderpriority || '.dcm' AS path FROM orders)
+SELECT o_orderkey, path, concat_ws('/', '/out', regexp_extract(path, '[^/]*$')) AS out_path,
+       CAST(o_orderkey AS VARCHAR) || '_' || regexp_extract(path, '[^/]*$') AS flat_name
+FROM o
+"""
+
+ORACLE["path_relative"] = """
+SELECT page_id, url, substr(url, strpos(url, 'example')) AS rel FROM pages
+WHERE strpos(url, 'example') > 0
+"""
+
+ORACLE["path_patient"] = """
+WITH c AS (SELECT c_custkey,
+    CASE WHEN c_mktsegment <> 'HOUSEHOLD'
+         THEN '/data/' || c_name || '/DICOM/' || CAST(c_custkey AS VARCHAR) || '.dcm'
+         ELSE '/data/' || c_name || '/' || CAST(c_custkey AS VARCHAR) || '.dcm' END AS path,
+    CAST(c_custkey AS VARCHAR) AS pid FROM customer)
+SELECT c_custkey, path,
+       CASE WHEN contains(path, '/DICOM') THEN regexp_extract(split_part(path, '/DICOM', 1), '[^/]*$')
+            ELSE pid END AS "PatientID"
+FROM c
+"""
+
+ORACLE["scan_project"] = """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment,
+       CAST(NULL AS VARCHAR) AS c_phone, CAST(NULL AS BOOLEAN) AS c_active,
+       CAST(NULL AS TIMESTAMP) AS c_since
+FROM customer
+"""
+
+ORACLE["sql_source"] = """
+SELECT r.r_name, n.n_name, count(c.c_custkey) AS n_customers
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN customer c ON c.c_nationkey = n.n_nationkey
+GROUP BY r.r_name, n.n_name
+"""
+
+ORACLE["ctas_copy"] = "SELECT * FROM part"
+
+ORACLE["sparse_header"] = """
+SELECT event_id, CAST(trunc(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS BIGINT) AS k,
+       CAST(NULL AS VARCHAR) AS source
+FROM events
+"""
+
+ORACLE["sort_limit"] = """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
+"""
+
+ORACLE["catalog_build"] = f"""
+WITH rec AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS "PatientID", strftime(ts, '%Y%m%d') AS "StudyInstanceUID",
+         event_type AS "SeriesInstanceUID", json_extract_string(props, '$.k') AS "SOPInstanceUID",
+         strftime(ts, '%Y%m%d') AS "StudyDate", strftime(ts, '%H%M%S') || '.5' AS "SeriesTime",
+         CASE WHEN event_type = 'error' THEN 'OT' ELSE 'XA' END AS "Modality",
+         CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || '.0' AS "NumberOfFrames"
+  FROM events),
+p AS (SELECT *, '/data/' || "PatientID" || '/' || "StudyInstanceUID" || '/' || "SeriesInstanceUID"
+                || '/' || "SOPInstanceUID" || '.dcm' AS "DcmPathFlatten",
+             try_strptime({_digits('"StudyDate"', 8)} || {_digits('"SeriesTime"', 6)}, '%Y%m%d%H%M%S') AS "TimeStamp"
+      FROM rec),
+f AS (SELECT * FROM p QUALIFY row_number() OVER (
+        PARTITION BY "PatientID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID"
+        ORDER BY "DcmPathFlatten" NULLS FIRST, "TimeStamp" NULLS FIRST, event_id) = 1)
+SELECT CAST(row_number() OVER (ORDER BY "PatientID" NULLS FIRST, "StudyInstanceUID" NULLS FIRST,
+            "SeriesInstanceUID" NULLS FIRST, "SOPInstanceUID" NULLS FIRST) - 1 AS BIGINT) AS rowid,
+       "DcmPathFlatten", "StudyDate", "TimeStamp", substr(rpad("SeriesTime", CAST(greatest(6, length("SeriesTime")) AS INTEGER), '0'), 1, 8) AS "SeriesTime",
+       "Modality", "PatientID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID",
+       CAST(trunc(TRY_CAST("NumberOfFrames" AS DOUBLE)) AS BIGINT) AS "NumberOfFrames"
+FROM f
+"""

@@ -362,3 +362,183 @@ def label_merge(spark: SparkSession, d: str) -> DataFrame:
 def synth_labels(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events").select("event_id", "user_id")
     return labels.synthetic_labels(ev, id_col="event_id", seed=7)
+
+
+# ------------------------------------------------------------ scalar normalisers
+from cathlake.functions import normalize as N  # noqa: E402
+from cathlake.functions import paths as P  # noqa: E402
+from cathlake.functions.schema import catalog_types, conform  # noqa: E402
+from cathlake.sources import headers, readers, sinks  # noqa: E402
+
+
+def _time_raw():
+    ts, t = F.col("ts"), F.col("event_type")
+    hms = F.date_format(ts, "HHmmss")
+    return (F.when(t == "view", (F.hour(ts) * 10000 + F.minute(ts) * 100 + F.second(ts)).cast("string"))
+            .when(t == "purchase", F.lit(""))
+            .when(t == "click", F.concat(hms, F.lit(".123")))
+            .when(t == "signup", F.hour(ts).cast("string"))
+            .otherwise(hms))
+
+
+@register("time_norm")
+def time_norm(spark: SparkSession, d: str) -> DataFrame:
+    ev = read_table(spark, d, "events").select("event_id", _time_raw().alias("t_raw"))
+    return ev.select("event_id", "t_raw", N.time_text("t_raw").alias("t_text"),
+                     N.time_prefix("t_raw").alias("t_prefix"), N.pad_left("t_raw", 6).alias("t_pad"))
+
+
+@register("num_norm")
+def num_norm(spark: SparkSession, d: str) -> DataFrame:
+    t = F.col("event_type")
+    s = (F.when(t == "error", F.lit("None")).when(t == "view", F.lit(""))
+         .when(t == "signup", F.lit("NaT"))
+         .when(t == "click", F.concat(F.floor("value").cast("string"), F.lit(".7")))
+         .otherwise(F.concat(F.lit("x"), F.col("event_id").cast("string"))))
+    ev = read_table(spark, d, "events").select("event_id", s.alias("s"))
+    return ev.select("event_id", "s", N.to_long("s").alias("as_long"), N.to_double("s").alias("as_double"))
+
+
+def _date_raw():
+    ts, t = F.col("ts"), F.col("event_type")
+    ymd = F.date_format(ts, "yyyyMMdd")
+    return (F.when(t == "error", F.lit("")).when(t == "signup", F.concat(ymd, F.lit(".0")))
+            .when((t == "view") & (F.col("value") > 45), F.lit("20240230"))
+            .otherwise(ymd))
+
+
+def _series_time():
+    ts, t = F.col("ts"), F.col("event_type")
+    hms = F.date_format(ts, "HHmmss")
+    return (F.when(t == "view", (F.hour(ts) * 10000 + F.minute(ts) * 100 + F.second(ts)).cast("string"))
+            .when(t == "purchase", F.lit("None"))
+            .when(t == "click", F.concat(hms, F.lit(".5")))
+            .otherwise(hms))
+
+
+@register("ts_combine")
+def ts_combine(spark: SparkSession, d: str) -> DataFrame:
+    ev = read_table(spark, d, "events").select(
+        "event_id", _date_raw().alias("date_s"), _series_time().alias("time_s"))
+    return ev.withColumn("TimeStamp", N.combine_ts("date_s", "time_s"))
+
+
+@register("text_clean")
+def text_clean(spark: SparkSession, d: str) -> DataFrame:
+    doc = read_table(spark, d, "documents")
+    return doc.select("doc_id", N.clean_text("text").alias("text_clean"))
+
+
+@register("text_export")
+def text_export(spark: SparkSession, d: str) -> DataFrame:
+    doc = read_table(spark, d, "documents")
+    return doc.select("doc_id", N.export_text("text").alias("text_export"))
+
+
+# ------------------------------------------------------------ paths
+@register("path_build")
+def path_build(spark: SparkSession, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", F.when(F.col("o_orderstatus") == "P", None)
+        .otherwise(F.col("o_orderstatus")).alias("status"), "o_orderpriority")
+    p = o.withColumn("path", P.hierarchical_path("/data", "o_custkey", "o_orderkey", "status",
+                                                 "o_orderpriority"))
+    return p.select("o_orderkey", "path", P.output_path("/out", "path").alias("out_path"),
+                    P.flattened_name("o_orderkey", "path").alias("flat_name"))
+
+
+@register("path_relative")
+def path_relative(spark: SparkSession, d: str) -> DataFrame:
+    pg = read_table(spark, d, "pages").select("page_id", "url")
+    rel = pg.withColumn("rel", P.relative_to("url", "example"))
+    return rel.where(F.col("rel").isNotNull())
+
+
+def _customer_paths(spark, d):
+    c = read_table(spark, d, "customer")
+    marked = F.concat(F.lit("/data/"), F.col("c_name"), F.lit("/DICOM/"),
+                      F.col("c_custkey").cast("string"), F.lit(".dcm"))
+    plain = F.concat(F.lit("/data/"), F.col("c_name"), F.lit("/"),
+                     F.col("c_custkey").cast("string"), F.lit(".dcm"))
+    return c.select("c_custkey", F.when(F.col("c_mktsegment") != "HOUSEHOLD", marked)
+                    .otherwise(plain).alias("path"),
+                    F.col("c_custkey").cast("string").alias("PatientID"))
+
+
+@register("path_patient")
+def path_patient(spark: SparkSession, d: str) -> DataFrame:
+    c = _customer_paths(spark, d)
+    return c.withColumn("PatientID", P.repair_key("PatientID", "path"))
+
+
+# ------------------------------------------------------------ sources / sinks
+CUSTOMER_TYPES = {"c_custkey": "serial PRIMARY KEY", "c_name": "varchar(255)",
+                  "c_nationkey": "int8", "c_acctbal": "float8", "c_mktsegment": "varchar(255)",
+                  "c_phone": "varchar(255)", "c_active": "BOOLEAN", "c_since": "TIMESTAMP"}
+
+
+@register("scan_project")
+def scan_project(spark: SparkSession, d: str) -> DataFrame:
+    return conform(read_table(spark, d, "customer"), CUSTOMER_TYPES)
+
+
+@register("sql_source")
+def sql_source(spark: SparkSession, d: str) -> DataFrame:
+    q = """
+      SELECT r.r_name, n.n_name, count(c.c_custkey) AS n_customers
+      FROM cl_nation n JOIN cl_region r ON n.n_regionkey = r.r_regionkey
+      LEFT JOIN cl_customer c ON c.c_nationkey = n.n_nationkey
+      GROUP BY r.r_name, n.n_name"""
+    return readers.sql_source(spark, q, {
+        "cl_nation": read_table(spark, d, "nation"), "cl_region": read_table(spark, d, "region"),
+        "cl_customer": read_table(spark, d, "customer")})
+
+
+@register("ctas_copy")
+def ctas_copy(spark: SparkSession, d: str) -> DataFrame:
+    import uuid
+    root = sinks.shared_table_root(spark)
+    return sinks.copy_table(read_table(spark, d, "part"), root, "cag", f"part_{uuid.uuid4().hex[:8]}")
+
+
+@register("sparse_header")
+def sparse_header(spark: SparkSession, d: str) -> DataFrame:
+    ev = headers.parse_json_records(read_table(spark, d, "events"), "props")
+    return headers.project_map(ev, "header", {"k": "int8", "source": "varchar(255)"},
+                               keep=["event_id"])
+
+
+@register("sort_limit")
+def sort_limit(spark: SparkSession, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return o.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey")).limit(10)
+
+
+# ------------------------------------------------------------ K1 catalog build
+BUILD_COLS = ["rowid", "DcmPathFlatten", "StudyDate", "TimeStamp", "SeriesTime", "Modality",
+              "PatientID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID",
+              "NumberOfFrames"]
+KEY4 = ["PatientID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID"]
+
+
+@register("catalog_build")
+def catalog_build(spark: SparkSession, d: str) -> DataFrame:
+    """Header records (from events) -> header columns -> timestamps ->
+    de-dup on the 4-part key (first by path, then time) -> typed columns in
+    dictionary order -> dense ids."""
+    ev = headers.parse_json_records(read_table(spark, d, "events"), "props")
+    rec = ev.select(
+        "event_id", F.col("user_id").cast("string").alias("PatientID"),
+        F.date_format("ts", "yyyyMMdd").alias("StudyInstanceUID"),
+        F.col("event_type").alias("SeriesInstanceUID"),
+        F.element_at("header", F.lit("k")).alias("SOPInstanceUID"),
+        F.date_format("ts", "yyyyMMdd").alias("StudyDate"),
+        F.concat(F.date_format("ts", "HHmmss"), F.lit(".5")).alias("SeriesTime"),
+        F.when(F.col("event_type") == "error", F.lit("OT")).otherwise(F.lit("XA")).alias("Modality"),
+        F.concat(F.floor("value").cast("string"), F.lit(".0")).alias("NumberOfFrames"))
+    rec = rec.withColumn("DcmPathFlatten", P.hierarchical_path("/data", *KEY4)) \
+             .withColumn("TimeStamp", N.combine_ts("StudyDate", "SeriesTime"))
+    first = numbering.keep_first(rec, KEY4, ["DcmPathFlatten", "TimeStamp", "event_id"])
+    types = {c: t for c, t in catalog_types().items() if c in BUILD_COLS and c != "rowid"}
+    typed = conform(first, types)
+    return numbering.dense_ids(typed, KEY4, "rowid").select(*BUILD_COLS)
