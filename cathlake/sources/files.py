@@ -17,7 +17,9 @@ MAGIC = b"DICM"
 
 
 def inventory(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """Every non-directory file below ``root`` (recursive)."""
+    """Every non-directory file below ``root`` (recursive). Zero-length
+    files are skipped by Spark's file sources (they cannot pass the header
+    test either)."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         r = r.option("pathGlobFilter", pattern)
