@@ -1,16 +1,30 @@
 """Interval linkage of images to procedures (same patient, |dt| <= 6 h).
 
-The reference expresses this as a left join on patient with a BETWEEN on
-time, followed by ``DISTINCT ON`` the image. Here:
-
-* both sides get a time bucket of the window width; each procedure row is
-  copied to its own and the two neighbouring buckets, so the join key is
-  (patient, bucket) and a patient with many rows is spread over as many
-  join keys as it has time buckets instead of one;
-* the exact inclusive bound is then checked on each candidate pair;
-* per image the match with the smallest |dt|, then the earlier procedure,
-  then the smaller procedure id wins (the survivor ``DISTINCT ON`` leaves
-  unspecified), via a ``min(struct)`` aggregate that combines map-side.
+The original is a left join on patient with a BETWEEN on time followed by
+``DISTINCT ON`` the image, whose survivor is unspecified. Here the survivor
+is fixed: smallest |dt|, then the earlier procedure, then the smaller
+procedure id. That survivor is always the image's nearest procedure at or
+before it (predecessor) or after it (successor), so no candidate pairs are
+needed at all (``link_window``, the default):
+
+1. procedures are reduced to one row per (patient, time) with the smallest
+   id (a map-side combined aggregate);
+2. images and procedures are unioned (narrow: key, time, side, ids), range
+   partitioned and sorted on (patient, time, side, image id), so a heavy
+   patient is spread over many partitions, and checkpointed to the shared
+   folder so partition ids are stable;
+3. predecessor / successor come from running ``last`` / ``first`` windows
+   over (range partition, patient): each window group is bounded by the
+   partition size, never by the patient;
+4. a patient continued from an earlier (later) partition takes the last
+   (first) procedure of those partitions from a carry table with at most
+   one row per partition (broadcast, bounded by the partition count);
+5. the nearer of the two within the window wins, and images and procedure
+   payload are joined back on their unique ids.
+
+``link_window_pairs`` is the direct form (equi-join on patient and a time
+bucket of the window width, exact bound check, ``min(struct)`` pick); it
+emits every pair within the window and is kept as a cross-check.
 
 Images without a match (or with a NULL time / patient) keep NULLs on the
 right, as in a left join.
@@ -20,9 +34,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cathlake.operators.numbering import keep_first
+
 
 
 def _micros(df: DataFrame, c: str):
@@ -33,7 +49,7 @@ def _micros(df: DataFrame, c: str):
     return F.unix_micros(col)
 
 
-def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
+def link_window_pairs(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
                 lts: str, rts: str, rid: str, lid: Sequence[str],
                 hours: float = 6.0, rcols: Sequence[str] | None = None,
                 prefix: str = "pats_") -> DataFrame:
@@ -76,3 +92,98 @@ def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
     return best.select(
         *lid, *[F.col(f"_cl_best.{c}").alias(c) for c in lrest],
         *[F.col(f"_cl_best._cl_r_{c}").alias(out_name[c]) for c in rcols])
+
+
+def _out_names(left: DataFrame, rcols, extra, prefix):
+    lower = {c.lower() for c in left.columns}
+    names = {c: (prefix + c if c.lower() in lower else c) for c in rcols}
+    for c in extra:
+        names.setdefault(c, prefix + c if c.lower() in lower else c)
+    return names
+
+
+def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
+                lts: str, rts: str, rid: str, lid: Sequence[str],
+                hours: float = 6.0, rcols: Sequence[str] | None = None,
+                prefix: str = "pats_", parts: int | None = None) -> DataFrame:
+    """One row per ``lid`` value of ``left`` with the nearest ``right`` row
+    within +-``hours`` of the same key (inclusive), or NULLs.
+
+    Right columns are renamed ``prefix + name`` when the name also exists on
+    the left (``TimeStamp`` / ``timestamp`` and shared names never clash).
+    Among left rows sharing an ``lid`` value the first in column order is
+    kept (``DISTINCT ON`` with a fixed survivor).
+    """
+    from cathlake.session import checkpoint_dir
+    spark = left.sparkSession
+    checkpoint_dir(spark)
+    width = int(hours * 3600 * 1_000_000)
+    rcols = list(rcols or right.columns)
+    lid = list(lid)
+    names = _out_names(left, rcols, (rkey, rts, rid), prefix)
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    # 1. one procedure per (key, time): the smallest id
+    r1 = (right.select(F.col(rkey).alias("_k"), _micros(right, rts).alias("_t"),
+                       F.col(rid).alias("_rid"))
+          .where(F.col("_k").isNotNull() & F.col("_t").isNotNull())
+          .groupBy("_k", "_t").agg(F.min("_rid").alias("_rid")))
+    # 2. narrow union, range partitioned on (key, time, side, image id)
+    lid_struct = F.struct(*[F.col(c).alias(f"_l{i}") for i, c in enumerate(lid)])
+    l1 = (left.select(F.col(lkey).alias("_k"), _micros(left, lts).alias("_t"),
+                      lid_struct.alias("_lid"))
+          .where(F.col("_k").isNotNull() & F.col("_t").isNotNull()))
+    u = (l1.select("_k", "_t", F.lit(1).alias("_side"), "_lid",
+                   F.lit(None).cast(r1.schema["_rid"].dataType).alias("_rid"))
+         .unionByName(r1.select("_k", "_t", F.lit(0).alias("_side"),
+                                F.lit(None).cast(l1.schema["_lid"].dataType).alias("_lid"), "_rid")))
+    order = [F.col("_k"), F.col("_t"), F.col("_side"), F.col("_lid")]
+    s = (u.repartitionByRange(n, *order).sortWithinPartitions(*order)
+         .checkpoint(eager=True).withColumn("_pid", F.spark_partition_id()))
+
+    # 4. carry tables, one row per partition
+    bounds = s.groupBy("_pid").agg(F.min("_k").alias("_f"), F.max("_k").alias("_l"))
+    rs = s.where(F.col("_side") == 0)
+    b = F.broadcast(bounds)
+    last_r = (rs.join(b, "_pid").where(F.col("_k") == F.col("_l")).groupBy("_pid", "_l")
+              .agg(F.max(F.struct("_t", "_rid")).alias("_lastr")))
+    first_r = (rs.join(b, "_pid").where(F.col("_k") == F.col("_f")).groupBy("_pid", "_f")
+               .agg(F.min(F.struct("_t", "_rid")).alias("_firstr")))
+    bp = bounds.select(F.col("_pid").alias("_p"), F.col("_f").alias("_pf"), F.col("_l").alias("_pl"))
+    pred_c = (bp.join(F.broadcast(last_r), (F.col("_l") == F.col("_pf")) & (F.col("_pid") < F.col("_p")))
+              .groupBy("_p").agg(F.max("_lastr").alias("_pred_c")))
+    succ_c = (bp.join(F.broadcast(first_r), (F.col("_f") == F.col("_pl")) & (F.col("_pid") > F.col("_p")))
+              .groupBy("_p").agg(F.min("_firstr").alias("_succ_c")))
+    carry = (bp.join(pred_c, "_p", "left").join(succ_c, "_p", "left")
+             .withColumnRenamed("_p", "_pid"))
+
+    # 3. running predecessor / successor inside (partition, key)
+    x = s.join(F.broadcast(carry), "_pid", "left")
+    rv = F.when(F.col("_side") == 0, F.struct("_t", "_rid"))
+    w = Window.partitionBy("_pid", "_k").orderBy("_t", "_side", "_lid")
+    pred = F.last(rv, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    succ = F.first(rv, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    y = (x.withColumn("_pred", pred).withColumn("_succ", succ).where(F.col("_side") == 1)
+         .withColumn("_pred", F.coalesce("_pred", F.when(F.col("_k") == F.col("_pf"), F.col("_pred_c"))))
+         .withColumn("_succ", F.coalesce("_succ", F.when(F.col("_k") == F.col("_pl"), F.col("_succ_c")))))
+    dp = F.col("_t") - F.col("_pred._t")
+    ds = F.col("_succ._t") - F.col("_t")
+    best = (F.when(F.col("_pred").isNull(), F.col("_succ")).when(F.col("_succ").isNull(), F.col("_pred"))
+            .when(dp <= ds, F.col("_pred")).otherwise(F.col("_succ")))
+    y = y.withColumn("_best", best)
+    y = y.withColumn("_best", F.when(F.abs(F.col("_best._t") - F.col("_t")) <= width, F.col("_best")))
+    # several left rows may share an lid value: keep the best match
+    m = (y.groupBy("_lid").agg(F.min(F.struct(
+            F.col("_best").isNull().alias("_nm"), F.abs(F.col("_best._t") - F.col("_t")).alias("_d"),
+            F.col("_best._t").alias("_bt"), F.col("_best._rid").alias("_brid"))).alias("_m"))
+         .select(*[F.col(f"_lid._l{i}").alias(f"_cl_lid{i}") for i in range(len(lid))],
+                 F.col("_m._brid").alias("_cl_brid")))
+
+    # 5. join back the image columns and the procedure payload
+    lrest = [c for c in left.columns if c not in lid]
+    one = keep_first(left, lid, lrest)
+    cond = [F.col(c).eqNullSafe(F.col(f"_cl_lid{i}")) for i, c in enumerate(lid)]
+    out = one.join(m, cond, "left").drop(*[f"_cl_lid{i}" for i in range(len(lid))])
+    rp = right.select(F.col(rid).alias("_cl_rid2"), *[F.col(c).alias(f"_cl_r_{c}") for c in rcols])
+    out = out.join(rp, F.col("_cl_brid") == F.col("_cl_rid2"), "left")
+    return out.select(*left.columns, *[F.col(f"_cl_r_{c}").alias(names[c]) for c in rcols])

@@ -103,3 +103,28 @@ def test_synthetic_labels_reproducible(spark):
     a = {r.rowid: r.labels for r in labels.synthetic_labels(df.repartition(3), seed=1).collect()}
     b = {r.rowid: r.labels for r in labels.synthetic_labels(df.repartition(7), seed=1).collect()}
     assert a == b and a[1] == 1 and a[2] == 1 and set(a.values()) <= {0, 1, 2}
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 40))),
+                min_size=1, max_size=25),
+       st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 40), st.integers(0, 5)),
+                max_size=25),
+       st.integers(1, 5))
+def test_nearest_link_matches_pairs_form(spark, lefts, rights, parts):
+    """Pair-free nearest match (range partitions + carries) vs the direct
+    pair join, with 1-5 range partitions so carries cross boundaries."""
+    L = spark.createDataFrame([(i, k, None if m is None else h(m)) for i, (k, m) in enumerate(lefts)],
+                              "lid long, k string, t timestamp_ntz")
+    R = spark.createDataFrame([(j * 10 + x, k, h(m)) for j, (k, m, x) in enumerate(rights)],
+                              "rid long, rk string, rt timestamp_ntz")
+    a = linkage.link_window(L, R, "k", "rk", "t", "rt", "rid", lid=["lid"], hours=6,
+                            rcols=["rid", "rt"], parts=parts)
+    b = linkage.link_window_pairs(L, R, "k", "rk", "t", "rt", "rid", lid=["lid"], hours=6,
+                                  rcols=["rid", "rt"])
+    ga = sorted((r.lid, r.rid) for r in a.collect())
+    gb = sorted((r.lid, r.rid) for r in b.collect())
+    assert ga == gb
