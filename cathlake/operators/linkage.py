@@ -105,14 +105,17 @@ def _out_names(left: DataFrame, rcols, extra, prefix):
 def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
                 lts: str, rts: str, rid: str, lid: Sequence[str],
                 hours: float = 6.0, rcols: Sequence[str] | None = None,
-                prefix: str = "pats_", parts: int | None = None) -> DataFrame:
+                prefix: str = "pats_", parts: int | None = None,
+                unique_left: bool = False) -> DataFrame:
     """One row per ``lid`` value of ``left`` with the nearest ``right`` row
     within +-``hours`` of the same key (inclusive), or NULLs.
 
     Right columns are renamed ``prefix + name`` when the name also exists on
     the left (``TimeStamp`` / ``timestamp`` and shared names never clash).
     Among left rows sharing an ``lid`` value the first in column order is
-    kept (``DISTINCT ON`` with a fixed survivor).
+    kept (``DISTINCT ON`` with a fixed survivor); ``unique_left=True`` states
+    that ``lid`` is already a key and skips that reduction. ``rid`` must be
+    a key of ``right``.
     """
     from cathlake.session import checkpoint_dir
     spark = left.sparkSession
@@ -141,21 +144,25 @@ def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
     s = (u.repartitionByRange(n, *order).sortWithinPartitions(*order)
          .checkpoint(eager=True).withColumn("_pid", F.spark_partition_id()))
 
-    # 4. carry tables, one row per partition
-    bounds = s.groupBy("_pid").agg(F.min("_k").alias("_f"), F.max("_k").alias("_l"))
-    rs = s.where(F.col("_side") == 0)
-    b = F.broadcast(bounds)
-    last_r = (rs.join(b, "_pid").where(F.col("_k") == F.col("_l")).groupBy("_pid", "_l")
-              .agg(F.max(F.struct("_t", "_rid")).alias("_lastr")))
-    first_r = (rs.join(b, "_pid").where(F.col("_k") == F.col("_f")).groupBy("_pid", "_f")
-               .agg(F.min(F.struct("_t", "_rid")).alias("_firstr")))
-    bp = bounds.select(F.col("_pid").alias("_p"), F.col("_f").alias("_pf"), F.col("_l").alias("_pl"))
-    pred_c = (bp.join(F.broadcast(last_r), (F.col("_l") == F.col("_pf")) & (F.col("_pid") < F.col("_p")))
-              .groupBy("_p").agg(F.max("_lastr").alias("_pred_c")))
-    succ_c = (bp.join(F.broadcast(first_r), (F.col("_f") == F.col("_pl")) & (F.col("_pid") > F.col("_p")))
-              .groupBy("_p").agg(F.min("_firstr").alias("_succ_c")))
-    carry = (bp.join(pred_c, "_p", "left").join(succ_c, "_p", "left")
-             .withColumnRenamed("_p", "_pid"))
+    # 4. carry table, one row per partition, from one aggregate pass: the
+    # partition's first / last key and its first / last procedure. The last
+    # procedure belongs to the last key exactly when their keys agree. Keys
+    # ascend across partitions, so the nearest earlier partition with a
+    # valid "last procedure of its last key" is the predecessor carry for a
+    # partition whose first key equals that key (mirror for successors).
+    rstruct = F.when(F.col("_side") == 0, F.struct("_k", "_t", "_rid"))
+    stats = s.groupBy("_pid").agg(
+        F.min("_k").alias("_pf"), F.max("_k").alias("_pl"),
+        F.max(rstruct).alias("_lr"), F.min(rstruct).alias("_fr"))
+    stats = (stats.withColumn("_lr", F.when(F.col("_lr._k") == F.col("_pl"), F.col("_lr")))
+             .withColumn("_fr", F.when(F.col("_fr._k") == F.col("_pf"), F.col("_fr"))))
+    wp = Window.orderBy("_pid")  # over partitions: the table has one row per partition
+    before = F.last("_lr", ignorenulls=True).over(wp.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("_fr", ignorenulls=True).over(wp.rowsBetween(1, Window.unboundedFollowing))
+    carry = (stats.withColumn("_b", before).withColumn("_a", after)
+             .select("_pid", "_pf", "_pl",
+                     F.when(F.col("_b._k") == F.col("_pf"), F.struct("_b._t", "_b._rid")).alias("_pred_c"),
+                     F.when(F.col("_a._k") == F.col("_pl"), F.struct("_a._t", "_a._rid")).alias("_succ_c")))
 
     # 3. running predecessor / successor inside (partition, key)
     x = s.join(F.broadcast(carry), "_pid", "left")
@@ -172,16 +179,20 @@ def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
             .when(dp <= ds, F.col("_pred")).otherwise(F.col("_succ")))
     y = y.withColumn("_best", best)
     y = y.withColumn("_best", F.when(F.abs(F.col("_best._t") - F.col("_t")) <= width, F.col("_best")))
-    # several left rows may share an lid value: keep the best match
-    m = (y.groupBy("_lid").agg(F.min(F.struct(
-            F.col("_best").isNull().alias("_nm"), F.abs(F.col("_best._t") - F.col("_t")).alias("_d"),
-            F.col("_best._t").alias("_bt"), F.col("_best._rid").alias("_brid"))).alias("_m"))
-         .select(*[F.col(f"_lid._l{i}").alias(f"_cl_lid{i}") for i in range(len(lid))],
-                 F.col("_m._brid").alias("_cl_brid")))
+    if unique_left:
+        m = y.select(*[F.col(f"_lid._l{i}").alias(f"_cl_lid{i}") for i in range(len(lid))],
+                     F.col("_best._rid").alias("_cl_brid"))
+    else:
+        # several left rows may share an lid value: keep the best match
+        m = (y.groupBy("_lid").agg(F.min(F.struct(
+                F.col("_best").isNull().alias("_nm"), F.abs(F.col("_best._t") - F.col("_t")).alias("_d"),
+                F.col("_best._t").alias("_bt"), F.col("_best._rid").alias("_brid"))).alias("_m"))
+             .select(*[F.col(f"_lid._l{i}").alias(f"_cl_lid{i}") for i in range(len(lid))],
+                     F.col("_m._brid").alias("_cl_brid")))
 
     # 5. join back the image columns and the procedure payload
     lrest = [c for c in left.columns if c not in lid]
-    one = keep_first(left, lid, lrest)
+    one = left if unique_left else keep_first(left, lid, lrest)
     cond = [F.col(c).eqNullSafe(F.col(f"_cl_lid{i}")) for i, c in enumerate(lid)]
     out = one.join(m, cond, "left").drop(*[f"_cl_lid{i}" for i in range(len(lid))])
     rp = right.select(F.col(rid).alias("_cl_rid2"), *[F.col(c).alias(f"_cl_r_{c}") for c in rcols])

@@ -271,7 +271,7 @@ def link_window(spark: SparkSession, d: str) -> DataFrame:
     pur = ev.where(F.col("event_type") == "purchase").drop("event_type")
     return linkage.link_window(err, pur, "user_id", "user_id", "ts", "ts", "event_id",
                                lid=["event_id"], hours=6,
-                               rcols=["event_id", "ts", "value"])
+                               rcols=["event_id", "ts", "value"], unique_left=True)
 
 
 # ------------------------------------------------------------ K3 registry
