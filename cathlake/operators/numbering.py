@@ -62,17 +62,16 @@ def dense_ids(df: DataFrame, order: Sequence, name: str = "rowid", start=0,
               parts: int | None = None) -> DataFrame:
     """Consecutive ``long`` ids from ``start`` in ``order``.
 
-    ``start`` is an int or a one-row, one-column DataFrame (e.g. the current
-    ``max(rowid) + 1`` of a table), joined on a constant key.
+    ``start`` is an int, a scalar Column, or a one-row, one-column DataFrame
+    (e.g. the current ``max(rowid) + 1`` of a table), used as a scalar
+    subquery.
     """
     pos = global_positions(df, order, "_cl_pos", parts)
     if isinstance(start, DataFrame):
-        st = start.select(F.col(start.columns[0]).cast("long").alias("_cl_start"),
-                          F.lit(1).alias("_cl_one"))
-        pos = pos.withColumn("_cl_one", F.lit(1)).join(F.broadcast(st), "_cl_one")
-        return pos.withColumn(name, F.col("_cl_start") + F.col("_cl_pos")) \
-                  .drop("_cl_one", "_cl_start", "_cl_pos")
-    return pos.withColumn(name, F.lit(int(start)) + F.col("_cl_pos")).drop("_cl_pos")
+        start = start.select(F.col(start.columns[0]).cast("long")).scalar()
+    elif not isinstance(start, Column):
+        start = F.lit(int(start))
+    return pos.withColumn(name, start.cast("long") + F.col("_cl_pos")).drop("_cl_pos")
 
 
 def _join_back(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ one as a nested loop. Both are rewritten here into hash anti joins:
 
 The distinct NULL patterns present are read with one small aggregate (at
 most 2^k - 1 rows), so the plan only contains the joins that have rows.
-Existence flags are one-row aggregates joined on a constant key.
+Existence tests are uncorrelated ``EXISTS`` subqueries (at most one row read).
 """
 
 from __future__ import annotations
@@ -46,17 +46,10 @@ def _nonnull(keys: Sequence[str], pattern: int) -> list[str]:
     return [k for i, k in enumerate(keys) if not (pattern >> i) & 1]
 
 
-def _exists(df: DataFrame) -> DataFrame:
-    """One row with ``_cl_one = 1`` when ``df`` has rows, none otherwise."""
-    return (df.agg(F.count(F.lit(1)).alias("_cl_n")).where(F.col("_cl_n") > 0)
-            .select(F.lit(1).alias("_cl_one")))
-
-
 def _drop_if_exists(left: DataFrame, other: DataFrame) -> DataFrame:
-    """``left`` when ``other`` is empty, else no rows (lazy, one-row join)."""
-    cols = left.columns
-    return (left.withColumn("_cl_one", F.lit(1))
-            .join(F.broadcast(_exists(other)), "_cl_one", "left_anti").select(*cols))
+    """``left`` when ``other`` is empty, else no rows: an uncorrelated
+    ``NOT EXISTS`` (a scalar subquery that reads at most one row)."""
+    return left.where(~other.exists())
 
 
 def not_in(left: DataFrame, right: DataFrame, lcol: str, rcol: str | None = None) -> DataFrame:

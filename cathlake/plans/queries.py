@@ -150,10 +150,9 @@ def batch_assign(spark: SparkSession, d: str) -> DataFrame:
     """Split the part list into 8 work batches of ceil(n / 8) consecutive rows."""
     p = read_table(spark, d, "part").select("p_partkey", "p_name")
     ids = numbering.dense_ids(p, ["p_partkey"], "idx")
-    size = p.agg(F.ceil(F.count("*") / F.lit(8)).alias("_cl_size")).withColumn("_cl_one", F.lit(1))
-    out = ids.withColumn("_cl_one", F.lit(1)).join(F.broadcast(size), "_cl_one")
-    return out.select("p_partkey", "p_name", "idx",
-                      F.floor(F.col("idx") / F.col("_cl_size")).cast("long").alias("batch"))
+    size = p.agg(F.ceil(F.count("*") / F.lit(8))).scalar()
+    return ids.select("p_partkey", "p_name", "idx",
+                      F.floor(F.col("idx") / size).cast("long").alias("batch"))
 
 
 @register("dup_groups")
