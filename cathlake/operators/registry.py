@@ -14,7 +14,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cathlake.operators.numbering import keep_first  # noqa: F401  (re-export)
 
 # The 16 coronary segment names used as registry site values
 # (numbered segment, then name), in segment-number order.
@@ -77,18 +76,44 @@ def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lok
                   site="proceduresite", sub="sub_entryid", start="procedurestart_lokalbed_velse",
                   mode: str = "entry", sites: Sequence = SITES) -> DataFrame:
     """Registry pivot: rows without a procedure start dropped, measures
-    ``Sten %: <site>``, ``ffr %: <site>``, ``kartype: <site>``, attributes from
-    the entry's first row, start renamed ``timestamp`` and parsed strictly.
-
-    ``mode="entry"``: one row per entry, each measure from the smallest
-    ``sub`` (string order) that has it. ``mode="sub_entry"``: one row per
-    (entry, sub-entry).
+    ``Sten %: <site>``, ``ffr %: <site>``, ``kartype: <site>``, the other
+    columns from the entry's first row, start renamed ``timestamp`` and
+    parsed strictly.
+
+    Level 1 is one pivot row per sub-entry (duplicate (sub-entry, site)
+    rows, which a strict pivot rejects, reduce to their smallest value; see
+    ``pivot_conflicts``). ``mode="entry"``: one row per entry, the whole
+    pivot row of its smallest sub-entry (string order). ``mode="sub_entry"``:
+    one row per sub-entry where, as in the original merge, the ``Sten`` and
+    ``ffr`` columns come from the entry's smallest sub-entry and ``kartype``
+    from the sub-entry itself.
     """
-    keys = list(keys) + ([sub] if mode == "sub_entry" else [])
+    keys = list(keys)
     base = df.where(F.col(start).isNotNull())
-    attrs = [c for c in df.columns if c not in keys and c not in (site, sub) and c not in MEASURE_PREFIX]
-    wide = pivot_measures(base, keys, site, sites, MEASURE_PREFIX, reducer="first",
-                          order=[sub], attrs=attrs)
+    attrs = [c for c in df.columns
+             if c not in keys and c not in (site, sub) and c not in MEASURE_PREFIX]
+    s = F.col(site)
+    cols = {m: [f"{p}{v}" for v in sites] for m, p in MEASURE_PREFIX.items()}
+    level1 = base.groupBy(*keys, sub).agg(
+        F.min(F.struct(*[F.col(c) for c in attrs])).alias("_cl_attr"),
+        *[F.min(F.when(s == F.lit(v), F.col(m))).alias(f"{p}{v}")
+          for m, p in MEASURE_PREFIX.items() for v in sites])
+    if mode == "entry":
+        carried = ["_cl_attr"] + [c for m in MEASURE_PREFIX for c in cols[m]]
+        first = level1.groupBy(*keys).agg(
+            F.min(F.struct(F.col(sub), *[F.col(c) for c in carried])).alias("_cl_r"))
+        wide = first.select(*keys, *[F.col(f"_cl_r._cl_attr.{a}").alias(a) for a in attrs],
+                            *[F.col(f"_cl_r.`{c}`").alias(c) for m in MEASURE_PREFIX for c in cols[m]])
+    elif mode == "sub_entry":
+        shared = [c for m in ("stenosegrad_eyeball", "ffr") for c in cols[m]]
+        first = level1.groupBy(*keys).agg(
+            F.min(F.struct(F.col(sub), F.col("_cl_attr"), *[F.col(c) for c in shared])).alias("_cl_r"))
+        j = level1.select(*keys, sub, *[F.col(f"`{c}`") for c in cols["kartype"]]).join(first, keys)
+        wide = j.select(*keys, sub, *[F.col(f"_cl_r._cl_attr.{a}").alias(a) for a in attrs],
+                        *[F.col(f"_cl_r.`{c}`").alias(c) for c in shared],
+                        *[F.col(f"`{c}`") for c in cols["kartype"]])
+    else:
+        raise ValueError(mode)
     return (wide.withColumnRenamed(start, "timestamp")
             .withColumn("timestamp", F.to_timestamp_ntz(F.col("timestamp"))))
 

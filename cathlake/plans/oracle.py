@@ -463,3 +463,53 @@ SELECT CAST(row_number() OVER (ORDER BY "PatientID" NULLS FIRST, "StudyInstanceU
        CAST(trunc(TRY_CAST("NumberOfFrames" AS DOUBLE)) AS BIGINT) AS "NumberOfFrames"
 FROM f
 """
+
+# The 16 coronary segment names (registry site values).
+_SITES = ["1 Prox RCA", "2 Midt RCA", "3 Distale RCA", "4 PDA", "5 LM", "6 Prox LAD",
+          "7 Midt LAD", "8 Distale LAD", "9 D1", "10 D2", "11 Prox LCX", "12 OM1",
+          "13 Midt LCX", "14 OM2", "15 Distale LCX", "16 PLA fra RCA"]
+_MEAS = [("stenosegrad_eyeball", "Sten %: "), ("ffr", "ffr %: "), ("kartype", "kartype: ")]
+
+_LI_REG = """
+SELECT CAST(l_orderkey AS VARCHAR) AS bth_pid,
+       CAST(l_orderkey AS VARCHAR) || '-' || l_linestatus AS entryid,
+       CASE WHEN l_tax = 0 THEN NULL ELSE '2000-01-01 00:00:00' END AS procedurestart_lokalbed_velse,
+       CAST(l_suppkey AS VARCHAR) AS sub_entryid,
+       CASE WHEN l_linenumber = 7 THEN NULL ELSE (%s)[l_linenumber] END AS proceduresite,
+       CAST(l_quantity AS VARCHAR) AS stenosegrad_eyeball, CAST(l_discount AS VARCHAR) AS ffr,
+       l_returnflag AS kartype, strftime(l_shipdate, '%%Y-%%m-%%d') AS shipped
+FROM lineitem""" % ("[" + ", ".join(f"'{v}'" for v in _SITES) + "]")
+
+
+def _level1() -> str:
+    cols = ",\n  ".join(f"min(CASE WHEN proceduresite = '{v}' THEN {m} END) AS \"{p}{v}\""
+                        for m, p in _MEAS for v in _SITES)
+    return f"""SELECT bth_pid, entryid, procedurestart_lokalbed_velse, sub_entryid, min(shipped) AS shipped,
+  {cols}
+FROM ({_LI_REG}) WHERE procedurestart_lokalbed_velse IS NOT NULL
+GROUP BY bth_pid, entryid, procedurestart_lokalbed_velse, sub_entryid"""
+
+
+def _q(m):
+    return ", ".join(f'"{p}{v}"' for mm, p in _MEAS if mm == m for v in _SITES)
+
+
+ORACLE["registry_entry"] = f"""
+WITH l1 AS ({_level1()})
+SELECT bth_pid, entryid, CAST(procedurestart_lokalbed_velse AS TIMESTAMP) AS "timestamp", shipped,
+       {_q('stenosegrad_eyeball')}, {_q('ffr')}, {_q('kartype')}
+FROM l1 QUALIFY row_number() OVER (PARTITION BY bth_pid, entryid, procedurestart_lokalbed_velse
+                                   ORDER BY sub_entryid) = 1
+"""
+
+ORACLE["registry_sub_entry"] = f"""
+WITH l1 AS ({_level1()}),
+     f AS (SELECT * FROM l1 QUALIFY row_number() OVER (
+             PARTITION BY bth_pid, entryid, procedurestart_lokalbed_velse ORDER BY sub_entryid) = 1)
+SELECT s.bth_pid, s.entryid, CAST(s.procedurestart_lokalbed_velse AS TIMESTAMP) AS "timestamp",
+       s.sub_entryid, f.shipped,
+       {", ".join(f'f."{p}{v}"' for m, p in _MEAS[:2] for v in _SITES)},
+       {", ".join(f's."{p}{v}"' for v in _SITES for p in ["kartype: "])}
+FROM l1 s JOIN f ON s.bth_pid = f.bth_pid AND s.entryid = f.entryid
+  AND s.procedurestart_lokalbed_velse = f.procedurestart_lokalbed_velse
+"""

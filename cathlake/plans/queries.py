@@ -541,3 +541,34 @@ def catalog_build(spark: SparkSession, d: str) -> DataFrame:
     types = {c: t for c, t in catalog_types().items() if c in BUILD_COLS and c != "rowid"}
     typed = conform(first, types)
     return numbering.dense_ids(typed, KEY4, "rowid").select(*BUILD_COLS)
+
+
+def _lineitem_registry(spark, d):
+    """lineitem in the registry's long shape (all strings): patient = order,
+    entry = order + line status, sub-entry = supplier id as text (string
+    order), site = segment name by line number (line 7: NULL site), rows
+    with a zero tax have no procedure start."""
+    li = read_table(spark, d, "lineitem")
+    site_names = F.array(*[F.lit(v) for v in registry.SITES])
+    return li.select(
+        F.col("l_orderkey").cast("string").alias("bth_pid"),
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linestatus")).alias("entryid"),
+        F.when(F.col("l_tax") == 0, None).otherwise(F.lit("2000-01-01 00:00:00"))
+         .alias("procedurestart_lokalbed_velse"),
+        F.col("l_suppkey").cast("string").alias("sub_entryid"),
+        F.when(F.col("l_linenumber") == 7, None).otherwise(F.element_at(site_names, F.col("l_linenumber")))
+         .alias("proceduresite"),
+        F.col("l_quantity").cast("string").alias("stenosegrad_eyeball"),
+        F.col("l_discount").cast("string").alias("ffr"),
+        F.col("l_returnflag").alias("kartype"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"))
+
+
+@register("registry_entry")
+def registry_entry(spark: SparkSession, d: str) -> DataFrame:
+    return registry.registry_wide(_lineitem_registry(spark, d), mode="entry")
+
+
+@register("registry_sub_entry")
+def registry_sub_entry(spark: SparkSession, d: str) -> DataFrame:
+    return registry.registry_wide(_lineitem_registry(spark, d), mode="sub_entry")
