@@ -77,7 +77,10 @@ def combine_ts(date_c, time_c) -> Column:
     (all zeros) gives NULL.
     """
     s = F.concat(digits(date_c, 8), digits(time_c, 6))
-    return F.try_to_timestamp(s, F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz")
+    fmt = F.lit("yyyyMMddHHmmss")
+    # try_to_timestamp only validates; the value is parsed as wall-clock
+    # time, so no session time zone can move it.
+    return F.when(F.try_to_timestamp(s, fmt).isNotNull(), F.to_timestamp_ntz(s, fmt))
 
 
 def parse_ts_strict(c, fmt: str | None = None) -> Column:

@@ -22,6 +22,26 @@ def to_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_micros(c) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a ``timestamp_ntz`` wall-clock
+    value, built from its date and time fields, so it does not depend on the
+    session time zone (a cast to ``timestamp`` would shift wall-clock times
+    that fall in a daylight-saving gap)."""
+    col = to_col(c)
+    return (F.unix_date(F.to_date(col)).cast("long") * 86_400_000_000
+            + F.hour(col).cast("long") * 3_600_000_000
+            + F.minute(col).cast("long") * 60_000_000
+            + (F.extract(F.lit("SECOND"), col) * 1_000_000).cast("long"))
+
+
+def micros(df, c: str) -> Column:
+    """Microseconds of a timestamp column of either kind (instants for
+    ``timestamp``, wall-clock for ``timestamp_ntz``)."""
+    if isinstance(df.schema[c].dataType, TimestampNTZType):
+        return ntz_micros(c)
+    return F.unix_micros(F.col(c))
+
+
 def order_key(c, dtype: DataType | None = None) -> Column:
     """``long`` key with the same ascending order as ``c``, NULL last.
 
@@ -30,7 +50,7 @@ def order_key(c, dtype: DataType | None = None) -> Column:
     """
     col = to_col(c)
     if isinstance(dtype, TimestampNTZType):
-        v = F.unix_micros(col.cast("timestamp"))
+        v = ntz_micros(col)
     elif isinstance(dtype, TimestampType):
         v = F.unix_micros(col)
     elif isinstance(dtype, DateType):

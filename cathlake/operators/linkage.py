@@ -37,16 +37,13 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cathlake.functions.ordering import micros
 from cathlake.operators.numbering import keep_first
 
 
 
 def _micros(df: DataFrame, c: str):
-    t = df.schema[c].dataType.simpleString()
-    col = F.col(c)
-    if t == "timestamp_ntz":
-        col = col.cast("timestamp")
-    return F.unix_micros(col)
+    return micros(df, c)
 
 
 def link_window_pairs(left: DataFrame, right: DataFrame, lkey: str, rkey: str,

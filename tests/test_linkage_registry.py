@@ -133,3 +133,25 @@ def test_nearest_link_matches_pairs_form(spark, lefts, rights, parts):
     ga = sorted((r.lid, r.rid) for r in a.collect())
     gb = sorted((r.lid, r.rid) for r in b.collect())
     assert ga == gb
+
+
+def test_wall_clock_arithmetic_ignores_session_zone(spark):
+    """A DST zone must not move wall-clock times (02:30 on a spring-forward
+    day does not exist in Los Angeles)."""
+    from cathlake.functions.ordering import ntz_micros
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00.123456' a, "
+                       "timestamp_ntz'2024-03-10 03:15:00' b, timestamp_ntz'1969-12-31 23:59:59.5' c")
+        r = df.select(*[ntz_micros(x).alias(x) for x in "abc"]).collect()[0]
+        assert (r.a, r.b, r.c) == (1710037800123456, 1710040500000000, -500000)
+        cat = spark.createDataFrame([("p", "/a", dt.datetime(2024, 3, 10, 2, 30))],
+                                    "PatientID string, DcmPathFlatten string, TimeStamp timestamp_ntz")
+        reg = spark.createDataFrame([("p", dt.datetime(2024, 3, 10, 8, 30), 1)],
+                                    "bth_pid string, timestamp timestamp_ntz, rowid long")
+        out = linkage.link_window(cat, reg, "PatientID", "bth_pid", "TimeStamp", "timestamp", "rowid",
+                                  lid=["PatientID", "DcmPathFlatten"], rcols=["rowid"]).collect()
+        assert out[0].rowid == 1  # exactly +6 h of wall-clock time
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
