@@ -2,7 +2,6 @@
 plus a property check of the aggregate form against a stepwise model."""
 
 import datetime as dt
-import random
 
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F

@@ -3,8 +3,6 @@ phase assignment, cohort counts and the cardinality profile."""
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from cathlake.operators import cohort, labels, linkage, registry
 
 T = dt.datetime(2021, 3, 1, 12, 0, 0)

@@ -22,14 +22,8 @@ def test_not_in_single_column(spark):
 def sql_not_in(l, rs):
     """Brute force: SQL row-value NOT IN with three-valued logic."""
     for r in rs:
-        ne = None if False else False
-        unknown = False
-        for a, b in zip(l, r):
-            if a is None or b is None:
-                unknown = True
-            elif a != b:
-                ne = True
-        if ne:
+        # the row comparison is TRUE when some pair is non-NULL and unequal
+        if any(a is not None and b is not None and a != b for a, b in zip(l, r)):
             continue
         return False  # equal (FALSE) or unknown (NULL) -> not kept
     return True
