@@ -10,8 +10,7 @@ Everything here is written as per-study aggregates (min / max / count_if,
 all map-side combinable) joined back to the rows on the study key. No window
 is partitioned by the study, so a study holding a third of all rows is
 pre-aggregated before it is shuffled, and the join back (one stats row per
-study on the build side) is split by adaptive skew handling or broadcast
-once its measured size allows.
+study) salts hot studies over several tasks (``cathlake.operators.skew``).
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cathlake.functions.ordering import key_for, to_col
+from cathlake.operators.skew import join_back, key_counts
 
 E, K, LAB = "_cl_entry", "_cl_key", "_cl_label"
 
@@ -42,7 +42,7 @@ def _narrow(df: DataFrame, entry, ts, label, where: Column | None) -> DataFrame:
 
 
 def run_bounds(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
-               where: Column | None = None) -> DataFrame:
+               where: Column | None = None, counts: DataFrame | None = None) -> DataFrame:
     """One row per study holding any target label: ``lo_L``/``hi_L`` (order
     keys of the first / last L image) and ``n_L`` (order key of the first image
     at or after ``lo_L`` and not after ``hi_L`` whose label is non-NULL and
@@ -55,8 +55,10 @@ def run_bounds(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
         isL = lab == F.lit(L)
         first += [F.min(F.when(isL, k)).alias(f"_cl_lo_{_tag(L)}"),
                   F.max(F.when(isL, k)).alias(f"_cl_hi_{_tag(L)}")]
-    s1 = rows.groupBy(E).agg(*first)
-    s1 = s1.where(_any([F.col(f"_cl_lo_{_tag(L)}").isNotNull() for L in targets]))
+    s1 = rows.groupBy(E).agg(*first, F.count(F.lit(1)).alias("_cl_n"))
+    if counts is None:
+        counts = s1.select(E, "_cl_n")
+    s1 = s1.where(_any([F.col(f"_cl_lo_{_tag(L)}").isNotNull() for L in targets])).drop("_cl_n")
     bound_cols = [c for c in s1.columns if c != E]
     second = []
     for L in targets:
@@ -64,8 +66,8 @@ def run_bounds(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
         foreign = (lab != F.lit(L)) & (k >= lo) & (k <= hi)
         second.append(F.min(F.when(foreign, k)).alias(f"_cl_n_{_tag(L)}"))
     # lo/hi are functions of the study, so grouping by them keeps them
-    # without another join.
-    return rows.join(s1, E).groupBy(E, *bound_cols).agg(*second)
+    # without another join; hot studies are salted in the join.
+    return join_back(rows, s1, [E], "inner", counts=counts).groupBy(E, *bound_cols).agg(*second)
 
 
 def in_run(L, key: Column | None = None) -> Column:
@@ -82,10 +84,11 @@ def leading_runs(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
     Rows failing ``where`` (e.g. another modality) are never in a run.
     """
     targets = list(targets)
-    stats = run_bounds(df, entry, ts, label, targets, where)
+    full = df.withColumn(E, to_col(entry)).withColumn(K, key_for(df, ts))
+    counts = key_counts(full.select(E), [E])  # rows per study, all rows
+    stats = run_bounds(df, entry, ts, label, targets, where, counts=counts)
     cond = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    out = (df.withColumn(E, to_col(entry)).withColumn(K, key_for(df, ts))
-           .join(stats, E, "left"))
+    out = join_back(full, stats, [E], "left", counts=counts)
     for L in targets:
         out = out.withColumn(f"{prefix}{_tag(L)}", cond & in_run(L))
     return out.drop(*[c for c in out.columns if c.startswith("_cl_")])
@@ -129,19 +132,21 @@ def leading_runs_v1(df: DataFrame, entry, ts, label, L) -> DataFrame:
     rows = df.withColumn(E, e).withColumn("_cl_t", t).withColumn(LAB, lab)
     tt, lb = F.col("_cl_t"), F.col(LAB)
     isL, notL = lb == F.lit(L), lb != F.lit(L)
-    s1 = (rows.where(F.col(E).isNotNull()).groupBy(E)
+    s0 = (rows.where(F.col(E).isNotNull()).groupBy(E)
           .agg(F.count_if(isL).alias("_cl_nL"),
                F.min(F.when(isL, tt)).alias("_cl_fL"),
                F.min(F.when(notL, tt)).alias("_cl_fN1"),
-               F.count_if(notL).alias("_cl_cN1"))
-          .where(F.col("_cl_nL") > 0).drop("_cl_nL"))
+               F.count_if(notL).alias("_cl_cN1"),
+               F.count(F.lit(1)).alias("_cl_n")))
+    counts = s0.select(E, "_cl_n")
+    s1 = s0.where(F.col("_cl_nL") > 0).drop("_cl_nL", "_cl_n")
     in_t3 = ~F.coalesce(tt < F.col("_cl_fL"), F.lit(False))
     s1_cols = [c for c in s1.columns if c != E]
-    s2 = (rows.select(E, "_cl_t", LAB).join(s1, E)
+    s2 = (join_back(rows.select(E, "_cl_t", LAB), s1, [E], "inner", counts=counts)
           .groupBy(E, *s1_cols)
           .agg(F.min(F.when(in_t3 & notL, tt)).alias("_cl_fN3"),
                F.count_if(in_t3 & notL).alias("_cl_cN3")))
-    j = rows.join(s2, E)
+    j = join_back(rows, s2, [E], "inner", counts=counts)
     keep = (F.coalesce(tt < F.col("_cl_fN1"), F.lit(False))
             | (in_t3 & F.coalesce(tt < F.col("_cl_fN3"), F.lit(False)))
             | (F.col("_cl_cN1") == 0)
@@ -158,9 +163,11 @@ def group_extremum(df: DataFrame, entry, ts, label, L) -> DataFrame:
     isL = to_col(label) == F.lit(L)
     stats = (rows.where(F.col(E).isNotNull()).groupBy(E)
              .agg(F.min(F.when(isL, F.col(K))).alias("_cl_lo"),
-                  F.max(F.when(isL, F.col(K))).alias("_cl_hi"))
-             .where(F.col("_cl_lo").isNotNull()))
-    j = rows.join(stats, E)
+                  F.max(F.when(isL, F.col(K))).alias("_cl_hi"),
+                  F.count(F.lit(1)).alias("_cl_n")))
+    counts = stats.select(E, "_cl_n")
+    stats = stats.where(F.col("_cl_lo").isNotNull()).drop("_cl_n")
+    j = join_back(rows, stats, [E], "inner", counts=counts)
     out = (j.withColumn("at_first", F.col(K) == F.col("_cl_lo"))
            .withColumn("at_last", F.col(K) == F.col("_cl_hi"))
            .where(F.col("at_first") | F.col("at_last")))
@@ -172,9 +179,12 @@ def before_first(df: DataFrame, entry, ts, cond: Column) -> DataFrame:
     same study (the decorrelated form of ``ts < (SELECT min(ts) ... )``)."""
     t = to_col(ts)
     rows = df.withColumn(E, to_col(entry)).withColumn("_cl_t", t)
-    stats = (rows.groupBy(E).agg(F.min(F.when(cond, F.col("_cl_t"))).alias("_cl_f"))
-             .where(F.col("_cl_f").isNotNull()))
-    return rows.join(stats, E).where(F.col("_cl_t") < F.col("_cl_f")).select(*df.columns)
+    stats = rows.groupBy(E).agg(F.min(F.when(cond, F.col("_cl_t"))).alias("_cl_f"),
+                                F.count(F.lit(1)).alias("_cl_n"))
+    counts = stats.select(E, "_cl_n")
+    stats = stats.where(F.col("_cl_f").isNotNull()).drop("_cl_n")
+    j = join_back(rows, stats, [E], "inner", counts=counts)
+    return j.where(F.col("_cl_t") < F.col("_cl_f")).select(*df.columns)
 
 
 def uniform_groups(df: DataFrame, keys: list, label) -> DataFrame:

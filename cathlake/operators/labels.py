@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cathlake.operators.skew import join_back
+
 ANNOTATION_KEY = ("PatientID", "SeriesInstanceUID", "StudyInstanceUID", "SOPInstanceUID")
 
 
@@ -22,15 +23,12 @@ def merge_annotations(df: DataFrame, ann: DataFrame, keys: Sequence[str] = ANNOT
     unless ``dedupe`` keeps one (the smallest values) per key.
     """
     keys, values = list(keys), list(values)
-    a = ann.select(*[F.col(k).alias(f"_cl_a_{k}") for k in keys],
-                   *[F.col(v).alias(f"_cl_v_{v}") for v in values])
+    a = ann.select(*keys, *[F.col(v).alias(f"_cl_v_{v}") for v in values])
     if dedupe:
-        a = a.groupBy(*[f"_cl_a_{k}" for k in keys]).agg(
+        a = a.groupBy(*keys).agg(
             F.min(F.struct(*[F.col(f"_cl_v_{v}") for v in values])).alias("_cl_s")) \
-            .select(*[f"_cl_a_{k}" for k in keys],
-                    *[F.col(f"_cl_s._cl_v_{v}").alias(f"_cl_v_{v}") for v in values])
-    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_cl_a_{k}")) for k in keys])
-    j = df.join(a, cond, "left")
+            .select(*keys, *[F.col(f"_cl_s._cl_v_{v}").alias(f"_cl_v_{v}") for v in values])
+    j = join_back(df, a, keys, "left", null_safe=True)
     for v in values:
         new = F.col(f"_cl_v_{v}")
         if keep_existing and v in df.columns:
@@ -46,9 +44,9 @@ def assign_phase(df: DataFrame, ids: DataFrame, key: str = "PatientID", id_col:
     keep their phase. The id list is de-duplicated first, so the left join
     never fans out; adaptive execution broadcasts it once measured small."""
     id_col = id_col or key
-    hits = ids.select(F.col(id_col).alias("_cl_id")).where(F.col("_cl_id").isNotNull()) \
+    hits = ids.select(F.col(id_col).alias(key)).where(F.col(key).isNotNull()) \
               .distinct().withColumn("_cl_hit", F.lit(True))
-    j = df.join(hits, F.col(key) == F.col("_cl_id"), "left")
+    j = join_back(df, hits, [key], "left")
     old = F.col(phase) if phase in df.columns else F.lit(None).cast("string")
     out = j.withColumn(phase, F.when(F.col("_cl_hit"), F.lit(value)).otherwise(old))
     cols = list(df.columns) + ([phase] if phase not in df.columns else [])

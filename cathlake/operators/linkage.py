@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cathlake.functions.ordering import micros
-from cathlake.operators.numbering import keep_first
+from cathlake.operators.numbering import keep_first, sorted_checkpoint
 
 
 
@@ -138,8 +138,7 @@ def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
          .unionByName(r1.select("_k", "_t", F.lit(0).alias("_side"),
                                 F.lit(None).cast(l1.schema["_lid"].dataType).alias("_lid"), "_rid")))
     order = [F.col("_k"), F.col("_t"), F.col("_side"), F.col("_lid")]
-    s = (u.repartitionByRange(n, *order).sortWithinPartitions(*order)
-         .checkpoint(eager=True).withColumn("_pid", F.spark_partition_id()))
+    s = sorted_checkpoint(u, order, n).withColumn("_pid", F.spark_partition_id())
 
     # 4. carry table, one row per partition, from one aggregate pass: the
     # partition's first / last key and its first / last procedure. The last

@@ -10,7 +10,8 @@
 * ``group_rank``: ``rank`` / ``row_number`` / ``dense_rank`` inside groups from
   the same global positions: a row's rank is its position minus the position
   of its group's first row (per-group minima are map-side combined
-  aggregates), so no group is ever gathered into one task.
+  aggregates, joined back with hot groups salted), so no group is ever
+  gathered into one task.
 * ``keep_first`` / ``pick_min``: subset de-dup keeping the first row in an
   explicit order, as a ``min(struct(order, payload))`` aggregate that combines
   map-side before the shuffle.
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,13 +30,32 @@ from cathlake.functions.ordering import to_col
 _MASK = (1 << 33) - 1
 
 
-def _sorted_checkpoint(df: DataFrame, order: Sequence[Column], parts: int | None) -> DataFrame:
+def _heavy(df: DataFrame) -> bool:
+    """True when the frame's plan shuffles (joins / aggregates / windows)."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(t in plan for t in ("Join", "Aggregate", "Window"))
+
+
+def sorted_checkpoint(df: DataFrame, order: Sequence[Column], parts: int | None = None) -> DataFrame:
+    """``df`` range partitioned and sorted on ``order``, written to the shared
+    checkpoint folder (stable partitions for the consumers that follow).
+
+    Range partitioning runs its input twice (a sampling job for the bounds,
+    then the shuffle); an input that itself shuffles is cached for those two
+    runs and released once the checkpoint is written.
+    """
     spark = df.sparkSession
     from cathlake.session import checkpoint_dir
     checkpoint_dir(spark)
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    return ranged.checkpoint(eager=True)
+    cached = _heavy(df)
+    if cached:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    finally:
+        if cached:
+            df.unpersist()
 
 
 def global_positions(df: DataFrame, order: Sequence, name: str = "_cl_pos",
@@ -42,7 +63,7 @@ def global_positions(df: DataFrame, order: Sequence, name: str = "_cl_pos",
     """``df`` plus ``name``: 0-based position in ``order`` (ties broken by
     storage order; give a total order for reproducible positions)."""
     order = [to_col(c) for c in order]
-    s = _sorted_checkpoint(df, order, parts)
+    s = sorted_checkpoint(df, order, parts)
     m = s.withColumn("_cl_mid", F.monotonically_increasing_id())
     m = m.withColumn("_cl_pid", F.shiftright(F.col("_cl_mid"), 33)) \
          .withColumn("_cl_loc", F.col("_cl_mid").bitwiseAND(F.lit(_MASK)))
@@ -74,13 +95,11 @@ def dense_ids(df: DataFrame, order: Sequence, name: str = "rowid", start=0,
     return pos.withColumn(name, start.cast("long") + F.col("_cl_pos")).drop("_cl_pos")
 
 
-def _join_back(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Inner join on null-safe equality of ``cols``, keeping ``a``'s copies.
-    ``b``'s key columns are renamed first, so both sides may share lineage."""
-    cols = list(cols)
-    b2 = b.select(*[F.col(c).alias(f"_cl_j_{c}") if c in cols else F.col(c) for c in b.columns])
-    cond = [F.col(c).eqNullSafe(F.col(f"_cl_j_{c}")) for c in cols]
-    return a.join(b2, cond).drop(*[f"_cl_j_{c}" for c in cols])
+def _join_back(a: DataFrame, b: DataFrame, cols: Sequence[str], counts=None) -> DataFrame:
+    """Inner join on null-safe equality of ``cols`` (one ``b`` row per key),
+    hot keys salted."""
+    from cathlake.operators.skew import join_back
+    return join_back(a, b, list(cols), "inner", counts=counts, null_safe=True)
 
 
 def group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str],
@@ -98,28 +117,30 @@ def group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str],
 
     gsort = [F.col(g).asc_nulls_first() for g in group]
     if method == "dense_rank":
-        vals = df.select(*group, *order).distinct()
+        vals = df.groupBy(*group, *order).agg(F.count(F.lit(1)).alias("_cl_n"))
         pos = global_positions(vals, gsort + [asc(c) for c in order], "_cl_pos", parts)
         first = pos.groupBy(*group).agg(F.min("_cl_pos").alias("_cl_first"))
-        r = _join_back(pos, first, group)
+        r = _join_back(pos.drop("_cl_n"), first, group)
         r = r.select(*group, *order, (F.col("_cl_pos") - F.col("_cl_first") + 1).alias(name))
-        return _join_back(df, r, group + order)
+        return _join_back(df, r, group + order, counts=pos.select(*group, *order, "_cl_n"))
     pos = global_positions(df, gsort + [asc(c) for c in order] + [asc(c) for c in tiebreak],
                            "_cl_pos", parts)
     if method == "row_number":
-        first = pos.groupBy(*group).agg(F.min("_cl_pos").alias("_cl_first"))
-        out = _join_back(pos, first, group)
+        first = pos.groupBy(*group).agg(F.min("_cl_pos").alias("_cl_first"),
+                                        F.count(F.lit(1)).alias("_cl_n"))
+        out = _join_back(pos, first.drop("_cl_n"), group, counts=first.select(*group, "_cl_n"))
         return out.withColumn(name, F.col("_cl_pos") - F.col("_cl_first") + 1) \
                   .drop("_cl_pos", "_cl_first")
     if method != "rank":
         raise ValueError(f"unknown method {method!r}")
     # rank = position of the first row with this value - position of the
     # group's first row + 1. Both minima combine map-side.
-    tie = pos.groupBy(*group, *order).agg(F.min("_cl_pos").alias("_cl_tie"))
+    tie = pos.groupBy(*group, *order).agg(F.min("_cl_pos").alias("_cl_tie"),
+                                          F.count(F.lit(1)).alias("_cl_n"))
     first = tie.groupBy(*group).agg(F.min("_cl_tie").alias("_cl_first"))
-    r = _join_back(tie, first, group)
+    r = _join_back(tie.drop("_cl_n"), first, group)
     r = r.select(*group, *order, (F.col("_cl_tie") - F.col("_cl_first") + 1).alias(name))
-    return _join_back(pos, r, group + order).drop("_cl_pos")
+    return _join_back(pos, r, group + order, counts=tie.select(*group, *order, "_cl_n")).drop("_cl_pos")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -14,6 +14,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cathlake.operators.skew import join_back
+
 
 # The 16 coronary segment names used as registry site values
 # (numbered segment, then name), in segment-number order.
@@ -108,7 +110,8 @@ def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lok
         shared = [c for m in ("stenosegrad_eyeball", "ffr") for c in cols[m]]
         first = level1.groupBy(*keys).agg(
             F.min(F.struct(F.col(sub), F.col("_cl_attr"), *[F.col(c) for c in shared])).alias("_cl_r"))
-        j = level1.select(*keys, sub, *[F.col(f"`{c}`") for c in cols["kartype"]]).join(first, keys)
+        j = join_back(level1.select(*keys, sub, *[F.col(f"`{c}`") for c in cols["kartype"]]),
+                      first, keys, "inner", null_safe=True)
         wide = j.select(*keys, sub, *[F.col(f"_cl_r._cl_attr.{a}").alias(a) for a in attrs],
                         *[F.col(f"_cl_r.`{c}`").alias(c) for c in shared],
                         *[F.col(f"`{c}`") for c in cols["kartype"]])

@@ -17,6 +17,7 @@ one as a nested loop. Both are rewritten here into hash anti joins:
 
 The distinct NULL patterns present are read with one small aggregate (at
 most 2^k - 1 rows), so the plan only contains the joins that have rows.
+Every anti / semi join salts hot left keys (``cathlake.operators.skew``).
 Existence tests are uncorrelated ``EXISTS`` subqueries (at most one row read).
 """
 
@@ -28,18 +29,22 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cathlake.operators.skew import join_back, key_counts
+
 
 def _mask(keys: Sequence[str]) -> Column:
     bits = [F.when(F.col(k).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, k in enumerate(keys)]
     return reduce(lambda a, b: a + b, bits)
 
 
-def _patterns(df: DataFrame, keys: Sequence[str]) -> list[int]:
-    """NULL patterns (bit i set = key i NULL) present in ``df``, complete
-    rows excluded. Bounded by 2^len(keys) - 1 values."""
-    rows = (df.select(_mask(keys).alias("_cl_m")).where(F.col("_cl_m") > 0)
-            .distinct().collect())
-    return sorted(r["_cl_m"] for r in rows)
+def _patterns(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[list, list]:
+    """NULL patterns (bit i set = key i NULL) present on each side, complete
+    rows excluded, read in one job. At most 2 * (2^len(keys) - 1) values."""
+    both = (left.select(F.lit(0).alias("_cl_side"), _mask(keys).alias("_cl_m"))
+            .unionByName(right.select(F.lit(1).alias("_cl_side"), _mask(keys).alias("_cl_m")))
+            .where(F.col("_cl_m") > 0).distinct().collect())
+    return (sorted(r["_cl_m"] for r in both if r["_cl_side"] == 0),
+            sorted(r["_cl_m"] for r in both if r["_cl_side"] == 1))
 
 
 def _nonnull(keys: Sequence[str], pattern: int) -> list[str]:
@@ -56,8 +61,8 @@ def not_in(left: DataFrame, right: DataFrame, lcol: str, rcol: str | None = None
     """Rows of ``left`` where ``left.lcol NOT IN (SELECT rcol FROM right)``."""
     rcol = rcol or lcol
     r = right.select(F.col(rcol).alias("_cl_k"))
-    keep = left.where(F.col(lcol).isNotNull()).join(
-        r.where(F.col("_cl_k").isNotNull()), F.col(lcol) == F.col("_cl_k"), "left_anti")
+    rk = r.where(F.col("_cl_k").isNotNull()).distinct().withColumnRenamed("_cl_k", lcol)
+    keep = join_back(left.where(F.col(lcol).isNotNull()), rk, [lcol], "left_anti")
     nulls = _drop_if_exists(left.where(F.col(lcol).isNull()), r)
     out = keep.unionByName(nulls)
     # Any NULL on the right makes every comparison unknown.
@@ -73,25 +78,27 @@ def not_in_tuple(left: DataFrame, right: DataFrame, keys: Sequence[str],
     lm, rm = _mask(keys), _mask(keys)
     l_full, l_part = left.where(lm == 0), left.where(lm > 0)
     r_full, r_part = r.where(rm == 0), r.where(rm > 0)
-    r_pats, l_pats = _patterns(r, keys), _patterns(left, keys)
+    l_pats, r_pats = _patterns(left, r, keys)
 
-    def anti(df: DataFrame, rr: DataFrame, cols: list[str]) -> DataFrame:
+    def anti(df: DataFrame, rr: DataFrame, cols: list[str], source: DataFrame) -> DataFrame:
+        """Chained anti join; key counts come from the un-chained ``source``
+        (a superset of ``df``), so the plan does not grow with the chain."""
         if not cols:
             return _drop_if_exists(df, rr)
-        rr = rr.select(*cols).distinct()
-        return df.join(rr, cols, "left_anti")
+        return join_back(df, rr.select(*cols).distinct(), cols, "left_anti",
+                         counts=key_counts(source.select(*cols), cols))
 
-    out = l_full.join(r_full.distinct(), keys, "left_anti")
+    out = anti(l_full, r_full, keys, l_full)
     for p in r_pats:
-        out = anti(out, r_part.where(rm == p), _nonnull(keys, p))
+        out = anti(out, r_part.where(rm == p), _nonnull(keys, p), l_full)
     parts = [out]
     for q in l_pats:
-        lq = l_part.where(lm == q)
+        src = l_part.where(lm == q)
         cq = _nonnull(keys, q)
-        lq = anti(lq, r_full, cq)
+        lq = anti(src, r_full, cq, src)
         for p in r_pats:
             shared = [c for c in cq if c in _nonnull(keys, p)]
-            lq = anti(lq, r_part.where(rm == p), shared)
+            lq = anti(lq, r_part.where(rm == p), shared, src)
         parts.append(lq)
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -100,10 +107,8 @@ def semi_in(left: DataFrame, right: DataFrame, keys: Sequence[str],
             rkeys: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``left`` whose key IN the right keys (NULL never matches)."""
     rkeys = list(rkeys or keys)
-    r = right.select(*[F.col(a).alias(f"_cl_r{i}") for i, a in enumerate(rkeys)])
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(k) == F.col(f"_cl_r{i}") for i, k in enumerate(keys)])
-    return left.join(r, cond, "left_semi")
+    r = right.select(*[F.col(a).alias(k) for a, k in zip(rkeys, keys)]).distinct()
+    return join_back(left, r, list(keys), "left_semi")
 
 
 def union_distinct(*dfs: DataFrame) -> DataFrame:

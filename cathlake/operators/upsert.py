@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cathlake.operators.numbering import dense_ids, keep_first
 from cathlake.operators.setjoin import not_in_tuple
+from cathlake.operators.skew import join_back
 
 CATALOG_KEY = ("PatientID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID")
 
@@ -38,7 +39,7 @@ def upsert_catalog(base: DataFrame, staging: DataFrame,
     start = base.agg((F.coalesce(F.max(id_col), F.lit(-1)) + 1).alias("_cl_start"))
     fresh = dense_ids(fresh.drop(id_col), order, id_col, start=start)
     upd = stg.select(*keys, *[F.col(c).alias(f"_cl_new_{c}") for c in refresh])
-    merged = base.join(upd, keys, "left")
+    merged = join_back(base, upd, keys, "left")
     for c in refresh:
         merged = merged.withColumn(c, F.coalesce(F.col(f"_cl_new_{c}"), F.col(c)))
     merged = merged.select(*base.columns)

@@ -13,6 +13,6 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", shuffle_partitions=8)
+    s = get_session("local[4]", shuffle_partitions=8, extra={"spark.driver.memory": "6g"})
     yield s
     s.stop()
