@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cathlake.functions.ordering import key_for, to_col
-from cathlake.operators.skew import join_back, key_counts
+from cathlake.operators.skew import join_back
 
 E, K, LAB = "_cl_entry", "_cl_key", "_cl_label"
 
@@ -35,39 +35,42 @@ def _tag(L) -> str:
     return str(L).replace("-", "m")
 
 
-def _narrow(df: DataFrame, entry, ts, label, where: Column | None) -> DataFrame:
-    base = df if where is None else df.where(where)
-    return base.select(to_col(entry).alias(E), key_for(df, ts).alias(K),
-                       to_col(label).alias(LAB))
-
-
 def run_bounds(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
-               where: Column | None = None, counts: DataFrame | None = None) -> DataFrame:
+               where: Column | None = None, with_counts: bool = False):
     """One row per study holding any target label: ``lo_L``/``hi_L`` (order
     keys of the first / last L image) and ``n_L`` (order key of the first image
     at or after ``lo_L`` and not after ``hi_L`` whose label is non-NULL and
-    not L). Columns are named ``_cl_lo_<L>`` etc."""
+    not L). Columns are named ``_cl_lo_<L>`` etc.
+
+    The first aggregate reads every row (``where`` is applied inside it), so
+    it also yields the rows per study that size the salting of both joins
+    back; ``with_counts=True`` returns ``(bounds, counts)``.
+    """
     targets = list(targets)
-    rows = _narrow(df, entry, ts, label, where).where(F.col(E).isNotNull())
-    k, lab = F.col(K), F.col(LAB)
+    ok = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    allrows = (df.select(to_col(entry).alias(E), key_for(df, ts).alias(K),
+                         to_col(label).alias(LAB), ok.alias("_cl_ok"))
+               .where(F.col(E).isNotNull()))
+    k, lab, inc = F.col(K), F.col(LAB), F.col("_cl_ok")
     first = []
     for L in targets:
-        isL = lab == F.lit(L)
+        isL = inc & (lab == F.lit(L))
         first += [F.min(F.when(isL, k)).alias(f"_cl_lo_{_tag(L)}"),
                   F.max(F.when(isL, k)).alias(f"_cl_hi_{_tag(L)}")]
-    s1 = rows.groupBy(E).agg(*first, F.count(F.lit(1)).alias("_cl_n"))
-    if counts is None:
-        counts = s1.select(E, "_cl_n")
-    s1 = s1.where(_any([F.col(f"_cl_lo_{_tag(L)}").isNotNull() for L in targets])).drop("_cl_n")
+    s0 = allrows.groupBy(E).agg(*first, F.count(F.lit(1)).alias("_cl_n"))
+    counts = s0.select(E, "_cl_n")
+    s1 = s0.where(_any([F.col(f"_cl_lo_{_tag(L)}").isNotNull() for L in targets])).drop("_cl_n")
     bound_cols = [c for c in s1.columns if c != E]
     second = []
     for L in targets:
         lo, hi = F.col(f"_cl_lo_{_tag(L)}"), F.col(f"_cl_hi_{_tag(L)}")
         foreign = (lab != F.lit(L)) & (k >= lo) & (k <= hi)
         second.append(F.min(F.when(foreign, k)).alias(f"_cl_n_{_tag(L)}"))
+    rows = allrows.where(inc).drop("_cl_ok")
     # lo/hi are functions of the study, so grouping by them keeps them
     # without another join; hot studies are salted in the join.
-    return join_back(rows, s1, [E], "inner", counts=counts).groupBy(E, *bound_cols).agg(*second)
+    bounds = join_back(rows, s1, [E], "inner", counts=counts).groupBy(E, *bound_cols).agg(*second)
+    return (bounds, counts) if with_counts else bounds
 
 
 def in_run(L, key: Column | None = None) -> Column:
@@ -84,10 +87,9 @@ def leading_runs(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
     Rows failing ``where`` (e.g. another modality) are never in a run.
     """
     targets = list(targets)
-    full = df.withColumn(E, to_col(entry)).withColumn(K, key_for(df, ts))
-    counts = key_counts(full.select(E), [E])  # rows per study, all rows
-    stats = run_bounds(df, entry, ts, label, targets, where, counts=counts)
+    stats, counts = run_bounds(df, entry, ts, label, targets, where, with_counts=True)
     cond = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    full = df.withColumn(E, to_col(entry)).withColumn(K, key_for(df, ts))
     out = join_back(full, stats, [E], "left", counts=counts)
     for L in targets:
         out = out.withColumn(f"{prefix}{_tag(L)}", cond & in_run(L))

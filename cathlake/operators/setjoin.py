@@ -70,8 +70,13 @@ def not_in(left: DataFrame, right: DataFrame, lcol: str, rcol: str | None = None
 
 
 def not_in_tuple(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                 rkeys: Sequence[str] | None = None) -> DataFrame:
-    """Rows of ``left`` where ``(keys) NOT IN (SELECT rkeys FROM right)``."""
+                 rkeys: Sequence[str] | None = None, left_unique: bool = False) -> DataFrame:
+    """Rows of ``left`` where ``(keys) NOT IN (SELECT rkeys FROM right)``.
+
+    ``left_unique=True`` states that ``keys`` is a key of ``left`` (e.g. it
+    was just de-duplicated on them): the complete-key anti join then has no
+    hot key and is not salted. Joins on fewer columns still are.
+    """
     keys = list(keys)
     rkeys = list(rkeys or keys)
     r = right.select(*[F.col(a).alias(b) for a, b in zip(rkeys, keys)])
@@ -88,7 +93,10 @@ def not_in_tuple(left: DataFrame, right: DataFrame, keys: Sequence[str],
         return join_back(df, rr.select(*cols).distinct(), cols, "left_anti",
                          counts=key_counts(source.select(*cols), cols))
 
-    out = anti(l_full, r_full, keys, l_full)
+    if left_unique:
+        out = l_full.join(r_full.distinct(), keys, "left_anti")
+    else:
+        out = anti(l_full, r_full, keys, l_full)
     for p in r_pats:
         out = anti(out, r_part.where(rm == p), _nonnull(keys, p), l_full)
     parts = [out]

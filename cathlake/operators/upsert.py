@@ -35,7 +35,7 @@ def upsert_catalog(base: DataFrame, staging: DataFrame,
     keys, refresh = list(keys), list(refresh)
     order = list(order or keys)
     stg = keep_first(staging, keys, order)
-    fresh = not_in_tuple(stg, base, keys)
+    fresh = not_in_tuple(stg, base, keys, left_unique=True)
     start = base.agg((F.coalesce(F.max(id_col), F.lit(-1)) + 1).alias("_cl_start"))
     fresh = dense_ids(fresh.drop(id_col), order, id_col, start=start)
     upd = stg.select(*keys, *[F.col(c).alias(f"_cl_new_{c}") for c in refresh])
