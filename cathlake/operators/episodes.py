@@ -44,7 +44,8 @@ def run_bounds(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
 
     The first aggregate reads every row (``where`` is applied inside it), so
     it also yields the rows per study that size the salting of both joins
-    back; ``with_counts=True`` returns ``(bounds, counts)``.
+    back; the second pass is filtered by ``where`` at the scan.
+    ``with_counts=True`` returns ``(bounds, counts)``.
     """
     targets = list(targets)
     ok = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
@@ -66,7 +67,10 @@ def run_bounds(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
         lo, hi = F.col(f"_cl_lo_{_tag(L)}"), F.col(f"_cl_hi_{_tag(L)}")
         foreign = (lab != F.lit(L)) & (k >= lo) & (k <= hi)
         second.append(F.min(F.when(foreign, k)).alias(f"_cl_n_{_tag(L)}"))
-    rows = allrows.where(inc).drop("_cl_ok")
+    # the second pass filters with the predicate itself, so it reaches the scan
+    base = df if where is None else df.where(where)
+    rows = (base.select(to_col(entry).alias(E), key_for(df, ts).alias(K), to_col(label).alias(LAB))
+            .where(F.col(E).isNotNull()))
     # lo/hi are functions of the study, so grouping by them keeps them
     # without another join; hot studies are salted in the join.
     bounds = join_back(rows, s1, [E], "inner", counts=counts).groupBy(E, *bound_cols).agg(*second)
