@@ -54,13 +54,23 @@ def assign_phase(df: DataFrame, ids: DataFrame, key: str = "PatientID", id_col:
 
 
 def synthetic_labels(df: DataFrame, id_col: str = "rowid", seed: int = 0, k: int = 3,
-                     forced: Sequence = (1, 2), label: str = "labels",
-                     score: str = "confidence") -> DataFrame:
-    """Dummy labels in ``0..k-1`` and a score in [0, 1) per row, derived from
-    a hash of (seed, id) so a rerun or a retried task gives the same values
-    whatever the partitioning; ids in ``forced`` get label 1."""
-    h = F.xxhash64(F.lit(seed), F.col(id_col))
-    lab = F.pmod(h, F.lit(k)).cast("long")
-    sc = (F.pmod(F.xxhash64(F.lit(seed + 1), F.col(id_col)), F.lit(1 << 30)) / float(1 << 30))
-    out = df.withColumn(label, F.when(F.col(id_col).isin(*forced), F.lit(1).cast("long")).otherwise(lab))
-    return out.withColumn(score, sc)
+                     label_cols: Sequence[str] = ("labels_transformed", "labels"),
+                     forced: Sequence = (1, 2), forced_col: str | None = "labels_transformed",
+                     float_cols: Sequence[str] = ()) -> DataFrame:
+    """Dummy values for testing downstream jobs: each of ``label_cols`` gets
+    an integer in ``0..k-1``, ``forced_col`` is 1 for the ids in ``forced``,
+    and each of ``float_cols`` gets a number in [0, 1).
+
+    Values come from a hash of (seed, column, id), so a rerun or a retried
+    task gives the same values whatever the partitioning.
+    """
+    rid = F.col(id_col)
+    for i, c in enumerate(label_cols):
+        df = df.withColumn(c, F.pmod(F.xxhash64(F.lit(seed), F.lit(i), rid), F.lit(k)).cast("long"))
+    if forced_col:
+        df = df.withColumn(forced_col, F.when(rid.isin(*forced), F.lit(1).cast("long"))
+                           .otherwise(F.col(forced_col)))
+    for j, c in enumerate(float_cols):
+        h = F.pmod(F.xxhash64(F.lit(seed), F.lit(1000 + j), rid), F.lit(1 << 30))
+        df = df.withColumn(c, h / float(1 << 30))
+    return df

@@ -360,7 +360,8 @@ def label_merge(spark: SparkSession, d: str) -> DataFrame:
 @register("synth_labels")
 def synth_labels(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events").select("event_id", "user_id")
-    return labels.synthetic_labels(ev, id_col="event_id", seed=7)
+    return labels.synthetic_labels(ev, id_col="event_id", seed=7,
+                                   float_cols=["sten_proc_1_prox_rca_transformed"])
 
 
 # ------------------------------------------------------------ scalar normalisers

@@ -103,9 +103,13 @@ def test_assign_phase_and_cohort(spark):
 
 def test_synthetic_labels_reproducible(spark):
     df = spark.range(0, 200).withColumnRenamed("id", "rowid")
-    a = {r.rowid: r.labels for r in labels.synthetic_labels(df.repartition(3), seed=1).collect()}
-    b = {r.rowid: r.labels for r in labels.synthetic_labels(df.repartition(7), seed=1).collect()}
-    assert a == b and a[1] == 1 and a[2] == 1 and set(a.values()) <= {0, 1, 2}
+    def run(n):
+        out = labels.synthetic_labels(df.repartition(n), seed=1, float_cols=["score"]).collect()
+        return {r.rowid: (r.labels_transformed, r.labels, r.score) for r in out}
+    a, b = run(3), run(7)
+    assert a == b and a[1][0] == 1 and a[2][0] == 1
+    assert {v[0] for v in a.values()} == {0, 1, 2} == {v[1] for v in a.values()}
+    assert all(0 <= v[2] < 1 for v in a.values())
 
 
 from hypothesis import given, settings, strategies as st  # noqa: E402
