@@ -443,22 +443,27 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
 
 ORACLE["catalog_build"] = f"""
 WITH rec AS (
-  SELECT event_id, CAST(user_id AS VARCHAR) AS "PatientID", strftime(ts, '%Y%m%d') AS "StudyInstanceUID",
+  SELECT '/archive/base/' || CAST(user_id AS VARCHAR) || '/' || CAST(event_id AS VARCHAR) || '.dcm' AS path,
+         CAST(user_id AS VARCHAR) AS "PatientID", strftime(ts, '%Y%m%d') AS "StudyInstanceUID",
          event_type AS "SeriesInstanceUID", json_extract_string(props, '$.k') AS "SOPInstanceUID",
-         strftime(ts, '%Y%m%d') AS "StudyDate", strftime(ts, '%H%M%S') || '.5' AS "SeriesTime",
+         CASE WHEN event_type = 'error' THEN '' ELSE strftime(ts, '%Y%m%d') END AS sd,
+         strftime(ts, '%H%M%S') || '.5' AS st,
          CASE WHEN event_type = 'error' THEN 'OT' ELSE 'XA' END AS "Modality",
          CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || '.0' AS "NumberOfFrames"
   FROM events),
-p AS (SELECT *, '/data/' || "PatientID" || '/' || "StudyInstanceUID" || '/' || "SeriesInstanceUID"
-                || '/' || "SOPInstanceUID" || '.dcm' AS "DcmPathFlatten",
-             try_strptime({_digits('"StudyDate"', 8)} || {_digits('"SeriesTime"', 6)}, '%Y%m%d%H%M%S') AS "TimeStamp"
-      FROM rec),
-f AS (SELECT * FROM p QUALIFY row_number() OVER (
+p AS (SELECT *, substr(path, strpos(path, 'base')) AS "DcmPathFlatten",
+             {_NULLTOK.format(c='sd')} AS sdn, {_NULLTOK.format(c='st')} AS stn
+      FROM rec WHERE strpos(path, 'base') > 0),
+q AS (SELECT *, try_strptime({_digits('sdn', 8)} || {_digits('stn', 6)}, '%Y%m%d%H%M%S') AS "TimeStamp",
+             coalesce(sdn, '0') AS "DateStamp",
+             substr(coalesce(nullif(stn, ''), '000000'), 1, 6) AS st6
+      FROM p),
+f AS (SELECT * FROM q QUALIFY row_number() OVER (
         PARTITION BY "PatientID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID"
-        ORDER BY "DcmPathFlatten" NULLS FIRST, "TimeStamp" NULLS FIRST, event_id) = 1)
-SELECT CAST(row_number() OVER (ORDER BY "PatientID" NULLS FIRST, "StudyInstanceUID" NULLS FIRST,
-            "SeriesInstanceUID" NULLS FIRST, "SOPInstanceUID" NULLS FIRST) - 1 AS BIGINT) AS rowid,
-       "DcmPathFlatten", "StudyDate", "TimeStamp", substr(rpad("SeriesTime", CAST(greatest(6, length("SeriesTime")) AS INTEGER), '0'), 1, 8) AS "SeriesTime",
+        ORDER BY "DcmPathFlatten" NULLS FIRST) = 1)
+SELECT CAST(row_number() OVER (ORDER BY "DcmPathFlatten") - 1 AS BIGINT) AS rowid,
+       "DcmPathFlatten", sdn AS "StudyDate", "TimeStamp", "DateStamp",
+       substr(rpad(st6, CAST(greatest(6, length(st6)) AS INTEGER), '0'), 1, 8) AS "SeriesTime",
        "Modality", "PatientID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID",
        CAST(trunc(TRY_CAST("NumberOfFrames" AS DOUBLE)) AS BIGINT) AS "NumberOfFrames"
 FROM f

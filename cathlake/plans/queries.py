@@ -515,61 +515,38 @@ def sort_limit(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ K1 catalog build
-BUILD_COLS = ["rowid", "DcmPathFlatten", "StudyDate", "TimeStamp", "SeriesTime", "Modality",
-              "PatientID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID",
+from cathlake.operators import catalog as cat_ops  # noqa: E402
+
+BUILD_COLS = ["rowid", "DcmPathFlatten", "StudyDate", "TimeStamp", "DateStamp", "SeriesTime",
+              "Modality", "PatientID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID",
               "NumberOfFrames"]
-KEY4 = ["PatientID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanceUID"]
+KEY4 = cat_ops.KEY4
+
+
+def _event_records(spark, d):
+    """events as header records: one file per event under /archive/base/,
+    header attributes as strings (error events have no study date)."""
+    ev = headers.parse_json_records(read_table(spark, d, "events"), "props")
+    hdr = F.create_map(
+        F.lit("PatientID"), F.col("user_id").cast("string"),
+        F.lit("StudyInstanceUID"), F.date_format("ts", "yyyyMMdd"),
+        F.lit("SeriesInstanceUID"), F.col("event_type"),
+        F.lit("SOPInstanceUID"), F.element_at("header", F.lit("k")),
+        F.lit("StudyDate"), F.when(F.col("event_type") == "error", F.lit(""))
+                             .otherwise(F.date_format("ts", "yyyyMMdd")),
+        F.lit("SeriesTime"), F.concat(F.date_format("ts", "HHmmss"), F.lit(".5")),
+        F.lit("Modality"), F.when(F.col("event_type") == "error", F.lit("OT")).otherwise(F.lit("XA")),
+        F.lit("NumberOfFrames"), F.concat(F.floor("value").cast("string"), F.lit(".0")))
+    path = F.concat(F.lit("/archive/base/"), F.col("user_id").cast("string"), F.lit("/"),
+                    F.col("event_id").cast("string"), F.lit(".dcm"))
+    return ev.select(path.alias("path"), hdr.alias("header"))
 
 
 @register("catalog_build")
 def catalog_build(spark: SparkSession, d: str) -> DataFrame:
-    """Header records (from events) -> header columns -> timestamps ->
-    de-dup on the 4-part key (first by path, then time) -> typed columns in
-    dictionary order -> dense ids."""
-    ev = headers.parse_json_records(read_table(spark, d, "events"), "props")
-    rec = ev.select(
-        "event_id", F.col("user_id").cast("string").alias("PatientID"),
-        F.date_format("ts", "yyyyMMdd").alias("StudyInstanceUID"),
-        F.col("event_type").alias("SeriesInstanceUID"),
-        F.element_at("header", F.lit("k")).alias("SOPInstanceUID"),
-        F.date_format("ts", "yyyyMMdd").alias("StudyDate"),
-        F.concat(F.date_format("ts", "HHmmss"), F.lit(".5")).alias("SeriesTime"),
-        F.when(F.col("event_type") == "error", F.lit("OT")).otherwise(F.lit("XA")).alias("Modality"),
-        F.concat(F.floor("value").cast("string"), F.lit(".0")).alias("NumberOfFrames"))
-    rec = rec.withColumn("DcmPathFlatten", P.hierarchical_path("/data", *KEY4)) \
-             .withColumn("TimeStamp", N.combine_ts("StudyDate", "SeriesTime"))
-    first = numbering.keep_first(rec, KEY4, ["DcmPathFlatten", "TimeStamp", "event_id"])
-    types = {c: t for c, t in catalog_types().items() if c in BUILD_COLS and c != "rowid"}
-    typed = conform(first, types)
-    return numbering.dense_ids(typed, KEY4, "rowid").select(*BUILD_COLS)
-
-
-def _lineitem_registry(spark, d):
-    """lineitem in the registry's long shape (all strings): patient = order,
-    entry = order + line status, sub-entry = supplier id as text (string
-    order), site = segment name by line number (line 7: NULL site), rows
-    with a zero tax have no procedure start."""
-    li = read_table(spark, d, "lineitem")
-    site_names = F.array(*[F.lit(v) for v in registry.SITES])
-    return li.select(
-        F.col("l_orderkey").cast("string").alias("bth_pid"),
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linestatus")).alias("entryid"),
-        F.when(F.col("l_tax") == 0, None).otherwise(F.lit("2000-01-01 00:00:00"))
-         .alias("procedurestart_lokalbed_velse"),
-        F.col("l_suppkey").cast("string").alias("sub_entryid"),
-        F.when(F.col("l_linenumber") == 7, None).otherwise(F.element_at(site_names, F.col("l_linenumber")))
-         .alias("proceduresite"),
-        F.col("l_quantity").cast("string").alias("stenosegrad_eyeball"),
-        F.col("l_discount").cast("string").alias("ffr"),
-        F.col("l_returnflag").alias("kartype"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"))
-
-
-@register("registry_entry")
-def registry_entry(spark: SparkSession, d: str) -> DataFrame:
-    return registry.registry_wide(_lineitem_registry(spark, d), mode="entry")
-
-
-@register("registry_sub_entry")
-def registry_sub_entry(spark: SparkSession, d: str) -> DataFrame:
-    return registry.registry_wide(_lineitem_registry(spark, d), mode="sub_entry")
+    """Header records -> relative paths -> header columns -> timestamps ->
+    one row per 4-part key (first by path) -> typed columns in dictionary
+    order -> dense ids in path order."""
+    types = {c: t for c, t in catalog_types().items() if c in BUILD_COLS}
+    built, _rejects = cat_ops.build_catalog(_event_records(spark, d), types, base_folder="base")
+    return built
