@@ -146,3 +146,43 @@ def test_property_against_stepwise_model(spark, studies):
     out = episodes.leading_runs(df, "entryid", "TimeStamp", "labels")
     got = {r.id for r in out.where(F.col("run_0") | F.col("run_1")).collect()}
     assert got == want
+
+
+def v1_model(rows, L):
+    """Direct model of the stepwise SQL (T1..T7) with SQL NULL rules.
+    rows: list of (id, entry, label, t)."""
+    def lt(a, b):
+        return a is not None and b is not None and a < b
+
+    def smin(vals):
+        vals = [v for v in vals if v is not None]
+        return min(vals) if vals else None
+
+    t1 = [r for r in rows if r[1] is not None and any(x[1] == r[1] and x[2] == L for x in rows)]
+    by = {}
+    for r in t1:
+        by.setdefault(r[1], []).append(r)
+    t2 = {r[0] for r in t1 if lt(r[3], smin(x[3] for x in by[r[1]] if x[2] == L))}
+    t3 = [r for r in t1 if r[0] not in t2]
+    by3 = {}
+    for r in t3:
+        by3.setdefault(r[1], []).append(r)
+
+    def not_l(x):
+        return x[2] is not None and x[2] != L
+    t4 = {r[0] for r in t1 if lt(r[3], smin(x[3] for x in by[r[1]] if not_l(x)))}
+    t5 = {r[0] for r in t3 if lt(r[3], smin(x[3] for x in by3[r[1]] if not_l(x)))}
+    t6 = {r[0] for r in t1 if len({x[2] for x in by[r[1]] if x[2] is not None}) == 1}
+    t7 = {r[0] for r in t3 if len({x[2] for x in by3[r[1]] if x[2] is not None}) == 1}
+    return t4 | t5 | t6 | t7
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([0, 1, 2, None]),
+                          st.one_of(st.none(), st.integers(0, 5))), min_size=1, max_size=14))
+def test_v1_against_stepwise_sql_model(spark, seq):
+    rows = [(i, e, lab, None if m is None else t(m)) for i, (e, lab, m) in enumerate(seq)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for L in (0, 1):
+        got = {r.id for r in episodes.leading_runs_v1(df, "entryid", "TimeStamp", "labels", L).collect()}
+        assert got == v1_model(rows, L), L

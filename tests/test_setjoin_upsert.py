@@ -107,3 +107,27 @@ def test_keep_first_and_pick_min(spark):
                                "k long, p string, x long")
     got = sorted(tuple(r) for r in numbering.keep_first(df, ["k"], ["p"]).collect())
     assert got == [(1, "a", 9), (2, None, 1)]  # NULLs first
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(0, 4))),
+                min_size=1, max_size=30), st.integers(1, 6))
+def test_group_rank_against_model(spark, rows, parts):
+    data = [(i, g, v) for i, (g, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, g string, v long")
+
+    def key(v):  # NULLs last
+        return (v is None, v if v is not None else 0)
+    want_rank, want_dense, want_rn = {}, {}, {}
+    for g in {g for _, g, _ in data}:
+        members = sorted([(key(v), i) for i, gg, v in data if gg == g])
+        vals = sorted({k for k, _ in members})
+        for pos, (k, i) in enumerate(members):
+            want_rn[i] = pos + 1
+            want_rank[i] = 1 + sum(1 for kk, _ in members if kk < k)
+            want_dense[i] = vals.index(k) + 1
+    rk = {r.id: r.rank for r in numbering.group_rank(df, ["g"], ["v"], parts=parts).collect()}
+    dr = {r.id: r.d for r in numbering.group_rank(df, ["g"], ["v"], "d", "dense_rank", parts=parts).collect()}
+    rn = {r.id: r.n for r in numbering.group_rank(df, ["g"], ["v"], "n", "row_number",
+                                                  tiebreak=["id"], parts=parts).collect()}
+    assert rk == want_rank and dr == want_dense and rn == want_rn
