@@ -22,7 +22,8 @@ CATALOG_KEY = ("PatientID", "StudyInstanceUID", "SeriesInstanceUID", "SOPInstanc
 def upsert_catalog(base: DataFrame, staging: DataFrame,
                    keys: Sequence[str] = CATALOG_KEY,
                    refresh: Sequence[str] = ("DcmPathFlatten",),
-                   id_col: str = "rowid", order: Sequence[str] | None = None) -> DataFrame:
+                   id_col: str = "rowid", order: Sequence[str] | None = None,
+                   base_unique: bool = True) -> DataFrame:
     """Merge ``staging`` into ``base`` (same columns).
 
     * staging is first reduced to one row per key (first in ``order``);
@@ -31,6 +32,11 @@ def upsert_catalog(base: DataFrame, staging: DataFrame,
       get ids ``max(base.id) + 1, + 2, ...`` in ``order``;
     * base rows whose key equals a staging key (plain equality, NULL parts
       never match) take the staging values of the ``refresh`` columns.
+
+    ``base_unique`` states that the base is unique on ``keys`` (a catalog
+    built with keep-first on its key is); both sides of the refresh join are
+    then unique and it needs no salting. With ``False`` hot base keys are
+    salted.
     """
     keys, refresh = list(keys), list(refresh)
     order = list(order or keys)
@@ -39,7 +45,10 @@ def upsert_catalog(base: DataFrame, staging: DataFrame,
     start = base.agg((F.coalesce(F.max(id_col), F.lit(-1)) + 1).alias("_cl_start"))
     fresh = dense_ids(fresh.drop(id_col), order, id_col, start=start)
     upd = stg.select(*keys, *[F.col(c).alias(f"_cl_new_{c}") for c in refresh])
-    merged = join_back(base, upd, keys, "left")
+    if base_unique:
+        merged = base.join(upd, keys, "left")
+    else:
+        merged = join_back(base, upd, keys, "left")
     for c in refresh:
         merged = merged.withColumn(c, F.coalesce(F.col(f"_cl_new_{c}"), F.col(c)))
     merged = merged.select(*base.columns)
