@@ -48,7 +48,7 @@ def sorted_checkpoint(df: DataFrame, order: Sequence[Column], parts: int | None
     from cathlake.session import checkpoint_dir
     checkpoint_dir(spark)
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cached = _heavy(df)
+    cached = not df.is_cached and _heavy(df)  # never release a cache the caller made
     if cached:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
