@@ -20,7 +20,8 @@ needed at all (``link_window``, the default):
    (first) procedure of those partitions from a carry table with at most
    one row per partition (broadcast, bounded by the partition count);
 5. the nearer of the two within the window wins, and images and procedure
-   payload are joined back on their unique ids.
+   payload are joined back on their ids (a procedure picked by many images
+   is salted like any hot key).
 
 ``link_window_pairs`` is the direct form (equi-join on patient and a time
 bucket of the window width, exact bound check, ``min(struct)`` pick); it
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 
 from cathlake.functions.ordering import micros
 from cathlake.operators.numbering import keep_first, sorted_checkpoint
+from cathlake.operators.skew import join_back
 
 
 
@@ -191,6 +193,7 @@ def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
     one = left if unique_left else keep_first(left, lid, lrest)
     cond = [F.col(c).eqNullSafe(F.col(f"_cl_lid{i}")) for i, c in enumerate(lid)]
     out = one.join(m, cond, "left").drop(*[f"_cl_lid{i}" for i in range(len(lid))])
-    rp = right.select(F.col(rid).alias("_cl_rid2"), *[F.col(c).alias(f"_cl_r_{c}") for c in rcols])
-    out = out.join(rp, F.col("_cl_brid") == F.col("_cl_rid2"), "left")
+    # many images of a heavy patient may pick the same procedure: salted
+    rp = right.select(F.col(rid).alias("_cl_brid"), *[F.col(c).alias(f"_cl_r_{c}") for c in rcols])
+    out = join_back(out, rp, ["_cl_brid"], "left")
     return out.select(*left.columns, *[F.col(f"_cl_r_{c}").alias(names[c]) for c in rcols])

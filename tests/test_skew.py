@@ -57,6 +57,7 @@ def test_salted_plans_agree_on_driver_tables(spark):
     more than 50 rows is split."""
     q = entry.queries()
     names = ["runs_v1", "group_extremum", "corr_min", "rank_ts", "anti_tuple", "semi_in",
+             "link_window", "diagnostic_flag_events",
              "cohort_phase", "label_merge", "registry_sub_entry"]
 
     def collect(name):
