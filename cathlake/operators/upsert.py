@@ -23,7 +23,7 @@ def upsert_catalog(base: DataFrame, staging: DataFrame,
                    keys: Sequence[str] = CATALOG_KEY,
                    refresh: Sequence[str] = ("DcmPathFlatten",),
                    id_col: str = "rowid", order: Sequence[str] | None = None,
-                   base_unique: bool = True) -> DataFrame:
+                   base_unique: bool = True, id_start=None) -> DataFrame:
     """Merge ``staging`` into ``base`` (same columns).
 
     * staging is first reduced to one row per key (first in ``order``);
@@ -33,6 +33,9 @@ def upsert_catalog(base: DataFrame, staging: DataFrame,
     * base rows whose key equals a staging key (plain equality, NULL parts
       never match) take the staging values of the ``refresh`` columns.
 
+    ``id_start`` (int, Column or one-row frame) overrides the first new id,
+    for a ``base`` that is only part of the table.
+
     ``base_unique`` states that the base is unique on ``keys`` (a catalog
     built with keep-first on its key is); both sides of the refresh join are
     then unique and it needs no salting. With ``False`` hot base keys are
@@ -42,7 +45,8 @@ def upsert_catalog(base: DataFrame, staging: DataFrame,
     order = list(order or keys)
     stg = keep_first(staging, keys, order)
     fresh = not_in_tuple(stg, base, keys, left_unique=True)
-    start = base.agg((F.coalesce(F.max(id_col), F.lit(-1)) + 1).alias("_cl_start"))
+    start = id_start if id_start is not None else \
+        base.agg((F.coalesce(F.max(id_col), F.lit(-1)) + 1).alias("_cl_start"))
     fresh = dense_ids(fresh.drop(id_col), order, id_col, start=start)
     upd = stg.select(*keys, *[F.col(c).alias(f"_cl_new_{c}") for c in refresh])
     if base_unique:
