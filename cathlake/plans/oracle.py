@@ -518,3 +518,7 @@ SELECT s.bth_pid, s.entryid, CAST(s.procedurestart_lokalbed_velse AS TIMESTAMP)
 FROM l1 s JOIN f ON s.bth_pid = f.bth_pid AND s.entryid = f.entryid
   AND s.procedurestart_lokalbed_velse = f.procedurestart_lokalbed_velse
 """
+
+ORACLE["tsv_ingest"] = """
+SELECT p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part
+"""

@@ -546,6 +546,18 @@ def registry_sub_entry(spark: SparkSession, d: str) -> DataFrame:
     return registry.registry_wide(_lineitem_registry(spark, d), mode="sub_entry")
 
 
+@register("tsv_ingest")
+def tsv_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """part written as a header TSV to the shared folder, read back with every
+    column a string (no inference), then conformed to typed columns."""
+    import uuid
+    path = f"{sinks.shared_table_root(spark)}/tsv/part_{uuid.uuid4().hex[:8]}"
+    sinks.write_csv(read_table(spark, d, "part"), path, sep="\t")
+    raw = readers.read_tsv(spark, path)
+    return conform(raw, {"p_partkey": "int8", "p_name": "varchar(255)", "p_brand": "varchar(255)",
+                         "p_size": "int8", "p_retailprice": "float8"})
+
+
 # ------------------------------------------------------------ K1 catalog build
 from cathlake.operators import catalog as cat_ops  # noqa: E402
 
