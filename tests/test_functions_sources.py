@@ -94,6 +94,10 @@ def test_inventory_and_funnel(spark):
     flagged = files.with_header_flag(spark, root)
     fun = cohort.funnel(flagged, {"candidates": F.lit(True), "valid": F.col("valid")}).collect()[0]
     assert (fun.candidates, fun.valid) == (6, 4)
+    # header-only read gives the same flags
+    head = files.header_flags(files.inventory(spark, root))
+    assert sorted((r.path, r.valid) for r in head.collect()) == \
+        sorted((r.path, r.valid) for r in flagged.collect())
     stage = os.path.join(root, "stage_valid")
     first = files.staged(spark, stage, lambda: flagged.where("valid").select("path"))
     again = files.staged(spark, stage, lambda: flagged.select("path"))  # not recomputed
