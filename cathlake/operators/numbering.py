@@ -7,11 +7,15 @@
   each row's id is its in-partition position plus the row count of all
   earlier partitions. The only table that is broadcast is that per-partition
   count table, whose size is the partition count.
-* ``group_rank``: ``rank`` / ``row_number`` / ``dense_rank`` inside groups from
-  the same global positions: a row's rank is its position minus the position
-  of its group's first row (per-group minima are map-side combined
-  aggregates, joined back with hot groups salted), so no group is ever
-  gathered into one task.
+* ``group_rank``: ``rank`` / ``row_number`` inside groups from the same global
+  positions: a row's number is its position (or its tie's first position)
+  minus the position of its group's first row. Minima come from windows over
+  (range partition, group), bounded by the partition size; a group that
+  started in an earlier partition (only a partition's first group can) takes
+  its first position from a table with at most one row per partition. So no
+  group is ever gathered into one task and rows are shuffled once.
+  ``dense_rank`` numbers the distinct (group, value) pairs the same way and
+  joins back with hot pairs salted.
 * ``keep_first`` / ``pick_min``: subset de-dup keeping the first row in an
   explicit order, as a ``min(struct(order, payload))`` aggregate that combines
   map-side before the shuffle.
@@ -19,6 +23,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark import StorageLevel
@@ -123,24 +128,46 @@ def group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str],
         r = _join_back(pos.drop("_cl_n"), first, group)
         r = r.select(*group, *order, (F.col("_cl_pos") - F.col("_cl_first") + 1).alias(name))
         return _join_back(df, r, group + order, counts=pos.select(*group, *order, "_cl_n"))
-    pos = global_positions(df, gsort + [asc(c) for c in order] + [asc(c) for c in tiebreak],
-                           "_cl_pos", parts)
-    if method == "row_number":
-        first = pos.groupBy(*group).agg(F.min("_cl_pos").alias("_cl_first"),
-                                        F.count(F.lit(1)).alias("_cl_n"))
-        out = _join_back(pos, first.drop("_cl_n"), group, counts=first.select(*group, "_cl_n"))
-        return out.withColumn(name, F.col("_cl_pos") - F.col("_cl_first") + 1) \
-                  .drop("_cl_pos", "_cl_first")
-    if method != "rank":
+    # rank / row_number: positions over the rows, then per-partition windows.
+    # Rank needs ties in one partition, so its range key is (group, order).
+    sort = gsort + [asc(c) for c in order] + ([asc(c) for c in tiebreak] if method == "row_number" else [])
+    if method not in ("rank", "row_number"):
         raise ValueError(f"unknown method {method!r}")
-    # rank = position of the first row with this value - position of the
-    # group's first row + 1. Both minima combine map-side.
-    tie = pos.groupBy(*group, *order).agg(F.min("_cl_pos").alias("_cl_tie"),
-                                          F.count(F.lit(1)).alias("_cl_n"))
-    first = tie.groupBy(*group).agg(F.min("_cl_tie").alias("_cl_first"))
-    r = _join_back(tie.drop("_cl_n"), first, group)
-    r = r.select(*group, *order, (F.col("_cl_tie") - F.col("_cl_first") + 1).alias(name))
-    return _join_back(pos, r, group + order, counts=tie.select(*group, *order, "_cl_n")).drop("_cl_pos")
+    s = sorted_checkpoint(df, [to_col(c) for c in sort], parts)
+    m = (s.withColumn("_cl_mid", F.monotonically_increasing_id())
+          .withColumn("_cl_pid", F.shiftright(F.col("_cl_mid"), 33))
+          .withColumn("_cl_loc", F.col("_cl_mid").bitwiseAND(F.lit(_MASK))))
+    counts = m.groupBy("_cl_pid").agg(F.count("*").alias("_cl_cnt"))
+    offs = counts.select("_cl_pid", F.coalesce(F.sum("_cl_cnt").over(
+        Window.orderBy("_cl_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_cl_off"))
+    m = m.join(F.broadcast(offs), "_cl_pid").withColumn("_cl_pos", F.col("_cl_off") + F.col("_cl_loc"))
+    # A group continued from earlier partitions can only be a partition's
+    # first group. Its global first position comes from tables with at most
+    # one row per partition (hash aggregates and broadcast lookups only).
+    firsts = m.groupBy("_cl_pid").agg(F.min("_cl_pos").alias("_cl_fp")) \
+              .withColumnRenamed("_cl_pid", "_cl_fpid")
+    fgroups = m.join(F.broadcast(firsts), (F.col("_cl_pid") == F.col("_cl_fpid"))
+                     & (F.col("_cl_pos") == F.col("_cl_fp"))).select("_cl_pid", *group)
+    gkeys = fgroups.select(*group).distinct()
+    gcond = [F.col(g).eqNullSafe(F.col(f"_cl_k_{g}")) for g in group]
+    gfirst = (m.select(*group, "_cl_pos")
+              .join(F.broadcast(gkeys.select(*[F.col(g).alias(f"_cl_k_{g}") for g in group])),
+                    gcond, "left_semi")
+              .groupBy(*group).agg(F.min("_cl_pos").alias("_cl_gf")))
+    carry = fgroups.join(gfirst.select(*[F.col(g).alias(f"_cl_k_{g}") for g in group], "_cl_gf"),
+                         gcond).select("_cl_pid", *[F.col(g).alias(f"_cl_c_{g}") for g in group], "_cl_gf")
+    ccond = (F.col("_cl_pid") == F.col("_cl_cpid")) & reduce(
+        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_cl_c_{g}")) for g in group])
+    x = m.join(F.broadcast(carry.withColumnRenamed("_cl_pid", "_cl_cpid")), ccond, "left")
+    wg = Window.partitionBy("_cl_pid", *group)
+    gstart = F.coalesce(F.col("_cl_gf"), F.min("_cl_pos").over(wg))
+    if method == "row_number":
+        val = F.col("_cl_pos") - gstart + 1
+    else:
+        tie = F.min("_cl_pos").over(Window.partitionBy("_cl_pid", *group, *order))
+        val = tie - gstart + 1
+    out = x.withColumn(name, val)
+    return out.select(*df.columns, name)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
