@@ -18,7 +18,8 @@ needed at all (``link_window``, the default):
    partition size, never by the patient;
 4. a patient continued from an earlier (later) partition takes the last
    (first) procedure of those partitions from a carry table with at most
-   one row per partition (broadcast, bounded by the partition count);
+   one row per partition (broadcast, bounded by the partition count), built
+   from fixed-width hash aggregates only;
 5. the nearer of the two within the window wins, and images and procedure
    payload are joined back on their ids (a procedure picked by many images
    is salted like any hot key).
@@ -142,18 +143,32 @@ def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
     order = [F.col("_k"), F.col("_t"), F.col("_side"), F.col("_lid")]
     s = sorted_checkpoint(u, order, n).withColumn("_pid", F.spark_partition_id())
 
-    # 4. carry table, one row per partition, from one aggregate pass: the
-    # partition's first / last key and its first / last procedure. The last
-    # procedure belongs to the last key exactly when their keys agree. Keys
-    # ascend across partitions, so the nearest earlier partition with a
-    # valid "last procedure of its last key" is the predecessor carry for a
-    # partition whose first key equals that key (mirror for successors).
-    rstruct = F.when(F.col("_side") == 0, F.struct("_k", "_t", "_rid"))
-    stats = s.groupBy("_pid").agg(
-        F.min("_k").alias("_pf"), F.max("_k").alias("_pl"),
-        F.max(rstruct).alias("_lr"), F.min(rstruct).alias("_fr"))
-    stats = (stats.withColumn("_lr", F.when(F.col("_lr._k") == F.col("_pl"), F.col("_lr")))
-             .withColumn("_fr", F.when(F.col("_fr._k") == F.col("_pf"), F.col("_fr"))))
+    # 4. carry table, one row per partition, from fixed-width hash aggregates
+    # and broadcast lookups of at most one row per partition (no sort): the
+    # partition's first / last key, the time of that key's first / last
+    # procedure inside the partition, then that procedure's id (procedures
+    # are unique per (key, time)). Keys ascend across partitions, so the
+    # nearest earlier partition holding a procedure of its last key is the
+    # predecessor carry of a partition whose first key equals that key
+    # (mirror for successors).
+    b1 = s.groupBy("_pid").agg(F.min("_k").alias("_pf"), F.max("_k").alias("_pl"))
+    rs = s.where(F.col("_side") == 0).select("_pid", "_k", "_t", "_rid")
+    b2 = (rs.join(F.broadcast(b1), "_pid").groupBy("_pid", "_pf", "_pl")
+          .agg(F.max(F.when(F.col("_k") == F.col("_pl"), F.col("_t"))).alias("_lt"),
+               F.min(F.when(F.col("_k") == F.col("_pf"), F.col("_t"))).alias("_ft")))
+    last_hit = (F.col("_k") == F.col("_pl")) & (F.col("_t") == F.col("_lt"))
+    first_hit = (F.col("_k") == F.col("_pf")) & (F.col("_t") == F.col("_ft"))
+    b3 = (rs.join(F.broadcast(b2), "_pid").where(last_hit | first_hit)
+          .groupBy("_pid").agg(F.min(F.when(last_hit, F.col("_rid"))).alias("_lrid"),
+                               F.min(F.when(first_hit, F.col("_rid"))).alias("_frid")))
+    stats = (b1.join(b2.drop("_pf", "_pl"), "_pid", "left").join(b3, "_pid", "left")
+             .select("_pid", "_pf", "_pl",
+                     F.when(F.col("_lt").isNotNull(),
+                            F.struct(F.col("_pl").alias("_k"), F.col("_lt").alias("_t"),
+                                     F.col("_lrid").alias("_rid"))).alias("_lr"),
+                     F.when(F.col("_ft").isNotNull(),
+                            F.struct(F.col("_pf").alias("_k"), F.col("_ft").alias("_t"),
+                                     F.col("_frid").alias("_rid"))).alias("_fr")))
     wp = Window.orderBy("_pid")  # over partitions: the table has one row per partition
     before = F.last("_lr", ignorenulls=True).over(wp.rowsBetween(Window.unboundedPreceding, -1))
     after = F.first("_fr", ignorenulls=True).over(wp.rowsBetween(1, Window.unboundedFollowing))
