@@ -143,13 +143,13 @@ def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
     s = sorted_checkpoint(u, order, n).withColumn("_pid", F.spark_partition_id())
 
     # 4. carry table, one row per partition, from one aggregate pass: the
-    # partition's first / last key and its first / last procedure. (Each
-    # task holds a single partition id, so the struct aggregate's sort by
-    # that id is a linear pass.) The last
+    # partition's first / last key and its first / last procedure. The last
     # procedure belongs to the last key exactly when their keys agree. Keys
     # ascend across partitions, so the nearest earlier partition with a
     # valid "last procedure of its last key" is the predecessor carry for a
     # partition whose first key equals that key (mirror for successors).
+    # Each task holds a single partition id, so the struct aggregate's sort
+    # by that id is a linear pass.
     rstruct = F.when(F.col("_side") == 0, F.struct("_k", "_t", "_rid"))
     stats = s.groupBy("_pid").agg(
         F.min("_k").alias("_pf"), F.max("_k").alias("_pl"),
