@@ -116,6 +116,10 @@ def group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str],
     ``tiebreak`` makes the order total.
     """
     group, order = list(group), list(order)
+    if not group:  # one global group
+        out = group_rank(df.withColumn("_cl_g", F.lit(0)), ["_cl_g"], order, name, method,
+                         nulls_last, tiebreak, parts)
+        return out.drop("_cl_g")
 
     def asc(c):
         return F.col(c).asc_nulls_last() if nulls_last else F.col(c).asc_nulls_first()

@@ -131,3 +131,11 @@ def test_group_rank_against_model(spark, rows, parts):
     rn = {r.id: r.n for r in numbering.group_rank(df, ["g"], ["v"], "n", "row_number",
                                                   tiebreak=["id"], parts=parts).collect()}
     assert rk == want_rank and dr == want_dense and rn == want_rn
+
+
+def test_global_rank_without_groups(spark):
+    df = spark.createDataFrame([(1, 5), (2, 3), (3, 5), (4, None)], "id long, v long")
+    got = {r.id: r.rank for r in numbering.group_rank(df, [], ["v"], parts=2).collect()}
+    assert got == {2: 1, 1: 2, 3: 2, 4: 4}
+    dr = {r.id: r.d for r in numbering.group_rank(df, [], ["v"], "d", "dense_rank").collect()}
+    assert dr == {2: 1, 1: 2, 3: 2, 4: 3}
