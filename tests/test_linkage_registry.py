@@ -157,3 +157,14 @@ def test_wall_clock_arithmetic_ignores_session_zone(spark):
         assert out[0].rowid == 1  # exactly +6 h of wall-clock time
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_link_with_an_empty_side(spark):
+    cat = spark.createDataFrame([("p1", "/a", T)], "PatientID string, DcmPathFlatten string, TimeStamp timestamp_ntz")
+    reg = spark.createDataFrame([], "bth_pid string, timestamp timestamp_ntz, rowid long")
+    out = linkage.link_window(cat, reg, "PatientID", "bth_pid", "TimeStamp", "timestamp", "rowid",
+                              lid=["PatientID", "DcmPathFlatten"], rcols=["rowid"]).collect()
+    assert [(r.PatientID, r.rowid) for r in out] == [("p1", None)]
+    none = linkage.link_window(cat.where("false"), reg, "PatientID", "bth_pid", "TimeStamp", "timestamp",
+                               "rowid", lid=["PatientID", "DcmPathFlatten"], rcols=["rowid"])
+    assert none.count() == 0
