@@ -139,3 +139,12 @@ def test_global_rank_without_groups(spark):
     assert got == {2: 1, 1: 2, 3: 2, 4: 4}
     dr = {r.id: r.d for r in numbering.group_rank(df, [], ["v"], "d", "dense_rank").collect()}
     assert dr == {2: 1, 1: 2, 3: 2, 4: 3}
+
+
+def test_upsert_with_empty_sides(spark):
+    base = spark.createDataFrame([(3, "p", "s", "r", "o", "/a")], CAT)
+    empty = spark.createDataFrame([], CAT)
+    same = upsert.upsert_catalog(base, empty, order=["DcmPathFlatten"]).collect()
+    assert [(r.rowid, r.DcmPathFlatten) for r in same] == [(3, "/a")]
+    fresh = upsert.upsert_catalog(empty, base, order=["DcmPathFlatten"]).collect()
+    assert [(r.rowid, r.DcmPathFlatten) for r in fresh] == [(0, "/a")]
