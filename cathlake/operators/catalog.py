@@ -58,6 +58,27 @@ def build_catalog(records: DataFrame, types: dict | None = None, base_folder: st
     return with_ids.select(*[c for c in types]), rejects
 
 
+def inventory_stages(spark, root: str, stage_dir: str | None = None, header_only: bool = True):
+    """The inventory steps before a build: every file below ``root``, those
+    whose header carries the image marker, and the funnel counts
+    (``n_candidates``, ``n_valid``). With ``stage_dir`` each stage list is
+    stored as a table there and re-read on a rerun (resumable).
+    Returns ``(valid_paths, funnel)``."""
+    from cathlake.operators.cohort import funnel
+    from cathlake.sources import files
+
+    def listed():
+        return files.inventory(spark, root)
+
+    def flagged():
+        base = files.staged(spark, f"{stage_dir}/candidates", listed) if stage_dir else listed()
+        return files.header_flags(base) if header_only else files.with_header_flag(spark, root)
+
+    checked = files.staged(spark, f"{stage_dir}/checked", flagged) if stage_dir else flagged()
+    counts = funnel(checked, {"n_candidates": F.lit(True), "n_valid": F.col("valid")})
+    return checked.where(F.col("valid")).select("path", "length", "modificationTime"), counts
+
+
 def link_procedures(catalog: DataFrame, registry: DataFrame, hours: float = 6.0,
                     registry_id: str = "rowid", unique_images: bool = False) -> DataFrame:
     """Each image (``PatientID``, ``DcmPathFlatten``) with its nearest
@@ -95,5 +116,5 @@ def assign_test_phase(catalog: DataFrame, cohort: DataFrame, id_col: str = "Pati
     return assign_phase(catalog, cohort, key="PatientID", id_col=id_col)
 
 
-__all__: Sequence[str] = ["build_catalog", "link_procedures", "repair_patient_id",
+__all__: Sequence[str] = ["inventory_stages", "build_catalog", "link_procedures", "repair_patient_id",
                           "preview_patient_repair", "assign_test_phase"]

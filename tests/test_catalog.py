@@ -66,3 +66,22 @@ def test_link_repair_preview_phase(spark):
     ids = spark.createDataFrame([("p2",)], "PatientID string")
     ph = {r.PatientID: r.phase for r in catalog.assign_test_phase(cat, ids).collect()}
     assert ph == {"p1": None, "p2": "test"}
+
+
+def test_inventory_stages(spark):
+    import os
+    import tempfile
+    root = tempfile.mkdtemp(prefix="cathlake-inv-")
+    tree = os.path.join(root, "tree", "a")
+    os.makedirs(tree)
+    open(os.path.join(tree, "1.dcm"), "wb").write(b"\0" * 128 + b"DICM" + b"x")
+    open(os.path.join(tree, "2.txt"), "w").write("no")
+    stages = os.path.join(root, "stages")
+    valid, fun = catalog.inventory_stages(spark, os.path.join(root, "tree"), stage_dir=stages)
+    assert [os.path.basename(r.path) for r in valid.collect()] == ["1.dcm"]
+    f = fun.collect()[0]
+    assert (f.n_candidates, f.n_valid) == (2, 1)
+    # a rerun reads the stored stages (a new file is not picked up)
+    open(os.path.join(tree, "3.dcm"), "wb").write(b"\0" * 128 + b"DICM")
+    again, _ = catalog.inventory_stages(spark, os.path.join(root, "tree"), stage_dir=stages)
+    assert again.count() == 1
