@@ -14,6 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cathlake.functions import normalize as N
 from cathlake.operators.skew import join_back
 
 
@@ -78,9 +79,9 @@ def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lok
                   site="proceduresite", sub="sub_entryid", start="procedurestart_lokalbed_velse",
                   mode: str = "entry", sites: Sequence = SITES) -> DataFrame:
     """Registry pivot: rows without a procedure start dropped, measures
-    ``Sten %: <site>``, ``ffr %: <site>``, ``kartype: <site>``, the other
-    columns from the entry's first row, start renamed ``timestamp`` and
-    parsed strictly.
+    ``Sten %: <site>``, ``ffr %: <site>`` (numbers) and ``kartype: <site>``
+    (text), the other columns from the entry's first row, start renamed
+    ``timestamp`` and parsed strictly.
 
     Level 1 is one pivot row per sub-entry (duplicate (sub-entry, site)
     rows, which a strict pivot rejects, reduce to their smallest value; see
@@ -117,6 +118,10 @@ def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lok
                         *[F.col(f"`{c}`") for c in cols["kartype"]])
     else:
         raise ValueError(mode)
+    # Sten / ffr are numbers in the wide table (kartype stays text).
+    numeric = {c for m in ("stenosegrad_eyeball", "ffr") for c in cols[m]}
+    wide = wide.select(*[N.to_double(F.col(f"`{c}`")).alias(c) if c in numeric else F.col(f"`{c}`")
+                         for c in wide.columns])
     return (wide.withColumnRenamed(start, "timestamp")
             .withColumn("timestamp", F.to_timestamp_ntz(F.col("timestamp"))))
 

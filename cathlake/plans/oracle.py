@@ -499,10 +499,14 @@ def _q(m):
     return ", ".join(f'"{p}{v}"' for mm, p in _MEAS if mm == m for v in _SITES)
 
 
+def _qd(m):
+    return ", ".join(f'TRY_CAST("{p}{v}" AS DOUBLE) AS "{p}{v}"' for mm, p in _MEAS if mm == m for v in _SITES)
+
+
 ORACLE["registry_entry"] = f"""
 WITH l1 AS ({_level1()})
 SELECT bth_pid, entryid, CAST(procedurestart_lokalbed_velse AS TIMESTAMP) AS "timestamp", shipped,
-       {_q('stenosegrad_eyeball')}, {_q('ffr')}, {_q('kartype')}
+       {_qd('stenosegrad_eyeball')}, {_qd('ffr')}, {_q('kartype')}
 FROM l1 QUALIFY row_number() OVER (PARTITION BY bth_pid, entryid, procedurestart_lokalbed_velse
                                    ORDER BY sub_entryid) = 1
 """
@@ -513,7 +517,7 @@ WITH l1 AS ({_level1()}),
              PARTITION BY bth_pid, entryid, procedurestart_lokalbed_velse ORDER BY sub_entryid) = 1)
 SELECT s.bth_pid, s.entryid, CAST(s.procedurestart_lokalbed_velse AS TIMESTAMP) AS "timestamp",
        s.sub_entryid, f.shipped,
-       {", ".join(f'f."{p}{v}"' for m, p in _MEAS[:2] for v in _SITES)},
+       {", ".join(f'TRY_CAST(f."{p}{v}" AS DOUBLE) AS "{p}{v}"' for m, p in _MEAS[:2] for v in _SITES)},
        {", ".join(f's."{p}{v}"' for v in _SITES for p in ["kartype: "])}
 FROM l1 s JOIN f ON s.bth_pid = f.bth_pid AND s.entryid = f.entryid
   AND s.procedurestart_lokalbed_velse = f.procedurestart_lokalbed_velse

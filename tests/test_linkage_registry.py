@@ -51,14 +51,14 @@ def test_registry_wide_modes(spark):
     assert len(wide) == 1
     r = wide[0].asDict()
     # the whole pivot row of sub-entry '10': it has no LAD value
-    assert r["Sten %: 5 LM"] == "70" and r["kartype: 5 LM"] == "B" and r["ffr %: 5 LM"] is None
+    assert r["Sten %: 5 LM"] == 70.0 and r["kartype: 5 LM"] == "B" and r["ffr %: 5 LM"] is None
     assert r["Sten %: 6 Prox LAD"] is None and r["other"] == "y"
     assert r["timestamp"] == dt.datetime(2020, 1, 1, 10, 0, 0)
     assert "Sten %: 1 Prox RCA" in r and r["Sten %: 1 Prox RCA"] is None
     sub = {x["sub_entryid"]: x.asDict() for x in registry.registry_wide(df, mode="sub_entry").collect()}
     assert set(sub) == {"10", "9"}
     # Sten / ffr from sub-entry '10' on every row, kartype from the row's own sub-entry
-    assert sub["9"]["Sten %: 5 LM"] == "70" and sub["9"]["Sten %: 6 Prox LAD"] is None
+    assert sub["9"]["Sten %: 5 LM"] == 70.0 and sub["9"]["Sten %: 6 Prox LAD"] is None
     assert sub["9"]["kartype: 5 LM"] == "A" and sub["9"]["kartype: 6 Prox LAD"] == "C"
     assert sub["10"]["kartype: 5 LM"] == "B"
     conflicts = registry.pivot_conflicts(df, ["entryid", "sub_entryid"], "proceduresite").collect()
