@@ -48,3 +48,14 @@ def funnel(df: DataFrame, stages: dict) -> DataFrame:
         acc = acc & F.coalesce(pred, F.lit(False))
         aggs.append(F.count_if(acc).alias(name))
     return df.agg(*aggs)
+
+
+def exclusion_report(all_rows: DataFrame, kept: DataFrame, path: str = "DcmPathFlatten",
+                     patient: str = "PatientID") -> DataFrame:
+    """Rows of ``all_rows`` whose path is ``NOT IN`` the kept table (SQL NULL
+    rules), counted: ``n_excluded`` rows and ``n_patients_excluded``
+    distinct patients, in one row."""
+    from cathlake.operators.setjoin import not_in
+    out = not_in(all_rows, kept, path)
+    return out.agg(F.count(F.lit(1)).alias("n_excluded"),
+                   F.count_distinct(F.col(patient)).alias("n_patients_excluded"))

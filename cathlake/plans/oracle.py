@@ -526,3 +526,10 @@ FROM l1 s JOIN f ON s.bth_pid = f.bth_pid AND s.entryid = f.entryid
 ORACLE["tsv_ingest"] = """
 SELECT p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part
 """
+
+ORACLE["exclusion_report"] = f"""
+SELECT count(*) AS n_excluded, count(DISTINCT PatientID) AS n_patients_excluded
+FROM {_ORD_CAT} c
+WHERE DcmPathFlatten NOT IN (SELECT '/f/' || CAST(o_orderkey AS VARCHAR) FROM orders
+                             WHERE o_totalprice <= 300000)
+"""

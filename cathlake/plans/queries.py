@@ -329,6 +329,16 @@ def cohort_counts(spark: SparkSession, d: str) -> DataFrame:
     return cohort.cohort_report(_orders_as_catalog(spark, d), modalities=("F", "O", "P"), main="F")
 
 
+@register("exclusion_report")
+def exclusion_report(spark: SparkSession, d: str) -> DataFrame:
+    """Loops and patients of the full catalog missing from the transformed
+    one (here: orders up to a total price of 300 000)."""
+    full = _orders_as_catalog(spark, d)
+    kept = read_table(spark, d, "orders").where(F.col("o_totalprice") <= 300000).select(
+        F.concat(F.lit("/f/"), F.col("o_orderkey").cast("string")).alias("DcmPathFlatten"))
+    return cohort.exclusion_report(full, kept)
+
+
 @register("funnel")
 def funnel(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events")
