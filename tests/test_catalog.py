@@ -85,3 +85,57 @@ def test_inventory_stages(spark):
     open(os.path.join(tree, "3.dcm"), "wb").write(b"\0" * 128 + b"DICM")
     again, _ = catalog.inventory_stages(spark, os.path.join(root, "tree"), stage_dir=stages)
     assert again.count() == 1
+
+
+def test_end_to_end_flow(spark):
+    """The README chain on local fixtures: inventory -> build -> upsert ->
+    registry -> link -> annotations -> diagnostic flag -> report."""
+    import json
+    import os
+    import tempfile
+
+    from cathlake import (build_catalog, cohort_report, flag_diagnostic, inventory_stages,
+                          link_procedures, merge_annotations, registry_wide, upsert_catalog)
+    from cathlake.operators.numbering import dense_ids
+    from cathlake.sources import headers, readers, sinks
+
+    root = tempfile.mkdtemp(prefix="cathlake-e2e-")
+    img = os.path.join(root, "images", "p1")
+    os.makedirs(img)
+    for i in range(3):
+        open(os.path.join(img, f"{i}.dcm"), "wb").write(b"\0" * 128 + b"DICM")
+    valid, funnel = inventory_stages(spark, os.path.join(root, "images"))
+    paths = sorted(r.path for r in valid.collect())
+    assert funnel.collect()[0].n_valid == 3
+    hdr = [{"PatientID": "p1", "StudyInstanceUID": "s1", "SeriesInstanceUID": "r1",
+            "SOPInstanceUID": f"o{i}", "StudyDate": "20210101", "SeriesTime": f"10{i}000",
+            "Modality": "XA", "labels_predictions": str(lab)}
+           for i, lab in enumerate([1, 1, 0])]
+    recs = spark.createDataFrame([(p, json.dumps(h)) for p, h in zip(paths, hdr)], "path string, raw string")
+    catalog, rejects = build_catalog(headers.parse_json_records(recs, "raw"), base_folder="images")
+    assert catalog.count() == 3 and rejects.count() == 0
+    catalog = upsert_catalog(catalog.limit(0), catalog)
+    assert sorted(r.rowid for r in catalog.collect()) == [0, 1, 2]
+
+    reg_path = os.path.join(root, "registry")
+    reg_rows = spark.createDataFrame(
+        [("p1", "e1", "2021-01-01 12:00:00", "1", "5 LM", "70", "0.8", "A", "x")],
+        "bth_pid string, entryid string, procedurestart_lokalbed_velse string, sub_entryid string, "
+        "proceduresite string, stenosegrad_eyeball string, ffr string, kartype string, other string")
+    sinks.write_csv(reg_rows, reg_path, sep="\t")
+    registry = dense_ids(registry_wide(readers.read_tsv(spark, reg_path)),
+                         ["bth_pid", "entryid", "timestamp"], "rowid")
+    linked = link_procedures(catalog, registry).collect()
+    assert all(r["Sten %: 5 LM"] == 70.0 for r in linked)
+
+    ann_path = os.path.join(root, "ann")
+    ann = spark.createDataFrame([("p1", "r1", "s1", "o0", "2")], "PatientID string, SeriesInstanceUID string, "
+                                "StudyInstanceUID string, SOPInstanceUID string, labels string")
+    sinks.write_csv(ann, ann_path)
+    merged = merge_annotations(catalog, readers.read_strings(spark, ann_path))
+    assert sorted((r.SOPInstanceUID, r.labels) for r in merged.collect()) == [("o0", "2"), ("o1", None), ("o2", None)]
+
+    flagged = {r.SOPInstanceUID: r.diagnostic_data for r in flag_diagnostic(catalog).collect()}
+    assert flagged == {"o0": True, "o1": True, "o2": True}  # a 1-run (o0, o1) and a 0-run (o2)
+    rep = cohort_report(catalog).collect()[0]
+    assert (rep.n_rows, rep.n_xa, rep.n_patients, rep.n_studies) == (3, 3, 1, 1)
