@@ -7,6 +7,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cathlake.functions import normalize as N
 from cathlake.operators.skew import join_back
 
 ANNOTATION_KEY = ("PatientID", "SeriesInstanceUID", "StudyInstanceUID", "SOPInstanceUID")
@@ -17,10 +18,11 @@ def merge_annotations(df: DataFrame, ann: DataFrame, keys: Sequence[str] = ANNOT
                       dedupe: bool = False) -> DataFrame:
     """Left join annotations on all ``keys`` with NULL matching NULL.
 
-    The annotation ``values`` replace the frame's columns of the same name
-    (an unannotated row gets NULL) unless ``keep_existing``, which keeps the
-    old value where no annotation exists. Duplicate annotations fan out
-    unless ``dedupe`` keeps one (the smallest values) per key.
+    The annotation ``values`` replace the frame's columns of the same name,
+    converted to their type (an unannotated row gets NULL), unless
+    ``keep_existing``, which keeps the old value where no annotation exists.
+    Duplicate annotations fan out unless ``dedupe`` keeps one (the smallest
+    values) per key.
     """
     keys, values = list(keys), list(values)
     a = ann.select(*keys, *[F.col(v).alias(f"_cl_v_{v}") for v in values])
@@ -29,8 +31,18 @@ def merge_annotations(df: DataFrame, ann: DataFrame, keys: Sequence[str] = ANNOT
             F.min(F.struct(*[F.col(f"_cl_v_{v}") for v in values])).alias("_cl_s")) \
             .select(*keys, *[F.col(f"_cl_s._cl_v_{v}").alias(f"_cl_v_{v}") for v in values])
     j = join_back(df, a, keys, "left", null_safe=True)
+    have = dict(df.dtypes)
     for v in values:
         new = F.col(f"_cl_v_{v}")
+        # annotation files are text: values take the catalog column's type
+        # (integers through a double, as the loader parses them)
+        if v in have and have[v] != dict(a.dtypes)[f"_cl_v_{v}"]:
+            if have[v] == "bigint":
+                new = N.to_long(new.cast("string"))
+            elif have[v] == "double":
+                new = N.to_double(new.cast("string"))
+            else:
+                new = new.try_cast(have[v])
         if keep_existing and v in df.columns:
             new = F.coalesce(new, F.col(v))
         j = j.withColumn(v, new)

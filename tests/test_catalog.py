@@ -133,7 +133,8 @@ def test_end_to_end_flow(spark):
                                 "StudyInstanceUID string, SOPInstanceUID string, labels string")
     sinks.write_csv(ann, ann_path)
     merged = merge_annotations(catalog, readers.read_strings(spark, ann_path))
-    assert sorted((r.SOPInstanceUID, r.labels) for r in merged.collect()) == [("o0", "2"), ("o1", None), ("o2", None)]
+    assert sorted((r.SOPInstanceUID, r.labels) for r in merged.collect()) == [("o0", 2), ("o1", None), ("o2", None)]
+    assert dict(merged.dtypes)["labels"] == "bigint"
 
     flagged = {r.SOPInstanceUID: r.diagnostic_data for r in flag_diagnostic(catalog).collect()}
     assert flagged == {"o0": True, "o1": True, "o2": True}  # a 1-run (o0, o1) and a 0-run (o2)
