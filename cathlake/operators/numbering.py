@@ -14,8 +14,8 @@
   started in an earlier partition (only a partition's first group can) takes
   its first position from a table with at most one row per partition. So no
   group is ever gathered into one task and rows are shuffled once.
-  ``dense_rank`` numbers the distinct (group, value) pairs the same way and
-  joins back with hot pairs salted.
+  ``dense_rank`` is ``row_number`` over the distinct (group, value) pairs,
+  joined back to the rows with hot pairs salted.
 * ``keep_first`` / ``pick_min``: subset de-dup keeping the first row in an
   explicit order, as a ``min(struct(order, payload))`` aggregate that combines
   map-side before the shuffle.
@@ -126,12 +126,10 @@ def group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str],
 
     gsort = [F.col(g).asc_nulls_first() for g in group]
     if method == "dense_rank":
+        # dense_rank = row_number over the distinct (group, value) pairs
         vals = df.groupBy(*group, *order).agg(F.count(F.lit(1)).alias("_cl_n"))
-        pos = global_positions(vals, gsort + [asc(c) for c in order], "_cl_pos", parts)
-        first = pos.groupBy(*group).agg(F.min("_cl_pos").alias("_cl_first"))
-        r = _join_back(pos.drop("_cl_n"), first, group)
-        r = r.select(*group, *order, (F.col("_cl_pos") - F.col("_cl_first") + 1).alias(name))
-        return _join_back(df, r, group + order, counts=pos.select(*group, *order, "_cl_n"))
+        r = group_rank(vals, group, order, name, "row_number", nulls_last, parts=parts)
+        return _join_back(df, r.drop("_cl_n"), group + order, counts=vals)
     # rank / row_number: positions over the rows, then per-partition windows.
     # Rank needs ties in one partition, so its range key is (group, order).
     sort = gsort + [asc(c) for c in order] + ([asc(c) for c in tiebreak] if method == "row_number" else [])
