@@ -48,40 +48,39 @@ def staged(spark: SparkSession, path: str, compute) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _open_head(path: str, n: int) -> bytes | None:
-    """First ``n`` bytes of a file given as a Spark path URI, or None."""
-    import pyarrow.fs as pafs
-    try:
-        if path.startswith("file:"):
-            fs, p = pafs.LocalFileSystem(), path[5:]
-            while p.startswith("//"):
-                p = p[1:]
-        else:
-            fs, p = pafs.FileSystem.from_uri(path)
-        with fs.open_input_stream(p) as f:
-            return f.read(n)
-    except Exception:  # noqa: BLE001  unreadable file -> not valid
-        return None
-
-
 def header_flags(inventory_df: DataFrame, name: str = "valid") -> DataFrame:
     """Inventory rows plus the header-marker flag, reading only the first
     ``PREAMBLE + 4`` bytes of each file (the bodies are never read).
 
     Runs as Arrow batches over the inventory's partitions; files are opened
     through ``pyarrow.fs`` (local, HDFS, S3 or GCS URIs). Unreadable files
-    are not valid.
+    are not valid. The task function is self-contained (pickled by value),
+    so executors need only pyarrow and pandas, not this package.
     """
-    import pandas as pd
-
-    n = PREAMBLE + len(MAGIC)
+    n, start, magic = PREAMBLE + len(MAGIC), PREAMBLE, MAGIC
 
     def flag(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        def head(path):
+            try:
+                if path.startswith("file:"):  # Spark lists local paths unencoded
+                    p = path[len("file:"):]
+                    while p.startswith("//"):
+                        p = p[1:]
+                    fs = pafs.LocalFileSystem()
+                else:
+                    fs, p = pafs.FileSystem.from_uri(path)
+                with fs.open_input_stream(p) as f:
+                    return f.read(n)
+            except Exception:  # noqa: BLE001  unreadable file -> not valid
+                return None
+
         for pdf in batches:
-            heads = [_open_head(p, n) for p in pdf["path"]]
+            heads = [head(p) for p in pdf["path"]]
             yield pdf.assign(**{name: pd.Series(
-                [h is not None and len(h) >= n and h[PREAMBLE:n] == MAGIC for h in heads],
-                dtype=bool)})
+                [h is not None and len(h) >= n and h[start:n] == magic for h in heads], dtype=bool)})
 
     schema = inventory_df.schema.simpleString()[len("struct<"):-1] + f",{name}:boolean"
     return inventory_df.mapInPandas(flag, schema)

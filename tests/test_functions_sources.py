@@ -116,3 +116,12 @@ def test_sinks_and_readers(spark):
     assert dict(back.dtypes) == {"k": "string", "v": "string"}
     ids = readers.read_id_list(spark, os.path.join(root, "csv"), "k")
     assert sorted(r.k for r in ids.collect()) == ["1", "2"]
+
+
+def test_header_flags_odd_names(spark):
+    root = tempfile.mkdtemp(prefix="cathlake-names-")
+    os.makedirs(os.path.join(root, "sub dir"))
+    open(os.path.join(root, "sub dir", "a b#1%.dcm"), "wb").write(b"\0" * 128 + b"DICM")
+    open(os.path.join(root, "short.dcm"), "wb").write(b"DICM")
+    got = {os.path.basename(r.path): r.valid for r in files.header_flags(files.inventory(spark, root)).collect()}
+    assert got == {"a b#1%.dcm": True, "short.dcm": False}
