@@ -60,6 +60,8 @@ def header_flags(inventory_df: DataFrame, name: str = "valid") -> DataFrame:
     n, start, magic = PREAMBLE + len(MAGIC), PREAMBLE, MAGIC
 
     def flag(batches):
+        from concurrent.futures import ThreadPoolExecutor
+
         import pandas as pd
         import pyarrow.fs as pafs
 
@@ -77,10 +79,12 @@ def header_flags(inventory_df: DataFrame, name: str = "valid") -> DataFrame:
             except Exception:  # noqa: BLE001  unreadable file -> not valid
                 return None
 
-        for pdf in batches:
-            heads = [head(p) for p in pdf["path"]]
-            yield pdf.assign(**{name: pd.Series(
-                [h is not None and len(h) >= n and h[start:n] == magic for h in heads], dtype=bool)})
+        # opening files is latency-bound (object stores): a few at a time
+        with ThreadPoolExecutor(max_workers=16) as pool:
+            for pdf in batches:
+                heads = list(pool.map(head, pdf["path"]))
+                yield pdf.assign(**{name: pd.Series(
+                    [h is not None and len(h) >= n and h[start:n] == magic for h in heads], dtype=bool)})
 
     schema = inventory_df.schema.simpleString()[len("struct<"):-1] + f",{name}:boolean"
     return inventory_df.mapInPandas(flag, schema)
