@@ -148,3 +148,20 @@ def test_upsert_with_empty_sides(spark):
     assert [(r.rowid, r.DcmPathFlatten) for r in same] == [(3, "/a")]
     fresh = upsert.upsert_catalog(empty, base, order=["DcmPathFlatten"]).collect()
     assert [(r.rowid, r.DcmPathFlatten) for r in fresh] == [(0, "/a")]
+
+
+def test_upsert_with_non_unique_base(spark):
+    base = spark.createDataFrame([(0, "p", "s", "r", "o", "/a"), (1, "p", "s", "r", "o", "/a2"),
+                                  (2, "q", "s", "r", "o", "/b")], CAT)
+    stg = spark.createDataFrame([(None, "p", "s", "r", "o", "/new"), (None, "z", "s", "r", "o", "/z")], CAT)
+    old = spark.conf.get("cathlake.skew.rowsPerTask", None)
+    spark.conf.set("cathlake.skew.rowsPerTask", "1")  # every repeated key is hot
+    try:
+        salted = sorted(tuple(r) for r in upsert.upsert_catalog(base, stg, order=["DcmPathFlatten"],
+                                                                base_unique=False).collect())
+    finally:
+        spark.conf.unset("cathlake.skew.rowsPerTask") if old is None else spark.conf.set(
+            "cathlake.skew.rowsPerTask", old)
+    plain = sorted(tuple(r) for r in upsert.upsert_catalog(base, stg, order=["DcmPathFlatten"]).collect())
+    assert salted == plain
+    assert [r[5] for r in salted] == ["/new", "/new", "/b", "/z"]
