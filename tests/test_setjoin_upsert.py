@@ -4,6 +4,7 @@ table, and the catalog upsert (F8)."""
 import itertools
 
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from cathlake.operators import numbering, setjoin, upsert
 
@@ -107,6 +108,9 @@ def test_keep_first_and_pick_min(spark):
                                "k long, p string, x long")
     got = sorted(tuple(r) for r in numbering.keep_first(df, ["k"], ["p"]).collect())
     assert got == [(1, "a", 9), (2, None, 1)]  # NULLs first
+    # DISTINCT ON k ORDER BY x: payload of the row with the smallest x
+    picked = sorted(tuple(r) for r in numbering.pick_min(df, ["k"], [F.col("x")], ["p"]).collect())
+    assert picked == [(1, "b"), (2, "z")]
 
 
 @settings(max_examples=15, deadline=None)
