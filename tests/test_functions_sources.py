@@ -116,6 +116,14 @@ def test_sinks_and_readers(spark):
     assert dict(back.dtypes) == {"k": "string", "v": "string"}
     ids = readers.read_id_list(spark, os.path.join(root, "csv"), "k")
     assert sorted(r.k for r in ids.collect()) == ["1", "2"]
+    # headerless one-column path list (A4) and bulk append (A11)
+    paths = spark.createDataFrame([("/a/1.dcm",), ("/a/2.dcm",)], "path string")
+    sinks.write_csv(paths, os.path.join(root, "list"), header=False)
+    back = readers.read_path_list(spark, os.path.join(root, "list"))
+    assert sorted(r.path for r in back.collect()) == ["/a/1.dcm", "/a/2.dcm"]
+    sinks.append(df, os.path.join(root, "appended"))
+    sinks.append(df, os.path.join(root, "appended"))
+    assert spark.read.parquet(os.path.join(root, "appended")).count() == 4
 
 
 def test_header_flags_odd_names(spark):
