@@ -17,20 +17,29 @@ from pyspark.sql import functions as F
 
 def cohort_report(df: DataFrame, modality: str = "Modality", patient: str = "PatientID",
                   study: str = "StudyInstanceUID", path: str = "DcmPathFlatten",
-                  modalities: Sequence[str] = ("XA", "OT", "IVUS"), main: str = "XA") -> DataFrame:
+                  modalities: Sequence[str] = ("XA", "OT", "IVUS"), main: str = "XA",
+                  approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """One row: total rows, rows per modality, non-NULL paths, distinct
-    patients / (patient, study) pairs / paths overall and for ``main``."""
+    patients / (patient, study) pairs / paths overall and for ``main``.
+
+    ``approx=True`` replaces the exact distinct counts by HyperLogLog
+    sketches (relative standard deviation ``rsd``): fixed-size per task,
+    merged without expanding the rows once per distinct count.
+    """
     m = F.col(modality)
+
+    def count_distinct(c):
+        return F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     aggs += [F.count_if(m == F.lit(v)).alias(f"n_{v.lower()}") for v in modalities]
     aggs += [
         F.count(F.col(path)).alias("n_paths"),
-        F.count_distinct(F.col(patient)).alias("n_patients"),
-        F.count_distinct(F.struct(F.col(patient), F.col(study))).alias("n_studies"),
-        F.count_distinct(F.col(path)).alias("n_loops"),
-        F.count_distinct(F.when(m == F.lit(main), F.col(patient))).alias(f"n_patients_{main.lower()}"),
-        F.count_distinct(F.when(m == F.lit(main), F.struct(F.col(patient), F.col(study))))
-         .alias(f"n_studies_{main.lower()}"),
+        count_distinct(F.col(patient)).alias("n_patients"),
+        count_distinct(F.struct(F.col(patient), F.col(study))).alias("n_studies"),
+        count_distinct(F.col(path)).alias("n_loops"),
+        count_distinct(F.when(m == F.lit(main), F.col(patient))).alias(f"n_patients_{main.lower()}"),
+        count_distinct(F.when(m == F.lit(main), F.struct(F.col(patient), F.col(study))))
+        .alias(f"n_studies_{main.lower()}"),
     ]
     return df.agg(*aggs)
 

@@ -3,6 +3,8 @@ phase assignment, cohort counts and the cardinality profile."""
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from cathlake.operators import cohort, labels, linkage, registry
 
 T = dt.datetime(2021, 3, 1, 12, 0, 0)
@@ -168,3 +170,15 @@ def test_link_with_an_empty_side(spark):
     none = linkage.link_window(cat.where("false"), reg, "PatientID", "bth_pid", "TimeStamp", "timestamp",
                                "rowid", lid=["PatientID", "DcmPathFlatten"], rcols=["rowid"])
     assert none.count() == 0
+
+
+def test_cohort_report_approx_close_to_exact(spark):
+    from conftest import SF_CHECK
+    o = spark.read.parquet(f"{SF_CHECK}/orders.parquet").select(
+        F.col("o_orderstatus").alias("Modality"), F.col("o_custkey").cast("string").alias("PatientID"),
+        F.col("o_orderpriority").alias("StudyInstanceUID"),
+        F.concat(F.lit("/f/"), F.col("o_orderkey").cast("string")).alias("DcmPathFlatten"))
+    exact = cohort.cohort_report(o, modalities=("F",), main="F").collect()[0].asDict()
+    approx = cohort.cohort_report(o, modalities=("F",), main="F", approx=True).collect()[0].asDict()
+    for k, v in exact.items():
+        assert abs(approx[k] - v) <= 0.05 * v + 1, k
