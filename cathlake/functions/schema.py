@@ -122,7 +122,9 @@ def conform(df: DataFrame, types: dict, keep=()) -> DataFrame:
     return df.select(*out)
 
 
-def create_table_sql(name: str, types: dict) -> str:
-    """``CREATE TABLE IF NOT EXISTS`` DDL (Parquet) for the dictionary."""
+def create_table_sql(name: str, types: dict, location: str | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` DDL (Parquet) for the dictionary,
+    optionally at an explicit ``location``."""
     cols = ", ".join(f"`{c}` {spark_type(t).upper()}" for c, t in types.items())
-    return f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet"
+    loc = f" LOCATION '{location}'" if location else ""
+    return f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{loc}"

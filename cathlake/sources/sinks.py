@@ -24,12 +24,13 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def create_table(spark: SparkSession, name: str, types: dict, database: str | None = None) -> None:
+def create_table(spark: SparkSession, name: str, types: dict, database: str | None = None,
+                 location: str | None = None) -> None:
     """Create the catalog table from its type dictionary if it is missing."""
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         name = f"{database}.{name}"
-    spark.sql(create_table_sql(name, types))
+    spark.sql(create_table_sql(name, types, location))
 
 
 def _fs(spark: SparkSession, path: str):

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,6 +14,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", shuffle_partitions=8, extra={"spark.driver.memory": "6g"})
+    s = get_session("local[4]", shuffle_partitions=8,
+                    extra={"spark.driver.memory": "6g",
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cathlake-wh-")})
     yield s
     s.stop()

@@ -133,3 +133,12 @@ def test_header_flags_odd_names(spark):
     open(os.path.join(root, "short.dcm"), "wb").write(b"DICM")
     got = {os.path.basename(r.path): r.valid for r in files.header_flags(files.inventory(spark, root)).collect()}
     assert got == {"a b#1%.dcm": True, "short.dcm": False}
+
+
+def test_create_table_from_dictionary(spark):
+    loc = tempfile.mkdtemp(prefix="cathlake-ddl-")
+    sinks.create_table(spark, "cl_test_catalog", catalog_types(), location=loc)
+    t = spark.table("cl_test_catalog")
+    assert t.columns == list(catalog_types()) and t.count() == 0
+    assert dict(t.dtypes)["TimeStamp"] == "timestamp_ntz" and dict(t.dtypes)["confidences"] == "array<string>"
+    spark.sql("DROP TABLE cl_test_catalog")
