@@ -10,6 +10,7 @@ import zipfile
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cathlake.session import checkpoint_dir
 
@@ -80,3 +81,11 @@ def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, idx: np.ndarr
     total = int(ends[-1]) if len(ends) else 0
     pos = np.repeat(starts[idx] - (ends - n), n) + np.arange(total)
     return flat[pos], ends
+
+
+def schema_plus(df: DataFrame, *added: tuple[str, str]) -> StructType:
+    """The schema of ``df`` with (name, type) columns added (a copy: ``StructType.add`` changes in place)."""
+    out = StructType(list(df.schema.fields))
+    for name, kind in added:
+        out = out.add(name, kind)
+    return out
