@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality
+from . import bpe, packing, quality, wrappers
 from .common import table
 
 QUERIES: dict = {}
@@ -72,3 +72,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = wrappers.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return out.withColumn("n_chars", F.length("text").cast("bigint"))
