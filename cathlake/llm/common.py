@@ -68,9 +68,9 @@ def whole_text(col: Column) -> Column:
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
-    """Key of a document by content: rows with equal doc_id and text share it,
-    rows that only repeat a doc_id do not."""
-    return F.md5(F.concat_ws("\x01", F.coalesce(doc_id.cast("string"), F.lit("\x02")), text))
+    """Key (16 bytes) of a document by content: rows with equal doc_id and text
+    share it, rows that only repeat a doc_id do not."""
+    return F.unhex(F.md5(F.concat_ws("\x01", F.coalesce(doc_id.cast("string"), F.lit("\x02")), text)))
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, idx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -45,7 +45,7 @@ END_ID = 1
 GROUPS = 256
 LARGE = 8  # a piece is large above capacity / LARGE
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, _cl_key string"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, _cl_key binary"
 
 
 # --- tokens ---------------------------------------------------------------

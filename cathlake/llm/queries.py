@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality, wrappers
+from . import bpe, lines, packing, quality, wrappers
 from .common import table
 
 QUERIES: dict = {}
@@ -78,3 +78,34 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = wrappers.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return out.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return out.select(F.col("_cl_row.doc_id").alias("doc_id"), F.col("_cl_removed").alias("n_removed"),
+                      F.coalesce("_cl_clean", F.lit("")).alias("text"))
+
+
+ORACLE["op1_line_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(source, chr(0)) AS site,
+         md5(coalesce(doc_id::VARCHAR, chr(2)) || chr(1) || coalesce(text, '')) AS k
+  FROM documents
+), l AS (
+  SELECT k, site, unnest(range(len(string_split(t, chr(10))))) AS pos, unnest(string_split(t, chr(10))) AS line FROM d
+), o AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x FROM l
+), b AS (
+  SELECT x, min((k, pos)) AS first FROM o WHERE x <> '' GROUP BY x HAVING count(DISTINCT site) >= 5
+), g AS (
+  SELECT DISTINCT o.k, o.pos FROM o JOIN b ON o.x = b.x WHERE (o.k, o.pos) <> b.first
+), kept AS (
+  SELECT k, string_agg(line, chr(10) ORDER BY pos) AS text
+  FROM (SELECT DISTINCT l.k, l.pos, l.line FROM l ANTI JOIN g ON l.k = g.k AND l.pos = g.pos) GROUP BY k
+), n AS (
+  SELECT k, count(*) AS n FROM g GROUP BY k
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_removed, coalesce(kept.text, '') AS text
+FROM d LEFT JOIN kept ON d.k = kept.k LEFT JOIN n ON d.k = n.k
+"""
