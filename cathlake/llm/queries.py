@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, minhash, packing, quality, wrappers
+from . import bpe, lines, minhash, packing, pii, quality, wrappers
 from .common import table
 
 QUERIES: dict = {}
@@ -114,3 +114,8 @@ FROM d LEFT JOIN kept ON d.k = kept.k LEFT JOIN n ON d.k = n.k
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "class_id", "keep")
+
+
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents", "doc_id", "text"))
