@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, minhash, packing, pii, quality, wrappers
+from . import bpe, lines, minhash, mtree, packing, pii, quality, wrappers
 from .common import table
 
 QUERIES: dict = {}
@@ -119,3 +119,24 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = mtree.prepared(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return mtree.top_k(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
+ORACLE["op4_exact_top_k"] = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS rn, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.rn, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.rn <> c.rn WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY rn ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
