@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, minhash, mtree, packing, pii, quality, wrappers
+from . import bpe, lines, minhash, mtree, packing, passages, pii, quality, wrappers
 from .common import table
 
 QUERIES: dict = {}
@@ -140,3 +140,8 @@ WITH v AS (
 SELECT query_id, row_number() OVER (PARTITION BY rn ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 20
 """
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.report(table(spark, sf_dir, "documents", "doc_id", "text"))
