@@ -5,9 +5,13 @@ Units of a text, in words ``[^\\x20\\x09-\\x0D]+``:
 * paragraphs: lines of at least ``MIN_PARAGRAPH`` words. Equal paragraphs are
   one node. Their five-word shingles give a MinHash signature; ``tune_bands``
   picks the bands for the wanted recall. Paragraphs that collide in a band are
-  compared with the smallest of the band's bucket, and those still apart with
-  each other, in blocks; exact Jaccard of 0.8 or more on the texts links them;
-  linked paragraphs form components.
+  first compared with the shortest of the band's bucket. Members of buckets
+  that are then still apart are joined on prefixes: with shingles ordered from
+  rare to frequent, two sets of Jaccard 0.8 or more share one among the first
+  n - ceil(0.8 n) + 1 of either, so no link is lost, and a passage that very
+  many paragraphs hold is not a prefix unless it makes up most of a paragraph.
+  Exact Jaccard of 0.8 or more on the texts links; linked paragraphs form
+  components.
 * passages: a repeated passage may begin and end inside paragraphs. Windows of
   ``WINDOW`` words start at winnowed places (the smallest hash among any
   ``SPREAD`` neighbours), so every passage of ``WINDOW + SPREAD - 1`` = 51 words
@@ -36,14 +40,13 @@ from pyspark.sql import functions as F
 
 from .common import field, materialize, packed, row_key, ship, whole_text
 from .components import components
-from .minhash import SHINGLE, THRESHOLD, jaccard, mix, shingle_set
+from .minhash import SHINGLE, THRESHOLD, jaccard, mix, shingle_set, shingles
 from .pii import WORD
 from .tokens import slices
 
 MIN_PARAGRAPH = 25
 WINDOW, SPREAD = 36, 16
 RECALL = 0.995
-BLOCK = 256
 LINE = "\x01"  # stands for a line break among the words
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
@@ -213,11 +216,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 def paragraph_components(feats: DataFrame, src: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(node, comp) of linked paragraphs that are not equal."""
-    par = feats.where(F.size("par") > 0).select(F.explode(F.arrays_zip("par", F.transform(
+    par = feats.where(F.size("par") > 0).select(F.explode(F.arrays_zip("par", "par_n", F.transform(
         F.sequence(F.lit(0), F.size("par") - 1), lambda i: F.slice("bands", i * BANDS + 1, F.lit(BANDS))).alias("b"))).alias("x")) \
-        .select(F.col("x.par").alias("par"), F.explode(F.col("x.b")).alias("bucket"))
-    heads = par.groupBy("bucket").agg(F.min("par").alias("head"), F.max("par").alias("last")).where("head != last")
-    heads = materialize(heads.select("bucket", "head"), "heads")
+        .select(F.col("x.par").alias("par"), F.col("x.par_n").alias("n"), F.explode(F.col("x.b")).alias("bucket"))
+    heads = par.groupBy("bucket").agg(F.min(F.struct("n", "par")).alias("head"), F.max(F.struct("n", "par")).alias("last"))
+    heads = materialize(heads.where("head != last").select("bucket", F.col("head.par").alias("head")), "heads")
+    par = par.select("bucket", "par")
     members = materialize(par.join(heads, "bucket").distinct(), "members")
     wanted = materialize(members.select("par").distinct(), "wanted")
     texts = paragraph_texts(src.select("text")).join(wanted, "par", "left_semi") \
@@ -226,24 +230,47 @@ def paragraph_components(feats: DataFrame, src: DataFrame, threshold: float = TH
     star = members.where("par != head").select(F.col("par").alias("a"), F.col("head").alias("b")).distinct()
     found = materialize(_verified(materialize(star, "star"), texts, threshold), "links")
     comp = materialize(components(found), "components")
-    # Members of a bucket that are still apart meet in blocks.
+    # Buckets whose members are still apart.
     placed = members.select("bucket", "par").join(comp.withColumnRenamed("node", "par"), "par", "left") \
         .withColumn("comp", F.coalesce("comp", "par"))
     placed = materialize(placed, "placed")
-    apart = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
-    apart = materialize(apart.where("lo != hi").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("nb")), "apart")
-    rows = placed.join(apart, "bucket").withColumn("blk", F.pmod(F.xxhash64("par"), "nb").cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))) \
-        .withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other"))
-    x = rows.select("bucket", "i", "j", "blk", F.col("par").alias("a"), F.col("comp").alias("ca"))
-    y = rows.select("bucket", "i", "j", F.col("blk").alias("blk2"), F.col("par").alias("b"), F.col("comp").alias("cb"))
-    cross = x.join(y, ["bucket", "i", "j"]).where(
-        (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))
-        & ((F.col("i") == F.col("j")) | (F.col("blk") != F.col("blk2")))).select("a", "b").distinct()
-    more = materialize(_verified(materialize(cross, "cross"), texts, threshold), "more")
+    apart = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+    rest = placed.join(materialize(apart.select("bucket"), "apart"), "bucket").select("par", "comp").distinct()
+    more = prefix_pairs(materialize(rest, "rest"), texts, threshold)
+    more = materialize(_verified(materialize(more, "cross"), texts, threshold), "more")
     return components(found.unionByName(more))
 
 
+def prefix_pairs(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of ``rest`` (par, comp) in different components that share a prefix shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at, part in slices(b.column(2)):
+                row, h, _ = shingles(part)
+                n = np.bincount(row, minlength=len(part)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(at, len(part)), b.column(1).slice(at, len(part)), pa.array(n),
+                     _lists(row, len(part), h.view(np.int64))], ["par", "comp", "n", "h"])
+
+    sets = materialize(rest.join(texts, "par").select("par", "comp", "text")
+                       .mapInArrow(run, "par long, comp long, n int, h array<long>"), "sets")
+    each = sets.select("par", F.explode("h").alias("h"))
+    often = materialize(each.groupBy("h").agg(F.count(F.lit(1)).alias("f")), "often")
+    # A paragraph's list is bounded by its own shingles.
+    ranked = each.join(often, "h").groupBy("par").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("r"))
+    ranked = ranked.join(sets.select("par", "comp", "n"), "par")
+    first = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1
+    token = materialize(ranked.select("par", "comp", "n", F.explode(F.slice("r", F.lit(1), first)).alias("t"))
+                        .where(F.col("t.f") > 1).select("par", "comp", "n", F.col("t.h").alias("h")), "tokens")
+    apart = token.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+    token = materialize(token.join(materialize(apart.select("h"), "apart"), "h"), "tokens-apart")
+    x = token.select("h", F.col("par").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
+    y = token.select("h", F.col("par").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
+    return x.join(y, "h").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))
+                                & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))).select("a", "b").distinct()
+
+
 def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """(uid, first, spans): per document with repeats the smallest uid it shares
     a unit with, and its repeated word ranges (start, end, first uid)."""

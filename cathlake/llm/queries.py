@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, minhash, mtree, packing, passages, pii, quality, wrappers
+from . import bpe, lines, minhash, mtree, packing, passages, pii, quality, warc, wrappers
 from .common import table
 
 QUERIES: dict = {}
@@ -145,3 +145,8 @@ FROM s QUALIFY rank <= 20
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages", "page_id", "url", "html")))
