@@ -4,8 +4,9 @@ PII sanitisation and packing, each over all that its predecessor kept."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cathlake.llm import quality
+from cathlake.llm import lines, minhash, packing, pii, quality
 from cathlake.llm.common import materialize, table
 
 
@@ -14,7 +15,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that are boilerplate across sites."""
+    return with_length(lines.clean(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return minhash.keep_one(docs)
+
+
+def pii_sanitised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced."""
+    return with_length(pii.sanitise(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, placed in sequences."""
+    return packing.pack(docs)
+
+
+def with_length(docs: DataFrame) -> DataFrame:
+    """``n_chars`` brought in line with the text, where the table has it."""
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.length("text").cast(kind))
+
+
+STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup), ("near dedup", near_dedup), ("pii", pii_sanitised),
+          ("packing", packed)]
 
 ORACLE_SQL = None  # the later stages have no SQL form; tests hold them against brute force
 
