@@ -36,7 +36,7 @@ def _tag(L) -> str:
 
 
 def run_bounds(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
-               where: Column | None = None, with_counts: bool = False):
+               where: Column | None = None):
     """One row per study holding any target label: ``lo_L``/``hi_L`` (order
     keys of the first / last L image) and ``n_L`` (order key of the first image
     at or after ``lo_L`` and not after ``hi_L`` whose label is non-NULL and
@@ -45,7 +45,6 @@ def run_bounds(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
     The first aggregate reads every row (``where`` is applied inside it), so
     it also yields the rows per study that size the salting of both joins
     back; the second pass is filtered by ``where`` at the scan.
-    ``with_counts=True`` returns ``(bounds, counts)``.
     """
     targets = list(targets)
     ok = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
@@ -58,9 +57,8 @@ def run_bounds(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
         isL = inc & (lab == F.lit(L))
         first += [F.min(F.when(isL, k)).alias(f"_cl_lo_{_tag(L)}"),
                   F.max(F.when(isL, k)).alias(f"_cl_hi_{_tag(L)}")]
-    s0 = allrows.groupBy(E).agg(*first, F.count(F.lit(1)).alias("_cl_n"))
-    counts = s0.select(E, "_cl_n")
-    s1 = s0.where(_any([F.col(f"_cl_lo_{_tag(L)}").isNotNull() for L in targets])).drop("_cl_n")
+    s0 = allrows.groupBy(E).agg(*first)
+    s1 = s0.where(_any([F.col(f"_cl_lo_{_tag(L)}").isNotNull() for L in targets]))
     bound_cols = [c for c in s1.columns if c != E]
     second = []
     for L in targets:
@@ -73,8 +71,8 @@ def run_bounds(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
             .where(F.col(E).isNotNull()))
     # lo/hi are functions of the study, so grouping by them keeps them
     # without another join; hot studies are salted in the join.
-    bounds = join_back(rows, s1, [E], "inner", counts=counts).groupBy(E, *bound_cols).agg(*second)
-    return (bounds, counts) if with_counts else bounds
+    bounds = join_back(rows, s1, [E], "inner").groupBy(E, *bound_cols).agg(*second)
+    return bounds
 
 
 def in_run(L, key: Column | None = None) -> Column:
@@ -91,10 +89,10 @@ def leading_runs(df: DataFrame, entry, ts, label, targets: Iterable = (1, 0),
     Rows failing ``where`` (e.g. another modality) are never in a run.
     """
     targets = list(targets)
-    stats, counts = run_bounds(df, entry, ts, label, targets, where, with_counts=True)
+    stats = run_bounds(df, entry, ts, label, targets, where)
     cond = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     full = df.withColumn(E, to_col(entry)).withColumn(K, key_for(df, ts))
-    out = join_back(full, stats, [E], "left", counts=counts)
+    out = join_back(full, stats, [E], "left")
     for L in targets:
         out = out.withColumn(f"{prefix}{_tag(L)}", cond & in_run(L))
     return out.drop(*[c for c in out.columns if c.startswith("_cl_")])
@@ -142,17 +140,15 @@ def leading_runs_v1(df: DataFrame, entry, ts, label, L) -> DataFrame:
           .agg(F.count_if(isL).alias("_cl_nL"),
                F.min(F.when(isL, tt)).alias("_cl_fL"),
                F.min(F.when(notL, tt)).alias("_cl_fN1"),
-               F.count_if(notL).alias("_cl_cN1"),
-               F.count(F.lit(1)).alias("_cl_n")))
-    counts = s0.select(E, "_cl_n")
-    s1 = s0.where(F.col("_cl_nL") > 0).drop("_cl_nL", "_cl_n")
+               F.count_if(notL).alias("_cl_cN1")))
+    s1 = s0.where(F.col("_cl_nL") > 0).drop("_cl_nL")
     in_t3 = ~F.coalesce(tt < F.col("_cl_fL"), F.lit(False))
     s1_cols = [c for c in s1.columns if c != E]
-    s2 = (join_back(rows.select(E, "_cl_t", LAB), s1, [E], "inner", counts=counts)
+    s2 = (join_back(rows.select(E, "_cl_t", LAB), s1, [E], "inner")
           .groupBy(E, *s1_cols)
           .agg(F.min(F.when(in_t3 & notL, tt)).alias("_cl_fN3"),
                F.count_if(in_t3 & notL).alias("_cl_cN3")))
-    j = join_back(rows, s2, [E], "inner", counts=counts)
+    j = join_back(rows, s2, [E], "inner")
     keep = (F.coalesce(tt < F.col("_cl_fN1"), F.lit(False))
             | (in_t3 & F.coalesce(tt < F.col("_cl_fN3"), F.lit(False)))
             | (F.col("_cl_cN1") == 0)
@@ -169,11 +165,9 @@ def group_extremum(df: DataFrame, entry, ts, label, L) -> DataFrame:
     isL = to_col(label) == F.lit(L)
     stats = (rows.where(F.col(E).isNotNull()).groupBy(E)
              .agg(F.min(F.when(isL, F.col(K))).alias("_cl_lo"),
-                  F.max(F.when(isL, F.col(K))).alias("_cl_hi"),
-                  F.count(F.lit(1)).alias("_cl_n")))
-    counts = stats.select(E, "_cl_n")
-    stats = stats.where(F.col("_cl_lo").isNotNull()).drop("_cl_n")
-    j = join_back(rows, stats, [E], "inner", counts=counts)
+                  F.max(F.when(isL, F.col(K))).alias("_cl_hi")))
+    stats = stats.where(F.col("_cl_lo").isNotNull())
+    j = join_back(rows, stats, [E], "inner")
     out = (j.withColumn("at_first", F.col(K) == F.col("_cl_lo"))
            .withColumn("at_last", F.col(K) == F.col("_cl_hi"))
            .where(F.col("at_first") | F.col("at_last")))
@@ -185,11 +179,9 @@ def before_first(df: DataFrame, entry, ts, cond: Column) -> DataFrame:
     same study (the decorrelated form of ``ts < (SELECT min(ts) ... )``)."""
     t = to_col(ts)
     rows = df.withColumn(E, to_col(entry)).withColumn("_cl_t", t)
-    stats = rows.groupBy(E).agg(F.min(F.when(cond, F.col("_cl_t"))).alias("_cl_f"),
-                                F.count(F.lit(1)).alias("_cl_n"))
-    counts = stats.select(E, "_cl_n")
-    stats = stats.where(F.col("_cl_f").isNotNull()).drop("_cl_n")
-    j = join_back(rows, stats, [E], "inner", counts=counts)
+    stats = rows.groupBy(E).agg(F.min(F.when(cond, F.col("_cl_t"))).alias("_cl_f"))
+    stats = stats.where(F.col("_cl_f").isNotNull())
+    j = join_back(rows, stats, [E], "inner")
     return j.where(F.col("_cl_t") < F.col("_cl_f")).select(*df.columns)
 
 

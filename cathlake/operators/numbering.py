@@ -100,11 +100,11 @@ def dense_ids(df: DataFrame, order: Sequence, name: str = "rowid", start=0,
     return pos.withColumn(name, start.cast("long") + F.col("_cl_pos")).drop("_cl_pos")
 
 
-def _join_back(a: DataFrame, b: DataFrame, cols: Sequence[str], counts=None) -> DataFrame:
+def _join_back(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Inner join on null-safe equality of ``cols`` (one ``b`` row per key),
-    hot keys salted."""
+    hot keys split."""
     from cathlake.operators.skew import join_back
-    return join_back(a, b, list(cols), "inner", counts=counts, null_safe=True)
+    return join_back(a, b, list(cols), "inner", null_safe=True)
 
 
 def group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str],
@@ -129,7 +129,7 @@ def group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str],
         # dense_rank = row_number over the distinct (group, value) pairs
         vals = df.groupBy(*group, *order).agg(F.count(F.lit(1)).alias("_cl_n"))
         r = group_rank(vals, group, order, name, "row_number", nulls_last, parts=parts)
-        return _join_back(df, r.drop("_cl_n"), group + order, counts=vals)
+        return _join_back(df, r.drop("_cl_n"), group + order)
     # rank / row_number: positions over the rows, then per-partition windows.
     # Rank needs ties in one partition, so its range key is (group, order).
     sort = gsort + [asc(c) for c in order] + ([asc(c) for c in tiebreak] if method == "row_number" else [])

@@ -29,7 +29,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cathlake.operators.skew import join_back, key_counts
+from cathlake.operators.skew import join_back
 
 
 def _mask(keys: Sequence[str]) -> Column:
@@ -39,7 +39,10 @@ def _mask(keys: Sequence[str]) -> Column:
 
 def _patterns(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[list, list]:
     """NULL patterns (bit i set = key i NULL) present on each side, complete
-    rows excluded, read in one job. At most 2 * (2^len(keys) - 1) values."""
+    rows excluded. Keys that the schema declares non-null need no read; else
+    one job reads the patterns, at most 2 * (2^len(keys) - 1) values."""
+    if not any(df.schema[k].nullable for df in (left, right) for k in keys):
+        return [], []
     both = (left.select(F.lit(0).alias("_cl_side"), _mask(keys).alias("_cl_m"))
             .unionByName(right.select(F.lit(1).alias("_cl_side"), _mask(keys).alias("_cl_m")))
             .where(F.col("_cl_m") > 0).distinct().collect())
@@ -75,7 +78,7 @@ def not_in_tuple(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
     ``left_unique=True`` states that ``keys`` is a key of ``left`` (e.g. it
     was just de-duplicated on them): the complete-key anti join then has no
-    hot key and is not salted. Joins on fewer columns still are.
+    hot key and may reuse an earlier partitioning.
     """
     keys = list(keys)
     rkeys = list(rkeys or keys)
@@ -85,28 +88,25 @@ def not_in_tuple(left: DataFrame, right: DataFrame, keys: Sequence[str],
     r_full, r_part = r.where(rm == 0), r.where(rm > 0)
     l_pats, r_pats = _patterns(left, r, keys)
 
-    def anti(df: DataFrame, rr: DataFrame, cols: list[str], source: DataFrame) -> DataFrame:
-        """Chained anti join; key counts come from the un-chained ``source``
-        (a superset of ``df``), so the plan does not grow with the chain."""
+    def anti(df: DataFrame, rr: DataFrame, cols: list[str]) -> DataFrame:
         if not cols:
             return _drop_if_exists(df, rr)
-        return join_back(df, rr.select(*cols).distinct(), cols, "left_anti",
-                         counts=key_counts(source.select(*cols), cols))
+        return join_back(df, rr.select(*cols).distinct(), cols, "left_anti")
 
     if left_unique:
         out = l_full.join(r_full.distinct(), keys, "left_anti")
     else:
-        out = anti(l_full, r_full, keys, l_full)
+        out = anti(l_full, r_full, keys)
     for p in r_pats:
-        out = anti(out, r_part.where(rm == p), _nonnull(keys, p), l_full)
+        out = anti(out, r_part.where(rm == p), _nonnull(keys, p))
     parts = [out]
     for q in l_pats:
         src = l_part.where(lm == q)
         cq = _nonnull(keys, q)
-        lq = anti(src, r_full, cq, src)
+        lq = anti(src, r_full, cq)
         for p in r_pats:
             shared = [c for c in cq if c in _nonnull(keys, p)]
-            lq = anti(lq, r_part.where(rm == p), shared, src)
+            lq = anti(lq, r_part.where(rm == p), shared)
         parts.append(lq)
     return reduce(lambda a, b: a.unionByName(b), parts)
 

@@ -1,24 +1,15 @@
 """Joining per-key results back to the rows when one key may hold a third
 of all rows.
 
-Adaptive execution can only split a skewed join partition when both sides
-arrive through a fresh shuffle; a per-key stats table usually comes straight
-out of an aggregate whose partitioning the join reuses, so the hot key would
-be processed by one task. ``join_back`` therefore salts explicitly:
-
-* per-key row counts (a map-side combined aggregate, usually already at
-  hand) give the hot keys: more than ``rows_per_task`` rows, at most the
-  ``MAX_HOT`` largest, so the broadcast hot-key table has a fixed bound
-  (a key beyond it is still joined correctly, only not split);
-* rows of a hot key get a salt in ``[0, n_salt)`` from ``rand(seed)``
-  (stable when a task is retried on the same input split), others salt 0;
-* the stats rows of a hot key are copied once per salt value;
-* the join runs on (key, salt), so a hot key is spread over ``n_salt``
-  tasks; cold keys pay one broadcast lookup.
-
-Rows with a NULL key part can never match a plain equality, so they skip the
-join entirely (kept with NULL stats for outer joins) instead of all hashing
-to one partition.
+Adaptive execution splits a skewed join partition only when both sides arrive
+through a fresh shuffle. A per-key stats table usually comes straight out of
+an aggregate whose partitioning the join would reuse, and then a hot key is
+one task. ``join_back`` therefore joins on the keys and on a hash of them: no
+earlier partitioning covers that hash, so both sides get a shuffle of their
+own, and adaptive execution splits a hot key by its measured size
+(``spark.sql.adaptive.skewJoin.*``). Rows with a NULL key part take the same
+join; under plain equality they match nothing, and their partition is split
+like any other hot one. There are no salts, no key lists and no extra passes.
 """
 
 from __future__ import annotations
@@ -29,83 +20,24 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows one task should handle for a single key before the key is split;
-# the session setting ``cathlake.skew.rowsPerTask`` overrides it.
-ROWS_PER_TASK = 1_000_000
-CONF_ROWS_PER_TASK = "cathlake.skew.rowsPerTask"
-# Most hot keys salted (rows of the broadcast hot-key table).
-MAX_HOT = 100_000
-SALT = "_cl_salt"
-NSALT = "_cl_nsalt"
-
-
-def key_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key (NULL keys included), combined map-side."""
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cl_n"))
-
-
-def task_rows(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get(CONF_ROWS_PER_TASK, None)
-    return int(v) if v else ROWS_PER_TASK
-
-
-def hot_keys(counts: DataFrame, keys: Sequence[str], n_col: str = "_cl_n",
-             rows_per_task: int | None = None) -> DataFrame:
-    """(keys, salt count) of the hot keys; at most ``MAX_HOT`` rows."""
-    if rows_per_task is None:
-        rows_per_task = task_rows(counts)
-    return (counts.where(F.col(n_col) > F.lit(rows_per_task))
-            .orderBy(F.col(n_col).desc()).limit(MAX_HOT)
-            .select(*keys, F.ceil(F.col(n_col) / F.lit(rows_per_task)).cast("int").alias(NSALT)))
-
-
-def _hot_cond(df_keys, hot_prefix: str, null_safe: bool):
-    return reduce(lambda x, y: x & y,
-                  [(F.col(k).eqNullSafe(F.col(f"{hot_prefix}{k}")) if null_safe
-                    else F.col(k) == F.col(f"{hot_prefix}{k}")) for k in df_keys])
-
 
 def join_back(rows: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner",
-              counts: DataFrame | None = None, null_safe: bool = False,
-              rows_per_task: int | None = None) -> DataFrame:
+              null_safe: bool = False) -> DataFrame:
     """``rows`` joined with ``stats`` (few rows per key) on ``keys`` with
-    ``how`` in ``inner`` / ``left`` / ``left_semi`` / ``left_anti``, hot keys
-    salted.
+    ``how`` in ``inner`` / ``left`` / ``left_semi`` / ``left_anti``.
 
-    ``counts`` (keys + ``_cl_n``) may be passed when already computed; it
-    must cover every key of ``rows``. Output columns: ``rows`` then the
-    non-key ``stats`` columns (``rows`` only for semi / anti joins).
+    Output columns: ``rows`` then the non-key ``stats`` columns (``rows`` only
+    for semi / anti joins).
     """
     keys = list(keys)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)
     extra = [c for c in stats.columns if c not in keys]
-    if not null_safe:
-        has_null = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
-        nulls = rows.where(has_null)
-        rows = rows.where(~has_null)
-    if counts is None:
-        counts = key_counts(rows, keys)
-    hot = hot_keys(counts, keys, rows_per_task=rows_per_task)
-    h = F.broadcast(hot.select(*[F.col(k).alias(f"_cl_h_{k}") for k in keys], NSALT))
-    # rows: salt in [0, n_salt) for hot keys, 0 otherwise
-    salt = F.when(F.col(NSALT).isNull(), F.lit(0)).otherwise(
-        F.floor(F.rand(17) * F.col(NSALT)).cast("int"))
-    r = rows.join(h, _hot_cond(keys, "_cl_h_", null_safe), "left") \
-            .select(*[F.col(c) for c in rows.columns], salt.alias(SALT))
-    # stats: one copy per salt value of a hot key
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(NSALT), F.lit(1)) - 1))
-    s = stats.join(h, _hot_cond(keys, "_cl_h_", null_safe), "left") \
-             .select(*[F.col(k).alias(f"_cl_s_{k}") for k in keys], copies.alias("_cl_s_salt"),
-                     *[F.col(c) for c in extra])
-    cond = _hot_cond(keys, "_cl_s_", null_safe) & (F.col(SALT) == F.col("_cl_s_salt"))
-    out = r.join(s, cond, how)
-    if how in ("left_semi", "left_anti"):
-        out = out.select(*[F.col(c) for c in rows.columns])
-    else:
-        out = out.select(*[F.col(c) for c in rows.columns], *[F.col(c) for c in extra])
-    if not null_safe and how == "left":
-        out = out.unionByName(nulls, allowMissingColumns=True)
-    elif not null_safe and how == "left_anti":
-        out = out.unionByName(nulls)
-    return out
+    r = rows.select(*[F.col(c) for c in rows.columns], F.xxhash64(*keys).alias("_cl_left_hash"))
+    s = stats.select(*[F.col(k).alias(f"_cl_s_{k}") for k in keys], *[F.col(c) for c in extra],
+                     F.xxhash64(*keys).alias("_cl_right_hash"))
+    same = [F.col(k).eqNullSafe(F.col(f"_cl_s_{k}")) if null_safe else F.col(k) == F.col(f"_cl_s_{k}")
+            for k in keys]
+    out = r.join(s, reduce(lambda x, y: x & y, [F.col("_cl_left_hash") == F.col("_cl_right_hash"), *same]), how)
+    kept = rows.columns if how in ("left_semi", "left_anti") else [*rows.columns, *extra]
+    return out.select(*[F.col(c) for c in kept])

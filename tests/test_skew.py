@@ -1,5 +1,5 @@
 """A study holding about a third of all rows is split over several tasks by
-salting, and every operator that joins per-key results back gives the same
+adaptive execution, and every operator that joins per-key results back gives the same
 answer with and without the split."""
 
 from pyspark.sql import functions as F
@@ -40,30 +40,50 @@ def flags(spark):
                    r.diagnostic_data) for r in out.collect())
 
 
-def test_hot_study_is_salted_and_results_agree(spark):
+SPLIT = {**NO_BROADCAST, "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+
+
+def test_hot_study_is_split_and_results_agree(spark):
     cat = hot_catalog(spark)
-    counts = skew.key_counts(cat, ["study"])
-    split = {**NO_BROADCAST, skew.CONF_ROWS_PER_TASK: "2000"}
-    hot = with_conf(spark, split, lambda: skew.hot_keys(counts, ["study"]).collect())
-    assert [(r.study, r._cl_nsalt) for r in hot] == [(0, 11)]  # ~21 000 rows -> 11 salts
+    stats = cat.groupBy("study").agg(F.max("l_linenumber").alias("top"))
+
+    def run():
+        df = skew.join_back(cat, stats, ["study"])
+        rows = sorted(map(str, df.collect()))
+        return rows, df._jdf.queryExecution().executedPlan().toString()
+
+    split, plan = with_conf(spark, SPLIT, run)
+    whole, _ = with_conf(spark, NO_BROADCAST, run)
+    assert split == whole and "skew=true" in plan and "rand(" not in plan
     plain = with_conf(spark, NO_BROADCAST, lambda: flags(spark))
-    salted = with_conf(spark, split, lambda: flags(spark))
-    assert salted == plain
+    assert with_conf(spark, SPLIT, lambda: flags(spark)) == plain
     assert sum(1 for r in plain if r[0] == 0) > len(plain) / 4
 
 
-def test_salted_plans_agree_on_driver_tables(spark):
-    """Plans over the driver tables give identical rows when every key with
-    more than 50 rows is split."""
+def test_null_keys_take_the_same_join(spark):
+    rows = spark.createDataFrame([(None, 1), (1, 2), (2, 3), (None, 4)], "k int, v int")
+    stats = spark.createDataFrame([(1, "a"), (None, "n")], "k int, s string")
+
+    def got(how, **kw):
+        return sorted(map(tuple, skew.join_back(rows, stats, ["k"], how, **kw).collect()), key=str)
+
+    assert got("left") == sorted([(None, 1, None), (1, 2, "a"), (2, 3, None), (None, 4, None)], key=str)
+    assert got("left", null_safe=True) == sorted([(None, 1, "n"), (1, 2, "a"), (2, 3, None), (None, 4, "n")], key=str)
+    assert got("left_anti") == sorted([(None, 1), (2, 3), (None, 4)], key=str)
+    assert got("left_semi") == [(1, 2)] and got("inner") == [(1, 2, "a")]
+
+
+def test_split_plans_agree_on_driver_tables(spark):
+    """Plans over the driver tables give identical rows when hot partitions are split."""
     q = entry.queries()
-    names = ["runs_v1", "group_extremum", "corr_min", "rank_ts", "anti_tuple", "semi_in",
-             "link_window", "diagnostic_flag_events",
-             "cohort_phase", "label_merge", "registry_sub_entry"]
+    names = ["runs_v1", "group_extremum", "corr_min", "anti_tuple", "semi_in", "link_window", "label_merge",
+             "registry_sub_entry"]
 
     def collect(name):
         return sorted(map(tuple, q[name](spark, SF_CHECK).collect()), key=repr)
 
     for name in names:
-        plain = with_conf(spark, NO_BROADCAST, lambda: collect(name))
-        salted = with_conf(spark, {**NO_BROADCAST, skew.CONF_ROWS_PER_TASK: "50"}, lambda: collect(name))
-        assert salted == plain, name
+        assert with_conf(spark, SPLIT, lambda: collect(name)) == with_conf(spark, NO_BROADCAST, lambda: collect(name)), name
