@@ -21,7 +21,7 @@ needed at all (``link_window``, the default):
    one row per partition (broadcast, bounded by the partition count);
 5. the nearer of the two within the window wins, and images and procedure
    payload are joined back on their ids (a procedure picked by many images
-   is salted like any hot key).
+   is split like any hot key).
 
 ``link_window_pairs`` is the direct form (equi-join on patient and a time
 bucket of the window width, exact bound check, ``min(struct)`` pick); it
@@ -111,8 +111,9 @@ def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
 
     Right columns are renamed ``prefix + name`` when the name also exists on
     the left (``TimeStamp`` / ``timestamp`` and shared names never clash).
-    Among left rows sharing an ``lid`` value the first in column order is
-    kept (``DISTINCT ON`` with a fixed survivor); ``unique_left=True`` states
+    Of left rows sharing an ``lid`` value one survives (``DISTINCT ON`` with a
+    fixed order: has a match, smallest |dt|, procedure time, procedure id,
+    image time, remaining columns), with its own match; ``unique_left=True`` states
     that ``lid`` is already a key and skips that reduction. ``rid`` must be
     a key of ``right``.
     """
@@ -183,19 +184,27 @@ def link_window(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
         m = y.select(*[F.col(f"_lid._l{i}").alias(f"_cl_lid{i}") for i in range(len(lid))],
                      F.col("_best._rid").alias("_cl_brid"))
     else:
-        # several left rows may share an lid value: keep the best match
+        # several left rows may share an lid value: one rule picks the match
+        # and, with it, the key and time of the image that it belongs to
         m = (y.groupBy("_lid").agg(F.min(F.struct(
                 F.col("_best").isNull().alias("_nm"), F.abs(F.col("_best._t") - F.col("_t")).alias("_d"),
-                F.col("_best._t").alias("_bt"), F.col("_best._rid").alias("_brid"))).alias("_m"))
+                F.col("_best._t").alias("_bt"), F.col("_best._rid").alias("_brid"),
+                F.col("_t").alias("_it"), F.col("_k").alias("_ik"))).alias("_m"))
              .select(*[F.col(f"_lid._l{i}").alias(f"_cl_lid{i}") for i in range(len(lid))],
-                     F.col("_m._brid").alias("_cl_brid")))
+                     F.col("_m._brid").alias("_cl_brid"), F.col("_m._it").alias("_cl_it"),
+                     F.col("_m._ik").alias("_cl_ik")))
 
     # 5. join back the image columns and the procedure payload
     lrest = [c for c in left.columns if c not in lid]
-    one = left if unique_left else keep_first(left, lid, lrest)
     cond = [F.col(c).eqNullSafe(F.col(f"_cl_lid{i}")) for i, c in enumerate(lid)]
-    out = one.join(m, cond, "left").drop(*[f"_cl_lid{i}" for i in range(len(lid))])
-    # many images of a heavy patient may pick the same procedure: salted
+    out = left.join(m, cond, "left").drop(*[f"_cl_lid{i}" for i in range(len(lid))])
+    if not unique_left:
+        # the survivor is the image that the match belongs to; without a
+        # match, the first in column order
+        own = F.coalesce((_micros(left, lts) == F.col("_cl_it")) & (F.col(lkey) == F.col("_cl_ik")), F.lit(False))
+        out = keep_first(out.withColumn("_cl_other", ~own), lid, ["_cl_other", *lrest]) \
+            .drop("_cl_other", "_cl_it", "_cl_ik")
+    # many images of a heavy patient may pick the same procedure
     rp = right.select(F.col(rid).alias("_cl_brid"), *[F.col(c).alias(f"_cl_r_{c}") for c in rcols])
     out = join_back(out, rp, ["_cl_brid"], "left")
     return out.select(*left.columns, *[F.col(f"_cl_r_{c}").alias(names[c]) for c in rcols])

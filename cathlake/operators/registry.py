@@ -9,6 +9,7 @@ discovery job, no column for a NULL site).
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -77,10 +78,12 @@ def pivot_conflicts(df: DataFrame, keys: Sequence[str], site: str) -> DataFrame:
 
 def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lokalbed_velse"),
                   site="proceduresite", sub="sub_entryid", start="procedurestart_lokalbed_velse",
-                  mode: str = "entry", sites: Sequence = SITES) -> DataFrame:
+                  mode: str = "entry", sites: Sequence = SITES, order: Sequence[str] = ()) -> DataFrame:
     """Registry pivot: rows without a procedure start dropped, measures
     ``Sten %: <site>``, ``ffr %: <site>`` (numbers) and ``kartype: <site>``
-    (text), the other columns from the entry's first row, start renamed
+    (text), the other columns together from one row of the whole entry: the
+    first in ``order`` (columns that give the file's row order; they are not
+    attributes), ties and no order by the attributes themselves; start renamed
     ``timestamp`` and parsed strictly.
 
     Level 1 is one pivot row per sub-entry (duplicate (sub-entry, site)
@@ -94,26 +97,29 @@ def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lok
     keys = list(keys)
     base = df.where(F.col(start).isNotNull())
     attrs = [c for c in df.columns
-             if c not in keys and c not in (site, sub) and c not in MEASURE_PREFIX]
+             if c not in keys and c not in (site, sub, *order) and c not in MEASURE_PREFIX]
+    first_row = F.struct(*[F.col(c).alias(f"_cl_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in attrs])
     s = F.col(site)
     cols = {m: [f"{p}{v}" for v in sites] for m, p in MEASURE_PREFIX.items()}
     level1 = base.groupBy(*keys, sub).agg(
-        F.min(F.struct(*[F.col(c) for c in attrs])).alias("_cl_attr"),
+        F.min(first_row).alias("_cl_attr"),
         *[F.min(F.when(s == F.lit(v), F.col(m))).alias(f"{p}{v}")
           for m, p in MEASURE_PREFIX.items() for v in sites])
     if mode == "entry":
-        carried = ["_cl_attr"] + [c for m in MEASURE_PREFIX for c in cols[m]]
+        carried = [c for m in MEASURE_PREFIX for c in cols[m]]
         first = level1.groupBy(*keys).agg(
+            F.min("_cl_attr").alias("_cl_attr"),
             F.min(F.struct(F.col(sub), *[F.col(c) for c in carried])).alias("_cl_r"))
-        wide = first.select(*keys, *[F.col(f"_cl_r._cl_attr.{a}").alias(a) for a in attrs],
+        wide = first.select(*keys, *[F.col(f"_cl_attr.{a}").alias(a) for a in attrs],
                             *[F.col(f"_cl_r.`{c}`").alias(c) for m in MEASURE_PREFIX for c in cols[m]])
     elif mode == "sub_entry":
         shared = [c for m in ("stenosegrad_eyeball", "ffr") for c in cols[m]]
         first = level1.groupBy(*keys).agg(
-            F.min(F.struct(F.col(sub), F.col("_cl_attr"), *[F.col(c) for c in shared])).alias("_cl_r"))
+            F.min("_cl_attr").alias("_cl_attr"),
+            F.min(F.struct(F.col(sub), *[F.col(c) for c in shared])).alias("_cl_r"))
         j = join_back(level1.select(*keys, sub, *[F.col(f"`{c}`") for c in cols["kartype"]]),
                       first, keys, "inner", null_safe=True)
-        wide = j.select(*keys, sub, *[F.col(f"_cl_r._cl_attr.{a}").alias(a) for a in attrs],
+        wide = j.select(*keys, sub, *[F.col(f"_cl_attr.{a}").alias(a) for a in attrs],
                         *[F.col(f"_cl_r.`{c}`").alias(c) for c in shared],
                         *[F.col(f"`{c}`") for c in cols["kartype"]])
     else:
@@ -129,10 +135,13 @@ def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lok
 def cardinality_profile(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
     """Per column: how many distinct per-group distinct-counts it has, and
     whether that is more than one (the column varies inside some groups but
-    not others). Two aggregation levels; the second is one row."""
+    not others). Groups with a NULL key part do not count."""
     keys = list(keys)
     cols = [c for c in (cols or df.columns) if c not in keys]
-    per_group = df.groupBy(*keys).agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols])
-    counts = per_group.agg(*[F.count_distinct(F.col(c)).cast("long").alias(c) for c in cols])
-    long = counts.unpivot([], cols, "column", "distinct_counts")
+    named = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    text = df.where(named).select(*keys, *[F.col(c).cast("string").alias(c) for c in cols])
+    # One narrow row per value instead of one wide row per counted column.
+    values = text.unpivot(keys, cols, "column", "value")
+    per_group = values.groupBy(*keys, "column").agg(F.count_distinct("value").alias("n"))
+    long = per_group.groupBy("column").agg(F.count_distinct("n").cast("long").alias("distinct_counts"))
     return long.withColumn("multi_entry", F.col("distinct_counts") != 1)

@@ -4,6 +4,8 @@ subqueries and window functions, not from the Spark plans."""
 
 from __future__ import annotations
 
+from cathlake.operators.registry import SITES
+
 ORACLE: dict[str, str] = {}
 
 _LI_BASE = """
@@ -203,9 +205,7 @@ WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
 
 ORACLE["union_distinct"] = """
 SELECT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'click'
-UNION SELECT user_id, CAST(ts AS DATE) FROM events WHERE event_type = 'view'
-UNION SELECT user_id, CAST(ts AS DATE) FROM events WHERE event_type = 'purchase'
-UNION SELECT user_id, CAST(ts AS DATE) FROM events WHERE event_type = 'error'
+UNION SELECT user_id, CAST(ts AS DATE) FROM events WHERE event_type IS DISTINCT FROM 'click'
 """
 
 ORACLE["union_all"] = """
@@ -254,6 +254,17 @@ QUALIFY row_number() OVER (PARTITION BY l.event_id
   ORDER BY abs(epoch_us(r.ts) - epoch_us(l.ts)) NULLS LAST, r.ts, r.event_id) = 1
 """
 
+ORACLE["link_window_dup"] = """
+WITH l AS (SELECT event_id % 997 AS image, user_id, ts, event_id FROM events WHERE event_type IS DISTINCT FROM 'purchase'),
+     r AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase')
+SELECT l.image, l.user_id, l.ts, l.event_id,
+       r.event_id AS pats_event_id, r.ts AS pats_ts, r.value
+FROM l LEFT JOIN r ON l.user_id = r.user_id
+  AND r.ts BETWEEN l.ts - INTERVAL 6 HOURS AND l.ts + INTERVAL 6 HOURS
+QUALIFY row_number() OVER (PARTITION BY l.image
+  ORDER BY abs(epoch_us(r.ts) - epoch_us(l.ts)) NULLS LAST, r.ts, r.event_id, l.ts, l.user_id, l.event_id) = 1
+"""
+
 
 def _wide(measures, sites, reducer="min"):
     return ",\n  ".join(f"{reducer}(CASE WHEN l_linenumber = {s} THEN {m} END) AS {p}{s}"
@@ -392,8 +403,8 @@ ORACLE["path_build"] = """
 WITH o AS (SELECT o_orderkey, '/data/' || CAST(o_custkey AS VARCHAR) || '/' || CAST(o_orderkey AS VARCHAR)
                   || '/' || CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END
                   || '/' || o_orderpriority || '.dcm' AS path FROM orders)
-SELECT o_orderkey, path, concat_ws('/', '/out', regexp_extract(path, '[^/]*$')) AS out_path,
-       CAST(o_orderkey AS VARCHAR) || '_' || regexp_extract(path, '[^/]*$') AS flat_name
+SELECT o_orderkey, path, '/out/' || regexp_extract(path, '[^/]*$') AS out_path,
+       CAST(o_orderkey AS VARCHAR) || regexp_extract(path, '[^/]*$') AS flat_name
 FROM o
 """
 
@@ -469,10 +480,6 @@ SELECT CAST(row_number() OVER (ORDER BY "DcmPathFlatten") - 1 AS BIGINT) AS rowi
 FROM f
 """
 
-# The 16 coronary segment names (registry site values).
-_SITES = ["1 Prox RCA", "2 Midt RCA", "3 Distale RCA", "4 PDA", "5 LM", "6 Prox LAD",
-          "7 Midt LAD", "8 Distale LAD", "9 D1", "10 D2", "11 Prox LCX", "12 OM1",
-          "13 Midt LCX", "14 OM2", "15 Distale LCX", "16 PLA fra RCA"]
 _MEAS = [("stenosegrad_eyeball", "Sten %: "), ("ffr", "ffr %: "), ("kartype", "kartype: ")]
 
 _LI_REG = """
@@ -482,32 +489,38 @@ SELECT CAST(l_orderkey AS VARCHAR) AS bth_pid,
        CAST(l_suppkey AS VARCHAR) AS sub_entryid,
        CASE WHEN l_linenumber = 7 THEN NULL ELSE (%s)[l_linenumber] END AS proceduresite,
        CAST(l_quantity AS VARCHAR) AS stenosegrad_eyeball, CAST(l_discount AS VARCHAR) AS ffr,
-       l_returnflag AS kartype, strftime(l_shipdate, '%%Y-%%m-%%d') AS shipped
-FROM lineitem""" % ("[" + ", ".join(f"'{v}'" for v in _SITES) + "]")
+       l_returnflag AS kartype, CASE WHEN l_discount > 0.07 THEN NULL ELSE strftime(l_shipdate, '%%Y-%%m-%%d') END AS shipped, l_linenumber
+FROM lineitem""" % ("[" + ", ".join(f"'{v}'" for v in SITES) + "]")
 
 
 def _level1() -> str:
     cols = ",\n  ".join(f"min(CASE WHEN proceduresite = '{v}' THEN {m} END) AS \"{p}{v}\""
-                        for m, p in _MEAS for v in _SITES)
-    return f"""SELECT bth_pid, entryid, procedurestart_lokalbed_velse, sub_entryid, min(shipped) AS shipped,
+                        for m, p in _MEAS for v in SITES)
+    return f"""SELECT bth_pid, entryid, procedurestart_lokalbed_velse, sub_entryid,
   {cols}
 FROM ({_LI_REG}) WHERE procedurestart_lokalbed_velse IS NOT NULL
 GROUP BY bth_pid, entryid, procedurestart_lokalbed_velse, sub_entryid"""
 
 
 def _q(m):
-    return ", ".join(f'"{p}{v}"' for mm, p in _MEAS if mm == m for v in _SITES)
+    return ", ".join(f'"{p}{v}"' for mm, p in _MEAS if mm == m for v in SITES)
 
 
 def _qd(m):
-    return ", ".join(f'TRY_CAST("{p}{v}" AS DOUBLE) AS "{p}{v}"' for mm, p in _MEAS if mm == m for v in _SITES)
+    return ", ".join(f'TRY_CAST("{p}{v}" AS DOUBLE) AS "{p}{v}"' for mm, p in _MEAS if mm == m for v in SITES)
+
 
+_FIRST_ROW = f"""(SELECT bth_pid AS b, entryid AS e, procedurestart_lokalbed_velse AS p, shipped FROM ({_LI_REG})
+  WHERE procedurestart_lokalbed_velse IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY bth_pid, entryid, procedurestart_lokalbed_velse
+                             ORDER BY l_linenumber, shipped NULLS FIRST) = 1)"""
 
 ORACLE["registry_entry"] = f"""
 WITH l1 AS ({_level1()})
 SELECT bth_pid, entryid, CAST(procedurestart_lokalbed_velse AS TIMESTAMP) AS "timestamp", shipped,
        {_qd('stenosegrad_eyeball')}, {_qd('ffr')}, {_q('kartype')}
-FROM l1 QUALIFY row_number() OVER (PARTITION BY bth_pid, entryid, procedurestart_lokalbed_velse
+FROM l1 JOIN {_FIRST_ROW} a ON bth_pid = b AND entryid = e AND procedurestart_lokalbed_velse = p
+QUALIFY row_number() OVER (PARTITION BY bth_pid, entryid, procedurestart_lokalbed_velse
                                    ORDER BY sub_entryid) = 1
 """
 
@@ -516,11 +529,12 @@ WITH l1 AS ({_level1()}),
      f AS (SELECT * FROM l1 QUALIFY row_number() OVER (
              PARTITION BY bth_pid, entryid, procedurestart_lokalbed_velse ORDER BY sub_entryid) = 1)
 SELECT s.bth_pid, s.entryid, CAST(s.procedurestart_lokalbed_velse AS TIMESTAMP) AS "timestamp",
-       s.sub_entryid, f.shipped,
-       {", ".join(f'TRY_CAST(f."{p}{v}" AS DOUBLE) AS "{p}{v}"' for m, p in _MEAS[:2] for v in _SITES)},
-       {", ".join(f's."{p}{v}"' for v in _SITES for p in ["kartype: "])}
+       s.sub_entryid, a.shipped,
+       {", ".join(f'TRY_CAST(f."{p}{v}" AS DOUBLE) AS "{p}{v}"' for m, p in _MEAS[:2] for v in SITES)},
+       {", ".join(f's."{p}{v}"' for v in SITES for p in ["kartype: "])}
 FROM l1 s JOIN f ON s.bth_pid = f.bth_pid AND s.entryid = f.entryid
   AND s.procedurestart_lokalbed_velse = f.procedurestart_lokalbed_velse
+JOIN {_FIRST_ROW} a ON s.bth_pid = b AND s.entryid = e AND s.procedurestart_lokalbed_velse = p
 """
 
 ORACLE["tsv_ingest"] = """

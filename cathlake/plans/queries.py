@@ -214,8 +214,8 @@ def semi_in(spark: SparkSession, d: str) -> DataFrame:
 @register("union_distinct")
 def union_distinct(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events")
-    parts = [ev.where(F.col("event_type") == t).select("user_id", F.to_date("ts").alias("day"))
-             for t in ("click", "view", "purchase", "error")]
+    click = F.coalesce(F.col("event_type") == "click", F.lit(False))
+    parts = [ev.where(c).select("user_id", F.to_date("ts").alias("day")) for c in (click, ~click)]
     return setjoin.union_distinct(*parts)
 
 
@@ -273,6 +273,17 @@ def link_window(spark: SparkSession, d: str) -> DataFrame:
                                rcols=["event_id", "ts", "value"], unique_left=True)
 
 
+@register("link_window_dup")
+def link_window_dup(spark: SparkSession, d: str) -> DataFrame:
+    """As ``link_window`` over all events but purchases, with an image id that
+    several of them share: the survivor carries its own match."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value", "event_type")
+    pur = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
+    img = ev.where(~pur).select((F.col("event_id") % 997).alias("image"), "user_id", "ts", "event_id")
+    return linkage.link_window(img, ev.where(pur).drop("event_type"), "user_id", "user_id", "ts", "ts", "event_id",
+                               lid=["image"], hours=6, rcols=["event_id", "ts", "value"])
+
+
 # ------------------------------------------------------------ K3 registry
 @register("registry_wide")
 def registry_wide(spark: SparkSession, d: str) -> DataFrame:
@@ -543,17 +554,18 @@ def _lineitem_registry(spark, d):
         F.col("l_quantity").cast("string").alias("stenosegrad_eyeball"),
         F.col("l_discount").cast("string").alias("ffr"),
         F.col("l_returnflag").alias("kartype"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"))
+        F.when(F.col("l_discount") > 0.07, None).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("shipped"),
+        "l_linenumber")
 
 
 @register("registry_entry")
 def registry_entry(spark: SparkSession, d: str) -> DataFrame:
-    return registry.registry_wide(_lineitem_registry(spark, d), mode="entry")
+    return registry.registry_wide(_lineitem_registry(spark, d), mode="entry", order=["l_linenumber"])
 
 
 @register("registry_sub_entry")
 def registry_sub_entry(spark: SparkSession, d: str) -> DataFrame:
-    return registry.registry_wide(_lineitem_registry(spark, d), mode="sub_entry")
+    return registry.registry_wide(_lineitem_registry(spark, d), mode="sub_entry", order=["l_linenumber"])
 
 
 @register("tsv_ingest")

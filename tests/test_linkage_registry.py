@@ -54,7 +54,7 @@ def test_registry_wide_modes(spark):
     r = wide[0].asDict()
     # the whole pivot row of sub-entry '10': it has no LAD value
     assert r["Sten %: 5 LM"] == 70.0 and r["kartype: 5 LM"] == "B" and r["ffr %: 5 LM"] is None
-    assert r["Sten %: 6 Prox LAD"] is None and r["other"] == "y"
+    assert r["Sten %: 6 Prox LAD"] is None and r["other"] == "x"  # attributes: first row of the entry
     assert r["timestamp"] == dt.datetime(2020, 1, 1, 10, 0, 0)
     assert "Sten %: 1 Prox RCA" in r and r["Sten %: 1 Prox RCA"] is None
     sub = {x["sub_entryid"]: x.asDict() for x in registry.registry_wide(df, mode="sub_entry").collect()}
@@ -67,6 +67,31 @@ def test_registry_wide_modes(spark):
     assert conflicts == []
 
 
+def test_registry_attributes_come_from_one_row(spark):
+    rows = [("p", "e", "2020-01-01 10:00:00", "2", "5 LM", "50", None, "A", "x", "1", 0),
+            ("p", "e", "2020-01-01 10:00:00", "1", "5 LM", "60", None, "B", None, "9", 1)]
+    df = spark.createDataFrame(rows, REG.replace("other", "hosp") + ", n string, line int")
+    for mode in ("entry", "sub_entry"):
+        for r in registry.registry_wide(df, mode=mode, order=["line"]).collect():
+            assert (r.hosp, r.n) == ("x", "1") and r["Sten %: 5 LM"] == 60.0
+
+
+def test_link_survivor_carries_its_own_match(spark):
+    t = [dt.datetime(2020, 1, 1, h, m) for h, m in ((10, 0), (23, 0), (22, 30))]
+    cat = spark.createDataFrame([("p", "/a", t[0], "1"), ("p", "/a", t[1], "2"), ("q", "/b", t[0], "3"), ("q", "/b", None, "0")],
+                                "PatientID string, DcmPathFlatten string, TimeStamp timestamp_ntz, tag string")
+    reg = spark.createDataFrame([("p", t[2], 7)], "bth_pid string, timestamp timestamp_ntz, rowid long")
+    out = linkage.link_window(cat, reg, "PatientID", "bth_pid", "TimeStamp", "timestamp", "rowid",
+                              lid=["PatientID", "DcmPathFlatten"], rcols=["rowid", "timestamp"])
+    got = {r.PatientID: r for r in out.collect()}
+    assert (got["p"].tag, got["p"].rowid) == ("2", 7) and got["q"].rowid is None and len(got) == 2
+
+
+def test_cardinality_profile_skips_null_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "x"), (None, "y")], "g long, c string")
+    assert [(r.distinct_counts, r.multi_entry) for r in registry.cardinality_profile(df, ["g"]).collect()] == [(1, False)]
+
+
 def test_cardinality_profile(spark):
     df = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (2, "b", "x")], "g long, c1 string, c2 string")
     prof = {r.column: (r.distinct_counts, r.multi_entry) for r in registry.cardinality_profile(df, ["g"]).collect()}
