@@ -11,8 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DataType, DateType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import (BooleanType, DataType, DateType, IntegralType,
+                               TimestampNTZType, TimestampType)
 
 # Fixed value: NULL orders after all values, so it maps to the largest long.
 NULL_LAST = 9223372036854775807
@@ -46,7 +46,8 @@ def order_key(c, dtype: DataType | None = None) -> Column:
     """``long`` key with the same ascending order as ``c``, NULL last.
 
     Timestamps become microseconds, dates days; integral columns are used as
-    they are. A real value equal to the largest long would tie with NULL.
+    they are. Other types have no such key and are refused. A real value equal
+    to the largest long would tie with NULL.
     """
     col = to_col(c)
     if isinstance(dtype, TimestampNTZType):
@@ -55,8 +56,10 @@ def order_key(c, dtype: DataType | None = None) -> Column:
         v = F.unix_micros(col)
     elif isinstance(dtype, DateType):
         v = F.unix_date(col).cast("long")
-    else:
+    elif dtype is None or isinstance(dtype, (IntegralType, BooleanType)):
         v = col.cast("long")
+    else:
+        raise TypeError(f"no order key for {dtype.simpleString()}: use a time, date or integer column")
     return F.coalesce(v, F.lit(NULL_LAST))
 
 

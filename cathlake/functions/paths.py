@@ -21,12 +21,12 @@ def basename(c) -> Column:
 
 def output_path(folder: str, c) -> Column:
     """``folder/<basename of c>``."""
-    return F.concat_ws("/", F.lit(folder.rstrip("/")), basename(c))
+    return F.concat(F.lit(folder.rstrip("/") + "/"), basename(c))
 
 
 def flattened_name(index, c) -> Column:
-    """Flat copy name: ``<index>_<basename>``."""
-    return F.concat(to_col(index).cast("string"), F.lit("_"), basename(c))
+    """Flat copy name: ``<index><basename>``."""
+    return F.concat(to_col(index).cast("string"), basename(c))
 
 
 def relative_to(c, base: str) -> Column:

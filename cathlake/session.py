@@ -1,7 +1,8 @@
 """Session construction and cluster-wide settings.
 
-Every operator in the package is a lazy DataFrame transformation; the only
-thing a job needs from this module is a session whose adaptive execution is
+Operators are DataFrame transformations; those that number rows, rank or link
+run jobs to cut lineage while the plan is built. What a job needs from this
+module is a session whose adaptive execution is
 on (runtime broadcast of measured-small sides, skew-split of hot join keys,
 partition coalescing) and a shared checkpoint folder for lineage cuts.
 """
@@ -59,7 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The cluster's ``spark.checkpoint.dir`` is used as is. Only when it is
-    unset (local tests) is a scratch folder created and registered.
+    unset on a ``local[...]`` master (tests) is a scratch folder created and
+    registered; on any other master a missing setting is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -68,6 +70,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="cathlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -49,14 +49,23 @@ def copy_table(df: DataFrame, root: str, schema: str, name: str) -> DataFrame:
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Replace the Parquet table at ``path`` with ``df`` (which may read it):
-    write a staging folder, then drop the old folder and rename."""
+    write a staging folder, rename the old one aside, rename the new one in,
+    then delete the old. A rename that fails raises; the old table is put back,
+    or, after a crash between the renames, still whole under ``.old-``."""
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(staging)
     fs, p, jvm = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staging), p)
+    new, old = (jvm.org.apache.hadoop.fs.Path(x) for x in (staging, f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:8]}"))
+    had = fs.exists(p)
+    if had and not fs.rename(p, old):
+        raise OSError(f"cannot move {path} aside; the new table is in {staging}")
+    if not fs.rename(new, p):
+        if had:
+            fs.rename(old, p)
+        raise OSError(f"cannot move {staging} to {path}")
+    if had:
+        fs.delete(old, True)
     return spark.read.parquet(path)
 
 

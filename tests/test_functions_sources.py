@@ -5,9 +5,11 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from cathlake.functions import normalize as N, paths as P
+from cathlake.functions.ordering import key_for
 from cathlake.functions.schema import catalog_types, conform, create_table_sql, to_struct
 from cathlake.operators import cohort
 from cathlake.sources import files, headers, readers, sinks
@@ -47,7 +49,9 @@ def test_paths(spark):
     out = df.select(P.relative_to("p", "base").alias("rel"), P.parent_of("p").alias("par"),
                     P.repair_key("pid", "p").alias("fix"),
                     P.hierarchical_path("/d", "pid", "st", "se", "so").alias("h"),
-                    P.output_path("/out", "p").alias("o")).collect()
+                    P.output_path("/out", "p").alias("o"), P.output_path("/out", F.lit(None).cast("string")).alias("none"),
+                    P.flattened_name(F.lit(3), "p").alias("flat")).collect()
+    assert out[0].none is None and out[0].flat == "3x.dcm"
     assert out[0].rel == "base/p1/DICOM/x.dcm" and out[1].rel is None
     assert out[0].fix == "p1" and out[1].fix == "2"
     assert out[0].h == "/d/1/s/r/o.dcm" and out[1].h is None
@@ -89,19 +93,44 @@ def test_inventory_and_funnel(spark):
         open(os.path.join(d, "empty"), "wb").close()
     a = files.inventory(spark, flat).count()
     b = files.inventory(spark, os.path.join(root, "nested")).count()
-    # zero-length files are not listed by Spark's file sources
-    assert a == b == 3
+    assert a == b == 4  # the empty file too
     flagged = files.with_header_flag(spark, root)
     fun = cohort.funnel(flagged, {"candidates": F.lit(True), "valid": F.col("valid")}).collect()[0]
     assert (fun.candidates, fun.valid) == (6, 4)
     # header-only read gives the same flags
     head = files.header_flags(files.inventory(spark, root))
-    assert sorted((r.path, r.valid) for r in head.collect()) == \
+    assert sorted((r.path, r.valid) for r in head.where("length > 0").collect()) == \
         sorted((r.path, r.valid) for r in flagged.collect())
+    assert files.unreadable(head).count() == 0
     stage = os.path.join(root, "stage_valid")
     first = files.staged(spark, stage, lambda: flagged.where("valid").select("path"))
     again = files.staged(spark, stage, lambda: flagged.select("path"))  # not recomputed
     assert first.count() == again.count() == 4
+    os.remove(os.path.join(stage, "_SUCCESS"))  # an interrupted run has no marker
+    assert files.staged(spark, stage, lambda: flagged.select("path")).count() == 6
+
+
+def test_inventory_lists_every_file(spark):
+    root = tempfile.mkdtemp(prefix="cathlake-five-")
+    os.makedirs(os.path.join(root, "_sub", "deep"))
+    names = ["a.dcm", ".hidden", "_under", "empty", "_sub/deep/b.dcm"]
+    for n in names:
+        with open(os.path.join(root, n), "wb") as f:
+            f.write(b"" if n == "empty" else b"x")
+    got = {r.path for r in files.inventory(spark, root).collect()}
+    assert got == {"file:" + os.path.join(root, n) for n in names}
+    assert files.inventory(spark, root, "*.dcm").count() == 2
+    gone = files.inventory(spark, root)
+    gone = spark.createDataFrame(gone.collect(), gone.schema)
+    os.remove(os.path.join(root, "a.dcm"))
+    lost = files.unreadable(files.header_flags(gone)).collect()
+    assert [os.path.basename(r.path) for r in lost] == ["a.dcm"] and lost[0].valid is None and lost[0].error
+
+
+def test_order_key_refuses_other_types(spark):
+    df = spark.createDataFrame([(1.2,)], "x double")
+    with pytest.raises(TypeError):
+        key_for(df, "x")
 
 
 def test_sinks_and_readers(spark):
