@@ -2,8 +2,9 @@
 are merged into the catalog table with the batch upsert.
 
 The table is partitioned by a hash bucket of ``PatientID`` (``_bucket``), so
-a micro-batch only rewrites the buckets its patients fall in: the base is
-read with partition pruning, merged with ``upsert_catalog``, cut from its
+a micro-batch only rewrites the buckets its patients fall in, whatever it has to
+read: a key's base rows lie in the bucket of its own patient. The base is read
+with partition pruning, merged with ``upsert_catalog``, cut from its
 lineage with ``checkpoint()`` (the write then never reads the files it
 replaces) and written back with dynamic partition overwrite. A staging key
 with a NULL ``PatientID`` can collide with base rows of any patient under
@@ -64,7 +65,7 @@ def merge_batch(table_path: str, keys: Sequence[str], refresh: Sequence[str],
         start = table.agg((F.coalesce(F.max(id_col), F.lit(-1)) + 1).alias("_cl_start"))
         merged = upsert_catalog(base.select(*cols), stg, keys, refresh, id_col, order,
                                 id_start=start)
-        merged = merged.withColumn(BUCKET, bucket_of(patient, n)).checkpoint(eager=True)
+        merged = merged.withColumn(BUCKET, bucket_of(patient, n)).where(F.col(BUCKET).isin(touched)).checkpoint(eager=True)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET).parquet(table_path))
     return fn

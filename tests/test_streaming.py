@@ -42,6 +42,10 @@ def test_catalog_stream(spark):
     # NULL patient with parts equal to q's row: unknown under NOT IN -> not new
     b3 = spark.createDataFrame([(None, None, "s", "r", "o1", "/c/x"), (None, None, "s", "r", "o7", "/c/y")], CAT)
     b3.write.parquet(os.path.join(src, "batch3"))
+    named = [d for d in os.listdir(table) if d.startswith("_bucket=") and d != "_bucket=-1"]
+    files = {d: sorted(os.listdir(os.path.join(table, d))) for d in named}
     start_catalog_stream(spark, src + "/*", base.schema, table, ck, order=["DcmPathFlatten"],
                          n_buckets=8).awaitTermination(120)
     assert table_rows(spark, table) == sorted(got + [(7, None, "o7", "/c/y")])
+    # the batch read every bucket but wrote only the bucket of NULL patients
+    assert files == {d: sorted(os.listdir(os.path.join(table, d))) for d in named}
