@@ -122,6 +122,19 @@ def conform(df: DataFrame, types: dict, keep=()) -> DataFrame:
     return df.select(*out)
 
 
+def conform_rejects(df: DataFrame, types: dict) -> DataFrame:
+    """Per column of the dictionary, the values that ``conform`` turns into NULL
+    although they are not missing: (column, rejected), one pass."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    cols = [c for c in types if c in have]
+    lost = []
+    for c in cols:
+        text = F.col(c) if have[c].startswith("array") else N.null_tokens(F.col(c).cast("string"))
+        made = _convert(F.col(c), have[c], spark_type(types[c]), types[c])
+        lost.append(F.count_if(text.isNotNull() & made.isNull()).alias(c))
+    return df.agg(*lost).unpivot([], cols, "column", "rejected")
+
+
 def create_table_sql(name: str, types: dict, location: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS`` DDL (Parquet) for the dictionary,
     optionally at an explicit ``location``."""

@@ -80,17 +80,22 @@ def inventory_stages(spark, root: str, stage_dir: str | None = None, header_only
 
 
 def link_procedures(catalog: DataFrame, registry: DataFrame, hours: float = 6.0,
-                    registry_id: str = "rowid", unique_images: bool = False) -> DataFrame:
+                    registry_id: str = "rowid", unique_images: bool = False,
+                    view: str | None = None) -> DataFrame:
     """Each image (``PatientID``, ``DcmPathFlatten``) with its nearest
     procedure of the same patient (``bth_pid``) within +-``hours`` of
     ``TimeStamp`` vs the registry's ``timestamp``, or NULLs. Image columns
     come first (patient and path leading), then the registry's columns
-    without its id; names present on both sides get a ``pats_`` prefix."""
+    without its id; names present on both sides get a ``pats_`` prefix. With
+    ``view`` the result is also registered as a temporary view of that name."""
     lid = ["PatientID", "DcmPathFlatten"]
     ordered = catalog.select(*lid, *[c for c in catalog.columns if c not in lid])
     rcols = [c for c in registry.columns if c != registry_id]
-    return link_window(ordered, registry, "PatientID", "bth_pid", "TimeStamp", "timestamp",
-                       registry_id, lid=lid, hours=hours, rcols=rcols, unique_left=unique_images)
+    out = link_window(ordered, registry, "PatientID", "bth_pid", "TimeStamp", "timestamp",
+                      registry_id, lid=lid, hours=hours, rcols=rcols, unique_left=unique_images)
+    if view:
+        out.createOrReplaceTempView(view)
+    return out
 
 
 def repair_patient_id(catalog: DataFrame, marker: str = "/DICOM",

@@ -73,16 +73,19 @@ def synthetic_labels(df: DataFrame, id_col: str = "rowid", seed: int = 0, k: int
     an integer in ``0..k-1``, ``forced_col`` is 1 for the ids in ``forced``,
     and each of ``float_cols`` gets a number in [0, 1).
 
-    Values come from a hash of (seed, column, id), so a rerun or a retried
-    task gives the same values whatever the partitioning.
+    Values come from the MD5 of "seed:column:id" (its first 28 bits), so a
+    rerun or a retried task gives the same values whatever the partitioning.
     """
+    def number(i: int):
+        told = F.concat_ws(":", F.lit(str(seed)), F.lit(str(i)), rid.cast("string"))
+        return F.conv(F.substring(F.md5(told), 1, 7), 16, 10).cast("long")
+
     rid = F.col(id_col)
     for i, c in enumerate(label_cols):
-        df = df.withColumn(c, F.pmod(F.xxhash64(F.lit(seed), F.lit(i), rid), F.lit(k)).cast("long"))
+        df = df.withColumn(c, number(i) % k)
     if forced_col:
         df = df.withColumn(forced_col, F.when(rid.isin(*forced), F.lit(1).cast("long"))
                            .otherwise(F.col(forced_col)))
     for j, c in enumerate(float_cols):
-        h = F.pmod(F.xxhash64(F.lit(seed), F.lit(1000 + j), rid), F.lit(1 << 30))
-        df = df.withColumn(c, h / float(1 << 30))
+        df = df.withColumn(c, number(1000 + j) / float(1 << 28))
     return df

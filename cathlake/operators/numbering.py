@@ -100,6 +100,13 @@ def dense_ids(df: DataFrame, order: Sequence, name: str = "rowid", start=0,
     return pos.withColumn(name, start.cast("long") + F.col("_cl_pos")).drop("_cl_pos")
 
 
+def work_batches(df: DataFrame, order: Sequence, k: int, name: str = "batch") -> DataFrame:
+    """``df`` plus its position ``idx`` in ``order`` and the work batch it falls
+    in: ``k`` batches of ceil(n / k) consecutive rows (the last may be short)."""
+    size = df.agg(F.ceil(F.count("*") / F.lit(k))).scalar()
+    return dense_ids(df, order, "idx").withColumn(name, F.floor(F.col("idx") / size).cast("long"))
+
+
 def _join_back(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Inner join on null-safe equality of ``cols`` (one ``b`` row per key),
     hot keys split."""

@@ -279,6 +279,14 @@ SELECT l_orderkey,
 FROM lineitem GROUP BY l_orderkey
 """
 
+ORACLE["synth_labels"] = """
+WITH v AS (SELECT event_id, user_id,
+  [('0x' || substr(md5('7:' || i || ':' || event_id), 1, 7))::BIGINT FOR i IN [0, 1, 1000]] AS n FROM events)
+SELECT event_id, user_id, CASE WHEN event_id IN (1, 2) THEN 1 ELSE n[1] % 3 END AS labels_transformed, n[2] % 3 AS labels,
+       n[3] / 268435456.0::DOUBLE AS sten_proc_1_prox_rca_transformed
+FROM v
+"""
+
 ORACLE["registry_first"] = """
 WITH f AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
            QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber

@@ -149,10 +149,7 @@ def dedup_key(spark: SparkSession, d: str) -> DataFrame:
 def batch_assign(spark: SparkSession, d: str) -> DataFrame:
     """Split the part list into 8 work batches of ceil(n / 8) consecutive rows."""
     p = read_table(spark, d, "part").select("p_partkey", "p_name")
-    ids = numbering.dense_ids(p, ["p_partkey"], "idx")
-    size = p.agg(F.ceil(F.count("*") / F.lit(8))).scalar()
-    return ids.select("p_partkey", "p_name", "idx",
-                      F.floor(F.col("idx") / size).cast("long").alias("batch"))
+    return numbering.work_batches(p, ["p_partkey"], 8)
 
 
 @register("dup_groups")
@@ -518,8 +515,8 @@ def sql_source(spark: SparkSession, d: str) -> DataFrame:
 @register("ctas_copy")
 def ctas_copy(spark: SparkSession, d: str) -> DataFrame:
     import uuid
-    root = sinks.shared_table_root(spark)
-    return sinks.copy_table(read_table(spark, d, "part"), root, "cag", f"part_{uuid.uuid4().hex[:8]}")
+    root, name = sinks.shared_table_root(spark), f"part_{uuid.uuid4().hex[:8]}"
+    return sinks.create_as(read_table(spark, d, "part"), "cag", name, f"{root}/cag/{name}")
 
 
 @register("sparse_header")

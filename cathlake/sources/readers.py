@@ -3,6 +3,7 @@ cohort id list, and SQL over registered tables."""
 
 from __future__ import annotations
 
+import warnings
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,12 +34,17 @@ def read_id_list(spark: SparkSession, path: str, column: str = "PatientID") -> D
             .where(F.col(column).isNotNull()).distinct())
 
 
-def sql_source(spark: SparkSession, query: str, tables: dict | None = None) -> DataFrame:
+def sql_source(spark: SparkSession, query: str, tables: dict | None = None,
+               warn_empty: bool = False) -> DataFrame:
     """Run ``query`` over the session catalog; ``tables`` (name -> DataFrame)
-    are registered as temporary views first."""
+    are registered as temporary views first. ``warn_empty`` warns when the
+    result has no rows (reads at most one)."""
     for name, df in (tables or {}).items():
         df.createOrReplaceTempView(name)
-    return spark.sql(query)
+    out = spark.sql(query)
+    if warn_empty and is_empty(out):
+        warnings.warn(f"no rows: {query}", stacklevel=2)
+    return out
 
 
 def is_empty(df: DataFrame) -> bool:

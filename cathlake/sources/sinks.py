@@ -47,6 +47,16 @@ def copy_table(df: DataFrame, root: str, schema: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def create_as(df: DataFrame, database: str, name: str, location: str | None = None) -> DataFrame:
+    """``CREATE TABLE database.name AS`` the frame (the database is created when
+    missing; ``location`` makes the table external) and the table read back."""
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    w = df.write.mode("errorifexists").format("parquet")
+    (w.option("path", location) if location else w).saveAsTable(f"`{database}`.`{name}`")
+    return spark.table(f"`{database}`.`{name}`")
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Replace the Parquet table at ``path`` with ``df`` (which may read it):
     write a staging folder, rename the old one aside, rename the new one in,

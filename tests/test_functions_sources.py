@@ -4,13 +4,14 @@ inventory and header validity (F10), sinks."""
 import datetime as dt
 import os
 import tempfile
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from cathlake.functions import normalize as N, paths as P
 from cathlake.functions.ordering import key_for
-from cathlake.functions.schema import catalog_types, conform, create_table_sql, to_struct
+from cathlake.functions.schema import catalog_types, conform, conform_rejects, create_table_sql, to_struct
 from cathlake.operators import cohort
 from cathlake.sources import files, headers, readers, sinks
 
@@ -171,3 +172,17 @@ def test_create_table_from_dictionary(spark):
     assert t.columns == list(catalog_types()) and t.count() == 0
     assert dict(t.dtypes)["TimeStamp"] == "timestamp_ntz" and dict(t.dtypes)["confidences"] == "array<string>"
     spark.sql("DROP TABLE cl_test_catalog")
+
+
+def test_conform_rejects(spark):
+    df = spark.createDataFrame([("1", "x"), ("bad", "None"), (None, "y")], "a string, b string")
+    got = {r.column: r.rejected for r in conform_rejects(df, {"a": "int8", "b": "varchar(9)", "c": "float8"}).collect()}
+    assert got == {"a": 1, "b": 0}
+
+
+def test_create_as_and_empty_warning(spark):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    made = sinks.create_as(spark.range(3), "cl_test_db", name, tempfile.mkdtemp(prefix="cathlake-ctas-") + "/t")
+    assert made.count() == 3 and spark.table(f"cl_test_db.{name}").count() == 3
+    with pytest.warns(UserWarning, match="no rows"):
+        readers.sql_source(spark, "SELECT * FROM none_left", {"none_left": spark.range(0)}, warn_empty=True)
