@@ -18,6 +18,7 @@ one by one, so repeated rows repeat; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,7 +58,8 @@ def _encoder(path: str) -> SegmentEncoder:
 def _byte_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Flat bytes, starts and lengths by token id."""
     alphabet = byte_characters()
-    vocab = _tokenizer(path).get_vocab()
+    with open(path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
     parts = [b""] * (max(vocab.values()) + 1)
     for token, i in vocab.items():
         parts[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
@@ -101,9 +103,10 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, offsets
     path = path or public_tokenizers.path(VOCABULARY)
     made = ["ids"] + ["starts", "ends"] * offsets
     kept = [c for c in docs.columns if c != text and c not in made]
-    df = docs.select(*[F.col(f"`{c}`") for c in kept], whole_text(F.col(f"`{text}`")).alias("_cl_text"))
+    # Columns go by position below, so that no name of the caller's can clash.
+    df = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], whole_text(F.col(f"`{text}`")).alias("text"))
     kinds = {"ids": "binary", "starts": "array<int>", "ends": "array<int>"}
-    schema = schema_plus(df.drop("_cl_text"), *[(c, kinds[c]) for c in made])
+    schema = schema_plus(docs.select(*[F.col(f"`{c}`") for c in kept]), *[(c, kinds[c]) for c in made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

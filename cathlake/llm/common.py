@@ -84,8 +84,5 @@ def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, idx: np.ndarr
 
 
 def schema_plus(df: DataFrame, *added: tuple[str, str]) -> StructType:
-    """The schema of ``df`` with (name, type) columns added (a copy: ``StructType.add`` changes in place)."""
-    out = StructType(list(df.schema.fields))
-    for name, kind in added:
-        out = out.add(name, kind)
-    return out
+    """The schema of ``df`` with (name, type) columns added."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in added)).fields])

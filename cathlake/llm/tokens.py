@@ -18,8 +18,8 @@ import pyarrow.compute as pc
 
 from .common import gather
 
-SLICE_BYTES = 16 << 20   # text bytes encoded at a time; a longer text is a slice of its own
-CACHE_SEGMENTS = 400_000  # the cache is emptied beyond this many segments
+SLICE_BYTES = 6 << 20   # text bytes encoded at a time; a longer text is a slice of its own
+CACHE_SEGMENTS = 250_000  # the cache is emptied beyond this many segments
 
 _LOADED: dict = {}
 
@@ -44,8 +44,8 @@ class SegmentEncoder:
             self.cache = {}
         cache = self.cache
         new = [s for s in segments if s not in cache]
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
+        for i in range(0, len(new), 5_000):
+            part = new[i:i + 5_000]
             for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 cache[s] = array.array("I", e.ids).tobytes()
         parts = [cache[s] for s in segments]
