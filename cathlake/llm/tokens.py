@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from .common import gather
 
 SLICE_BYTES = 6 << 20   # text bytes encoded at a time; a longer text is a slice of its own
-CACHE_SEGMENTS = 250_000  # the cache is emptied beyond this many segments
+CACHE_SEGMENTS = 150_000  # the cache keeps what was used in its last two rounds of so many segments
 
 _LOADED: dict = {}
 
@@ -36,14 +36,19 @@ class SegmentEncoder:
     """Ids of segments, as little-endian unsigned 32-bit bytes, by a tokenizers model."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.cache = tokenizer, {}
+        self.tokenizer, self.cache, self.old = tokenizer, {}, {}
 
     def table(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids, starts and lengths for a list of distinct segments."""
         if len(self.cache) > CACHE_SEGMENTS:
-            self.cache = {}
-        cache = self.cache
-        new = [s for s in segments if s not in cache]
+            self.old, self.cache = self.cache, {}
+        cache, new = self.cache, []
+        for s in segments:
+            if s not in cache:
+                if s in self.old:
+                    cache[s] = self.old[s]
+                else:
+                    new.append(s)
         for i in range(0, len(new), 5_000):
             part = new[i:i + 5_000]
             for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
