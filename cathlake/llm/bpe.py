@@ -95,17 +95,19 @@ def char_offsets(text: str, ids: np.ndarray, path: str) -> tuple[np.ndarray, np.
     return char[end - lens[ids]], char[end - 1] + 1
 
 
-def encode(docs: DataFrame, text: str = "text", path: str | None = None, offsets: bool = False) -> DataFrame:
-    """``docs`` without its text, plus ``ids`` (binary) and, on demand, ``starts`` and ``ends``.
+def encode(docs: DataFrame, text: str = "text", path: str | None = None, offsets: bool = False,
+           decoded: bool = False) -> DataFrame:
+    """``docs`` without its text, plus ``ids`` (binary) and, on demand, ``starts`` and
+    ``ends``, and ``decoded`` (the bytes that the ids stand for, in the same pass).
 
     Columns of the caller that bear one of these names are replaced.
     """
     path = path or public_tokenizers.path(VOCABULARY)
-    made = ["ids"] + ["starts", "ends"] * offsets
+    made = ["ids"] + ["starts", "ends"] * offsets + ["decoded"] * decoded
     kept = [c for c in docs.columns if c != text and c not in made]
     # Columns go by position below, so that no name of the caller's can clash.
     df = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], whole_text(F.col(f"`{text}`")).alias("text"))
-    kinds = {"ids": "binary", "starts": "array<int>", "ends": "array<int>"}
+    kinds = {"ids": "binary", "starts": "array<int>", "ends": "array<int>", "decoded": "binary"}
     schema = schema_plus(docs.select(*[F.col(f"`{c}`") for c in kept]), *[(c, kinds[c]) for c in made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,6 +118,8 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, offsets
                 if offsets:
                     spans = [char_offsets(t, x, path) for t, x in zip(texts.to_pylist(), ids, strict=True)]
                     cols += [pa.array([s[k] for s in spans], pa.list_(pa.int32())) for k in (0, 1)]
+                if decoded:
+                    cols.append(pa.array([decode_ids(x, path) for x in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(i).slice(at, len(texts)) for i in range(len(kept))] + cols, kept + made)
 

@@ -64,7 +64,7 @@ FROM b
 
 @query
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text")))
+    out = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), decoded=True)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

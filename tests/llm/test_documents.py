@@ -196,6 +196,8 @@ def test_bpe(spark, docs, edge, nothing, texts):
         assert bytes(r.decoded) == t.encode()
         assert len(r.starts) == len(ids) and all(enc.decode_single_token_bytes(i) in t[s:e].encode()
                                                  for i, s, e in zip(ids, r.starts, r.ends, strict=True))
+    once = {r.doc_id: bytes(r.decoded) for r in bpe.encode(df, decoded=True).collect()}
+    assert once == {i: (t or "").encode() for i, t in enumerate(rows)}
     out = bpe.encode(edge.select("doc_id", "text", "ids", "hash"))
     assert out.columns == ["doc_id", "hash", "ids"] and out.count() == 13
     assert bpe.decode(bpe.encode(nothing)).count() == 0
