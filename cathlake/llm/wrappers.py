@@ -29,7 +29,6 @@ import re
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -325,22 +324,22 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def _flush(kept: dict[str, Node]) -> pd.DataFrame:
-    rows = pd.DataFrame({"host": list(kept), "wrapper": [json.dumps(n.dump(), ensure_ascii=False) for n in kept.values()]})
+def _flush(kept: dict[str, Node]) -> pa.RecordBatch:
+    told = [json.dumps(n.dump(), ensure_ascii=False) for n in kept.values()]
+    rows = pa.RecordBatch.from_arrays([pa.array(list(kept), pa.string()), pa.array(told, pa.string())], ["host", "wrapper"])
     kept.clear()
     return rows
 
 
-def _merged(parts: Iterator[pd.DataFrame]) -> str:
+def _merged(parts: pa.Table) -> Node:
     node = None
-    for pdf in parts:
-        for w in pdf["wrapper"]:
-            other = Node.load(json.loads(w))
-            if node is None:
-                node = other
-            else:
-                absorb(node, other, True)
-    return json.dumps(node.dump(), ensure_ascii=False)
+    for w in parts.column("wrapper").to_pylist():
+        other = Node.load(json.loads(w))
+        if node is None:
+            node = other
+        else:
+            absorb(node, other, True)
+    return node
 
 
 def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -348,10 +347,10 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
     ship(pages.sparkSession)
     df = pages.select(host_of(F.col(f"`{url}`")).alias("host"), whole_text(F.col(f"`{html}`")).alias("html"))
 
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, Node] = {}
-        for pdf in batches:
-            for host, page in zip(pdf["host"], pdf["html"], strict=True):
+        for b in batches:
+            for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
                 root, _ = read(page)
                 if host in kept:
                     absorb(kept[host], root, True)
@@ -361,40 +360,44 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
                         yield _flush(kept)
         yield _flush(kept)
 
-    def by_salt(key, parts: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [key[0]], "wrapper": [_merged([parts])]})
+    def by_salt(key, parts):
+        return pa.table({"host": pa.array([key[0].as_py()], pa.string()),
+                         "wrapper": pa.array([json.dumps(_merged(parts).dump(), ensure_ascii=False)], pa.string())})
 
-    def by_host(key, parts: pd.DataFrame) -> pd.DataFrame:
-        w = _merged([parts])
-        root = Node.load(json.loads(w))
-        return pd.DataFrame({"host": [key[0]], "wrapper": [w], "pattern": [root.pattern()], "n_pages": [root.pages],
-                             "rule": [json.dumps(rule_of(root), ensure_ascii=False)]})
+    def by_host(key, parts):
+        root = _merged(parts)
+        told = [json.dumps(root.dump(), ensure_ascii=False), root.pattern(), json.dumps(rule_of(root), ensure_ascii=False)]
+        w, p, r = (pa.array([x], pa.string()) for x in told)
+        return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "wrapper": w, "pattern": p,
+                         "n_pages": pa.array([root.pages], pa.int64()), "rule": r})
 
-    partial = df.mapInPandas(local, "host string, wrapper string")
+    partial = df.mapInArrow(local, "host string, wrapper string")
     salted = partial.groupBy("host", F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt")) \
-        .applyInPandas(by_salt, "host string, wrapper string")
-    return salted.groupBy("host").applyInPandas(
+        .applyInArrow(by_salt, "host string, wrapper string")
+    return salted.groupBy("host").applyInArrow(
         by_host, "host string, wrapper string, pattern string, n_pages long, rule string")
 
 
 def main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``pages`` without ``html``, plus ``text`` (these names of the caller are replaced)."""
     ship(pages.sparkSession)
-    rules = materialize(wrappers(pages, url, html).select(F.col("host").alias("_cl_host"), F.col("rule").alias("_cl_rule")), "rules")
+    rules = materialize(wrappers(pages, url, html).select("host", "rule"), "rules")
     kept = [c for c in pages.columns if c not in (html, "text")]
-    df = pages.select(*[F.col(f"`{c}`") for c in kept], whole_text(F.col(f"`{html}`")).alias("_cl_html"),
-                      host_of(F.col(f"`{url}`")).alias("_cl_host"))
-    df = df.join(rules, "_cl_host", "left").drop("_cl_host")
-    schema = schema_plus(df.drop("_cl_html", "_cl_rule"), ("text", "string"))
+    n = len(kept)
+    # Columns go by position below, so that no name of the caller's can clash.
+    df = pages.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], whole_text(F.col(f"`{html}`")).alias("html"),
+                      host_of(F.col(f"`{url}`")).alias("host"))
+    df = df.join(rules, "host", "left").select(*[f"c{i}" for i in range(n)], "html", "rule")
+    schema = schema_plus(pages.select(*[F.col(f"`{c}`") for c in kept]), ("text", "string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parsed: dict[str, dict] = {}
         for b in batches:
             out = []
-            for page, rule in zip(b.column("_cl_html").to_pylist(), b.column("_cl_rule").to_pylist(), strict=True):
+            for page, rule in zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist(), strict=True):
                 if rule is not None and rule not in parsed:
                     parsed[rule] = json.loads(rule)
                 out.append(extract(page, parsed.get(rule)))
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(out, pa.string())], [*kept, "text"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(out, pa.string())], [*kept, "text"])
 
     return df.mapInArrow(run, schema)
