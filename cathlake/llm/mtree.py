@@ -107,7 +107,7 @@ def build_node(x: np.ndarray, vec_ids: np.ndarray, uids: np.ndarray, center: np.
             centers.append(p)
             radii.append(d[part].max())
     order = np.array(order)
-    ends = np.append(starts[1:], n)
+    ends = np.append(starts[1:], n).astype(np.int64)
     owner = np.repeat(centers, ends - starts)
     entry = np.sqrt(np.maximum(((ext[order] - heads[owner]) ** 2).sum(axis=1), 0))
     c = heads[centers]
@@ -202,7 +202,7 @@ def _hits(uid: np.ndarray, query_id: np.ndarray, best: Best) -> pd.DataFrame:
 def index(rows: DataFrame, pivots: np.ndarray, m: float, dim: int) -> DataFrame:
     """One row per node over ``rows`` (uid, vec_id, v, region, salt)."""
 
-    def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def build(key, pdf):
         cols = build_node(_matrix(pdf["v"], dim), pdf["vec_id"].to_numpy(), pdf["uid"].to_numpy(), pivots[key[0]], m)
         return pd.DataFrame([{"region": key[0], "salt": key[1], **cols}])
 
@@ -246,7 +246,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     blocks = max(1, -(-n_queries // QUERY_BLOCK))
     queries = queries.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(blocks)).cast("int"))
 
-    def search(key, asked: pd.DataFrame, node: pd.DataFrame) -> pd.DataFrame:
+    def search(key, asked, node):
         if not len(asked) or not len(node):
             return pd.DataFrame({c.split()[0]: [] for c in HIT.split(", ")})
         uid = asked["uid"].to_numpy()
