@@ -34,12 +34,13 @@ MIN_MEAN_WORD, MAX_MEAN_WORD = 2.5, 12.0
 MIN_LETTER_RATIO = 0.45  # letters per character of words
 MAX_ELLIPSIS_LINE_RATIO = 0.5
 
-SAMPLE_ROWS = 2000  # bound of the sample that orders the rules
+SAMPLE_ROWS = 500       # bounds of the sample that orders the rules
+SAMPLE_CHARS = 20_000
 
 # Columns of the measures, one row per document (prefix keeps them apart from the caller's names).
-WORDS, NW, CHARS, SYM, DUP, LINES, LINE_LIST, REP, TEXT = (
+WORDS, NW, CHARS, SYM, DUP, LINES, LINE_LIST, REP, TEXT, BITS = (
     "_cl_words", "_cl_n_words", "_cl_word_chars", "_cl_n_symbols", "_cl_n_dup_lines", "_cl_lines",
-    "_cl_line_list", "_cl_n_repeat_words", "_cl_text")
+    "_cl_line_list", "_cl_n_repeat_words", "_cl_text", "_cl_bits")
 
 
 def split_words(text: Column) -> Column:
@@ -57,7 +58,7 @@ def shl(x: Column, bits: Column) -> Column:
     return F.call_function("shiftleft", x, bits)
 
 
-def repeat_words(words: Column, n: Column) -> Column:
+def repeat_words(words: Column, n: Column, bits: Column) -> Column:
     """Words inside 3-word windows that occur twice or more.
 
     Each window becomes one long: its hash above, its position in the low
@@ -65,7 +66,6 @@ def repeat_words(words: Column, n: Column) -> Column:
     bits agree are compared word by word), the positions found are sorted,
     and each start covers three words less its overlap with the next start.
     """
-    bits = F.ceil(F.log2(F.greatest(n, F.lit(2)).cast("double"))).cast("int")
     windows = F.sort_array(F.transform(F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))), lambda i: shl(
         F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), bits).bitwiseOR(i.cast("bigint"))))
 
@@ -94,16 +94,23 @@ def repeat_words(words: Column, n: Column) -> Column:
 
 
 def measures(df: DataFrame, text: Column) -> DataFrame:
-    """``df`` with the base measures of ``text`` as helper columns."""
+    """``df`` with the base measures of ``text`` as helper columns.
+
+    ``inline`` keeps the split words and lines as columns of their own: a
+    filter on a rule above cannot be pushed below it, where every use would
+    split the text again.
+    """
+    whole = whole_text(text)
+    lines = F.filter(F.split(whole, "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACE))) > 0)
+    parts = df.select("*", F.inline(F.array(F.struct(
+        whole.alias(TEXT), split_words(whole).alias(WORDS), lines.alias(LINE_LIST)))))
+    n = F.size(WORDS)
+    bits = F.ceil(F.log2(F.greatest(n, F.lit(2)).cast("double"))).cast("int")
+    sized = parts.select("*", F.inline(F.array(F.struct(n.alias(NW), bits.alias(BITS), F.size(LINE_LIST).alias(LINES)))))
     w = F.col(WORDS)
-    lines = F.filter(F.split(F.col(TEXT), "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACE))) > 0)
-    return (df.withColumn(TEXT, whole_text(text))
-            .withColumn(WORDS, split_words(F.col(TEXT)))
-            .withColumn(NW, F.size(F.col(WORDS)))
-            .withColumn(REP, repeat_words(w, F.col(NW)))
-            .withColumn(LINE_LIST, lines)
-            .withColumn(LINES, F.size(LINE_LIST))
-            .withColumn(DUP, (F.size(LINE_LIST) - F.size(F.array_distinct(LINE_LIST))).cast("bigint"))
+    return (sized
+            .withColumn(REP, repeat_words(w, F.col(NW), F.col(BITS)))
+            .withColumn(DUP, (F.col(LINES) - F.size(F.array_distinct(LINE_LIST))).cast("bigint"))
             .withColumn(CHARS, F.length(F.array_join(w, "")).cast("bigint"))
             .withColumn(SYM, (F.length(TEXT) - F.length(F.translate(F.col(TEXT), SYMBOLS, ""))).cast("bigint")))
 
@@ -131,14 +138,18 @@ def rules() -> dict[str, Column]:
     }
 
 
-def order_rules(measured: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[str]:
-    """Rule names by rejection per cost on a bounded sample.
+def order_rules(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[str]:
+    """Rule names by rejection per cost on a bounded sample of the texts.
 
-    Only the order of evaluation depends on it. Costs are wall seconds of a
-    count over the cached sample, less the cost of counting alone.
+    The sample is the first ``sample_rows`` texts of at most ``SAMPLE_CHARS``
+    code points that an incremental read finds, so it reads a few partitions
+    and its size is bounded. Only the order of evaluation depends on it. Costs
+    are wall seconds of a count over the sample, less that of counting alone.
     """
     rs = rules()
-    sample = measured.limit(sample_rows).persist()
+    texts = docs.select(whole_text(F.col(f"`{text}`")).alias("text")).where(F.length("text") <= SAMPLE_CHARS).limit(sample_rows)
+    sample = docs.sparkSession.createDataFrame(texts.collect(), "text string")
+    sample = measures(packed(sample.coalesce(1)), field("text")).persist()
     try:
         n = max(sample.count(), 1)
 
@@ -169,8 +180,8 @@ def first_failure(order: list[str]) -> Column:
 
 def judged(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Measures, ``_cl_failed`` (first failing rule or null) and the packed row of every document."""
-    m = measures(packed(docs), field(text))
-    return m.withColumn("_cl_failed", first_failure(order_rules(m, sample_rows)))
+    order = order_rules(docs, text, sample_rows)
+    return measures(packed(docs), field(text)).withColumn("_cl_failed", first_failure(order))
 
 
 def keep_good(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
