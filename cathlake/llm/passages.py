@@ -38,6 +38,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cathlake.operators.skew import join_back
+
 from .common import field, materialize, packed, row_key, ship, whole_text
 from .components import components
 from .minhash import SHINGLE, THRESHOLD, jaccard, mix, shingle_set, shingles
@@ -68,6 +70,7 @@ BANDS, ROWS = tune_bands()
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row, hash, line and place in its text of every word."""
+    texts = pc.replace_substring(texts, LINE, "\x02")  # so that only line breaks become LINE
     split = pc.ascii_split_whitespace(pc.replace_substring(texts, "\n", f" {LINE} "))
     flat = split.flatten()
     row = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
@@ -220,24 +223,22 @@ def paragraph_components(feats: DataFrame, src: DataFrame, threshold: float = TH
         F.sequence(F.lit(0), F.size("par") - 1), lambda i: F.slice("bands", i * BANDS + 1, F.lit(BANDS))).alias("b"))).alias("x")) \
         .select(F.col("x.par").alias("par"), F.col("x.par_n").alias("n"), F.explode(F.col("x.b")).alias("bucket"))
     heads = par.groupBy("bucket").agg(F.min(F.struct("n", "par")).alias("head"), F.max(F.struct("n", "par")).alias("last"))
-    heads = materialize(heads.where("head != last").select("bucket", F.col("head.par").alias("head")), "heads")
-    par = par.select("bucket", "par")
-    members = materialize(par.join(heads, "bucket").distinct(), "members")
+    heads = heads.where("head != last").select("bucket", F.col("head.par").alias("head"))
+    members = materialize(join_back(par.select("bucket", "par"), heads, ["bucket"]).distinct(), "members")
     wanted = materialize(members.select("par").distinct(), "wanted")
     texts = paragraph_texts(src.select("text")).join(wanted, "par", "left_semi") \
         .groupBy("par").agg(F.any_value("text").alias("text"))
     texts = materialize(texts, "texts")
     star = members.where("par != head").select(F.col("par").alias("a"), F.col("head").alias("b")).distinct()
-    found = materialize(_verified(materialize(star, "star"), texts, threshold), "links")
+    found = materialize(_verified(star, texts, threshold), "links")
     comp = materialize(components(found), "components")
     # Buckets whose members are still apart.
     placed = members.select("bucket", "par").join(comp.withColumnRenamed("node", "par"), "par", "left") \
         .withColumn("comp", F.coalesce("comp", "par"))
     placed = materialize(placed, "placed")
     apart = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-    rest = placed.join(materialize(apart.select("bucket"), "apart"), "bucket").select("par", "comp").distinct()
-    more = prefix_pairs(materialize(rest, "rest"), texts, threshold)
-    more = materialize(_verified(materialize(more, "cross"), texts, threshold), "more")
+    rest = join_back(placed, apart.select("bucket"), ["bucket"], "left_semi").select("par", "comp").distinct()
+    more = _verified(prefix_pairs(rest, texts, threshold), texts, threshold)
     return components(found.unionByName(more))
 
 
@@ -256,15 +257,15 @@ def prefix_pairs(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFra
     sets = materialize(rest.join(texts, "par").select("par", "comp", "text")
                        .mapInArrow(run, "par long, comp long, n int, h array<long>"), "sets")
     each = sets.select("par", F.explode("h").alias("h"))
-    often = materialize(each.groupBy("h").agg(F.count(F.lit(1)).alias("f")), "often")
+    often = each.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
     # A paragraph's list is bounded by its own shingles.
-    ranked = each.join(often, "h").groupBy("par").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("r"))
+    ranked = join_back(each, often, ["h"]).groupBy("par").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("r"))
     ranked = ranked.join(sets.select("par", "comp", "n"), "par")
     first = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1
     token = materialize(ranked.select("par", "comp", "n", F.explode(F.slice("r", F.lit(1), first)).alias("t"))
                         .where(F.col("t.f") > 1).select("par", "comp", "n", F.col("t.h").alias("h")), "tokens")
     apart = token.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-    token = materialize(token.join(materialize(apart.select("h"), "apart"), "h"), "tokens-apart")
+    token = materialize(join_back(token, apart.select("h"), ["h"], "left_semi"), "tokens-apart")
     x = token.select("h", F.col("par").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
     y = token.select("h", F.col("par").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
     return x.join(y, "h").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))
@@ -280,17 +281,17 @@ def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresh
 
     win = feats.select("uid", F.explode("hash").alias("hash"))
     twice = win.groupBy("hash").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first != last")
-    twice = materialize(twice.select("hash", "first"), "twice")
+    twice = twice.select("hash", "first")
     at = feats.select("uid", F.explode(F.arrays_zip("hash", "at")).alias("x")).select("uid", "x.hash", "x.at")
-    hits = at.join(twice, "hash").select("uid", F.col("at").alias("start"), (F.col("at") + WINDOW).alias("end"), "first")
+    hits = join_back(at, twice, ["hash"]).select("uid", F.col("at").alias("start"), (F.col("at") + WINDOW).alias("end"), "first")
 
     par = feats.select("uid", F.explode(F.arrays_zip("par", "par_at", "par_n")).alias("x")) \
         .select("uid", F.col("x.par").alias("node"), F.col("x.par_at").alias("start"), (F.col("x.par_at") + F.col("x.par_n")).alias("end"))
     comp = materialize(paragraph_components(feats, src, threshold), "comp")
     par = materialize(par.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "par")
     shared = par.groupBy("comp").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first != last")
-    shared = materialize(shared.select("comp", "first"), "shared")
-    hits = hits.unionByName(par.join(shared, "comp").select("uid", "start", "end", "first"))
+    shared = shared.select("comp", "first")
+    hits = hits.unionByName(join_back(par, shared, ["comp"]).select("uid", "start", "end", "first"))
     # A document's list is bounded by its own units.
     return materialize(hits.groupBy("uid").agg(
         F.min("first").alias("first"), F.collect_set("first").alias("firsts"),
@@ -338,8 +339,8 @@ def report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
                                              ["doc_id", "comp", "repeated_words", "removed_words", "spans"])
 
     out = rows.mapInArrow(run, "doc_id long, comp long, repeated_words long, removed_words long, spans string")
-    heads = materialize(rows.groupBy("comp").agg(F.min("doc_id").alias("cluster")), "cluster-heads")
-    return out.join(heads, "comp", "left").select("doc_id", "cluster", "repeated_words", "removed_words", "spans")
+    heads = rows.groupBy("comp").agg(F.min("doc_id").alias("cluster"))
+    return join_back(out, heads, ["comp"], "left").select("doc_id", "cluster", "repeated_words", "removed_words", "spans")
 
 
 def cut(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -289,7 +289,7 @@ def test_passages_planted(spark):
             planted.add(len(rows))
             rows.append((len(rows), " ".join(own(rng.randrange(5, 90)) + passage + own(rng.randrange(5, 90)))))
     for _ in range(12):
-        rows.append((len(rows), " ".join(own(200))))
+        rows.append((len(rows), " \x01 ".join(own(200))))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r for r in passages.report(df).collect()}
     assert set(got) == planted
