@@ -3,8 +3,8 @@
 Alternating large-star and small-star steps: each connects a node's
 neighbours to the smallest node it sees, so the graph shrinks to stars in a
 logarithmic number of rounds. Every step is an aggregate (combined on the map
-side, so a hub costs one row per task) and an equality join; edges and minima
-are written between steps, and only two totals per round reach the driver.
+side, so a hub costs one row per task) and an equality join; edges are written
+between steps, and only two totals per round reach the driver.
 """
 
 from __future__ import annotations
@@ -12,14 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cathlake.operators.skew import join_back
+
 from .common import materialize
 
 
 def _connect(directed: DataFrame, larger_only: bool) -> DataFrame:
     """Neighbours of every u (with u itself) joined to the smallest of them."""
-    least = materialize(directed.groupBy("u").agg(F.min("v").alias("m")).select(
-        "u", F.least("u", "m").alias("m")), "least")
-    joined = directed.join(least, "u")
+    least = directed.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    joined = join_back(directed, least, ["u"])  # a hub is split by its size
     if larger_only:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
