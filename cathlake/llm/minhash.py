@@ -11,8 +11,8 @@ Bands of ``ROWS`` slots make buckets. Equal texts are one node from the start.
 In each bucket all nodes are first compared with the bucket's shortest node;
 only members that are then still in different components are compared with
 each other, in blocks, so copies never expand into all pairs and no link
-between different texts of a bucket is lost. Pairs of that second step must
-agree in enough one-bit slots (``MAX_APART`` of 256 may differ: 4.5 standard
+between different texts of a bucket is lost. Pairs must agree in enough
+one-bit slots (``MAX_APART`` of 256 may differ: 4.5 standard
 deviations beyond the expectation at 0.8) before their texts are fetched. A link is verified on the texts:
 exact Jaccard of five-word shingle sets of 0.8 or more. Classes are the
 connected components of the links.
@@ -201,6 +201,11 @@ def _likely(threshold: float):
     return F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb")
 
 
+def _apart(x: str, y: str):
+    """One-bit slots in which two members differ (columns by prefix)."""
+    return sum((F.bit_count(F.col(f"{x}{w}").bitwiseXOR(F.col(f"{y}{w}"))) for w in BIT_WORDS), F.lit(0))
+
+
 def links(nodes: DataFrame, docs_text: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Components (node, comp) of the links between distinct texts.
 
@@ -209,24 +214,30 @@ def links(nodes: DataFrame, docs_text: DataFrame, threshold: float = THRESHOLD)
     rows = nodes.select("th", "n", F.explode("bands").alias("bucket"))
     heads = rows.groupBy("bucket").agg(F.min(F.struct("n", "th")).alias("head"), F.count(F.lit(1)).alias("size")) \
         .where(F.col("size") > 1)
-    members = materialize(join_back(rows, heads, ["bucket"]).select("bucket", "size", "th", "n", "head"), "members")
+    members = join_back(rows, heads, ["bucket"]).select(
+        "bucket", "size", "th", "n", F.col("head.n").alias("hn"), F.col("head.th").alias("hth"))
+    bits = nodes.select("th", *BIT_WORDS)
+    members = members.join(bits, "th").join(bits.select(F.col("th").alias("hth"), *[F.col(w).alias(f"h{w}") for w in BIT_WORDS]), "hth")
+    members = materialize(members, "members")
     # Texts that some bucket holds together with another, once each.
     wanted = materialize(members.select("th").distinct(), "wanted")
-    texts = docs_text.join(wanted, "th", "left_semi").groupBy("th").agg(F.any_value("text").alias("text"))
+    # The same plan at every size: a small input would broadcast the wanted ones and hide the shuffle.
+    texts = docs_text.join(wanted.hint("merge"), "th", "left_semi").groupBy("th").agg(F.any_value("text").alias("text"))
     texts = materialize(texts, "texts")
 
-    star = members.select(F.col("th").alias("a"), F.col("head.th").alias("b"), F.col("n").alias("na"), F.col("head.n").alias("nb")) \
-        .where((F.col("a") != F.col("b")) & _likely(threshold)).select("a", "b").distinct()
+    star = members.select(F.col("th").alias("a"), F.col("hth").alias("b"), F.col("n").alias("na"), F.col("hn").alias("nb"),
+                          _apart("", "h").alias("apart")) \
+        .where((F.col("a") != F.col("b")) & _likely(threshold) & (F.col("apart") <= MAX_APART)).select("a", "b").distinct()
     found = materialize(verified(star, texts, threshold), "links")
     comp = materialize(components(found), "components")
 
     # Buckets whose members are not yet all in one component.
-    placed = members.drop("head").join(comp.withColumnRenamed("node", "th"), "th", "left") \
+    placed = members.select("bucket", "size", "th", "n", *BIT_WORDS).join(comp.withColumnRenamed("node", "th"), "th", "left") \
         .withColumn("comp", F.coalesce("comp", "th"))
     placed = materialize(placed, "placed")
     split = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi"))
     open_rows = join_back(placed, split.select("bucket"), ["bucket"], "left_semi")
-    open_rows = materialize(open_rows.join(nodes.select("th", *BIT_WORDS), "th"), "open")
+    open_rows = materialize(open_rows, "open")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     open_rows = open_rows.withColumn("nb", blocks).withColumn("blk", F.pmod(F.xxhash64("th"), F.col("nb")).cast("int"))
     # A row meets its own and every other block of its bucket: it goes to the block pairs (i <= j) that hold its block.
@@ -236,10 +247,9 @@ def links(nodes: DataFrame, docs_text: DataFrame, threshold: float = THRESHOLD)
                          *[F.col(w).alias(f"x{w}") for w in BIT_WORDS])
     y = open_rows.select("bucket", "i", "j", F.col("blk").alias("blk2"), F.col("th").alias("b"), F.col("n").alias("nb"),
                          F.col("comp").alias("cb"), *[F.col(w).alias(f"y{w}") for w in BIT_WORDS])
-    apart = sum((F.bit_count(F.col(f"x{w}").bitwiseXOR(F.col(f"y{w}"))) for w in BIT_WORDS), F.lit(0))
     cross = x.join(y, ["bucket", "i", "j"]).where(
         (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & _likely(threshold)
-        & (apart <= MAX_APART) & ((F.col("i") == F.col("j")) | (F.col("blk") != F.col("blk2")))).select("a", "b").distinct()
+        & (_apart("x", "y") <= MAX_APART) & ((F.col("i") == F.col("j")) | (F.col("blk") != F.col("blk2")))).select("a", "b").distinct()
     return components(found.unionByName(verified(cross, texts, threshold)))
 
 
