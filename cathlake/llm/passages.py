@@ -226,7 +226,7 @@ def paragraph_components(feats: DataFrame, src: DataFrame, threshold: float = TH
     heads = heads.where("head != last").select("bucket", F.col("head.par").alias("head"))
     members = materialize(join_back(par.select("bucket", "par"), heads, ["bucket"]).distinct(), "members")
     wanted = materialize(members.select("par").distinct(), "wanted")
-    texts = paragraph_texts(src.select("text")).join(wanted, "par", "left_semi") \
+    texts = paragraph_texts(src.select("text")).join(wanted.hint("merge"), "par", "left_semi") \
         .groupBy("par").agg(F.any_value("text").alias("text"))
     texts = materialize(texts, "texts")
     star = members.where("par != head").select(F.col("par").alias("a"), F.col("head").alias("b")).distinct()
