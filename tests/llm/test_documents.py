@@ -118,6 +118,32 @@ def test_near_hub_and_apart(spark):
     assert {frozenset(v) for v in got.values()} == want
 
 
+def test_near_repeats_inside(spark):
+    """Copies that repeat a passage 20 to 100 times have the same shingles and are found."""
+    rng = random.Random(11)
+    rows = []
+    for g in range(40):
+        w = [f"g{g}_{i}" for i in range(104)]
+        at, size = rng.randrange(60), rng.randrange(20, 40)
+        rows.append((len(rows), " ".join(w)))
+        rows.append((len(rows), " ".join(w[:at] + w[at:at + size] * rng.randrange(20, 101) + w[at + size:])))
+    got = collections.defaultdict(set)
+    for r in minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.class_id].add(r.doc_id)
+    assert {frozenset(v) for v in got.values()} == brute.near_classes(dict(rows))
+
+
+def test_one_bits_of_short_texts():
+    """At the threshold the one-bit cut keeps short texts, whose few shingles win many slots each."""
+    n = 1000
+    h = np.random.default_rng(2).integers(1, 2**63, (n, 10)).astype(np.uint64)
+    row = np.repeat(np.arange(n), 10)
+    whole = minhash.one_bits(minhash.signatures(row, h.ravel(), np.ones(n * 10), n))
+    part = minhash.one_bits(minhash.signatures(np.repeat(np.arange(n), 8), h[:, :8].ravel(), np.ones(n * 8), n))
+    apart = [sum(bin(int(x)).count("1") for x in r) for r in (whole ^ part).view(np.uint64)]
+    assert max(apart) <= minhash.MAX_APART + 3 and sum(x > minhash.MAX_APART for x in apart) <= 1
+
+
 def test_probminhash_estimates_probability_jaccard():
     rng = np.random.default_rng(0)
     h = rng.integers(1, 2**63, 300).astype(np.uint64)
