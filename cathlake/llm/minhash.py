@@ -270,8 +270,8 @@ def links(nodes: DataFrame, docs_text: DataFrame, threshold: float = THRESHOLD)
     return components(found.unionByName(verified(cross, texts, threshold)))
 
 
-def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """key, doc_id, class_id and ``keep`` (the class's first document) per distinct (doc_id, text)."""
+def members(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """key, doc_id and comp (the class, by one of its text hashes) per row."""
     ship(docs.sparkSession)
     whole = whole_text(F.col(f"`{text}`"))
     ids = F.col(f"`{doc_id}`").cast("long")
@@ -282,9 +282,13 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     nodes = materialize(nodes, "nodes")
     comp = links(nodes, src.select("th", "text"), threshold)
     comp = materialize(comp.withColumnRenamed("node", "th"), "comp")
-    member = sk.select("key", "th", "doc_id").join(comp, "th", "left").select(
+    return sk.select("key", "th", "doc_id").join(comp, "th", "left").select(
         "key", "doc_id", F.coalesce("comp", "th").alias("comp"))
-    member = materialize(member, "member")
+
+
+def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """key, doc_id, class_id and ``keep`` (the class's first document) per distinct (doc_id, text)."""
+    member = materialize(members(docs, text, doc_id, threshold), "member")
     head = member.groupBy("comp").agg(F.min("doc_id").alias("class_id"),
                                       F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
     return join_back(member, head, ["comp"]).select("key", "doc_id", "class_id", (F.col("key") == F.col("first.key")).alias("keep"))

@@ -10,8 +10,9 @@ n(t) occurrences of t, n(e) mentions of e and n(e, t) mentions with t within
     IC(e)     = log2( N / (2 * WINDOW * n(e)) )
 
 and t discloses PMI / IC of e: 1 if t is found next to e and nowhere else. A
-pair needs ``MIN_CONTEXTS`` different neighbourhoods of t (the words before and
-after it), so that copies of one text prove nothing. Near a mention of e, terms that disclose ``GENERALISE`` or more
+pair needs ``MIN_CONTEXTS`` different texts, of which near-duplicates count as
+one (the classes of ``minhash``), so that copies of one text prove nothing and a
+name in a fixed phrase is supported by every text that holds it. Near a mention of e, terms that disclose ``GENERALISE`` or more
 are replaced by a placeholder, from ``REMOVE`` on they are taken out; mentions
 of the entities become the name of their kind.
 
@@ -27,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import field, materialize, packed, row_key, ship, whole_text
+from .minhash import members
 from .quality import SPACE_RE
 
 KINDS = ["email", "ip", "card", "phone", "term"]
@@ -104,7 +105,7 @@ def entity(text: str, span: tuple[int, int, int]) -> bytes:
 
 
 def surroundings(text: str, spans: list[tuple[int, int, int]], window: int = WINDOW) -> Iterator[dict]:
-    """The words near each mention, with the mention's entity and start and a hash of the words next to the word."""
+    """The words near each mention, with the mention's entity and start."""
     taken = sorted((s, e) for s, _, e in spans)
 
     def free(s, e):
@@ -123,20 +124,17 @@ def surroundings(text: str, spans: list[tuple[int, int, int]], window: int = WIN
             right.pop()
         words = [w for w in left[-window:] + right[:window] if free(*w)]
         who = entity(text, span)
-        said = ["", *[text[a:b] for a, b in words], ""]
-        for k, (a, b) in enumerate(words):
-            yield {"entity": who, "at": s, "context": zlib.crc32(f"{said[k]} {said[k + 2]}".encode()), "word": said[k + 1],
-                   "start": a, "end": b}
+        for a, b in words:
+            yield {"entity": who, "at": s, "word": text[a:b], "start": a, "end": b}
 
 
 FOUND = ("doc_id long, key binary, kind array<int>, start array<int>, end array<int>, "
-         "near array<struct<entity: binary, at: int, context: bigint, word: string, start: int, end: int>>")
+         "near array<struct<entity: binary, at: int, word: string, start: int, end: int>>")
 
 
 def detect(src: DataFrame) -> DataFrame:
     """Base spans and the words near them, for (doc_id, key, text)."""
-    near = pa.struct([("entity", pa.binary()), ("at", pa.int32()), ("context", pa.int64()), ("word", pa.string()), ("start", pa.int32()),
-                      ("end", pa.int32())])
+    near = pa.struct([("entity", pa.binary()), ("at", pa.int32()), ("word", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ints = pa.list_(pa.int32())
@@ -158,17 +156,27 @@ def term(word: Column) -> Column:
     return F.lower(F.btrim(word, F.lit(PUNCTUATION)))
 
 
-def disclosures(near: DataFrame, texts: DataFrame) -> DataFrame:
+def supported(told: DataFrame, near: DataFrame, src: DataFrame) -> DataFrame:
+    """The pairs of ``told`` found in ``MIN_CONTEXTS`` texts that are no near-duplicates of each other."""
+    where = materialize(near.join(told, ["entity", "term"]).select("entity", "term", "key").distinct(), "where")
+    texts = materialize(src.join(where.select("key").distinct(), "key", "left_semi"), "supporting")
+    alike = materialize(members(texts).select("key", "comp").distinct(), "alike")
+    enough = where.join(alike, "key").select("entity", "term", "comp").distinct().groupBy("entity", "term") \
+        .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_CONTEXTS)
+    return told.join(enough, ["entity", "term"], "left_semi")
+
+
+def disclosures(near: DataFrame, src: DataFrame) -> DataFrame:
     """(entity, term, share) of the pairs that reach ``GENERALISE``.
 
-    ``near``: entity, context, term, mention (one row per word near a
-    mention); ``texts``: column ``text`` of the whole corpus.
+    ``near``: entity, term, key, mention (one row per word near a mention);
+    ``src``: doc_id, key, text of the whole corpus.
     """
-    pairs = near.groupBy("entity", "term", "context").agg(F.countDistinct("mention").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("contexts"))
-    pairs = materialize(pairs.where(F.col("contexts") >= MIN_CONTEXTS).drop("contexts"), "pairs")
+    pairs = near.groupBy("entity", "term", "key").agg(F.countDistinct("mention").alias("n"))
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("texts"))
+    pairs = materialize(pairs.where(F.col("texts") >= MIN_CONTEXTS).drop("texts"), "pairs")
     mentions = near.select("entity", "mention").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    words = texts.select(F.explode(F.split("text", SPACE_RE)).alias("word")).where("word != ''")
+    words = src.select(F.explode(F.split("text", SPACE_RE)).alias("word")).where("word != ''")
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).groupBy(term(F.col("word")).alias("term")) \
         .agg(F.sum("n").alias("n_t"))
     counts = materialize(counts, "terms")
@@ -177,8 +185,9 @@ def disclosures(near: DataFrame, texts: DataFrame) -> DataFrame:
     n = total.scalar()
     pmi = F.log2((F.col("n_et") / F.col("n_e")) / F.least(F.lit(1.0), F.col("n_t") * (2 * WINDOW) / n))
     ic = F.log2(n / (2 * WINDOW * F.col("n_e")))
-    return both.where(ic > 0).withColumn("share", F.least(F.lit(1.0), pmi / ic)) \
+    told = both.where(ic > 0).withColumn("share", F.least(F.lit(1.0), pmi / ic)) \
         .where(F.col("share") >= GENERALISE).select("entity", "term", "share")
+    return supported(materialize(told, "disclosing"), near, src)
 
 
 def _source(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -196,7 +205,7 @@ def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     near = found.where(F.size("near") > 0).select("key", word).select(
         "key", "w.*", term(F.col("w.word")).alias("term"),
         F.xxhash64("key", "w.entity", "w.at").alias("mention")).where("term != ''")
-    told = materialize(disclosures(near.select("entity", "context", "term", "mention"), src.select("text")), "told")
+    told = materialize(disclosures(near.select("entity", "term", "key", "mention"), src), "told")
     hits = near.join(told, ["entity", "term"]).groupBy("key", "start", "end").agg(F.max("share").alias("share"))
     hits = hits.groupBy("key").agg(F.collect_list(F.struct(
         "start", F.lit(KINDS.index("term")).alias("kind"), "end", "share")).alias("terms"))

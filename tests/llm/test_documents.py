@@ -198,6 +198,27 @@ def test_pii_terms(spark):
     assert "Zorblax" not in out[0] and "<EMAIL>" in out[0] and out[1] == rows[1][1]
 
 
+def test_pii_fixed_phrase(spark):
+    """A fixed signature line in different documents gives its terms; copies of one text do not."""
+    rng = random.Random(7)
+    rows = []
+    for d in range(400):
+        w = [rng.choice(["Contact", "at", f"c{rng.randrange(50)}"]) for _ in range(80)]
+        if d % 40 == 0:
+            w[30:30] = "Contact Jane Doe at jane@x.com".split()
+        rows.append((d, " ".join(w)))
+    one = [f"c{rng.randrange(50)}" for _ in range(120)]
+    one[60:60] = ["Quuxley", "q@y.example.org"]
+    for d in range(400, 408):
+        copy = list(one)
+        copy[59], copy[62], copy[5] = (f"c{rng.randrange(50)}" for _ in range(3))
+        rows.append((d, " ".join(copy)))
+    for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        text = rows[r.doc_id][1]
+        named = [text[int(s):int(e)] for k, s, e in (x.split(":") for x in r.spans.split(",") if x) if k == "term"]
+        assert named == (["Jane", "Doe"] if r.doc_id < 400 and r.doc_id % 40 == 0 else []), r
+
+
 # --- 8 byte-level BPE ---
 
 def rank_encoding():
