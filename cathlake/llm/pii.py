@@ -28,7 +28,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -106,23 +108,24 @@ def entity(text: str, span: tuple[int, int, int]) -> bytes:
 
 def surroundings(text: str, spans: list[tuple[int, int, int]], window: int = WINDOW) -> Iterator[dict]:
     """The words near each mention, with the mention's entity and start."""
+    if not spans:
+        return
     taken = sorted((s, e) for s, _, e in spans)
+    starts, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
+    every = [m.span() for m in WORD.finditer(text)]
+    begin, finish = [a for a, _ in every], [b for _, b in every]
 
-    def free(s, e):
-        return not any(a < e and s < b for a, b in near)
+    def free(a, b):
+        k = bisect_left(starts, b)
+        return not k or reach[k - 1] <= a
 
-    reach = 40 * window  # code points looked at on either side; a longer stretch holds overlong words only
     for span in spans:
         s, _, e = span
-        lo, hi = max(0, s - reach), min(len(text), e + reach)
-        near = [x for x in taken if x[0] < hi and x[1] > lo] if len(taken) > 1 else taken
-        left = [(lo + m.start(), lo + m.end()) for m in WORD.finditer(text[lo:s])]
-        if left and lo and left[0][0] == lo:
-            left.pop(0)  # cut by the reach
-        right = [(e + m.start(), e + m.end()) for m in WORD.finditer(text[e:hi])]
-        if right and hi < len(text) and right[-1][1] == hi:
-            right.pop()
-        words = [w for w in left[-window:] + right[:window] if free(*w)]
+        # A word that the mention cuts counts with what is left of it on either side.
+        i, j = bisect_left(begin, s), bisect_right(finish, e)
+        left = [(a, min(b, s)) for a, b in every[max(0, i - window):i]]
+        right = [(max(a, e), b) for a, b in every[j:j + window]]
+        words = [w for w in left + right if free(*w)]
         who = entity(text, span)
         for a, b in words:
             yield {"entity": who, "at": s, "word": text[a:b], "start": a, "end": b}
@@ -166,6 +169,22 @@ def supported(told: DataFrame, near: DataFrame, src: DataFrame) -> DataFrame:
     return told.join(enough, ["entity", "term"], "left_semi")
 
 
+def occurrences(src: DataFrame) -> DataFrame:
+    """(word, n) over the distinct rows of ``src`` (doc_id, key, text), as the mentions are counted.
+
+    Only the texts of repeated rows are shuffled: their surplus counts negative.
+    """
+    def words(texts: DataFrame) -> DataFrame:
+        return texts.select("n", F.explode(F.split("text", SPACE_RE)).alias("word")).where("word != ''") \
+            .groupBy("word").agg(F.sum("n").alias("n"))
+
+    again = src.groupBy("key").agg((1 - F.count(F.lit(1))).alias("n")).where("n < 0")
+    again = materialize(again, "repeated-keys")
+    surplus = src.join(again, "key").groupBy("key", "n").agg(F.any_value("text").alias("text"))
+    return words(src.select(F.lit(1).cast("long").alias("n"), "text")).unionByName(words(surplus)) \
+        .groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def disclosures(near: DataFrame, src: DataFrame) -> DataFrame:
     """(entity, term, share) of the pairs that reach ``GENERALISE``.
 
@@ -176,10 +195,7 @@ def disclosures(near: DataFrame, src: DataFrame) -> DataFrame:
     pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("texts"))
     pairs = materialize(pairs.where(F.col("texts") >= MIN_CONTEXTS).drop("texts"), "pairs")
     mentions = near.select("entity", "mention").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    words = src.select(F.explode(F.split("text", SPACE_RE)).alias("word")).where("word != ''")
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).groupBy(term(F.col("word")).alias("term")) \
-        .agg(F.sum("n").alias("n_t"))
-    counts = materialize(counts, "terms")
+    counts = materialize(occurrences(src).groupBy(term(F.col("word")).alias("term")).agg(F.sum("n").alias("n_t")), "terms")
     total = counts.agg(F.sum("n_t").cast("double").alias("total"))
     both = pairs.join(counts, "term").join(materialize(mentions, "mentions"), "entity")
     n = total.scalar()

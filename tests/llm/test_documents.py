@@ -219,6 +219,21 @@ def test_pii_fixed_phrase(spark):
         assert named == (["Jane", "Doe"] if r.doc_id < 400 and r.doc_id % 40 == 0 else []), r
 
 
+def test_pii_window_and_counts(spark):
+    """Twenty words on either side however long they are; repeated rows count once."""
+    long = [f"https://x.org/{k}/" + "y" * 900 for k in range(30)]
+    text = " ".join([*long, "q@y.example.org", *long])
+    near = list(pii.surroundings(text, pii.find(text)))
+    assert [x["word"] for x in near] == long[-20:] + long[:20]
+    assert all(text[x["start"]:x["end"]] == x["word"] for x in near)
+    text = "a <mailto:q@y.example.org>, b +491234567890 c"
+    assert [x["word"] for x in pii.surroundings(text, pii.find(text)[:1])] == ["a", "<mailto:", ">,", "b", "+491234567890", "c"]
+    assert [x["word"] for x in pii.surroundings(text, pii.find(text))] == ["a", "<mailto:", ">,", "b", "c", *"abcabc"]
+    rows = [(1, "a b a"), (1, "a b a"), (1, "a b a"), (2, "a c"), (1, "a c")]
+    src = pii._source(spark.createDataFrame(rows, "doc_id long, text string"), "text", "doc_id")
+    assert dict(map(tuple, pii.occurrences(src).collect())) == {"a": 4, "b": 1, "c": 2}
+
+
 # --- 8 byte-level BPE ---
 
 def rank_encoding():
