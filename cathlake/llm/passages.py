@@ -17,6 +17,9 @@ Units of a text, in words ``[^\\x20\\x09-\\x0D]+``:
   ``SPREAD`` neighbours), so every passage of ``WINDOW + SPREAD - 1`` = 51 words
   or more that two texts share gives both at least one equal window. Equal
   windows are exact copies, for which one band with one row has full recall.
+  Such a passage reaches at most ``SPREAD - 1`` words beyond its first and last
+  window; runs that are that much longer to the left or right of the outer
+  windows are compared by their hashes in the same way, so all its words count.
 
 The first unit of a component or window, by document key, stays; later ones
 in other documents are removed. Documents that share units are clustered by
@@ -272,6 +275,62 @@ def prefix_pairs(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFra
                                 & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))).select("a", "b").distinct()
 
 
+def extended(hits: DataFrame, src: DataFrame) -> DataFrame:
+    """(uid, start, end, first) of longer runs around the windows ``hits`` that other documents hold too.
+
+    A window needs no run on a side where another hit of the same fate covers
+    all words that the run could add, in every document that holds the window.
+    """
+    # A document's list is bounded by its own windows.
+    each = hits.groupBy("uid").agg(F.sort_array(F.collect_set(F.struct("start", "hash", (F.col("first") == F.col("uid")).alias("own")))).alias("w"))
+
+    def open_on(right: bool):
+        side = 1 if right else -1
+
+        def alone(x, i):
+            others = F.slice("w", i + 1 if right else F.greatest(i - WINDOW + 1, F.lit(1)), F.lit(WINDOW + 1))
+            return ~F.exists(others, lambda y: (y["own"] == x["own"]) & ((y["start"] - x["start"]) * side).between(SPREAD - 1, WINDOW))
+        return F.transform(F.filter("w", alone), lambda x: F.struct(x["hash"].alias("hash"), F.lit(right).alias("right")))
+
+    marks = each.select(F.explode(F.concat(open_on(False), open_on(True))).alias("x")).groupBy("x.hash").agg(
+        F.max(~F.col("x.right")).alias("left"), F.max("x.right").alias("right"))
+    outer = join_back(hits, materialize(marks, "outer"), ["hash"])
+    each = outer.groupBy("uid").agg(F.collect_set(F.when(F.col("left"), F.col("start"))).alias("lefts"),
+                                    F.collect_set(F.when(F.col("right"), F.col("start"))).alias("rights"))
+
+    more = np.arange(1, SPREAD)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            uids = b.column(0).to_numpy()
+            for at, part in slices(b.column(1)):
+                row, h, _, _ = _words(part)
+                hashed, n = Hashed(h), np.bincount(row, minlength=len(part))
+                base = np.cumsum(n) - n
+                for side in (2, 3):
+                    lists = b.column(side).slice(at, len(part))
+                    of = np.repeat(np.arange(len(part)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+                    w = lists.flatten().to_numpy()
+                    k = np.tile(more, len(w))
+                    of, w = np.repeat(of, len(more)), np.repeat(w, len(more)).astype(np.int64)
+                    start, end = (w - k, w + WINDOW) if side == 2 else (w, w + WINDOW + k)
+                    fit = (start >= 0) & (end <= n[of])
+                    of, start, end = of[fit], start[fit], end[fit]
+                    found = hashed.of(base[of] + start, base[of] + end).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(uids[at + of]), pa.array(found), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)),
+                         pa.array(np.full(len(of), side == 3))], ["uid", "hash", "start", "end", "right"])
+
+    runs = src.join(each, "uid").select("uid", "text", "lefts", "rights") \
+        .mapInArrow(run, "uid long, hash long, start int, end int, right boolean")
+    runs = materialize(runs, "runs")
+    twice = runs.groupBy("hash").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first != last")
+    longer = join_back(runs, twice.select("hash", "first"), ["hash"])
+    fixed = F.when(F.col("right"), F.col("start")).otherwise(F.col("end")).alias("fixed")
+    return longer.groupBy("uid", "right", fixed, "first").agg(F.min("start").alias("start"), F.max("end").alias("end")) \
+        .select("uid", "start", "end", "first")
+
+
 def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """(uid, first, spans): per document with repeats the smallest uid it shares
     a unit with, and its repeated word ranges (start, end, first uid)."""
@@ -283,7 +342,9 @@ def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresh
     twice = win.groupBy("hash").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first != last")
     twice = twice.select("hash", "first")
     at = feats.select("uid", F.explode(F.arrays_zip("hash", "at")).alias("x")).select("uid", "x.hash", "x.at")
-    hits = join_back(at, twice, ["hash"]).select("uid", F.col("at").alias("start"), (F.col("at") + WINDOW).alias("end"), "first")
+    hits = join_back(at, twice, ["hash"]).select("uid", F.col("at").alias("start"), (F.col("at") + WINDOW).alias("end"), "first", "hash")
+    hits = materialize(hits, "windows")
+    hits = hits.drop("hash").unionByName(extended(hits, src))
 
     par = feats.select("uid", F.explode(F.arrays_zip("par", "par_at", "par_n")).alias("x")) \
         .select("uid", F.col("x.par").alias("node"), F.col("x.par_at").alias("start"), (F.col("x.par_at") + F.col("x.par_n")).alias("end"))

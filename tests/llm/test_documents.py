@@ -361,6 +361,29 @@ def test_passages_planted(spark):
     assert all(cut[d] == rows[d][1] for d in range(24, 36))
 
 
+def test_passages_whole_span(spark):
+    """All words of a shared passage are reported and cut, also where two of three documents share more."""
+    rng = random.Random(10)
+
+    def own(n):
+        return [f"u{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows, want = [], []
+    for g in range(15):
+        passage = own(rng.randrange(51, 140))
+        inner = passage[:51] if g % 3 else passage
+        for p in [passage, passage, inner][:2 + bool(g % 2)]:
+            head = " ".join(own(rng.randrange(5, 90))) + " "
+            rows.append((len(rows), head + " ".join(p + own(rng.randrange(5, 90)))))
+            want.append(f"{len(head)}:{len(head) + len(' '.join(p))}")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in passages.report(df).collect()}
+    assert [got[d].spans for d in range(len(rows))] == want
+    cut = {r.doc_id: r.text for r in passages.cut(df).collect()}
+    kept = collections.Counter(w for t in cut.values() for w in t.split())
+    assert kept == collections.Counter({w for _, t in rows for w in t.split()})  # every word stays once
+
+
 def test_passages_near_paragraphs(docs, texts):
     par = [(d, brute.shingle_set(x)) for d, t in texts.items() for x in t.split("\n") if len(brute.words(x)) >= passages.MIN_PARAGRAPH]
     near = set()
