@@ -53,19 +53,18 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, _cl_k
 def _encoder(path: str) -> SegmentEncoder:
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return SegmentEncoder(t)
+    return SegmentEncoder(Tokenizer.from_file(path))  # strings of special tokens become those tokens
 
 
 def encode_words(texts: pa.Array, path: str) -> list[np.ndarray]:
     """Ids of each text. The tokenizer drops white space and folds case, so
     white-space words are independent; case is folded and ``.``/``,`` set apart
-    beforehand only where that cannot change how characters compose."""
+    beforehand only where that can change neither how characters compose nor
+    what reads as a special token."""
     enc = loaded("words", path, _encoder)
     texts = pc.fill_null(texts, "")
     plain = pc.replace_substring_regex(pc.ascii_lower(texts), "([a-z])([.,])", "\\1 \\2")
-    texts = pc.if_else(pc.match_substring_regex(texts, "\\p{M}"), texts, plain)
+    texts = pc.if_else(pc.match_substring_regex(texts, "\\p{M}|<\\|"), texts, plain)
     ids, ends, _ = enc.lists(pc.ascii_split_whitespace(texts))
     return np.split(ids, ends[:-1])
 

@@ -273,7 +273,6 @@ def check_packing(rows, texts, capacity=4096):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     want, total = collections.Counter(), 0
     for d, text in texts:
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
