@@ -101,21 +101,23 @@ class _Model:
             self.mix()
 
     def look(self, n: int):
-        """Slots, expectations and class (times three) of the lanes' contexts."""
+        """Slots, confidences, expected ids and classes of the lanes' contexts."""
         p1 = self.p1[:n]
         slot = ((self.p2[:n] * 40503) ^ (p1 * 60493)) & ((1 << SLOT_BITS) - 1)
         e2, e1 = self.expect2.take(slot, mode="clip"), self.expect1.take(p1, mode="clip")
         c2, c1 = e2 & 0xFFFF, e1 & 0xFFFF
+        e2 >>= 16
+        e1 >>= 16
         kind = self.rank.take(c2, mode="clip")
-        kind += (e2 >> 16) << 6
-        kind += (e1 >> 16) << 3
+        kind += e2 << 6
+        kind += e1 << 3
         kind += c1 == c2
         return slot, e2, e1, c2, c1, kind
 
-    def learn(self, ids, slot, e2, e1, hit2, hit1, kind3):
+    def learn(self, ids, slot, e2, e1, c2, c1, hit2, hit1, kind3):
         n = len(ids)
-        self.expect2[slot] = _moved(e2, ids, hit2)
-        self.expect1[self.p1[:n]] = _moved(e1, ids, hit1)
+        self.expect2[slot] = _moved(e2, c2, ids, hit2)
+        self.expect1[self.p1[:n]] = _moved(e1, c1, ids, hit1)
         self.p2[:n] = self.p1[:n]
         self.p1[:n] = ids
         self.new += np.bincount(kind3, minlength=3 * _CLASSES)
@@ -124,10 +126,11 @@ class _Model:
 _NEXT = np.array([[c >> 1, min(c + 1, 7)] for c in range(8)]).reshape(-1) << 16
 
 
-def _moved(e, ids, hit):
-    """Next state of expectations: hits gain confidence, misses lose half of it, the unsure take the id."""
-    state = ((e >> 16) << 1) + hit
-    return np.where(state == 0, ids, (e & 0xFFFF) + _NEXT.take(state, mode="clip"))
+def _moved(confidence, expected, ids, hit):
+    """Next entries: hits gain confidence, misses lose half of it, the unsure take the id."""
+    confidence <<= 1
+    confidence += hit
+    return np.where(confidence == 0, ids, expected + _NEXT.take(confidence, mode="clip"))
 
 
 def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,20 +162,20 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
         model.begin(t, steps)
         slot, e2, e1, c2, c1, kind = model.look(m)
         hit2, hit1 = x == c2, x == c1
-        other = ~(hit2 | hit1)
+        part = (~hit2).view(np.int8) * (2 - hit1.view(np.int8))  # 0: order 2, 1: order 1, 2: order 0
         kind *= 3
-        kind += np.where(hit2, 0, 1 + other)
+        kind += part
         r = rng[:m] >> WEIGHT
         low[:m] += r * model.part_start.take(kind, mode="clip")
         rng[:m] = r * model.part_width.take(kind, mode="clip")
         emit(np.flatnonzero(rng[:m] <= _LOW))
-        i = np.flatnonzero(other)
+        i = np.flatnonzero(part == 2)
         r, s = rng[i] >> TOTAL0, x[i]
         low[i] += r * model.start0[s]
         r *= model.freq0[s]
         rng[i] = r
         emit(i[r <= _LOW])
-        model.learn(x, slot, e2, e1, hit2, hit1, kind)
+        model.learn(x, slot, e2, e1, c2, c1, hit2, hit1, kind)
     # Two more words settle where in its range each lane ends, whatever words follow.
     low = (low + 0xFFFF) & ~np.int64(0xFFFF)
     for _ in range(2):
@@ -228,5 +231,5 @@ def decode_ids(n: int, alphabet: int, lens: np.ndarray, words: np.ndarray) -> np
         pull(i[r <= _LOW])
         x[i] = s
         steps[t, :m] = x
-        model.learn(x, slot, e2, e1, x == c2, x == c1, kind)
+        model.learn(x, slot, e2, e1, c2, c1, x == c2, x == c1, kind)
     return steps.T.reshape(-1)[:n]

@@ -1,7 +1,7 @@
 """Token-id files, coded by an adaptive context-mixing range coder.
 
 ``write`` tokenises whole texts, appends the end id to each document and
-writes the ids, in ascending (doc_id, text) order, as files of independent
+writes the ids, in ascending order of doc_id and text hash, as files of independent
 blocks (``rangecoder``); ``read`` gives the documents back from the files.
 
 Documents are range-partitioned on their order, so a file holds one range and
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from cathlake.session import checkpoint_dir
 
-from .common import materialize, row_key, ship, whole_text
+from .common import materialize, ship, whole_text
 from .packing import VOCABULARY, _encoder, encode_words
 from .rangecoder import ALPHABET, BLOCK, CRC, HEADER, MAGIC, VERSION, decode_ids, encode_ids
 from .tokens import loaded, slices
@@ -165,7 +165,7 @@ def write(docs: DataFrame, folder: str | None = None, path: str | None = None, e
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = whole_text(F.col("text"))
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                     row_key(F.col("doc_id"), text).alias("key"), F.monotonically_increasing_id().alias("uid"))
+                     F.xxhash64(text).alias("key"), F.monotonically_increasing_id().alias("uid"))
     order = [F.col("doc_id").asc_nulls_first(), "key", "uid"]  # the row number parts equal rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
