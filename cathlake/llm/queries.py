@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, minhash, mtree, packing, passages, pii, quality, token_files, warc, wrappers
+from . import align, bpe, lines, minhash, mtree, packing, passages, pii, quality, token_files, warc, wrappers
 from .common import table
 
 QUERIES: dict = {}
@@ -155,3 +155,8 @@ def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.report(table(spark, sf_dir, "documents", "doc_id", "text"))
