@@ -42,6 +42,7 @@ from .tokens import SegmentEncoder, loaded, slices
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
+WORD_END = "</w>"  # closes the last token of a word
 GROUPS = 256
 LARGE = 8  # a piece is large above capacity / LARGE
 
@@ -53,17 +54,20 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, _cl_k
 def _encoder(path: str) -> SegmentEncoder:
     from tokenizers import Tokenizer
 
-    return SegmentEncoder(Tokenizer.from_file(path))  # strings of special tokens become those tokens
+    t = Tokenizer.from_file(path)  # strings of special tokens become those tokens
+    ends = np.zeros(t.get_vocab_size(), bool)
+    ends[[i for token, i in t.get_vocab().items() if token.endswith(WORD_END)]] = True
+    return SegmentEncoder(t, ends)
 
 
 def encode_words(texts: pa.Array, path: str) -> list[np.ndarray]:
     """Ids of each text. The tokenizer drops white space and folds case, so
-    white-space words are independent; case is folded and ``.``/``,`` set apart
-    beforehand only where that can change neither how characters compose nor
+    white-space words are independent; case is folded and punctuation after a
+    letter set apart beforehand only where that can change neither how characters compose nor
     what reads as a special token."""
     enc = loaded("words", path, _encoder)
     texts = pc.fill_null(texts, "")
-    plain = pc.replace_substring_regex(pc.ascii_lower(texts), "([a-z])([.,])", "\\1 \\2")
+    plain = pc.replace_substring_regex(pc.ascii_lower(texts), "(\\p{L})([.,!?;:])", "\\1 \\2")
     texts = pc.if_else(pc.match_substring_regex(texts, "\\p{M}|<\\|"), texts, plain)
     ids, ends, _ = enc.lists(pc.ascii_split_whitespace(texts))
     return np.split(ids, ends[:-1])

@@ -33,10 +33,27 @@ def loaded(kind: str, path: str, make: Callable):
 
 
 class SegmentEncoder:
-    """Ids of segments, as little-endian unsigned 32-bit bytes, by a tokenizers model."""
-
-    def __init__(self, tokenizer):
-        self.tokenizer, self.cache, self.old = tokenizer, {}, {}
+    """Ids of segments, as little-endian unsigned 32-bit bytes, by a tokenizers model.
+
+    ``ends`` flags, by id, the tokens that end a word, for a tokenizer that
+    reads words of letters between white space each for itself: such segments
+    are then encoded many in one text, which is told apart by these tokens.
+    """
+
+    def __init__(self, tokenizer, ends: np.ndarray | None = None):
+        self.tokenizer, self.ends, self.cache, self.old = tokenizer, ends, {}, {}
+
+    def _joined(self, words: list[str]) -> bool:
+        """Encode words of letters in one text; false if they can't be told apart."""
+        ids = self.whole(" ".join(words))
+        cut = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(cut) != len(words):  # a word became several, as some letters do in lower case
+            return False
+        raw, at = ids.tobytes(), 0
+        for w, end in zip(words, cut.tolist(), strict=True):
+            self.cache[w] = raw[at:end]
+            at = end
+        return True
 
     def table(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids, starts and lengths for a list of distinct segments."""
@@ -51,6 +68,10 @@ class SegmentEncoder:
                     new.append(s)
         for i in range(0, len(new), 5_000):
             part = new[i:i + 5_000]
+            if self.ends is not None:
+                words = [s for s in part if s.isalpha()]
+                if words and self._joined(words):
+                    part = [s for s in part if not s.isalpha()]
             for s, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 cache[s] = array.array("I", e.ids).tobytes()
         parts = [cache[s] for s in segments]
@@ -87,10 +108,10 @@ class SegmentEncoder:
         return out, at[off[1:]], skip
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """The array in runs of about ``SLICE_BYTES``, with each run's first row."""
+def slices(texts: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """The array in runs of about ``slice_bytes``, with each run's first row."""
     size = np.maximum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), 1)
-    run = np.cumsum(size) // SLICE_BYTES
+    run = np.cumsum(size) // slice_bytes
     cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(texts)]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
