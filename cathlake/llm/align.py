@@ -51,6 +51,7 @@ VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 CUT = "\x01"
 SPACE = "▁"  # stands for a space in pieces of B
+SLICE_BYTES = 2 << 20    # text of a slice; a longer text is a slice of its own
 DIGEST_TOKENS = 200_000  # tokens spelled out at a time
 
 DOCS = "slice long, i int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -208,7 +209,7 @@ def groups(docs: DataFrame, path_a: str | None = None, path_b: str | None = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at, texts in slices(b.column(1)):
+            for at, texts in slices(b.column(1), SLICE_BYTES):
                 x = Aligned(texts, paths)
                 sides = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], upto]), pa.int32()), pa.array(ids, pa.int32()))
                          for upto, ids in ((x.a_upto, x.a), (x.b_upto, x.b))]
@@ -247,7 +248,7 @@ def slices_of(docs: DataFrame, path_a: str | None = None, path_b: str | None = N
         same, spelled = loaded("same", paths, same_bytes), loaded("spelled", paths, _spelled)
         k = TaskContext.get().partitionId() << 32
         for b in batches:
-            for at, texts in slices(b.column(1)):
+            for at, texts in slices(b.column(1), SLICE_BYTES):
                 x = Aligned(texts, paths)
                 one = x.regular(same)
                 single = x.a[x.a_upto[one] - 1]
