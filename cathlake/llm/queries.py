@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, bpe, lines, minhash, mtree, packing, passages, pii, quality, token_files, warc, wrappers
+from . import align, bpe, lexical, lines, minhash, mtree, packing, passages, pii, quality, token_files, warc, wrappers
 from .common import table
 
 QUERIES: dict = {}
@@ -160,3 +160,37 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+ORACLE["op12_lexical_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rn, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), q AS (
+  SELECT row_number() OVER () AS qn, item_id,
+         list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS words
+  FROM benchmark
+), s AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(len(words))::BIGINT AS n_terms FROM d WHERE len(words) > 0
+), t AS (
+  SELECT rn, term, count(*)::BIGINT AS tf FROM (SELECT rn, unnest(words) AS term FROM d) GROUP BY rn, term
+), w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM t, s GROUP BY term, n_docs
+), m AS (
+  SELECT rn, doc_id, 100 - 50 + (50 * len(words)::BIGINT * n_docs) // n_terms AS m FROM d, s WHERE len(words) > 0
+), r AS (
+  SELECT q.qn, q.item_id, m.rn, m.doc_id, sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 20 * m.m)))::BIGINT AS score
+  FROM (SELECT qn, item_id, unnest(words) AS term FROM q) q JOIN t ON q.term = t.term JOIN w ON w.term = t.term JOIN m ON m.rn = t.rn
+  GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY qn ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 50
+"""
