@@ -50,11 +50,11 @@ from .common import gather, materialize, ship, whole_text
 from .tokens import slices
 
 K = 50
-BLOCK_DOCS = 256
-SMALL = 8
-SLICE_POSTINGS = 1_000_000  # postings of a slice of the index
+BLOCK_DOCS = 512
+SMALL = 32
+SLICE_POSTINGS = 500_000    # postings of a slice of the index
 DIMENSIONS = 16             # of the projection in which documents are compared
-ENTRIES = 2_000_000         # vector entries summarised at a time
+ENTRIES = 1_000_000         # vector entries summarised at a time
 QUERY_BLOCK = 10_000
 
 # Letters and digits of ASCII and all bytes of other characters belong to terms; capitals are folded.
@@ -124,6 +124,21 @@ def _unplanes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
 
 
+def _steps(rising: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Differences of numbers that rise within each row."""
+    out = np.diff(rising, prepend=0)
+    first = np.concatenate([[0], end[:-1]])[np.diff(end, prepend=0) > 0]
+    out[first] = rising[first]
+    return out
+
+
+def _unsteps(steps: np.ndarray, end: np.ndarray) -> np.ndarray:
+    total = np.cumsum(steps, dtype=np.int64)
+    start = np.concatenate([[0], end[:-1]])
+    before = np.concatenate([[0], total])[start]
+    return (total - np.repeat(before, end - start)).astype(np.uint32)
+
+
 def _sketches(end: np.ndarray, term: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
     """Unit vectors of a random projection of the documents, which keeps their inner products roughly."""
     start = np.concatenate([[0], end[:-1]])
@@ -191,7 +206,8 @@ def build_slice(doc_ids: list, end: np.ndarray, term: np.ndarray, gain: np.ndarr
     number = np.cumsum(big) - 1
     s_end, s_term, s_gain = summaries(number[block[kept]], docs[kept], int(big.sum()), end, term, gain, size)
     summary_end = np.concatenate([[0], s_end])[np.cumsum(big)]
-    return [doc_ids, *map(_planes, (end, term, gain, np.array(terms), ends, docs, summary_end, s_term, s_gain))]
+    return [doc_ids, *map(_planes, (end, _steps(term, end), gain, np.array(terms), ends, docs, summary_end,
+                                    _steps(s_term.astype(np.int64), s_end), s_gain))]
 
 
 def build(fwd: DataFrame, weight: np.ndarray, n_docs: int, n_terms: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
@@ -232,8 +248,10 @@ class Slice:
 
     def __init__(self, row: list):
         self.doc_ids = row[0]
-        self.end, self.term, self.gain, self.block_term, self.block_end, self.block_docs, self.summary_end, self.s_term, self.s_gain = (
-            _unplanes(x).astype(np.int64) for x in row[1:])
+        (self.end, self.term, self.gain, self.block_term, self.block_end, self.block_docs, self.summary_end, self.s_term,
+         self.s_gain) = (_unplanes(x) for x in row[1:])
+        self.end, self.block_end, self.summary_end = (x.astype(np.int64) for x in (self.end, self.block_end, self.summary_end))
+        self.term, self.s_term = _unsteps(self.term, self.end), _unsteps(self.s_term, self.summary_end)
         self.start = np.concatenate([[0], self.end[:-1]])
         self.lens = self.end - self.start
         self.block_start = np.concatenate([[0], self.block_end[:-1]])
