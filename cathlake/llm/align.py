@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from cathlake.operators.skew import join_back
 
-from .bpe import _byte_table, encode_slice
+from .bpe import _byte_table, _encoder, encode_slice
 from .common import gather, materialize, ship, whole_text
 from .tokens import SegmentEncoder, loaded, slices
 
@@ -51,7 +51,8 @@ VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 CUT = "\x01"
 SPACE = "▁"  # stands for a space in pieces of B
-SLICE_BYTES = 2 << 20    # text of a slice; a longer text is a slice of its own
+SLICE_BYTES = 1 << 20    # text of a slice; a longer text is a slice of its own
+CACHE_SEGMENTS = 50_000  # of each side, as a worker holds two caches
 DIGEST_TOKENS = 200_000  # tokens spelled out at a time
 
 DOCS = "slice long, i int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -131,6 +132,8 @@ class Aligned:
     """
 
     def __init__(self, texts: pa.Array, paths: tuple[str, str]):
+        for kind, path, make in (("byte-level", paths[0], _encoder), ("pieces", paths[1], _piece_encoder)):
+            loaded(kind, path, make).cache_segments = CACHE_SEGMENTS
         spaced = pc.binary_join_element_wise(pa.scalar(" "), texts, "")
         ta, tb = encode_slice(spaced, paths[0]), encode_pieces(texts, paths[1])
         (fa, sa, la), (fb, sb, lb) = loaded("bytes", paths[0], _byte_table), loaded("piece bytes", paths[1], _piece_bytes)

@@ -42,6 +42,7 @@ class SegmentEncoder:
 
     def __init__(self, tokenizer, ends: np.ndarray | None = None):
         self.tokenizer, self.ends, self.cache, self.old = tokenizer, ends, {}, {}
+        self.cache_segments = CACHE_SEGMENTS
 
     def _joined(self, words: list[str]) -> bool:
         """Encode words of letters in one text; false if they can't be told apart."""
@@ -57,7 +58,7 @@ class SegmentEncoder:
 
     def table(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids, starts and lengths for a list of distinct segments."""
-        if len(self.cache) > CACHE_SEGMENTS:
+        if len(self.cache) > self.cache_segments:
             self.old, self.cache = self.cache, {}
         cache, new = self.cache, []
         for s in segments:
