@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,6 +55,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, limit: str = "8m") -> Iterator[None]:
+    """Jobs run inside send batches of about ``limit`` to Python workers: for rows that are
+    large, or workers whose memory goes to vocabularies and caches."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, limit)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def packed(df: DataFrame) -> DataFrame:
     """The rows as one struct column, so that helper columns cannot clash with theirs."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW))

@@ -46,13 +46,13 @@ from pyspark.sql import functions as F
 
 from cathlake.operators.numbering import dense_ids
 
-from .common import gather, materialize, ship, whole_text
+from .common import arrow_batches, gather, materialize, ship, whole_text
 from .tokens import slices
 
 K = 50
 BLOCK_DOCS = 512
 SMALL = 32
-SLICE_POSTINGS = 500_000    # postings of a slice of the index
+SLICE_POSTINGS = 150_000    # postings of a slice of the index
 DIMENSIONS = 16             # of the projection in which documents are compared
 ENTRIES = 1_000_000         # vector entries summarised at a time
 QUERY_BLOCK = 10_000
@@ -92,7 +92,8 @@ def forward(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
                                                  ["doc_id", "n", "terms", "tfs"])
 
     ship(docs.sparkSession)
-    return materialize(df.mapInArrow(run, FORWARD), "lexical-forward")
+    with arrow_batches(docs.sparkSession):
+        return materialize(df.mapInArrow(run, FORWARD), "lexical-forward")
 
 
 def weights(fwd: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
@@ -238,7 +239,8 @@ def build(fwd: DataFrame, weight: np.ndarray, n_docs: int, n_terms: int, block_d
             yield made(rows)
 
     ship(fwd.sparkSession)
-    return materialize(fwd.select("doc_id", "n", "terms", "tfs").mapInArrow(run, INDEX), "lexical-index")
+    with arrow_batches(fwd.sparkSession):
+        return materialize(fwd.select("doc_id", "n", "terms", "tfs").mapInArrow(run, INDEX), "lexical-index")
 
 
 # --- search ---------------------------------------------------------------
@@ -353,9 +355,10 @@ def search(index: DataFrame, queries: list[np.ndarray], weight: np.ndarray, k: i
 
     ship(index.sparkSession)
     floors = np.ones(len(queries), np.int64)  # scores above 0 only
-    for r in found(floors, True).where(F.col("rank") == k).select("query", "score").collect():
-        floors[r["query"]] = max(1, r["score"])
-    return found(floors, False).select("query", "rank", "doc_id", "score")
+    with arrow_batches(index.sparkSession):
+        for r in found(floors, True).where(F.col("rank") == k).select("query", "score").collect():
+            floors[r["query"]] = max(1, r["score"])
+        return materialize(found(floors, False).select("query", "rank", "doc_id", "score"), "lexical-found")
 
 
 def rank_documents(docs: DataFrame, items: DataFrame, k: int = K, block_docs: int = BLOCK_DOCS) -> DataFrame:
