@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from cathlake.operators.skew import join_back
 
 from .bpe import _byte_table, _encoder, encode_slice
-from .common import gather, materialize, ship, whole_text
+from .common import arrow_batches, gather, materialize, ship, whole_text
 from .tokens import SegmentEncoder, loaded, slices
 
 VOCABULARY_A = "byte_bpe_50k.json"
@@ -271,7 +271,8 @@ def slices_of(docs: DataFrame, path_a: str | None = None, path_b: str | None = N
                 k += 1
 
     ship(docs.sparkSession)
-    return materialize(_input(docs).mapInArrow(run, SLICES), "aligned")
+    with arrow_batches(docs.sparkSession):
+        return materialize(_input(docs).mapInArrow(run, SLICES), "aligned")
 
 
 def _slice_pairs(aligned: DataFrame) -> DataFrame:
@@ -306,7 +307,8 @@ def pair_counts(aligned: DataFrame, path_a: str | None = None, path_b: str | Non
     ship(aligned.sparkSession)
     both = aligned.select("single").mapInArrow(vectors, "pair long, n long") \
                   .unionByName(_slice_pairs(aligned).select("pair", "n"))
-    return materialize(both.groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
+    with arrow_batches(aligned.sparkSession):
+        return materialize(both.groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
 
 
 def report(docs: DataFrame, path_a: str | None = None, path_b: str | None = None) -> DataFrame:
@@ -368,5 +370,6 @@ def report(docs: DataFrame, path_a: str | None = None, path_b: str | None = None
     blank = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns if c not in ("slice", "i", *figures)]
     both = rows.unionByName(sums.select("slice", "i", *figures, *blank))
     kept = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
-    return both.groupBy("slice", "i").agg(*[F.max(c).alias(c) for c in kept], *[F.sum(c).alias(c) for c in figures]) \
-               .select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    out = both.groupBy("slice", "i").agg(*[F.max(c).alias(c) for c in kept], *[F.sum(c).alias(c) for c in figures])
+    with arrow_batches(spark):
+        return materialize(out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"), "alignment")
