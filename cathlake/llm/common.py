@@ -98,6 +98,29 @@ def gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, idx: np.ndarr
     return flat[pos], ends
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Numbers below 2^32 by byte planes, as many as the largest needs: they compress well."""
+    k = max(1, -(-int(x.max()).bit_length() // 8)) if len(x) else 1
+    return bytes([k]) + np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :k].T).tobytes()
+
+
+def unplanes(raw: bytes) -> np.ndarray:
+    k = raw[0]
+    part = np.frombuffer(raw, np.uint8, offset=1).reshape(k, -1)
+    out = np.zeros((part.shape[1], 4), np.uint8)
+    out[:, :k] = part.T
+    return out.view("<u4").reshape(-1)
+
+
+def file_system(uri: str):
+    """The file system of a folder that all executors share, and the path in it."""
+    import pyarrow.fs as pafs
+
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
+
+
 def schema_plus(df: DataFrame, *added: tuple[str, str]) -> StructType:
     """The schema of ``df`` with (name, type) columns added."""
     return StructType([*df.schema.fields, *StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in added)).fields])

@@ -37,6 +37,7 @@ columns only the ids and texts are read.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +46,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cathlake.operators.numbering import dense_ids
+from cathlake.session import checkpoint_dir
 
-from .common import arrow_batches, gather, materialize, ship, whole_text
+from .common import arrow_batches, file_system, gather, materialize, planes, ship, unplanes, whole_text
 from .tokens import slices
 
 K = 50
@@ -62,8 +64,9 @@ TERM_BYTES = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x
                    for c in range(256))
 
 FORWARD = "doc_id long, n long, terms binary, tfs binary"
-INDEX = ("doc_ids array<long>, doc_end binary, doc_term binary, doc_gain binary, block_term binary, block_end binary, "
-         "block_docs binary, summary_end binary, summary_term binary, summary_gain binary")
+INDEX = pa.schema([("doc_ids", pa.list_(pa.int64())), *[(c, pa.binary()) for c in (
+    "doc_end", "doc_term", "doc_gain", "block_term", "block_end", "block_docs", "summary_end", "summary_term", "summary_gain")]])
+MANIFEST = "part int, path string, n_slices long, n_docs long"
 
 
 def terms_of(raw: bytes) -> list[bytes]:
@@ -116,15 +119,6 @@ def weights(fwd: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
 
 # --- index ----------------------------------------------------------------
 
-def _planes(x: np.ndarray) -> bytes:
-    """32-bit numbers by byte planes, which compress well as high bytes are mostly zero."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def _unplanes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
-
-
 def _steps(rising: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Differences of numbers that rise within each row."""
     out = np.diff(rising, prepend=0)
@@ -185,7 +179,7 @@ def summaries(block_of: np.ndarray, docs: np.ndarray, n_blocks: int, end: np.nda
 
 
 def build_slice(doc_ids: list, end: np.ndarray, term: np.ndarray, gain: np.ndarray, weight: np.ndarray, block_docs: int) -> list:
-    """A row of the index. Every document has at least one term."""
+    """A slice of the index. Every document has at least one term."""
     size = len(weight)
     sketch = _sketches(end, term, (weight[term] * gain).astype(np.float32), size)
     of = np.repeat(np.arange(len(end)), np.diff(end, prepend=0))
@@ -207,25 +201,33 @@ def build_slice(doc_ids: list, end: np.ndarray, term: np.ndarray, gain: np.ndarr
     number = np.cumsum(big) - 1
     s_end, s_term, s_gain = summaries(number[block[kept]], docs[kept], int(big.sum()), end, term, gain, size)
     summary_end = np.concatenate([[0], s_end])[np.cumsum(big)]
-    return [doc_ids, *map(_planes, (end, _steps(term, end), gain, np.array(terms), ends, docs, summary_end,
+    return [doc_ids, *map(planes, (end, _steps(term, end), gain, np.array(terms), ends, docs, summary_end,
                                     _steps(s_term.astype(np.int64), s_end), s_gain))]
 
 
-def build(fwd: DataFrame, weight: np.ndarray, n_docs: int, n_terms: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """The index of a forward table: one row per slice of documents."""
-    names = [c.split()[0] for c in INDEX.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(rows):
-            doc_ids, terms, tfs, n = zip(*rows, strict=True)
-            end = np.cumsum([len(t) // 4 for t in terms])
-            tf = np.frombuffer(b"".join(tfs), "<u4").astype(np.int64)
-            m = np.array([50 + 50 * x * n_docs // n_terms for x in n], np.int64)
-            gain = 1_000_000_000 * tf // (1000 * tf + 20 * np.repeat(m, np.diff(end, prepend=0)))
-            term = np.frombuffer(b"".join(terms), "<u4").astype(np.int64)
-            row = build_slice(list(doc_ids), end, term, gain, weight, block_docs)
-            return pa.RecordBatch.from_arrays([pa.array([row[0]], pa.list_(pa.int64())), *[pa.array([x], pa.binary()) for x in row[1:]]], names)
-
+def build(fwd: DataFrame, weight: np.ndarray, n_docs: int, n_terms: int, block_docs: int = BLOCK_DOCS,
+          folder: str | None = None) -> DataFrame:
+    """Write the index of a forward table; the manifest has one row per file.
+
+    A task writes its slices, one after the other, to an Arrow stream of its own
+    name below the shared folder; a task that is lost or run twice leaves at
+    most a file that no manifest names.
+    """
+    spark = fwd.sparkSession
+    folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/cathlake-lexical-{uuid.uuid4().hex}"
+
+    def made(rows):
+        doc_ids, terms, tfs, n = zip(*rows, strict=True)
+        end = np.cumsum([len(t) // 4 for t in terms])
+        tf = np.frombuffer(b"".join(tfs), "<u4").astype(np.int64)
+        m = np.array([50 + 50 * x * n_docs // n_terms for x in n], np.int64)
+        gain = 1_000_000_000 * tf // (1000 * tf + 20 * np.repeat(m, np.diff(end, prepend=0)))
+        term = np.frombuffer(b"".join(terms), "<u4").astype(np.int64)
+        row = build_slice(list(doc_ids), end, term, gain, weight, block_docs)
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, INDEX, strict=True)], schema=INDEX)
+
+    def cut(batches: Iterator[pa.RecordBatch]):
+        """Rows of documents with terms, in runs of ``SLICE_POSTINGS``."""
         rows, held = [], 0
         for b in batches:
             for row in zip(*[b.column(c).to_pylist() for c in ("doc_id", "terms", "tfs", "n")], strict=True):
@@ -233,25 +235,44 @@ def build(fwd: DataFrame, weight: np.ndarray, n_docs: int, n_terms: int, block_d
                     rows.append(row)
                     held += len(row[1]) // 4
                     if held >= SLICE_POSTINGS:
-                        yield made(rows)
+                        yield rows
                         rows, held = [], 0
         if rows:
-            yield made(rows)
+            yield rows
 
-    ship(fwd.sparkSession)
-    with arrow_batches(fwd.sparkSession):
-        return materialize(fwd.select("doc_id", "n", "terms", "tfs").mapInArrow(run, INDEX), "lexical-index")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, writer, n_slices, n = TaskContext.get().partitionId(), None, 0, 0
+        name = f"{folder}/part-{part:08d}-{uuid.uuid4().hex}.arrows"
+        for rows in cut(batches):
+            if writer is None:
+                fs, at = file_system(name)
+                fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
+                out = fs.open_output_stream(at)
+                writer = pa.ipc.new_stream(out, INDEX, options=pa.ipc.IpcWriteOptions(compression="lz4"))
+            writer.write_batch(made(rows))
+            n_slices, n = n_slices + 1, n + len(rows)
+        if writer is not None:
+            writer.close()
+            out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([name]), pa.array([n_slices]), pa.array([n])],
+                                             [c.split()[0] for c in MANIFEST.split(", ")])
+
+    ship(spark)
+    with arrow_batches(spark):
+        return materialize(fwd.select("doc_id", "n", "terms", "tfs").mapInArrow(run, MANIFEST), "lexical-manifest")
 
 
 # --- search ---------------------------------------------------------------
 
 class Slice:
-    """A row of the index, ready for queries."""
+    """A slice of the index, ready for queries."""
 
     def __init__(self, row: list):
         self.doc_ids = row[0]
         (self.end, self.term, self.gain, self.block_term, self.block_end, self.block_docs, self.summary_end, self.s_term,
-         self.s_gain) = (_unplanes(x) for x in row[1:])
+         self.s_gain) = (unplanes(x) for x in row[1:])
         self.end, self.block_end, self.summary_end = (x.astype(np.int64) for x in (self.end, self.block_end, self.summary_end))
         self.term, self.s_term = _unsteps(self.term, self.end), _unsteps(self.s_term, self.summary_end)
         self.start = np.concatenate([[0], self.end[:-1]])
@@ -342,23 +363,26 @@ def search(index: DataFrame, queries: list[np.ndarray], weight: np.ndarray, k: i
     def found(floors: np.ndarray, seeds_only: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best = Best(floors, k)
-            for b in batches:
-                for i in range(b.num_rows):
-                    search_slice(Slice([c[i].as_py() for c in b.columns]), queries, weight, best, seeds_only)
+            for path in (p for b in batches for p in b.column(0).to_pylist()):
+                fs, at = file_system(path)
+                with fs.open_input_stream(at) as f, pa.ipc.open_stream(f) as stream:
+                    for s in stream:
+                        search_slice(Slice([c[0].as_py() for c in s.columns]), queries, weight, best, seeds_only)
             rows = [(q, None if p == none else p, -s) for q, held in enumerate(best.held) for s, p in held]
             cols = list(zip(*rows, strict=True)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())],
                                              ["query", "doc_id", "score"])
 
-        return index.mapInArrow(run, "query int, doc_id long, score long") \
+        files = index.select("path", "part").repartitionByRange(n_files, "part").select("path")
+        return files.mapInArrow(run, "query int, doc_id long, score long") \
                     .withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
 
     ship(index.sparkSession)
+    n_files = max(1, index.count())
     floors = np.ones(len(queries), np.int64)  # scores above 0 only
-    with arrow_batches(index.sparkSession):
-        for r in found(floors, True).where(F.col("rank") == k).select("query", "score").collect():
-            floors[r["query"]] = max(1, r["score"])
-        return materialize(found(floors, False).select("query", "rank", "doc_id", "score"), "lexical-found")
+    for r in found(floors, True).where(F.col("rank") == k).select("query", "score").collect():
+        floors[r["query"]] = max(1, r["score"])
+    return found(floors, False).select("query", "rank", "doc_id", "score")
 
 
 def rank_documents(docs: DataFrame, items: DataFrame, k: int = K, block_docs: int = BLOCK_DOCS) -> DataFrame:

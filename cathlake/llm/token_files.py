@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from cathlake.session import checkpoint_dir
 
-from .common import materialize, ship, whole_text
+from .common import file_system, materialize, ship, whole_text
 from .packing import VOCABULARY, _encoder, encode_words
 from .rangecoder import ALPHABET, BLOCK, CRC, HEADER, MAGIC, VERSION, decode_ids, encode_ids
 from .tokens import loaded, slices
@@ -148,14 +148,6 @@ def documents(found: Iterator[tuple[np.ndarray, list]], keep_ids: bool) -> Itera
 
 # --- files ----------------------------------------------------------------
 
-def _file_system(uri: str):
-    import pyarrow.fs as pafs
-
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
-
-
 def write(docs: DataFrame, folder: str | None = None, path: str | None = None, end_id: int = END_ID,
           block: int = BLOCK) -> DataFrame:
     """Write the ids of ``docs`` (doc_id, text); the manifest has one row per file."""
@@ -178,7 +170,7 @@ def write(docs: DataFrame, folder: str | None = None, path: str | None = None, e
             for at, texts in slices(b.column(1)):
                 coded = encode_words(texts, path)
                 if out is None:
-                    fs, at_fs = _file_system(name)
+                    fs, at_fs = file_system(name)
                     fs.create_dir(at_fs.rsplit("/", 1)[0], recursive=True)
                     out = fs.open_output_stream(at_fs)
                     alphabet = max(loaded("words", path, _encoder).tokenizer.get_vocab_size(), end_id + 1)
@@ -214,7 +206,7 @@ def read(manifest: DataFrame, ids: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, before in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                fs, at_fs = _file_system(path)
+                fs, at_fs = file_system(path)
                 with fs.open_input_stream(at_fs) as f:
                     for rows in documents(blocks(f.read, path), ids):
                         cols = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
