@@ -44,14 +44,14 @@ from pyspark.sql import functions as F
 from cathlake.operators.skew import join_back
 
 from .bpe import _byte_table, _encoder, encode_slice
-from .common import arrow_batches, gather, materialize, ship, whole_text
+from .common import arrow_batches, gather, materialize, planes, ship, unplanes, whole_text
 from .tokens import SegmentEncoder, loaded, slices
 
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 CUT = "\x01"
 SPACE = "▁"  # stands for a space in pieces of B
-SLICE_BYTES = 1 << 20    # text of a slice; a longer text is a slice of its own
+SLICE_BYTES = 192 << 10  # text of a slice, a row of under half a megabyte; a longer text is a slice of its own
 CACHE_SEGMENTS = 50_000  # of each side, as a worker holds two caches
 DIGEST_TOKENS = 200_000  # tokens spelled out at a time
 
@@ -226,15 +226,6 @@ def groups(docs: DataFrame, path_a: str | None = None, path_b: str | None = None
 
 # --- slices ---------------------------------------------------------------
 
-def _planes(x: np.ndarray) -> bytes:
-    """32-bit numbers by byte planes, which compress well as high bytes are mostly zero."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def _unplanes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
-
-
 SLICES = ("slice long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
           "groups_sha256 array<string>, single binary, single_end binary, pairs binary, pair_counts binary, "
           "links binary, link_end binary")
@@ -262,9 +253,9 @@ def slices_of(docs: DataFrame, path_a: str | None = None, path_b: str | None = N
                 place[by_count] = np.arange(len(by_count))
                 per_doc = [np.diff(e, prepend=0) for e in (x.a_end, x.b_end, x.group_end, x.link_end)]
                 row = [k, b.column(0).slice(at, len(texts)).to_pylist(), *[c.tolist() for c in per_doc],
-                       x.digests(spelled, len(same)), _planes(single),
+                       x.digests(spelled, len(same)), planes(single),
                        np.concatenate([[0], np.cumsum(one)])[x.group_end].astype("<i8").tobytes(),
-                       pairs[by_count].astype("<i8").tobytes(), n[by_count].astype("<i8").tobytes(), _planes(place[index]),
+                       pairs[by_count].astype("<i8").tobytes(), n[by_count].astype("<i8").tobytes(), planes(place[index]),
                        np.cumsum(np.bincount(x.link_doc[odd], minlength=len(texts))).astype("<i8").tobytes()]
                 kinds = [pa.int64(), *[pa.list_(pa.int64())] * 5, pa.list_(pa.string()), *[pa.binary()] * 6]
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names)
@@ -300,7 +291,7 @@ def pair_counts(aligned: DataFrame, path_a: str | None = None, path_b: str | Non
         count = np.zeros(len(same), np.int64)
         for b in batches:
             for single in b.column(0).to_pylist():
-                count += np.bincount(_unplanes(single), minlength=len(same))
+                count += np.bincount(unplanes(single), minlength=len(same))
         a = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array((a << 32) | same[a]), pa.array(count[a])], ["pair", "n"])
 
@@ -335,7 +326,7 @@ def report(docs: DataFrame, path_a: str | None = None, path_b: str | None = None
         """Documents with the sums over their one-to-one groups."""
         for batch in batches:
             for r in batch.to_pylist():
-                ids, end = _unplanes(r["single"]), np.frombuffer(r["single_end"], "<i8")
+                ids, end = unplanes(r["single"]), np.frombuffer(r["single_end"], "<i8")
                 n = len(end)
                 cols = [pa.array(np.full(n, r["slice"])), pa.array(np.arange(n, dtype=np.int32)),
                         *[pa.array(r[c], pa.int64()) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")],
@@ -352,7 +343,7 @@ def report(docs: DataFrame, path_a: str | None = None, path_b: str | None = None
             n = np.zeros(len(pairs), np.int64)
             n[right.column("i").to_numpy()] = right.column("total").to_numpy()
             top = (n == highest[pairs & ((1 << 32) - 1)]).astype(np.int64)
-            links, end = _unplanes(r["links"]), np.frombuffer(r["link_end"], "<i8")
+            links, end = unplanes(r["links"]), np.frombuffer(r["link_end"], "<i8")
             sums = [np.diff(np.concatenate([[0], np.cumsum(v[links])])[end], prepend=0) for v in (top, n)]
             i = np.flatnonzero(np.diff(end, prepend=0))
             out.append(pa.table([pa.array(np.full(len(i), r["slice"])), pa.array(i.astype(np.int32)), *[pa.array(s[i]) for s in sums]],
