@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 
 from cathlake.functions.ordering import to_col
 
-# Text tokens that stand for a missing value.
-NULL_TOKENS = ("None", "NaT", "None00", "nan", "")
+# Cells that the original reader takes as missing.
+READER_NULLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+                "NULL", "NaN", "None", "n/a", "nan", "null")
+# Text tokens that stand for a missing value, in cells and in header text.
+NULL_TOKENS = (*READER_NULLS, "NaT", "None00")
 
 
 def null_tokens(c, tokens=NULL_TOKENS) -> Column:

@@ -122,17 +122,24 @@ def conform(df: DataFrame, types: dict, keep=()) -> DataFrame:
     return df.select(*out)
 
 
-def conform_rejects(df: DataFrame, types: dict) -> DataFrame:
-    """Per column of the dictionary, the values that ``conform`` turns into NULL
-    although they are not missing: (column, rejected), one pass."""
+def lost_values(df: DataFrame, types: dict) -> dict[str, Column]:
+    """By column of the dictionary, whether ``conform`` turns a row's value into NULL
+    although it is not missing."""
     have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    cols = [c for c in types if c in have]
-    lost = []
-    for c in cols:
-        text = F.col(c) if have[c].startswith("array") else N.null_tokens(F.col(c).cast("string"))
-        made = _convert(F.col(c), have[c], spark_type(types[c]), types[c])
-        lost.append(F.count_if(text.isNotNull() & made.isNull()).alias(c))
-    return df.agg(*lost).unpivot([], cols, "column", "rejected")
+    lost = {}
+    for c in types:
+        if c in have:
+            text = F.col(c) if have[c].startswith("array") else N.null_tokens(F.col(c).cast("string"))
+            made = _convert(F.col(c), have[c], spark_type(types[c]), types[c])
+            lost[c] = text.isNotNull() & made.isNull()
+    return lost
+
+
+def conform_rejects(df: DataFrame, types: dict) -> DataFrame:
+    """(column, rejected): how many values ``conform`` loses, one pass. See
+    ``sources.permissive.load_counted`` for counts out of the writing pass."""
+    lost = lost_values(df, types)
+    return df.agg(*[F.count_if(x).alias(c) for c, x in lost.items()]).unpivot([], list(lost), "column", "rejected")
 
 
 def create_table_sql(name: str, types: dict, location: str | None = None) -> str:

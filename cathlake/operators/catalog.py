@@ -63,8 +63,8 @@ def inventory_stages(spark, root: str, stage_dir: str | None = None, header_only
     whose header carries the image marker, and the funnel counts
     (``n_candidates``, ``n_valid``). With ``stage_dir`` each stage list is
     stored as a table there and re-read on a rerun (resumable).
-    Returns ``(valid_paths, funnel)``."""
-    from cathlake.operators.cohort import funnel
+    Returns ``(valid_paths, funnel)``; the funnel also counts files that could
+    not be read (``n_unreadable``), which ``inventory_rejects`` lists."""
     from cathlake.sources import files
 
     def listed():
@@ -75,10 +75,20 @@ def inventory_stages(spark, root: str, stage_dir: str | None = None, header_only
         return files.header_flags(base) if header_only else files.with_header_flag(spark, root)
 
     checked = files.staged(spark, f"{stage_dir}/checked", flagged) if stage_dir else flagged()
-    counts = funnel(checked, {"n_candidates": F.lit(True), "n_valid": F.col("valid")})
+    counts = checked.agg(F.count(F.lit(1)).alias("n_candidates"), F.count_if("valid").alias("n_valid"),
+                         F.count_if(F.col("error").isNotNull()).alias("n_unreadable"))
     return checked.where(F.col("valid")).select("path", "length", "modificationTime"), counts
 
 
+def inventory_rejects(spark, stage_dir: str) -> DataFrame:
+    """Files that an ``inventory_stages`` run with this ``stage_dir`` could not read, with the
+    reason (path, length, modificationTime, error)."""
+    from cathlake.sources import files
+
+    checked = spark.read.parquet(f"{stage_dir}/checked")
+    return files.unreadable(checked).select("path", "length", "modificationTime", "error")
+
+
 def link_procedures(catalog: DataFrame, registry: DataFrame, hours: float = 6.0,
                     registry_id: str = "rowid", unique_images: bool = False,
                     view: str | None = None) -> DataFrame:
@@ -121,5 +131,5 @@ def assign_test_phase(catalog: DataFrame, cohort: DataFrame, id_col: str = "Pati
     return assign_phase(catalog, cohort, key="PatientID", id_col=id_col)
 
 
-__all__: Sequence[str] = ["inventory_stages", "build_catalog", "link_procedures", "repair_patient_id",
+__all__: Sequence[str] = ["inventory_stages", "inventory_rejects", "build_catalog", "link_procedures", "repair_patient_id",
                           "preview_patient_repair", "assign_test_phase"]

@@ -7,15 +7,14 @@
   each row's id is its in-partition position plus the row count of all
   earlier partitions. The only table that is broadcast is that per-partition
   count table, whose size is the partition count.
-* ``group_rank``: ``rank`` / ``row_number`` inside groups from the same global
-  positions: a row's number is its position (or its tie's first position)
-  minus the position of its group's first row. Minima come from windows over
-  (range partition, group), bounded by the partition size; a group that
-  started in an earlier partition (only a partition's first group can) takes
-  its first position from a table with at most one row per partition. So no
-  group is ever gathered into one task and rows are shuffled once.
-  ``dense_rank`` is ``row_number`` over the distinct (group, value) pairs,
-  joined back to the rows with hot pairs salted.
+* ``group_rank``: ``row_number`` inside groups from the same global positions:
+  a row's number is its position minus the position of its group's first row.
+  Minima come from windows over (range partition, group), bounded by the
+  partition size; a group that started in an earlier partition (only a
+  partition's first group can) takes its first position from a table with at
+  most one row per partition. Rows are shuffled for the range sort and for
+  those windows. ``rank`` and ``dense_rank`` number the distinct (group,
+  value) pairs (``ties``), so that rows that tie are never gathered either.
 * ``keep_first`` / ``pick_min``: subset de-dup keeping the first row in an
   explicit order, as a ``min(struct(order, payload))`` aggregate that combines
   map-side before the shuffle.
@@ -107,13 +106,6 @@ def work_batches(df: DataFrame, order: Sequence, k: int, name: str = "batch") ->
     return dense_ids(df, order, "idx").withColumn(name, F.floor(F.col("idx") / size).cast("long"))
 
 
-def _join_back(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Inner join on null-safe equality of ``cols`` (one ``b`` row per key),
-    hot keys split."""
-    from cathlake.operators.skew import join_back
-    return join_back(a, b, list(cols), "inner", null_safe=True)
-
-
 def group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str],
                name: str = "rank", method: str = "rank", nulls_last: bool = True,
                tiebreak: Sequence[str] = (), parts: int | None = None) -> DataFrame:
@@ -132,16 +124,11 @@ def group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str],
         return F.col(c).asc_nulls_last() if nulls_last else F.col(c).asc_nulls_first()
 
     gsort = [F.col(g).asc_nulls_first() for g in group]
-    if method == "dense_rank":
-        # dense_rank = row_number over the distinct (group, value) pairs
-        vals = df.groupBy(*group, *order).agg(F.count(F.lit(1)).alias("_cl_n"))
-        r = group_rank(vals, group, order, name, "row_number", nulls_last, parts=parts)
-        return _join_back(df, r.drop("_cl_n"), group + order)
-    # rank / row_number: positions over the rows, then per-partition windows.
-    # Rank needs ties in one partition, so its range key is (group, order).
-    sort = gsort + [asc(c) for c in order] + ([asc(c) for c in tiebreak] if method == "row_number" else [])
-    if method not in ("rank", "row_number"):
-        raise ValueError(f"unknown method {method!r}")
+    if method != "row_number":
+        from cathlake.operators.ties import tie_rank
+        return tie_rank(df, group, order, name, method, nulls_last, parts)
+    # row_number: positions over the rows, then per-partition windows.
+    sort = gsort + [asc(c) for c in order] + [asc(c) for c in tiebreak]
     s = sorted_checkpoint(df, [to_col(c) for c in sort], parts)
     m = (s.withColumn("_cl_mid", F.monotonically_increasing_id())
           .withColumn("_cl_pid", F.shiftright(F.col("_cl_mid"), 33))
@@ -170,15 +157,23 @@ def group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str],
     x = m.join(F.broadcast(carry.withColumnRenamed("_cl_pid", "_cl_cpid")), ccond, "left")
     wg = Window.partitionBy("_cl_pid", *group)
     gstart = F.coalesce(F.col("_cl_gf"), F.min("_cl_pos").over(wg))
-    if method == "row_number":
-        val = F.col("_cl_pos") - gstart + 1
-    else:
-        tie = F.min("_cl_pos").over(Window.partitionBy("_cl_pid", *group, *order))
-        val = tie - gstart + 1
-    out = x.withColumn(name, val)
+    out = x.withColumn(name, F.col("_cl_pos") - gstart + 1)
     return out.select(*df.columns, name)
 
 
+def unique_rows(df: DataFrame, keys: Sequence[str], what: str = "key") -> DataFrame:
+    """``df`` as it is, if ``keys`` is a key of it; else the query fails and names a repeated
+    value. The check is part of the plan: one aggregate on the key, as ``keep_first``."""
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    held = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cl_n"), F.min(F.struct(F.lit(0).alias("_cl_z"), *[F.col(c) for c in rest])).alias("_cl_r"))
+    told = F.concat(F.lit(f"repeated {what}: "), F.to_json(F.struct(*keys)))
+    checked = F.when(F.col("_cl_n") > 1, F.raise_error(told).cast(held.schema["_cl_r"].dataType)).otherwise(F.col("_cl_r"))
+    # The smallest column of the row goes through the check even if no other column is asked for.
+    out = held.select(*[F.col(k).alias(k) for k in keys], checked.alias("_cl_r")).where(F.col("_cl_r._cl_z") == 0)
+    return out.select(*[F.col(c) if c in keys else F.col(f"_cl_r.{c}").alias(c) for c in df.columns])
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per ``keys`` value: the first in ascending ``order`` (NULLs
     first). Rows equal in every order column are interchangeable only if the

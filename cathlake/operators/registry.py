@@ -16,15 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cathlake.functions import normalize as N
+from cathlake.functions.schema import conform
+from cathlake.operators.numbering import dense_ids
 from cathlake.operators.skew import join_back
 
 
-# The 16 coronary segment names used as registry site values
-# (numbered segment, then name), in segment-number order.
+# The 16 coronary segment names used as registry site values, in
+# the order of the wide table's columns (a pivot sorts them as text).
 SITES = [
-    "1 Prox RCA", "2 Midt RCA", "3 Distale RCA", "4 PDA", "5 LM", "6 Prox LAD",
-    "7 Midt LAD", "8 Distale LAD", "9 D1", "10 D2", "11 Prox LCX", "12 OM1",
-    "13 Midt LCX", "14 OM2", "15 Distale LCX", "16 PLA fra RCA",
+    "1 Prox RCA", "10 D2", "11 Prox LCX", "12 OM1", "13 Midt LCX", "14 OM2",
+    "15 Distale LCX", "16 PLA fra RCA", "2 Midt RCA", "3 Distale RCA", "4 PDA",
+    "5 LM", "6 Prox LAD", "7 Midt LAD", "8 Distale LAD", "9 D1",
 ]
 # Wide-column prefixes for the three registry measures.
 MEASURE_PREFIX = {"stenosegrad_eyeball": "Sten %: ", "ffr": "ffr %: ", "kartype": "kartype: "}
@@ -78,7 +80,8 @@ def pivot_conflicts(df: DataFrame, keys: Sequence[str], site: str) -> DataFrame:
 
 def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lokalbed_velse"),
                   site="proceduresite", sub="sub_entryid", start="procedurestart_lokalbed_velse",
-                  mode: str = "entry", sites: Sequence = SITES, order: Sequence[str] = ()) -> DataFrame:
+                  mode: str = "entry", sites: Sequence = SITES, order: Sequence[str] = (),
+                  strict: bool = False) -> DataFrame:
     """Registry pivot: rows without a procedure start dropped, measures
     ``Sten %: <site>``, ``ffr %: <site>`` (numbers) and ``kartype: <site>``
     (text), the other columns together from one row of the whole entry: the
@@ -92,7 +95,8 @@ def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lok
     pivot row of its smallest sub-entry (string order). ``mode="sub_entry"``:
     one row per sub-entry where, as in the original merge, the ``Sten`` and
     ``ffr`` columns come from the entry's smallest sub-entry and ``kartype``
-    from the sub-entry itself.
+    from the sub-entry itself. ``strict`` fails on a (sub-entry, site) with more
+    than one row and names it, from counts in the pivot's own aggregate.
     """
     keys = list(keys)
     base = df.where(F.col(start).isNotNull())
@@ -104,7 +108,14 @@ def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lok
     level1 = base.groupBy(*keys, sub).agg(
         F.min(first_row).alias("_cl_attr"),
         *[F.min(F.when(s == F.lit(v), F.col(m))).alias(f"{p}{v}")
-          for m, p in MEASURE_PREFIX.items() for v in sites])
+          for m, p in MEASURE_PREFIX.items() for v in sites],
+        *[F.count_if(s == F.lit(v)).alias(f"_cl_n{i}") for i, v in enumerate(sites) if strict])
+    if strict:
+        repeated = F.array_compact(F.array(*[F.when(F.col(f"_cl_n{i}") > 1, F.lit(str(v))) for i, v in enumerate(sites)]))
+        told = F.concat(F.lit("several rows for "), F.to_json(F.struct(*keys, sub, repeated.alias("sites"))))
+        checked = F.when(F.size(repeated) > 0, F.raise_error(told).cast("string")).otherwise(F.col(sub))
+        # Every later step needs the sub-entry, so none can leave the check out.
+        level1 = level1.withColumn(sub, checked).drop(*[f"_cl_n{i}" for i in range(len(sites))])
     if mode == "entry":
         carried = [c for m in MEASURE_PREFIX for c in cols[m]]
         first = level1.groupBy(*keys).agg(
@@ -132,6 +143,29 @@ def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lok
             .withColumn("timestamp", F.to_timestamp_ntz(F.col("timestamp"))))
 
 
+def registry_types(attrs: Sequence[str], named: dict | None = None, sites: Sequence = SITES,
+                   keys: dict | None = None) -> dict:
+    """Type dictionary of the wide table: ``rowid``, the keys, ``timestamp``, the attributes in
+    their order (SQL types by name in ``named``, else text), then the measures of all sites."""
+    types = {"rowid": "BIGINT PRIMARY KEY", **(keys or {"bth_pid": "varchar(255)", "entryid": "int8"}), "timestamp": "TIMESTAMP"}
+    for c in attrs:
+        types.setdefault(c, (named or {}).get(c, "varchar(255)"))
+    for m, prefix in MEASURE_PREFIX.items():
+        for v in sites:
+            types[f"{prefix}{v}"] = "varchar(255)" if m == "kartype" else "float8"
+    return types
+
+
+def typed_registry(wide: DataFrame, named: dict | None = None, order: Sequence[str] = ("bth_pid", "entryid", "timestamp"),
+                   keys: dict | None = None) -> DataFrame:
+    """The wide table as it is loaded: ids from 0 in ``order`` and every column typed by
+    ``registry_types`` (text that does not fit its type is NULL)."""
+    measures = tuple(MEASURE_PREFIX.values())
+    types = registry_types([c for c in wide.columns if not c.startswith(measures) and c not in ("rowid", "timestamp")], named, keys=keys)
+    loaded = conform(dense_ids(wide, list(order), "rowid"), {c: t for c, t in types.items() if c in wide.columns or c == "rowid"})
+    return loaded
+
+
 def cardinality_profile(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
     """Per column: how many distinct per-group distinct-counts it has, and
     whether that is more than one (the column varies inside some groups but

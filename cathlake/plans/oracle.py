@@ -555,3 +555,46 @@ FROM {_ORD_CAT} c
 WHERE DcmPathFlatten NOT IN (SELECT '/f/' || CAST(o_orderkey AS VARCHAR) FROM orders
                              WHERE o_totalprice <= 300000)
 """
+
+ORACLE["rank_ties"] = """
+WITH e AS (SELECT event_id, event_type, CASE WHEN event_id % 3 <> 0 THEN CAST(ts AS DATE) END AS day FROM events)
+SELECT event_id, event_type, day,
+       CAST(rank() OVER (PARTITION BY event_type ORDER BY day ASC NULLS LAST) AS BIGINT) AS rank,
+       CAST(dense_rank() OVER (PARTITION BY event_type ORDER BY day ASC NULLS LAST) AS BIGINT) AS drank
+FROM e
+"""
+
+ORACLE["csv_ingest"] = r"""
+SELECT doc_id, replace(replace(' "' || text || '", ' || chr(10) || lang || ' ', chr(13), 'r'), '\', '') AS text,
+       CASE WHEN lang IN ('fr', 'de', 'es') THEN NULL ELSE source END AS source,
+       CASE WHEN lang = 'fr' THEN NULL ELSE CAST(n_chars AS BIGINT) END AS n_chars
+FROM documents
+"""
+
+ORACLE["reject_counts"] = """
+SELECT 'NumberOfFrames' AS "column", count(*) AS "rows",
+       count(*) FILTER (event_type NOT IN ('error', 'view', 'signup', 'click')) AS rejected FROM events
+UNION ALL SELECT 'FrameTime', count(*), count(*) FILTER (event_type = 'click') FROM events
+UNION ALL SELECT 'TimeStamp', count(*), count(*) FILTER (event_type = 'signup') FROM events
+UNION ALL SELECT 'PatientID', count(*), 0 FROM events
+"""
+
+_LI_ONE = f"""SELECT * FROM ({_LI_REG}) QUALIFY row_number() OVER (
+  PARTITION BY bth_pid, entryid, procedurestart_lokalbed_velse, sub_entryid, proceduresite
+  ORDER BY l_linenumber, stenosegrad_eyeball NULLS FIRST, ffr NULLS FIRST, kartype NULLS FIRST, shipped NULLS FIRST) = 1"""
+
+ORACLE["registry_typed"] = f"""
+WITH w AS ({ORACLE['registry_entry'].replace(_LI_REG, _LI_ONE)})
+SELECT CAST(row_number() OVER (ORDER BY bth_pid, entryid, "timestamp") - 1 AS BIGINT) AS rowid,
+       bth_pid, entryid, "timestamp", CAST(shipped AS TIMESTAMP) AS shipped,
+       {", ".join(f'"{p}{v}"' for _, p in _MEAS for v in SITES)}
+FROM w
+"""
+
+ORACLE["unique_ids"] = "SELECT o_orderkey, o_custkey, o_orderdate FROM orders"
+
+ORACLE["diagnostic_refresh"] = ORACLE["diagnostic_flag_events"]
+
+ORACLE["diagnostic_ids"] = f"""
+SELECT DISTINCT event_id FROM ({ORACLE['diagnostic_flag_events']}) f WHERE diagnostic_data
+"""

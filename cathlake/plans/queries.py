@@ -613,3 +613,96 @@ def catalog_build(spark: SparkSession, d: str) -> DataFrame:
     types = {c: t for c, t in catalog_types().items() if c in BUILD_COLS}
     built, _rejects = cat_ops.build_catalog(_event_records(spark, d), types, base_folder="base")
     return built
+
+
+# ------------------------------------------------------------ E1 under heavy ties
+@register("rank_ties")
+def rank_ties(spark: SparkSession, d: str) -> DataFrame:
+    """A handful of groups, a third of the times NULL: ties and groups of any weight."""
+    day = F.when(F.col("event_id") % 3 != 0, F.to_date("ts"))
+    ev = read_table(spark, d, "events").select("event_id", "event_type", day.alias("day"))
+    ranked = numbering.group_rank(ev, ["event_type"], ["day"], "rank", "rank")
+    return numbering.group_rank(ranked, ["event_type"], ["day"], "drank", "dense_rank")
+
+
+# ------------------------------------------------------------ typed loads and their rejects
+from cathlake.sources import permissive  # noqa: E402
+
+
+def _fresh_path(spark, name):
+    import uuid
+    return f"{sinks.shared_table_root(spark)}/{name}_{uuid.uuid4().hex[:8]}"
+
+
+@register("csv_ingest")
+def csv_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """documents as CSV cells with quotes, separators, line breaks, outer spaces and
+    missing-value tokens, read back cell by cell and typed."""
+    t = F.col("lang")
+    cells = read_table(spark, d, "documents").select(
+        "doc_id", F.concat(F.lit(' "'), F.col("text"), F.lit('", \n'), t, F.lit(" ")).alias("text"),
+        F.when(t == "fr", "NA").when(t == "de", "NULL").when(t == "es", "n/a").otherwise(F.col("source")).alias("source"),
+        F.when(t == "fr", "#N/A").when(t == "de", F.concat(F.col("n_chars").cast("string"), F.lit(".9")))
+         .otherwise(F.col("n_chars").cast("string")).alias("n_chars"))
+    path = _fresh_path(spark, "csv/documents")
+    sinks.write_csv(cells, path)
+    rows, _rejects = permissive.read_records(spark, path, cells.columns)
+    return conform(rows, {"doc_id": "int8", "text": "TEXT", "source": "varchar(255)", "n_chars": "int8"})
+
+
+@register("reject_counts")
+def reject_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Values that do not fit their column's type, counted while the table is written."""
+    t = F.col("event_type")
+    raw = read_table(spark, d, "events").select(
+        F.when(t == "error", "None").when(t == "view", "").when(t == "signup", "NaT")
+         .when(t == "click", F.concat(F.floor("value").cast("string"), F.lit(".7")))
+         .otherwise(F.concat(F.lit("x"), F.col("event_id").cast("string"))).alias("NumberOfFrames"),
+        F.when(t == "click", "12,5").when(t == "view", "NA").otherwise(F.col("value").cast("string")).alias("FrameTime"),
+        F.when(t == "signup", "2024-13-45 00:00:00").when(t == "error", "NaT")
+         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("TimeStamp"), F.col("user_id").cast("string").alias("PatientID"))
+    types = {c: t for c, t in catalog_types().items() if c in ("NumberOfFrames", "FrameTime", "TimeStamp", "PatientID")}
+    _table, counts = permissive.load_counted(raw, types, _fresh_path(spark, "loads/events"))
+    return counts
+
+
+@register("registry_typed")
+def registry_typed(spark: SparkSession, d: str) -> DataFrame:
+    """One row per (sub-entry, site), the strict pivot (none may repeat), ids and typed columns."""
+    one = numbering.keep_first(_lineitem_registry(spark, d),
+                               ["bth_pid", "entryid", "procedurestart_lokalbed_velse", "sub_entryid", "proceduresite"],
+                               ["l_linenumber", "stenosegrad_eyeball", "ffr", "kartype", "shipped"])
+    wide = registry.registry_wide(one, mode="entry", order=["l_linenumber"], strict=True)
+    return registry.typed_registry(wide, {"shipped": "TIMESTAMP"}, keys={"bth_pid": "varchar(255)", "entryid": "varchar(255)"})
+
+
+@register("unique_ids")
+def unique_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with the check that their id is a key."""
+    return numbering.unique_rows(read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), ["o_orderkey"])
+
+
+# ------------------------------------------------------------ K6 from stored summaries, id sets
+from cathlake.operators import bitmaps, run_summary  # noqa: E402
+
+
+@register("diagnostic_refresh")
+def diagnostic_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """Run summaries of the events so far are stored by day; purchases and errors arrive
+    later, at any time, and only the days they touch are summarised again."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    late = F.col("event_type").isin("purchase", "error")
+    old, new = ev.where(~late | late.isNull()), ev.where(late)
+    path = _fresh_path(spark, "summaries/events")
+    run_summary.summarise(old, "user_id", "ts", _ev_label()).write.parquet(path)
+    cells = run_summary.refresh(spark.read.parquet(path), old, new, "user_id", "ts", _ev_label())
+    return run_summary.flag_from(cells, ev, "user_id", "ts")
+
+
+@register("diagnostic_ids")
+def diagnostic_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Ids of all leading runs, as the union of one bitmap set per label."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    runs = episodes.leading_runs(ev, "user_id", "ts", _ev_label())
+    sets = [bitmaps.id_set(runs, "event_id", F.col(f"run_{L}")) for L in (1, 0)]
+    return bitmaps.members(bitmaps.union(*sets), "event_id")

@@ -75,11 +75,22 @@ def _listed(folders: DataFrame) -> DataFrame:
 
 
 def with_header_flag(spark: SparkSession, root: str, name: str = "valid") -> DataFrame:
-    """Inventory plus a boolean: the marker sits right after the preamble."""
+    """Inventory plus a boolean: the marker sits right after the preamble. Bodies are read by
+    Spark's own file source, which lists neither hidden nor empty files: these are
+    kept from ``inventory``, hidden ones flagged by their header bytes."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     magic = F.lit(bytearray(MAGIC))
-    flag = F.coalesce(F.substring(F.col("content"), PREAMBLE + 1, len(MAGIC)) == magic, F.lit(False))
-    return r.select("path", "length", "modificationTime", flag.alias(name))
+    seen = r.select(_plain_path(F.col("path")).alias("_cl_path"),
+                    (F.substring(F.col("content"), PREAMBLE + 1, len(MAGIC)) == magic).alias(name))
+    every = inventory(spark, root).withColumn("_cl_path", _plain_path(F.col("path")))
+    found = every.join(seen, "_cl_path").select("path", "length", "modificationTime", name, F.lit(None).cast("string").alias("error"))
+    rest = every.join(seen, "_cl_path", "left_anti").select("path", "length", "modificationTime")
+    return found.unionByName(header_flags(rest, name))
+
+
+def _plain_path(path):
+    """A path without what different listings write before a local one."""
+    return F.regexp_replace(path, "^file:/*", "/")
 
 
 def staged(spark: SparkSession, path: str, compute) -> DataFrame:

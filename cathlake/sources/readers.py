@@ -9,22 +9,36 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cathlake.functions import normalize as N
 
-def read_strings(spark: SparkSession, paths: str | Sequence[str], sep: str = ",",
-                 header: bool = True) -> DataFrame:
-    """CSV / TSV files with a header, all columns strings. Several files with
-    the same header are read as one frame (their concatenation)."""
-    return (spark.read.option("header", header).option("inferSchema", False)
-            .option("sep", sep).option("multiLine", False).csv(paths))
+# Quotes inside a quoted cell are doubled; a quoted cell may hold line breaks.
+CSV_FORM = {"quote": '"', "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False,
+            "ignoreTrailingWhiteSpace": False, "maxCharsPerColumn": -1}
 
 
-def read_tsv(spark: SparkSession, paths, header: bool = True) -> DataFrame:
-    return read_strings(spark, paths, sep="\t", header=header)
+def read_strings(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", header: bool = True,
+                 missing: Sequence[str] | None = N.READER_NULLS) -> DataFrame:
+    """CSV / TSV files with a header, all columns strings; cells as ``CSV_FORM``
+    has them, and those that hold a token of ``missing`` read as NULL. Several
+    files with the same header are read as one frame (their concatenation).
+
+    A cell may hold line breaks, so a file is read by one task: tables of many
+    rows should come as many files, as ``sinks.write_csv`` writes them.
+    """
+    raw = (spark.read.options(**CSV_FORM).option("header", header).option("inferSchema", False)
+           .option("sep", sep).csv(paths))
+    if not missing:
+        return raw
+    return raw.select(*[N.null_tokens(F.col(f"`{c}`"), missing).alias(c) for c in raw.columns])
+
+
+def read_tsv(spark: SparkSession, paths, header: bool = True, missing: Sequence[str] | None = N.READER_NULLS) -> DataFrame:
+    return read_strings(spark, paths, sep="\t", header=header, missing=missing)
 
 
 def read_path_list(spark: SparkSession, path: str, name: str = "path") -> DataFrame:
     """Headerless one-column list of file paths."""
-    return spark.read.schema(f"`{name}` string").option("header", False).csv(path)
+    return spark.read.schema(f"`{name}` string").options(**CSV_FORM).option("header", False).csv(path)
 
 
 def read_id_list(spark: SparkSession, path: str, column: str = "PatientID") -> DataFrame:

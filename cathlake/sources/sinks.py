@@ -16,7 +16,10 @@ from cathlake.functions.schema import create_table_sql
 
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+    """Header CSV in the form that ``readers.read_strings`` reads back cell by cell:
+    quotes doubled, line breaks and outer spaces kept."""
+    (df.write.mode(mode).option("header", header).option("sep", sep).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def append(df: DataFrame, path: str) -> None:
