@@ -51,8 +51,8 @@ VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 CUT = "\x01"
 SPACE = "▁"  # stands for a space in pieces of B
-SLICE_BYTES = 192 << 10  # text of a slice, a row of under half a megabyte; a longer text is a slice of its own
-CACHE_SEGMENTS = 50_000  # of each side, as a worker holds two caches
+SLICE_BYTES = 512 << 10   # text of a slice; a longer text is a slice of its own
+CACHE_SEGMENTS = 120_000  # of each side, as a worker holds two caches
 DIGEST_TOKENS = 200_000  # tokens spelled out at a time
 
 DOCS = "slice long, i int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
