@@ -598,3 +598,10 @@ ORACLE["diagnostic_refresh"] = ORACLE["diagnostic_flag_events"]
 ORACLE["diagnostic_ids"] = f"""
 SELECT DISTINCT event_id FROM ({ORACLE['diagnostic_flag_events']}) f WHERE diagnostic_data
 """
+
+ORACLE["cohort_sketch"] = """
+SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(DISTINCT user_id) AS n_users,
+       count(DISTINCT (user_id, CAST(ts AS DATE))) AS n_user_days,
+       count(DISTINCT user_id) - count(DISTINCT user_id) FILTER (event_type = 'purchase') AS n_without, TRUE AS within_error
+FROM events GROUP BY ALL
+"""

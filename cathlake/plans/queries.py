@@ -706,3 +706,31 @@ def diagnostic_ids(spark: SparkSession, d: str) -> DataFrame:
     runs = episodes.leading_runs(ev, "user_id", "ts", _ev_label())
     sets = [bitmaps.id_set(runs, "event_id", F.col(f"run_{L}")) for L in (1, 0)]
     return bitmaps.members(bitmaps.union(*sets), "event_id")
+
+
+# ------------------------------------------------------------ D-3, D-4, G3 from stored sketches
+from cathlake.operators import sketches  # noqa: E402
+
+
+@register("cohort_sketch")
+def cohort_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct users, distinct (user, day) and users without a purchase by month, from
+    sketches stored by day: exact counts, and whether the estimates keep the stated error."""
+    ev = read_table(spark, d, "events").select("user_id", "event_type", "ts", F.to_date("ts").alias("day"),
+                                               F.trunc("ts", "month").alias("month"))
+    buys = F.when(F.col("event_type") == "purchase", F.col("user_id"))
+    path = _fresh_path(spark, "sketches/events")
+    named = ["users", "user_days", "buyers"]
+    sketches.sketch(ev, {"users": F.col("user_id"), "user_days": sketches.value_of("user_id", "day"), "buyers": buys},
+                    ["month", "day"]).write.parquet(path)
+    got = sketches.merged(spark.read.parquet(path), named, ["month"]).select(
+        "month", sketches.estimate("users").alias("e_users"), sketches.estimate("user_days").alias("e_user_days"),
+        sketches.without("users", "buyers").alias("e_without"))
+    exact = ev.groupBy("month").agg(F.count_distinct("user_id").alias("n_users"),
+                                    F.count_distinct(F.struct("user_id", "day")).alias("n_user_days"),
+                                    (F.count_distinct("user_id") - F.count_distinct(buys)).alias("n_without"))
+    bound = sketches.relative_error()
+    near = [F.abs(F.col(f"e_{c}") - F.col(f"n_{c}")) <= F.lit(bound) * F.col(f"n_{of}")
+            for c, of in (("users", "users"), ("user_days", "user_days"), ("without", "users"))]
+    return exact.join(got, exact["month"].eqNullSafe(got["month"])).select(
+        exact["month"], "n_users", "n_user_days", "n_without", (near[0] & near[1] & near[2]).alias("within_error"))
