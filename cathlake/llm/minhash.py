@@ -11,14 +11,16 @@ that repeats inside a text cost no recall.
 
 Bands of ``ROWS`` slots of either signature make buckets (a text without
 repeats has the same buckets twice and is put into them once). Equal texts are one node from the start.
-In each bucket all nodes are first compared with the bucket's shortest node;
-only members that are then still in different components are compared with
-each other, in blocks, so copies never expand into all pairs and no link
-between different texts of a bucket is lost. Pairs must agree in enough
-one-bit slots of the unit signature (``MAX_APART`` of 320 may differ: 4.5 standard
-deviations beyond the expectation at 0.8) before their texts are fetched. A link is verified on the texts:
-exact Jaccard of five-word shingle sets of 0.8 or more. Classes are the
-connected components of the links.
+In each bucket all nodes are first compared with the bucket's shortest node, its
+head, then with the shortest one outside the head's component; such pairs must
+agree in enough one-bit slots of the unit signature (``MAX_APART`` of 320 may
+differ: 4.5 standard deviations beyond the expectation at 0.8) before their
+texts are fetched. Members that are then still in different components are
+joined on their differences to the head: two texts that the head does not
+connect can only be alike by sharing such differences (``difference_pairs``),
+so copies never expand into all pairs and no link between different texts of a
+bucket is lost. A link is verified on the texts: exact Jaccard of five-word
+shingle sets of 0.8 or more. Classes are the connected components of the links.
 
 Recall of the banding: at least 1 - (1 - J^8)^40, 0.9993 at a set Jaccard J = 0.8.
 
@@ -51,7 +53,6 @@ BANDS, ROWS = 40, 8
 SLOTS = BANDS * ROWS
 MAX_APART = 56
 BIT_WORDS = [f"bits{i}" for i in range(SLOTS // 64)]
-BLOCK = 256  # members of a bucket compared at a time
 SLICE_ARRIVALS = 2  # arrivals drawn per slot and round for short documents
 
 U = np.uint64
@@ -230,9 +231,9 @@ def links(nodes: DataFrame, docs_text: DataFrame, threshold: float = THRESHOLD)
     """
     rows = nodes.select("th", "n", F.explode("bands").alias("bucket"))
     heads = rows.groupBy("bucket").agg(F.min(F.struct("n", "th")).alias("head"), F.count(F.lit(1)).alias("size")) \
-        .where(F.col("size") > 1)
+        .where(F.col("size") > 1).drop("size")
     members = join_back(rows, heads, ["bucket"]).select(
-        "bucket", "size", "th", "n", F.col("head.n").alias("hn"), F.col("head.th").alias("hth"))
+        "bucket", "th", "n", F.col("head.n").alias("hn"), F.col("head.th").alias("hth"))
     bits = nodes.select("th", *BIT_WORDS)
     members = members.join(bits, "th").join(bits.select(F.col("th").alias("hth"), *[F.col(w).alias(f"h{w}") for w in BIT_WORDS]), "hth")
     members = materialize(members, "members")
@@ -248,26 +249,92 @@ def links(nodes: DataFrame, docs_text: DataFrame, threshold: float = THRESHOLD)
     found = materialize(verified(star, texts, threshold), "links")
     comp = materialize(components(found), "components")
 
-    # Buckets whose members are not yet all in one component.
-    placed = members.select("bucket", "size", "th", "n", *BIT_WORDS).join(comp.withColumnRenamed("node", "th"), "th", "left") \
-        .withColumn("comp", F.coalesce("comp", "th"))
-    placed = materialize(placed, "placed")
-    split = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi"))
-    open_rows = join_back(placed, split.select("bucket"), ["bucket"], "left_semi")
-    open_rows = materialize(open_rows, "open")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    open_rows = open_rows.withColumn("nb", blocks).withColumn("blk", F.pmod(F.xxhash64("th"), F.col("nb")).cast("int"))
-    # A row meets its own and every other block of its bucket: it goes to the block pairs (i <= j) that hold its block.
-    open_rows = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))) \
-        .withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other"))
-    x = open_rows.select("bucket", "i", "j", "blk", F.col("th").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"),
-                         *[F.col(w).alias(f"x{w}") for w in BIT_WORDS])
-    y = open_rows.select("bucket", "i", "j", F.col("blk").alias("blk2"), F.col("th").alias("b"), F.col("n").alias("nb"),
-                         F.col("comp").alias("cb"), *[F.col(w).alias(f"y{w}") for w in BIT_WORDS])
-    cross = x.join(y, ["bucket", "i", "j"]).where(
+    # A second star, to the shortest member outside the first one's component, joins groups of another variant.
+    placed = materialize(_placed(members.select("bucket", "th", "n", "hn", "hth", *BIT_WORDS), comp), "placed")
+    second = placed.where(F.col("comp") != F.col("hcomp")).groupBy("bucket") \
+        .agg(F.min(F.struct("n", "th", *BIT_WORDS)).alias("s"))
+    star = join_back(placed, second, ["bucket"]).select(
+        F.col("th").alias("a"), F.col("s.th").alias("b"), F.col("n").alias("na"), F.col("s.n").alias("nb"),
+        sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"s.{w}"))) for w in BIT_WORDS), F.lit(0)).alias("apart")) \
+        .where((F.col("a") != F.col("b")) & _likely(threshold) & (F.col("apart") <= MAX_APART)).select("a", "b").distinct()
+    found = materialize(found.unionByName(verified(star, texts, threshold)), "links")
+    comp = materialize(components(found), "components")
+
+    # Members that share a head and are not yet all in one component.
+    held = materialize(_placed(members.select("th", "hth").distinct(), comp).drop("hcomp"), "held")
+    split = held.groupBy("hth").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi"))
+    rest = join_back(held, split.select("hth"), ["hth"], "left_semi")
+    return components(found.unionByName(verified(difference_pairs(rest, texts, threshold), texts, threshold)))
+
+
+def _placed(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """``rows`` (th, hth, ...) with the components of both."""
+    out = rows.join(comp.select(F.col("node").alias("th"), "comp"), "th", "left")
+    out = join_back(out, comp.select(F.col("node").alias("hth"), F.col("comp").alias("hcomp")), ["hth"], "left")
+    return out.withColumn("comp", F.coalesce("comp", "th")).withColumn("hcomp", F.coalesce("hcomp", "hth"))
+
+
+def differences(rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """head, th, comp, n (shingles) and d: the shingles that only one of the text and its head holds."""
+    both = rest.where("th != hth").join(texts, "th").select("th", "hth", "comp", "text") \
+        .join(texts.select(F.col("th").alias("hth"), F.col("text").alias("ht")), "hth").select("hth", "th", "comp", "text", "ht")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, np.zeros(0, U)
+        for b in batches:
+            heads = b.column(4)
+            for at, part in slices(b.column(3)):
+                row, h, _ = shingles(part)
+                n = np.bincount(row, minlength=len(part))
+                end = np.cumsum(n)
+                apart = []
+                for i in range(len(part)):
+                    head = b.column(0)[at + i].as_py()
+                    if head != last:
+                        last, own = head, shingles(heads.slice(at + i, 1))[1]
+                    apart.append(np.setxor1d(h[end[i] - n[i]:end[i]], own, assume_unique=True))
+                off = np.concatenate([[0], np.cumsum([len(x) for x in apart])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(i).slice(at, len(part)) for i in range(3)], pa.array(n.astype(np.int32)),
+                     pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(apart).view(np.int64)))],
+                    ["head", "th", "comp", "n", "d"])
+
+    return both.mapInArrow(run, "head binary, th binary, comp binary, n int, d array<bigint>")
+
+
+def difference_pairs(rest: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) of texts that share a head, are in different components and may reach the threshold.
+
+    With dx and dy the differences of x and y to their head, x and y differ in
+    exactly the shingles that dx and dy do not share, so a link needs
+    |dx & dy| >= (|dx| + |dy| - T) / 2 for T = (1 - t) / (1 + t) * (|x| + |y|).
+    Differences are ordered from rare to frequent among the texts of the head;
+    of the first shingle that both hold, no more than the rest of either can be
+    common. Copies of one text with edits of their own share few, frequent
+    differences, which come last, so they give no pairs.
+    """
+    width = (1 - threshold) / (1 + threshold)
+    sets = materialize(differences(rest, texts), "differences")
+    each = sets.select("head", "th", "comp", "n", F.size("d").alias("m"), F.explode("d").alias("t"))
+    often = each.groupBy("head", "t").agg(F.count(F.lit(1)).alias("f"), (F.min("comp") != F.max("comp")).alias("open")) \
+        .where("f > 1")
+    # A text's list is bounded by its own shingles and its head's.
+    listed = join_back(each, often, ["head", "t"]).groupBy("head", "th", "comp", "n", "m") \
+        .agg(F.sort_array(F.collect_list(F.struct("f", "t", "open"))).alias("s"))
+    # ``rest`` of a place: how many differences from here on can be common.
+    place = listed.select("head", "th", "comp", "n", "m", F.size("s").alias("k"), F.posexplode("s").alias("i", "s")) \
+        .withColumn("rest", F.col("k") - F.col("i"))
+    least = F.col("m") - F.floor(width * (1 + 1 / threshold) * F.col("n") + 1e-6)
+    place = materialize(place.where(F.col("s.open") & (F.col("rest") >= least))
+                        .select("head", F.col("s.t").alias("t"), "th", "comp", "n", "m", "rest"), "places")
+    x = place.select("head", "t", F.col("th").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"),
+                     F.col("m").alias("ma"), F.col("rest").alias("ra"))
+    y = place.select("head", "t", F.col("th").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"),
+                     F.col("m").alias("mb"), F.col("rest").alias("rb"))
+    need = F.col("ma") + F.col("mb") - width * (F.col("na") + F.col("nb")) - 1e-6
+    return x.join(y, ["head", "t"]).where(
         (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & _likely(threshold)
-        & (_apart("x", "y") <= MAX_APART) & ((F.col("i") == F.col("j")) | (F.col("blk") != F.col("blk2")))).select("a", "b").distinct()
-    return components(found.unionByName(verified(cross, texts, threshold)))
+        & (2 * F.least("ra", "rb") >= need)).select("a", "b").distinct()
 
 
 def members(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:

@@ -144,6 +144,45 @@ def test_one_bits_of_short_texts():
     assert max(apart) <= minhash.MAX_APART + 3 and sum(x > minhash.MAX_APART for x in apart) <= 1
 
 
+def near_copies(rng, n, words=200, edits=(0, 16)):
+    """Copies of one text with words of their own at random places."""
+    base = [f"b{i}" for i in range(words)]
+    out = []
+    for _ in range(n):
+        t = list(base)
+        for at in rng.sample(range(words), rng.randrange(*edits)):
+            t[at] = f"x{rng.randrange(10**9)}"
+        out.append(" ".join(t))
+    return out
+
+
+def test_near_still_apart(spark):
+    """Large groups around the threshold: classes equal brute force, pairs on differences to the head do not grow with the square."""
+    made = []
+    for n in (100, 400):
+        rng = random.Random(n)
+        texts = sorted(set(near_copies(rng, n)))
+        th = [hashlib.md5(t.encode()).digest() for t in texts]
+        head = min(range(len(texts)), key=lambda i: len(brute.shingle_set(texts[i])))
+        rest = spark.createDataFrame([(t, th[head], t) for t in th], "th binary, hth binary, comp binary")
+        pairs = {(bytes(r.a), bytes(r.b)) for r in minhash.difference_pairs(
+            rest, spark.createDataFrame(list(zip(th, texts, strict=True)), "th binary, text string")).collect()}
+        made.append(len(pairs) / len(texts))
+        sets = [brute.shingle_set(t) for t in texts]
+        near = [i for i in range(len(texts)) if brute.jaccard(sets[i], sets[head]) >= 0.8]
+        for i in range(len(texts)):
+            for j in range(i):
+                # A link that the head does not make must be among the pairs.
+                if i != head != j and not (i in near and j in near) and brute.jaccard(sets[i], sets[j]) >= 0.8:
+                    assert (min(th[i], th[j]), max(th[i], th[j])) in pairs
+    assert max(made) < 4  # all pairs would be 50 and 200 a text
+    rows = list(enumerate(near_copies(random.Random(7), 200, edits=(0, 20))))
+    got = collections.defaultdict(set)
+    for r in minhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.class_id].add(r.doc_id)
+    assert {frozenset(v) for v in got.values()} == brute.near_classes(dict(rows))
+
+
 def test_probminhash_estimates_probability_jaccard():
     rng = np.random.default_rng(0)
     h = rng.integers(1, 2**63, 300).astype(np.uint64)
