@@ -18,14 +18,16 @@ Search is best first. A query begins in its own node; the k-th score found
 there bounds the regions that it still has to see. Within a node, pages come
 by their lower bound; |d(q, parent) - d(c, parent)| - radius > bound drops a
 page before its distance is computed, and |d(q, c) - d(x, c)| > bound drops
-entries before theirs. Bounds carry a margin for rounding and scores are
-computed on the integers, so the result is exact.
+entries before theirs. Bounds carry a margin for rounding, relative to M, and
+scores are computed on the integers, so the result is exact: as doubles while M
+is below 2^53, which bounds every sum of products, as 64-bit integers beyond.
 
 Defined results: vectors that are null, or hold null or non-finite
 components, and rows without vec_id take no part; shorter vectors count as
 filled up with zeros; equal vectors are separate candidates, ordered by
 vec_id; of rows that share a vec_id each is a candidate, a query only leaves
-out its own row; an empty table gives an empty result.
+out its own row; an empty table gives an empty result; a squared
+norm of 2^62 or more raises, as its scores need not fit 64 bits.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ PIVOTS = 1024
 SAMPLE = 16_384
 NODE_ROWS = 2048
 PAGE = 64
+EXACT = 2.0 ** 53  # below this squared norm doubles hold every sum of products
+NONE = np.iinfo(np.int64).min + 1  # no score yet, among integer scores (its negative must fit too)
 QUERY_BLOCK = 4096  # queries that meet a node at a time
 MARGIN = 1e-3       # slack of a bound, in units of the score
 
@@ -120,9 +124,11 @@ def build_node(x: np.ndarray, vec_ids: np.ndarray, uids: np.ndarray, center: np.
 class Best:
     """The k best (score, vec_id) of each query so far."""
 
-    def __init__(self, n: int, k: int, floor: np.ndarray):
-        self.score, self.vec = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
-        self.floor = floor  # scores below it are of no use
+    def __init__(self, n: int, k: int, floor: np.ndarray, wide: bool = False):
+        self.none = NONE if wide else -np.inf
+        self.score, self.vec = np.full((n, k), self.none), np.full((n, k), np.iinfo(np.int64).max)
+        # Scores below it are of no use. It comes as a double, so it is lowered by more than its rounding.
+        self.floor = np.maximum(floor - np.abs(floor) * 2.0 ** -50 - 1, float(NONE)).astype(np.int64) if wide else floor
 
     def kth(self, rows=slice(None)) -> np.ndarray:
         return np.maximum(self.score[rows, -1], self.floor[rows])
@@ -140,7 +146,8 @@ class Best:
 
 def _reach(q2: np.ndarray, m: float, kth: np.ndarray) -> np.ndarray:
     """Distance beyond which no vector scores ``kth`` (less the margin)."""
-    return np.sqrt(np.maximum(q2 + m - 2 * (kth - MARGIN), 0)) + 1e-6
+    slack = max(MARGIN, 1e-12 * m)
+    return np.sqrt(np.maximum(q2 + m - 2 * (kth - slack), 0)) + 4e-6 * max(1.0, m ** 0.5)
 
 
 def search_node(node: pd.Series, center: np.ndarray, q: np.ndarray, uid: np.ndarray, floor: np.ndarray, k: int, m: float,
@@ -153,7 +160,9 @@ def search_node(node: pd.Series, center: np.ndarray, q: np.ndarray, uid: np.ndar
     start, entry = np.frombuffer(node.page_start, np.int64), np.frombuffer(node.entry_dist)
     x = np.frombuffer(node.vectors).reshape(-1, dim)
     vec, own = np.frombuffer(node.vec_ids, np.int64), np.frombuffer(node.uids, np.int64)
-    best = Best(len(q), k, floor)
+    wide = m >= EXACT
+    best = Best(len(q), k, floor, wide)
+    qi, xi = (q.astype(np.int64), x.astype(np.int64)) if wide else (q, x)
     q2 = (q * q).sum(axis=1)
     ext = np.hstack([q, np.zeros((len(q), 1))])
     up = _distances(ext, center[None])
@@ -186,17 +195,17 @@ def search_node(node: pd.Series, center: np.ndarray, q: np.ndarray, uid: np.ndar
                 counted["pages"] = counted.get("pages", 0) + len(rows)
                 counted["entries"] = counted.get("entries", 0) + len(rows) * int(hi - lo)
             if lo < hi:
-                score = q[rows] @ x[lo:hi].T
-                score[own[None, lo:hi] == uid[rows][:, None]] = -np.inf
+                score = qi[rows] @ xi[lo:hi].T
+                score[own[None, lo:hi] == uid[rows][:, None]] = best.none
                 best.offer(rows, score, vec[lo:hi])
     return best
 
 
 def _hits(uid: np.ndarray, query_id: np.ndarray, best: Best) -> pd.DataFrame:
-    real = np.isfinite(best.score)
+    real = best.score > best.none
     r, c = np.nonzero(real)
     return pd.DataFrame({"uid": uid[r], "query_id": query_id[r], "vec_id": best.vec[r, c],
-                         "score": best.score[r, c].astype(np.int64), "kth": best.score[r, -1]})
+                         "score": best.score[r, c].astype(np.int64), "kth": best.score[r, -1].astype(float)})
 
 
 def index(rows: DataFrame, pivots: np.ndarray, m: float, dim: int) -> DataFrame:
@@ -218,6 +227,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     m, dim, n = vs.agg(F.max(norm), F.max(F.size("v")), F.count(F.lit(1))).first()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    if m >= 2.0 ** 62:
+        raise ValueError("squared norms of 2^62 or more: scores need not fit 64 bits")
     dim = max(dim, 1)
     # Routing vectors come from a bounded sample, spread over the table by a hash.
     share = max(1, n // (SAMPLE // 2))
