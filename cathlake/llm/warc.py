@@ -35,6 +35,7 @@ from .wrappers import INLINE, TOKEN
 
 DATE = "1970-01-01T00:00:00Z"  # of responses that bring none
 CRLF = "\r\n"
+CONTROL = re.compile(r"[\x00-\x1f\x7f]")
 LINK = re.compile(r"\b(href|src)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
 CHARSET = re.compile(r"\bcharset\s*=\s*[\"']?([A-Za-z0-9_:.-]+)", re.I)
@@ -123,9 +124,14 @@ def convert(page: str, base: str | None) -> tuple[str, dict[str, str], list[tupl
     return "\n".join(blocks), facts, links
 
 
+def safe(value: str) -> str:
+    """A field's name or value with control characters percent-encoded, so that it stays one line."""
+    return CONTROL.sub(lambda m: f"%{ord(m.group()):02X}", value)
+
+
 def serialise(fields: list[tuple[str, str | None]], block: bytes) -> bytes:
-    """A record as WARC/1.1 bytes; fields without a value are left out."""
-    head = "".join(f"{k}: {v}{CRLF}" for k, v in fields if v is not None)
+    """A record as WARC/1.1 bytes; fields without a value are left out, control characters in values are percent-encoded."""
+    head = "".join(f"{k}: {safe(v)}{CRLF}" for k, v in fields if v is not None)
     return f"WARC/1.1{CRLF}{head}{CRLF}".encode() + block + b"\r\n\r\n"
 
 
@@ -141,6 +147,7 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes]:
 
 def derive(page_id, record_id: str, uri: str | None, date: str, block: bytes) -> list[tuple]:
     """The metadata and the conversion record of one response."""
+    uri = uri if uri is None else safe(uri)
     status, headers, payload = split_http(block)
     source = "sha256:" + hashlib.sha256(payload).hexdigest()
     charset = next((x.group(1) for k, v in headers if k.lower() == "content-type" and (x := CHARSET.search(v))), "utf-8")
@@ -153,7 +160,7 @@ def derive(page_id, record_id: str, uri: str | None, date: str, block: bytes) ->
             ("source-block-digest", "sha256:" + hashlib.sha256(block).hexdigest()), ("source-payload-length", str(len(payload))),
             *facts.items(), *[("outlink", f"{u} L {how}") for u, how in links]]
     out = []
-    for kind, content, body in (("metadata", "application/warc-fields", "".join(f"{k}: {v}{CRLF}" for k, v in told)),
+    for kind, content, body in (("metadata", "application/warc-fields", "".join(f"{safe(k)}: {safe(v)}{CRLF}" for k, v in told)),
                                 ("conversion", "text/plain; charset=utf-8", text)):
         raw = body.encode("utf-8", "replace")
         own = _uuid(f"{kind}\x01{record_id}")
