@@ -48,6 +48,7 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img
 LEFT_OUT = set("nav footer aside form button select option textarea fieldset dialog menu iframe object svg canvas video audio "
                "noscript template head".split())
 MAIN = ("article", "main")
+LAYOUT, CLOSED = 1, 2  # left out unless the page's only article is inside; left out with all it holds
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
                "h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME_CLOSES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
@@ -65,11 +66,19 @@ TOKEN = re.compile(
     r"|<(script|style|title|textarea|noscript|xmp)\b(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>.*?(?:</\1\s*+>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>"
     r"|<[!?][^>]*+>", re.S | re.I)
-ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+# A whole attribute: its name, then its value; text inside a value is never taken for a name.
+ATTR = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++))?")
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+FIRM = re.compile(r"comment|discussion|disqus|respond|repl(?:y|ies)|related|recommended", re.I)
+ARTICLE = re.compile(r"<(article|main)\b", re.I)
 
 
 def attributes(raw: str) -> dict[str, str]:
-    return {k.lower(): (v or "").strip("\"'") for k, v in ATTR.findall(raw)} if raw.strip(" /") else {}
+    out: dict[str, str] = {}
+    if raw.strip(" /"):
+        for k, v in ATTR.findall(raw):
+            out.setdefault(k.lower(), v[1:-1] if v[:1] in "\"'" else v)
+    return out
 
 
 class Node:
@@ -104,11 +113,14 @@ def read(page: str) -> tuple[Node, list[tuple[str, str]]]:
     """
     root = Node("")
     # open elements: (tag, node or None, place, left out)
-    stack: list[tuple] = [("", root, "", False)]
+    stack: list[tuple] = [("", root, "", 0)]
     blocks: list[tuple[str, str]] = []
     run: list[str] = []
     linked = 0
     in_link = 0
+    named = [x.lower() for x in ARTICLE.findall(page)]
+    # The page's only main, or its only article where there is no main, is kept inside a form or a hinted layout element.
+    only = "main" if named.count("main") == 1 else "article" if named == ["article"] else None
 
     def flush():
         nonlocal linked
@@ -157,10 +169,11 @@ def read(page: str) -> tuple[Node, list[tuple[str, str]]]:
         if tag == "a":
             in_link = 1
         at_ = attributes(m.group(4))
-        hint = tag not in ("html", "body") and bool(at_) and (
+        named_so = tag not in ("html", "body") and any(HINT.search(at_[k]) for k in ("class", "id") if at_.get(k))
+        unseen = tag not in ("html", "body") and bool(at_) and (
             "hidden" in at_ or at_.get("aria-hidden") == "true" or "display:none" in at_.get("style", "").replace(" ", "")
-            or at_.get("role", "").lower() in ROLES
-            or any(HINT.search(at_[k]) for k in ("class", "id") if at_.get(k)))
+            or at_.get("role", "").lower() in ROLES)
+        hint = named_so or unseen
         if tag in INLINE and not hint:
             continue
         if tag in ("td", "th"):
@@ -179,7 +192,16 @@ def read(page: str) -> tuple[Node, list[tuple[str, str]]]:
         _, parent, place, out = stack[-1]
         inside = any(p in MAIN for p in re.split(r"[>.]", place))
         is_main = tag in MAIN or at_.get("role") == "main" or at_.get("itemprop") == "articleBody"
-        out = out or tag in LEFT_OUT or (tag == "header" and not inside) or (hint and not is_main)
+        if out == LAYOUT and tag == only and not unseen:
+            out = 0
+            for _, above, _, _ in stack:
+                above.label = above.label.removeprefix("-")  # the way to it is part of the wrapper
+        if out != CLOSED:
+            firm = named_so and any(FIRM.search(at_.get(k, "")) for k in ("class", "id"))
+            if (tag in LEFT_OUT and tag != "form") or (tag == "header" and not inside) or (not is_main and (unseen or firm)):
+                out = CLOSED
+            elif tag == "form" or (named_so and not is_main):
+                out = LAYOUT
         label = tag + ("." + re.sub(r"[\d>.()\s]+", "-", (at_.get("class") or at_.get("id") or ""))[:40]
                        if tag in ("div", "section", "span", "td") and (at_.get("class") or at_.get("id")) else "")
         if is_main and tag not in MAIN:
@@ -299,7 +321,7 @@ def rule_of(root: Node) -> dict:
         main = max(wide, key=lambda p: p[0].count(">")) if wide else every[-1]
     inner = [p for p in every if p[0] == main[0] or p[0].startswith(main[0] + ">")]
     fixed = [p for p in inner if p[1].words and p[1].same is not None and not p[1].repeated and p[1].pages >= MIN_PAGES
-             and p[1].pages == root.pages and not p[1].children]
+             and p[1].pages == root.pages and not p[1].children and p[0].rpartition(">")[2].partition(".")[0] not in HEADINGS]
     if sum(p[1].words for p in fixed) > 0.2 * main[2]:
         fixed = []  # the pages are copies of each other, not a template around different texts
     return {"main": main[0], "template": sorted(p[0] for p in fixed)}

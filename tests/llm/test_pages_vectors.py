@@ -35,6 +35,30 @@ def test_html(spark):
     assert wrappers.main_text(df.limit(0)).count() == 0
 
 
+def test_html_attributes_and_layout():
+    """Text in a value is no attribute; the only article is kept inside hinted layout or one form; headings are no template."""
+    def text(page):
+        return wrappers.extract(page, None)
+
+    for inner in ('<a href="/hidden-lake">lake</a>', '<a href="/x?id=comment">lake</a>', '<span title="hidden">lake</span>',
+                  '<b data-id="share" data-class=\'ad\'>lake</b>'):
+        assert text(f"<article><p>the {inner} shore</p><p>more words</p></article>") == "the lake shore\nmore words"
+    assert text('<article><p data-id="share">one</p><p>two <i hidden>x</i></p></article>') == "one\ntwo"
+    body = "<article><h1>Head</h1><p>some words here</p><div class=ad>buy</div></article>"
+    for page in (f'<p>stray words</p><div class="content has-sidebar">{body}<div class=sidebar>s</div></div>', f"<form action=/>{body}<input></form>",
+                 f'<div class="page header-fixed"><main>{body}<section class="comments"><p>nice</p></section></main></div>'):
+        assert text(page) == "Head\nsome words here"
+    assert text("<main><p>main words of it</p><div class=related><article>teaser</article></div></main>") == "main words of it"
+    assert text("<div><p>words of the body text</p></div><div class=comments><article>nice</article></div>") == "words of the body text"
+    root = None
+    pages = [f"<article><h2>Background</h2><p>{' '.join(f'w{i}_{k}' for k in range(40))}</p></article>" for i in range(5)]
+    for page in pages:
+        node, _ = wrappers.read(page)
+        root = node if root is None else (wrappers.absorb(root, node, True), root)[1]
+    rule = wrappers.rule_of(root)
+    assert all(wrappers.extract(p, rule).startswith("Background\nw") for p in pages)
+
+
 def test_wrapper_alignment():
     a, _ = wrappers.read("<body><h1>x</h1><p>1</p><p>2</p></body>")
     b, _ = wrappers.read("<body><h1>x</h1><table><tr><td>n</table><p>3</p></body>")
@@ -79,6 +103,18 @@ def test_warc(spark):
     assert warc.derivatives(warc.responses(df.limit(0))).count() == 0
 
 
+def test_warc_fields_stay_one_line(spark):
+    rows = [(1, "http://a.example.org/\r\nWARC-Type: warcinfo\n x", "<title>A\r\nB</title><a href='/\x01y'>l</a>")]
+    out = warc.derivatives(warc.responses(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()
+    for r in out:
+        fields, block = warc.parse(bytes(r.record))
+        assert fields["WARC-Type"] == r.record_type and block.decode() == r.block
+        assert fields["WARC-Target-URI"] == r.target_uri == "http://a.example.org/%0D%0AWARC-Type: warcinfo%0A x"
+        assert bytes(r.record).count(b"WARC-Type:") == 1 + bytes(r.record).count(b"%0D%0AWARC-Type:")
+    meta = next(r.block for r in out if r.record_type == "metadata")
+    assert all(": " in line for line in meta.split("\r\n") if line) and "\n" not in meta.replace("\r\n", "")
+
+
 def brute_top(rows, is_query, k):
     out = []
     for i, (q, v) in enumerate(rows):
@@ -163,3 +199,20 @@ def test_html_brute(spark):
         p.flush()
         assert got[r.page_id] == "\n".join(p.out)
     random.seed(0)
+
+
+@pytest.mark.parametrize("bits", [20, 29])
+def test_top_k_wide(spark, bits):
+    """Products beyond 2^53 are ranked as integers."""
+    rng = np.random.default_rng(bits)
+    v = rng.integers(-2 ** bits, 2 ** bits, size=(200, 6))
+    v[50:80] = v[50]
+    v[60:80, 0] += np.arange(20)  # scores that differ in their last digits
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = mtree.top_k(mtree.prepared(df, scale=1), mtree.F.col("vec_id") % 20 == 0, 20)
+    want = []
+    for q in range(0, 200, 20):
+        s = sorted((-sum(int(a) * int(b) for a, b in zip(v[q], v[j], strict=True)), j) for j in range(200) if j != q)[:20]
+        want += [(q, n + 1, j, -x) for n, (x, j) in enumerate(s)]
+    assert sorted(tuple(r) for r in got.collect()) == want
