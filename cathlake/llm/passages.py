@@ -18,8 +18,8 @@ Units of a text, in words ``[^\\x20\\x09-\\x0D]+``:
   or more that two texts share gives both at least one equal window. Equal
   windows are exact copies, for which one band with one row has full recall.
   Such a passage reaches at most ``SPREAD - 1`` words beyond its first and last
-  window; runs that are that much longer to the left or right of the outer
-  windows are compared by their hashes in the same way, so all its words count.
+  window; the words beside the outer windows are compared with those of the
+  first document that holds the window, so all its words count.
 
 The first unit of a component or window, by document key, stays; later ones
 in other documents are removed. Documents that share units are clustered by
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from cathlake.operators.skew import join_back
 
-from .common import field, materialize, packed, row_key, ship, whole_text
+from .common import field, materialize, packed, release, row_key, ship, whole_text
 from .components import components
 from .minhash import SHINGLE, THRESHOLD, jaccard, mix, shingle_set, shingles
 from .pii import WORD
@@ -241,7 +241,8 @@ def paragraph_components(feats: DataFrame, src: DataFrame, threshold: float = TH
     placed = materialize(placed, "placed")
     apart = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
     rest = join_back(placed, apart.select("bucket"), ["bucket"], "left_semi").select("par", "comp").distinct()
-    more = _verified(prefix_pairs(rest, texts, threshold), texts, threshold)
+    more = materialize(_verified(prefix_pairs(rest, texts, threshold), texts, threshold), "links")
+    release(members, wanted, texts, comp, placed)
     return components(found.unionByName(more))
 
 
@@ -294,41 +295,83 @@ def extended(hits: DataFrame, src: DataFrame) -> DataFrame:
 
     marks = each.select(F.explode(F.concat(open_on(False), open_on(True))).alias("x")).groupBy("x.hash").agg(
         F.max(~F.col("x.right")).alias("left"), F.max("x.right").alias("right"))
-    outer = join_back(hits, materialize(marks, "outer"), ["hash"])
-    each = outer.groupBy("uid").agg(F.collect_set(F.when(F.col("left"), F.col("start"))).alias("lefts"),
-                                    F.collect_set(F.when(F.col("right"), F.col("start"))).alias("rights"))
-
-    more = np.arange(1, SPREAD)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            uids = b.column(0).to_numpy()
-            for at, part in slices(b.column(1)):
-                row, h, _, _ = _words(part)
-                hashed, n = Hashed(h), np.bincount(row, minlength=len(part))
-                base = np.cumsum(n) - n
-                for side in (2, 3):
-                    lists = b.column(side).slice(at, len(part))
-                    of = np.repeat(np.arange(len(part)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-                    w = lists.flatten().to_numpy()
-                    k = np.tile(more, len(w))
-                    of, w = np.repeat(of, len(more)), np.repeat(w, len(more)).astype(np.int64)
-                    start, end = (w - k, w + WINDOW) if side == 2 else (w, w + WINDOW + k)
-                    fit = (start >= 0) & (end <= n[of])
-                    of, start, end = of[fit], start[fit], end[fit]
-                    found = hashed.of(base[of] + start, base[of] + end).view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(uids[at + of]), pa.array(found), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)),
-                         pa.array(np.full(len(of), side == 3))], ["uid", "hash", "start", "end", "right"])
-
-    runs = src.join(each, "uid").select("uid", "text", "lefts", "rights") \
-        .mapInArrow(run, "uid long, hash long, start int, end int, right boolean")
-    runs = materialize(runs, "runs")
-    twice = runs.groupBy("hash").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first != last")
-    longer = join_back(runs, twice.select("hash", "first"), ["hash"])
-    fixed = F.when(F.col("right"), F.col("start")).otherwise(F.col("end")).alias("fixed")
-    return longer.groupBy("uid", "right", fixed, "first").agg(F.min("start").alias("start"), F.max("end").alias("end")) \
-        .select("uid", "start", "end", "first")
+    marks = materialize(marks, "outer")
+    outer = join_back(hits, marks, ["hash"])
+    place = F.struct("start", "hash", "first")
+    each = outer.groupBy("uid").agg(F.collect_set(F.when(F.col("left"), place)).alias("lefts"),
+                                    F.collect_set(F.when(F.col("right"), place)).alias("rights"))
+    sides = materialize(src.join(each, "uid").select("uid", "text", "lefts", "rights").mapInArrow(_beside, SIDES), "sides")
+    out = shared_extensions(sides)
+    release(marks, sides)
+    start = F.when(F.col("right"), F.col("fixed")).otherwise(F.col("fixed") - WINDOW - F.col("more"))
+    end = F.when(F.col("right"), F.col("fixed") + WINDOW + F.col("more")).otherwise(F.col("fixed"))
+    return out.select("uid", start.alias("start"), end.alias("end"), "first")
+
+
+SIDES = "uid long, node long, first long, fixed int, right boolean, next array<long>"
+
+
+def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The up to ``SPREAD - 1`` words beyond each window, outwards, for (uid, text, lefts, rights)."""
+    for b in batches:
+        for at, part in slices(b.column(1)):
+            row, h, _, _ = _words(part)
+            n = np.bincount(row, minlength=len(part))
+            base = np.cumsum(n) - n
+            for side in (2, 3):
+                lists, right = b.column(side).slice(at, len(part)), side == 3
+                of = np.repeat(np.arange(len(part)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+                places = lists.flatten()
+                w, node, first = (places.field(f).to_numpy().astype(np.int64) for f in range(3))
+                room = np.minimum(n[of] - w - WINDOW if right else w, SPREAD - 1)
+                step = np.arange(room.sum()) - np.repeat(np.cumsum(room) - room, room)
+                edge = np.repeat(base[of] + (w + WINDOW if right else w - 1), room)
+                near = h[edge + step if right else edge - step].view(np.int64)
+                off = np.concatenate([[0], np.cumsum(room)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(b.column(0).to_numpy()[at + of]), pa.array(node), pa.array(first),
+                     pa.array((w if right else w + WINDOW).astype(np.int32)), pa.array(np.full(len(w), right)),
+                     pa.ListArray.from_arrays(pa.array(off), pa.array(near))],
+                    ["uid", "node", "first", "fixed", "right", "next"])
+
+
+def shared_extensions(sides: DataFrame) -> DataFrame:
+    """(uid, right, fixed, more, first): how far a window's run of words goes on in other documents too.
+
+    The words beside all copies of a window form a tree. In each round the
+    members of a node (copies with equal words so far) are compared with the
+    node's first document: as many words as a member shares with it are a copy of
+    that document's. Members that then go on in another way meet again at the
+    node of their next word, if other documents do so too. Each round
+    takes a word or more, so ``SPREAD`` rounds are the most. Of a document's several
+    members a hash picks the one to compare with, so that runs of one repeated
+    word, which part at every length, are halved in each round.
+    """
+    keys, rows, found = ["node", "right"], sides.withColumn("past", F.lit(0)), []
+    own = F.col("uid") == F.col("first")
+    while True:
+        heads = rows.where(own).groupBy(*keys).agg(F.min(F.struct(F.xxhash64("fixed", "past"), "next")).alias("h")).select(*keys, F.col("h.next").alias("head"))
+        differs = F.array_position(F.zip_with("next", "head", lambda x, y: F.coalesce(x == y, F.lit(False))), False)
+        same = F.when(differs == 0, F.size("next")).otherwise(differs - 1).cast("int")
+        both = materialize(join_back(rows, heads, keys).withColumn("same", same).drop("head"), "compared")
+        reach = both.where(~own).groupBy(*keys).agg(F.max("same").alias("reach"))
+        firsts = join_back(both.where(own).drop("next"), reach, keys).withColumn("same", F.least("same", "reach"))
+        cols = ["uid", "right", "fixed", (F.col("past") + F.col("same")).alias("more"), "first"]
+        found.append(materialize(both.where(~own).select(*cols).unionByName(firsts.select(*cols)).where("more > 0"), "extensions"))
+        # Members with words left, by the next of them.
+        left = both.where(F.size("next") > F.col("same")).select(
+            "uid", "right", "fixed", (F.col("past") + F.col("same") + 1).alias("past"),
+            F.xxhash64("node", "same", F.element_at("next", F.col("same") + 1)).alias("node"),
+            F.slice("next", F.col("same") + 2, F.lit(SPREAD)).alias("next"))
+        again = left.groupBy(*keys).agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first != last").drop("last")
+        rows = materialize(join_back(left, again, keys), "apart")
+        release(both)
+        if rows.isEmpty():
+            break
+    out = found[0]
+    for x in found[1:]:
+        out = out.unionByName(x)
+    return out
 
 
 def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
@@ -383,8 +426,8 @@ def report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     whole = whole_text(F.col(f"`{text}`"))
     src = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), whole.alias("text")) \
         .withColumn("uid", F.xxhash64(row_key(F.col("doc_id"), F.col("text"))))
-    rows = materialize(src.join(hits, "uid").join(comp.withColumnRenamed("node", "uid"), "uid", "left")
-                       .select("doc_id", "text", "uid", "spans", "comp"), "rows")
+    rows = src.join(hits.select("uid", "spans").join(comp.withColumnRenamed("node", "uid"), "uid", "left"), "uid") \
+        .select("doc_id", "text", "uid", "spans", "comp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -399,8 +442,8 @@ def report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
                                               pa.array(told, pa.string())],
                                              ["doc_id", "comp", "repeated_words", "removed_words", "spans"])
 
-    out = rows.mapInArrow(run, "doc_id long, comp long, repeated_words long, removed_words long, spans string")
-    heads = rows.groupBy("comp").agg(F.min("doc_id").alias("cluster"))
+    out = materialize(rows.mapInArrow(run, "doc_id long, comp long, repeated_words long, removed_words long, spans string"), "rows")
+    heads = out.groupBy("comp").agg(F.min("doc_id").alias("cluster"))
     return join_back(out, heads, ["comp"], "left").select("doc_id", "cluster", "repeated_words", "removed_words", "spans")
 
 
