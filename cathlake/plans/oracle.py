@@ -605,3 +605,19 @@ SELECT CAST(date_trunc('month', ts) AS DATE) AS month, count(DISTINCT user_id) A
        count(DISTINCT user_id) - count(DISTINCT user_id) FILTER (event_type = 'purchase') AS n_without, TRUE AS within_error
 FROM events GROUP BY ALL
 """
+
+ORACLE["link_stream"] = ORACLE["link_window"]
+
+ORACLE["digest_changes"] = """
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderpriority FROM orders)
+SELECT o_orderkey, o_custkey, o_orderpriority, 'removed' AS change, CAST(count(*) AS BIGINT) AS copies
+FROM o WHERE o_orderkey % 250 = 0 OR o_orderkey % 100 = 0 AND o_orderpriority IS DISTINCT FROM '0-NEW' GROUP BY ALL
+UNION ALL
+SELECT o_orderkey, o_custkey, '0-NEW', 'added', CAST(count(*) AS BIGINT)
+FROM o WHERE o_orderkey % 250 <> 0 AND o_orderkey % 100 = 0 AND o_orderpriority IS DISTINCT FROM '0-NEW' GROUP BY ALL
+"""
+
+ORACLE["digest_refresh"] = """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 100 = 0 THEN '0-NEW' ELSE o_orderpriority END AS o_orderpriority
+FROM orders
+"""

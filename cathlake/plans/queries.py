@@ -734,3 +734,65 @@ def cohort_sketch(spark: SparkSession, d: str) -> DataFrame:
             for c, of in (("users", "users"), ("user_days", "user_days"), ("without", "users"))]
     return exact.join(got, exact["month"].eqNullSafe(got["month"])).select(
         exact["month"], "n_users", "n_user_days", "n_without", (near[0] & near[1] & near[2]).alias("within_error"))
+
+
+# ------------------------------------------------------------ K4 on arriving rows
+from cathlake.functions.ordering import micros  # noqa: E402
+from cathlake.streaming import link_stream as streaming_link  # noqa: E402
+
+
+@register("link_stream")
+def link_stream(spark: SparkSession, d: str) -> DataFrame:
+    """``link_window`` over files that arrive in two batches, earlier and later half of the
+    time, and a heartbeat that closes the last windows."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts", "value", "event_type")
+    root = _fresh_path(spark, "link-stream")
+    middle = ev.agg(F.percentile_approx(micros(ev, "ts"), 0.5)).first()[0]
+    later = F.coalesce(micros(ev, "ts") > middle, F.lit(False))
+    end = ev.agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"))
+    known = {"ts": F.col("ts"), "user_id": F.lit(0)}
+    beat = end.select(*[known.get(c, F.lit(None)).cast(ev.schema[c].dataType).alias(c) for c in ev.columns])
+    sides = {"images": F.col("event_type") == "error", "procedures": F.col("event_type") == "purchase"}
+    schema = ev.drop("event_type").schema
+    for i, batch in enumerate((ev.where(~later), ev.where(later), beat)):
+        for side, of in sides.items():
+            part = batch if batch is beat else batch.where(of)
+            part.drop("event_type").write.parquet(f"{root}/{side}/batch{i}")
+        streaming_link.start_link_stream(
+            spark, f"{root}/images/*", schema, f"{root}/procedures/*", schema, f"{root}/linked", f"{root}/progress",
+            lkey="user_id", rkey="user_id", lts="ts", rts="ts", rid="event_id", lid="event_id",
+            rcols=["event_id", "ts", "value"]).awaitTermination()
+    return spark.read.parquet(f"{root}/linked")
+
+
+# ------------------------------------------------------------ G3, C9 by bucket digests
+from cathlake.operators import digests  # noqa: E402
+
+
+@register("digest_changes")
+def digest_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that a new version of orders removed and added, from stored bucket digests: every
+    hundredth order has another priority, every 250th is gone."""
+    od = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    stored, kept = _stored_orders(spark, od)
+    new = od.where(F.col("o_orderkey") % 250 != 0).withColumn(
+        "o_orderpriority", F.when(F.col("o_orderkey") % 100 == 0, "0-NEW").otherwise(F.col("o_orderpriority")))
+    return digests.changes(stored, new, ["o_orderkey"], kept)
+
+
+@register("digest_refresh")
+def digest_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """orders with the priorities of a new version, which holds one changed key in a hundred."""
+    od = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    stored, kept = _stored_orders(spark, od)
+    new = od.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 100 == 0, "0-NEW").otherwise(F.col("o_orderpriority")))
+    return digests.refresh(stored, new, ["o_orderkey"], ["o_orderpriority"], kept)
+
+
+def _stored_orders(spark: SparkSession, od: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """orders as a bucketed table and its stored digests."""
+    path = _fresh_path(spark, "digests/orders")
+    digests.write_bucketed(od, f"{path}/table", ["o_orderkey"])
+    stored = digests.read_bucketed(spark, f"{path}/table")
+    digests.digests(stored, ["o_orderkey"]).write.parquet(f"{path}/digests")
+    return stored, spark.read.parquet(f"{path}/digests")
