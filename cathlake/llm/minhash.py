@@ -299,7 +299,8 @@ def differences(rest: DataFrame, texts: DataFrame) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(apart).view(np.int64)))],
                     ["head", "th", "comp", "n", "d"])
 
-    return both.mapInArrow(run, "head binary, th binary, comp binary, n int, d array<bigint>")
+    kind = rest.schema["th"].dataType.simpleString()
+    return both.mapInArrow(run, f"head {kind}, th {kind}, comp {kind}, n int, d array<bigint>")
 
 
 def difference_pairs(rest: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -45,7 +45,7 @@ from cathlake.operators.skew import join_back
 
 from .common import field, materialize, packed, release, row_key, ship, whole_text
 from .components import components
-from .minhash import SHINGLE, THRESHOLD, jaccard, mix, shingle_set, shingles
+from .minhash import SHINGLE, THRESHOLD, difference_pairs, jaccard, mix, shingle_set
 from .pii import WORD
 from .tokens import slices
 
@@ -72,7 +72,7 @@ BANDS, ROWS = tune_bands()
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, hash, line and place in its text of every word."""
+    """Row, hash, line of its text and place in its text of every word."""
     texts = pc.replace_substring(texts, LINE, "\x02")  # so that only line breaks become LINE
     split = pc.ascii_split_whitespace(pc.replace_substring(texts, "\n", f" {LINE} "))
     flat = split.flatten()
@@ -81,15 +81,20 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         none = np.zeros(0, np.int64)
         return none, np.zeros(0, U), none, none
     enc = flat.dictionary_encode()
-    words = enc.dictionary.to_pylist()
+    words = enc.dictionary.to_numpy(zero_copy_only=False)
     idx = enc.indices.to_numpy()
-    kind = np.array([2 if w == LINE else 1 if w else 0 for w in words])[idx]
-    line = np.cumsum(kind == 2)
+    kinds = np.ones(len(words), np.int8)
+    for w, k in ((LINE, 2), ("", 0)):
+        kinds[pc.equal(enc.dictionary, w).to_numpy(zero_copy_only=False)] = k
+    kind = kinds[idx]
+    breaks = kind == 2
+    n = np.bincount(row[breaks], minlength=len(texts))
+    line = np.cumsum(breaks) - (np.cumsum(n) - n)[row]
     keep = kind == 1
     row, line, idx = row[keep], line[keep], idx[keep]
-    h = pd.util.hash_array(np.array(words, object), categorize=False)[idx]
+    h = mix(pd.util.hash_array(words, categorize=False))[idx]
     n = np.bincount(row, minlength=len(texts))
-    return row, mix(h), line, np.arange(len(row)) - (np.cumsum(n) - n)[row]
+    return row, h, line, np.arange(len(row)) - (np.cumsum(n) - n)[row]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,13 +125,15 @@ def windows(row: np.ndarray, place: np.ndarray, run: Hashed, rows: int) -> tuple
     gram = np.full(total, np.iinfo(U).max, U)
     at = np.arange(total - GRAM + 1)
     gram[at] = run.of(at, at + GRAM)
-    view = np.lib.stride_tricks.sliding_window_view(gram, SPREAD)
-    whole = np.flatnonzero(place[:len(view)] + SPREAD - 1 + WINDOW <= n[row[:len(view)]])
-    if not len(whole):
-        return none
-    picked = [whole[i:i + 500_000] for i in range(0, len(whole), 500_000)]
-    starts = np.unique(np.concatenate([w + view[w].argmin(axis=1) for w in picked]))
-    return starts, run.of(starts, starts + WINDOW)
+    # The first smallest of 2, 4, ... SPREAD neighbours.
+    least, at, width = gram, np.arange(total), 1
+    while width < SPREAD:
+        later = least[width:] < least[:-width]
+        at = np.where(later, at[width:], at[:-width])
+        least = np.where(later, least[width:], least[:-width])
+        width *= 2
+    starts = np.unique(at[place[:len(at)] + SPREAD - 1 + WINDOW <= n[row[:len(at)]]])
+    return (starts, run.of(starts, starts + WINDOW)) if len(starts) else none
 
 
 def paragraphs(row: np.ndarray, line: np.ndarray, run: Hashed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,23 +147,36 @@ def paragraphs(row: np.ndarray, line: np.ndarray, run: Hashed) -> tuple[np.ndarr
     return cut[big], end[big], run.of(cut[big], end[big])
 
 
+def _mix_in_place(x: np.ndarray, spare: np.ndarray) -> None:
+    """``mix`` without new arrays."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        np.right_shift(x, U(shift), out=spare)
+        np.bitwise_xor(x, spare, out=x)
+        if factor != 1:
+            np.multiply(x, U(factor), out=x)
+
+
 def band_hashes(start: np.ndarray, end: np.ndarray, run: Hashed) -> np.ndarray:
     """(paragraphs, BANDS) hashes of MinHash rows over five-word shingles."""
     n = end - start - SHINGLE + 1
     first = np.cumsum(n) - n
     at = np.repeat(start - first, n) + np.arange(n.sum())
     h = run.of(at, at + SHINGLE)
+    each, shifted = np.empty_like(h), np.empty_like(h)
     out = np.empty((len(start), BANDS), U)
     for b in range(BANDS):
         x = np.full(len(start), b + 1, U)
         for c in range(ROWS):
             seed = mix(np.array([b * ROWS + c + 1], U) * U(BASE))[0]
-            x = mix(x * U(BASE) + np.minimum.reduceat(mix(h ^ seed), first)) if len(start) else x
+            np.bitwise_xor(h, seed, out=each)
+            _mix_in_place(each, shifted)
+            x = mix(x * U(BASE) + np.minimum.reduceat(each, first)) if len(start) else x
         out[:, b] = x
     return out.view(np.int64)
 
 
-FEATURES = ("uid long, hash array<long>, at array<int>, par array<long>, par_at array<int>, par_n array<int>, bands array<long>")
+FEATURES = ("uid long, hash array<long>, at array<int>, par array<long>, par_at array<int>, par_n array<int>, "
+            "par_line array<int>, bands array<long>")
 
 
 def _lists(of: np.ndarray, rows: int, values: np.ndarray, width: int = 1) -> pa.ListArray:
@@ -178,26 +198,24 @@ def features(src: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(at, n), _lists(row[w], n, wh.view(np.int64)), _lists(row[w], n, place[w].astype(np.int32)),
                     _lists(row[s], n, ph.view(np.int64)), _lists(row[s], n, place[s].astype(np.int32)),
-                    _lists(row[s], n, (e - s).astype(np.int32)), _lists(row[s], n, bands.ravel(), BANDS)],
-                    ["uid", "hash", "at", "par", "par_at", "par_n", "bands"])
+                    _lists(row[s], n, (e - s).astype(np.int32)), _lists(row[s], n, line[s].astype(np.int32)),
+                    _lists(row[s], n, bands.ravel(), BANDS)],
+                    ["uid", "hash", "at", "par", "par_at", "par_n", "par_line", "bands"])
 
     return src.mapInArrow(run, FEATURES)
 
 
-def paragraph_texts(src: DataFrame) -> DataFrame:
-    """(par, text) of every paragraph that is a unit."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for _, part in slices(b.column(0)):
-                row, h, line, _ = _words(part)
-                s, e, ph = paragraphs(row, line, Hashed(h))
-                found = []
-                for t in part.to_pylist():
-                    found += [x for x in t.split("\n") if len(x) >= MIN_PARAGRAPH and len(x.encode().split()) >= MIN_PARAGRAPH]
-                yield pa.RecordBatch.from_arrays([pa.array(ph.view(np.int64)), pa.array(found, pa.string())], ["par", "text"])
-
-    return src.mapInArrow(run, "par long, text string")
+def paragraph_texts(wanted: DataFrame, feats: DataFrame, src: DataFrame) -> DataFrame:
+    """(par, text) of the paragraphs ``wanted`` (par), read from the first document that holds each."""
+    held = feats.select("uid", F.explode(F.arrays_zip("par", "par_line")).alias("x")).select("x.par", "uid", F.col("x.par_line").alias("line"))
+    held = join_back(held, wanted, ["par"], "left_semi").groupBy("par").agg(F.min(F.struct("uid", "line")).alias("m"))
+    # A document's list is bounded by its own lines.
+    lines = held.groupBy("m.uid").agg(F.collect_list(F.struct("par", "m.line")).alias("w"))
+    # The same plan at every size: a small input would broadcast the lists and hide the shuffle.
+    both = src.join(lines.hint("merge"), "uid").select(F.split("text", "\n", -1).alias("lines"), "w")
+    found = both.select(F.explode(F.transform("w", lambda x: F.struct(
+        x["par"].alias("par"), F.get("lines", x["line"]).alias("text")))).alias("x")).select("x.par", "x.text")
+    return found.groupBy("par").agg(F.any_value("text").alias("text"))  # rows with equal doc_id and text share a uid
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -229,53 +247,21 @@ def paragraph_components(feats: DataFrame, src: DataFrame, threshold: float = TH
     heads = heads.where("head != last").select("bucket", F.col("head.par").alias("head"))
     members = materialize(join_back(par.select("bucket", "par"), heads, ["bucket"]).distinct(), "members")
     wanted = materialize(members.select("par").distinct(), "wanted")
-    texts = paragraph_texts(src.select("text")).join(wanted.hint("merge"), "par", "left_semi") \
-        .groupBy("par").agg(F.any_value("text").alias("text"))
-    texts = materialize(texts, "texts")
+    texts = materialize(paragraph_texts(wanted, feats, src), "texts")
     star = members.where("par != head").select(F.col("par").alias("a"), F.col("head").alias("b")).distinct()
     found = materialize(_verified(star, texts, threshold), "links")
     comp = materialize(components(found), "components")
-    # Buckets whose members are still apart.
-    placed = members.select("bucket", "par").join(comp.withColumnRenamed("node", "par"), "par", "left") \
-        .withColumn("comp", F.coalesce("comp", "par"))
-    placed = materialize(placed, "placed")
-    apart = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-    rest = join_back(placed, apart.select("bucket"), ["bucket"], "left_semi").select("par", "comp").distinct()
-    more = materialize(_verified(prefix_pairs(rest, texts, threshold), texts, threshold), "links")
-    release(members, wanted, texts, comp, placed)
+    # Members that share a head and are not yet all in one component; each has been compared with the head itself.
+    held = members.where("par != head").select("par", "head").distinct().join(comp.withColumnRenamed("node", "par"), "par", "left")
+    held = materialize(held.select(F.col("par").alias("th"), F.col("head").alias("hth"), F.coalesce("comp", "par").alias("comp")), "held")
+    apart = held.groupBy("hth").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+    rest = join_back(held, apart.select("hth"), ["hth"], "left_semi")
+    pairs = difference_pairs(rest, texts.withColumnRenamed("par", "th"), threshold)
+    more = materialize(_verified(pairs, texts, threshold), "links")
+    release(members, wanted, texts, comp, held)
     return components(found.unionByName(more))
 
 
-def prefix_pairs(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of ``rest`` (par, comp) in different components that share a prefix shingle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at, part in slices(b.column(2)):
-                row, h, _ = shingles(part)
-                n = np.bincount(row, minlength=len(part)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, len(part)), b.column(1).slice(at, len(part)), pa.array(n),
-                     _lists(row, len(part), h.view(np.int64))], ["par", "comp", "n", "h"])
-
-    sets = materialize(rest.join(texts, "par").select("par", "comp", "text")
-                       .mapInArrow(run, "par long, comp long, n int, h array<long>"), "sets")
-    each = sets.select("par", F.explode("h").alias("h"))
-    often = each.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
-    # A paragraph's list is bounded by its own shingles.
-    ranked = join_back(each, often, ["h"]).groupBy("par").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("r"))
-    ranked = ranked.join(sets.select("par", "comp", "n"), "par")
-    first = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1
-    token = materialize(ranked.select("par", "comp", "n", F.explode(F.slice("r", F.lit(1), first)).alias("t"))
-                        .where(F.col("t.f") > 1).select("par", "comp", "n", F.col("t.h").alias("h")), "tokens")
-    apart = token.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-    token = materialize(join_back(token, apart.select("h"), ["h"], "left_semi"), "tokens-apart")
-    x = token.select("h", F.col("par").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
-    y = token.select("h", F.col("par").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
-    return x.join(y, "h").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))
-                                & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))).select("a", "b").distinct()
-
-
 def extended(hits: DataFrame, src: DataFrame) -> DataFrame:
     """(uid, start, end, first) of longer runs around the windows ``hits`` that other documents hold too.
 
@@ -297,9 +283,8 @@ def extended(hits: DataFrame, src: DataFrame) -> DataFrame:
         F.max(~F.col("x.right")).alias("left"), F.max("x.right").alias("right"))
     marks = materialize(marks, "outer")
     outer = join_back(hits, marks, ["hash"])
-    place = F.struct("start", "hash", "first")
-    each = outer.groupBy("uid").agg(F.collect_set(F.when(F.col("left"), place)).alias("lefts"),
-                                    F.collect_set(F.when(F.col("right"), place)).alias("rights"))
+    each = outer.groupBy("uid").agg(F.collect_list(F.when(F.col("left"), F.col("start"))).alias("lefts"),
+                                    F.collect_list(F.when(F.col("right"), F.col("start"))).alias("rights"))
     sides = materialize(src.join(each, "uid").select("uid", "text", "lefts", "rights").mapInArrow(_beside, SIDES), "sides")
     out = shared_extensions(sides)
     release(marks, sides)
@@ -308,69 +293,59 @@ def extended(hits: DataFrame, src: DataFrame) -> DataFrame:
     return out.select("uid", start.alias("start"), end.alias("end"), "first")
 
 
-SIDES = "uid long, node long, first long, fixed int, right boolean, next array<long>"
+SIDES = "uid long, fixed int, right boolean, runs array<long>"
 
 
 def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The up to ``SPREAD - 1`` words beyond each window, outwards, for (uid, text, lefts, rights)."""
+    """The hashes of each window with one to ``SPREAD - 1`` words beyond it, for (uid, text, lefts, rights)."""
     for b in batches:
         for at, part in slices(b.column(1)):
             row, h, _, _ = _words(part)
+            run = Hashed(h)
             n = np.bincount(row, minlength=len(part))
             base = np.cumsum(n) - n
             for side in (2, 3):
                 lists, right = b.column(side).slice(at, len(part)), side == 3
                 of = np.repeat(np.arange(len(part)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-                places = lists.flatten()
-                w, node, first = (places.field(f).to_numpy().astype(np.int64) for f in range(3))
+                w = lists.flatten().to_numpy().astype(np.int64)
                 room = np.minimum(n[of] - w - WINDOW if right else w, SPREAD - 1)
-                step = np.arange(room.sum()) - np.repeat(np.cumsum(room) - room, room)
-                edge = np.repeat(base[of] + (w + WINDOW if right else w - 1), room)
-                near = h[edge + step if right else edge - step].view(np.int64)
+                of, w, room = of[room > 0], w[room > 0], room[room > 0]
+                step = np.arange(room.sum()) - np.repeat(np.cumsum(room) - room, room) + 1
+                edge = np.repeat(base[of] + w, room)
+                runs = run.of(edge, edge + WINDOW + step) if right else run.of(edge - step, edge + WINDOW)
                 off = np.concatenate([[0], np.cumsum(room)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(b.column(0).to_numpy()[at + of]), pa.array(node), pa.array(first),
-                     pa.array((w if right else w + WINDOW).astype(np.int32)), pa.array(np.full(len(w), right)),
-                     pa.ListArray.from_arrays(pa.array(off), pa.array(near))],
-                    ["uid", "node", "first", "fixed", "right", "next"])
+                    [pa.array(b.column(0).to_numpy()[at + of]), pa.array((w if right else w + WINDOW).astype(np.int32)),
+                     pa.array(np.full(len(w), right)), pa.ListArray.from_arrays(pa.array(off), pa.array(runs.view(np.int64)))],
+                    ["uid", "fixed", "right", "runs"])
 
 
 def shared_extensions(sides: DataFrame) -> DataFrame:
     """(uid, right, fixed, more, first): how far a window's run of words goes on in other documents too.
 
-    The words beside all copies of a window form a tree. In each round the
-    members of a node (copies with equal words so far) are compared with the
-    node's first document: as many words as a member shares with it are a copy of
-    that document's. Members that then go on in another way meet again at the
-    node of their next word, if other documents do so too. Each round
-    takes a word or more, so ``SPREAD`` rounds are the most. Of a document's several
-    members a hash picks the one to compare with, so that runs of one repeated
-    word, which part at every length, are halved in each round.
+    Copies of a window that go on alike are one path. A run (the window with
+    1, 2, ... of the words beside it) is repeated if the paths that hold it
+    come from two documents or more, and the first of these documents keeps
+    it. For each copy the longest repeated run counts and, if the copy's own
+    document is the first of that one, also the longest run that another
+    document holds earlier.
     """
-    keys, rows, found = ["node", "right"], sides.withColumn("past", F.lit(0)), []
-    own = F.col("uid") == F.col("first")
-    while True:
-        heads = rows.where(own).groupBy(*keys).agg(F.min(F.struct(F.xxhash64("fixed", "past"), "next")).alias("h")).select(*keys, F.col("h.next").alias("head"))
-        differs = F.array_position(F.zip_with("next", "head", lambda x, y: F.coalesce(x == y, F.lit(False))), False)
-        same = F.when(differs == 0, F.size("next")).otherwise(differs - 1).cast("int")
-        both = materialize(join_back(rows, heads, keys).withColumn("same", same).drop("head"), "compared")
-        reach = both.where(~own).groupBy(*keys).agg(F.max("same").alias("reach"))
-        firsts = join_back(both.where(own).drop("next"), reach, keys).withColumn("same", F.least("same", "reach"))
-        cols = ["uid", "right", "fixed", (F.col("past") + F.col("same")).alias("more"), "first"]
-        found.append(materialize(both.where(~own).select(*cols).unionByName(firsts.select(*cols)).where("more > 0"), "extensions"))
-        # Members with words left, by the next of them.
-        left = both.where(F.size("next") > F.col("same")).select(
-            "uid", "right", "fixed", (F.col("past") + F.col("same") + 1).alias("past"),
-            F.xxhash64("node", "same", F.element_at("next", F.col("same") + 1)).alias("node"),
-            F.slice("next", F.col("same") + 2, F.lit(SPREAD)).alias("next"))
-        again = left.groupBy(*keys).agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first != last").drop("last")
-        rows = materialize(join_back(left, again, keys), "apart")
-        release(both)
-        if rows.isEmpty():
-            break
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
+    path = F.element_at("runs", -1)
+    paths = sides.groupBy("right", "runs").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"))
+    paths = materialize(paths.withColumn("path", path), "paths")
+    each = paths.select("right", "path", "lo", "hi", F.posexplode("runs").alias("more", "run"))
+    held = each.groupBy("right", "run").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first != last").drop("last")
+    # A path's list is bounded by ``SPREAD - 1``; a longer run has no earlier first document.
+    steps = join_back(each.drop("lo", "hi"), held, ["right", "run"]).groupBy("right", "path", "first").agg((F.max("more") + 1).alias("more")) \
+        .groupBy("right", "path").agg(F.array_sort(F.collect_list(F.struct("more", "first"))).alias("steps"))
+    steps = materialize(steps, "steps")
+    rows = join_back(sides.select("uid", "right", "fixed", path.alias("path")), steps, ["right", "path"])
+    last = F.element_at("steps", -1)
+    other = F.get(F.filter("steps", lambda x: x["first"] != F.col("uid")), F.size(F.filter("steps", lambda x: x["first"] != F.col("uid"))) - 1)
+    out = rows.select("uid", "right", "fixed", F.explode(F.array_compact(F.array_distinct(F.array(last, other)))).alias("x")) \
+        .select("uid", "right", "fixed", "x.more", "x.first")
+    out = materialize(out, "extensions")
+    release(paths, steps)
     return out
 
 
@@ -399,20 +374,37 @@ def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresh
     # A document's list is bounded by its own units.
     return materialize(hits.groupBy("uid").agg(
         F.min("first").alias("first"), F.collect_set("first").alias("firsts"),
-        F.sort_array(F.collect_set(F.struct("start", "end", "first"))).alias("spans")), "hits")
-
-
-def _union(spans, uid: int | None = None) -> list[tuple[int, int]]:
-    """Disjoint word ranges; with ``uid`` only of units whose first copy is in another document."""
-    out: list[list[int]] = []
-    for s in spans:
-        if uid is not None and s["first"] == uid:
-            continue
-        if out and s["start"] <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], s["end"])
-        else:
-            out.append([s["start"], s["end"]])
-    return [(a, b) for a, b in out]
+        F.sort_array(F.collect_list(F.struct("start", "end", "first"))).alias("spans")), "hits")
+
+
+def word_spans(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points where the words of all texts start and end, and where each text's first word is among them."""
+    texts = texts.cast(pa.large_string())
+    off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[off[0]:off[-1]]
+    off = off - off[0]
+    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    before = np.concatenate([[False], inside[:-1]]) if len(data) else inside
+    after = np.concatenate([inside[1:], [False]]) if len(data) else inside
+    edge = off[off < len(data)]
+    before[edge] = False
+    after[edge[edge > 0] - 1] = False
+    start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+    first = np.searchsorted(start, off)
+    if len(data) and data.max() >= 0x80:
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        start, end, off = points[start], points[end], points[off]
+    base = np.repeat(off[:-1], np.diff(first))
+    return start - base, end - base, first
+
+
+def _union(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Disjoint ranges that cover the given ones, which are sorted by start."""
+    if not len(start):
+        return start, end
+    reach = np.maximum.accumulate(end)
+    cut = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
+    return start[cut], reach[np.append(cut[1:], len(start)) - 1]
 
 
 def report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -432,12 +424,18 @@ def report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             every, gone, told = [], [], []
-            for t, uid, spans in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                words = [m.span() for m in WORD.finditer(t)]
-                all_, cut = _union(spans), _union(spans, uid)
-                every.append(sum(y - x for x, y in all_))
-                gone.append(sum(y - x for x, y in cut))
-                told.append(",".join(f"{words[x][0]}:{words[y - 1][1]}" for x, y in all_))
+            for at, part in slices(b.column(1)):
+                start, end, word = word_spans(part)
+                lists = b.column(3).slice(at, len(part))
+                off, flat = lists.offsets.to_numpy(), lists.values
+                s, e, f = (flat.field(i).to_numpy() for i in range(3))
+                for i, uid in enumerate(b.column(2).slice(at, len(part)).to_numpy()):
+                    own = slice(off[i], off[i + 1])
+                    x, y = _union(s[own], e[own])
+                    every.append(int((y - x).sum()))
+                    told.append(",".join(f"{p}:{q}" for p, q in zip(start[word[i] + x].tolist(), end[word[i] + y - 1].tolist(), strict=True)))
+                    x, y = _union(s[own][f[own] != uid], e[own][f[own] != uid])
+                    gone.append(int((y - x).sum()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(4), pa.array(every, pa.int64()), pa.array(gone, pa.int64()),
                                               pa.array(told, pa.string())],
                                              ["doc_id", "comp", "repeated_words", "removed_words", "spans"])
@@ -462,7 +460,8 @@ def cut(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFram
             for t, uid, spans in zip(*(b.column(i).to_pylist() for i in (at, n, n + 1)), strict=True):
                 if spans:
                     words, parts, last = [m.span() for m in WORD.finditer(t)], [], 0
-                    for x, y in _union(spans, uid):
+                    removed = [(x["start"], x["end"]) for x in spans if x["first"] != uid]
+                    for x, y in zip(*_union(*np.array(removed, np.int64).reshape(-1, 2).T), strict=True):
                         parts.append(t[last:words[x][0]])
                         last = words[y - 1][1]
                     t = "".join([*parts, t[last:]])

@@ -8,6 +8,7 @@ import zlib
 import brute
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from cathlake.llm import bpe, lines, minhash, packing, passages, pii, quality
 from edge_docs import SF_SMALL, edge, nothing  # noqa: F401
@@ -422,6 +423,40 @@ def test_passages_whole_span(spark):
     assert kept == collections.Counter({w for _, t in rows for w in t.split()})  # every word stays once
 
 
+def test_passages_variants_give_no_pairs_of_all(spark, monkeypatch):
+    """60 variants of a paragraph with one edit each are too far apart to link: no pair of each two is compared."""
+    rng = random.Random(7)
+    base = ["".join(rng.choices("abcdefgh", k=7)) for _ in range(60)]
+    df = spark.createDataFrame([(i, " ".join([*base[:i], f"own{i}", *base[i + 1:]])) for i in range(60)], "doc_id long, text string")
+    tried, verify = [], passages._verified
+
+    def counted(pairs, *rest):
+        tried.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(passages, "_verified", counted)
+    passages.report(df).collect()
+    assert 0 < sum(tried) <= passages.BANDS * 60
+
+
+def test_passages_extension_rounds(spark):
+    """Copies that go on alike for 3, 5 and all words are told apart in one pass; the first document keeps each run."""
+    window = [f"w{i}" for i in range(60)]
+    tails = [[f"t{j}" for j in range(12)], [f"t{j}" for j in range(3)] + ["x1", "x2"], [f"t{j}" for j in range(3)] + ["x1", "y2"], [f"t{j}" for j in range(12)]]
+    own = [[f"own{i}x{j}" for j in range(120)] for i in range(4)]
+    rows = [(i, " ".join([*own[i][:60], *window, *t, *own[i][60:]])) for i, t in enumerate(tails)]
+    got = {r.doc_id: r for r in passages.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: r.repeated_words for d, r in got.items()} == {0: 72, 1: 64, 2: 64, 3: 72}
+
+
+def test_word_spans():
+    texts = ["", "a", " \x0b", "ü b\x1fc\n\u3000d e\xa0", "x\ty", "ends here", "here"]
+    start, end, first = passages.word_spans(pa.array(["skipped", *texts])[1:])
+    for i, t in enumerate(texts):
+        own = slice(first[i], first[i + 1])
+        assert list(zip(start[own].tolist(), end[own].tolist(), strict=True)) == [m.span() for m in passages.WORD.finditer(t)]
+
+
 def test_passages_near_paragraphs(docs, texts):
     par = [(d, brute.shingle_set(x)) for d, t in texts.items() for x in t.split("\n") if len(brute.words(x)) >= passages.MIN_PARAGRAPH]
     near = set()
