@@ -19,6 +19,7 @@ from cathlake.functions import normalize as N
 from cathlake.functions.schema import conform
 from cathlake.operators.numbering import dense_ids
 from cathlake.operators.skew import join_back
+from cathlake.session import checkpoint_dir
 
 
 # The 16 coronary segment names used as registry site values, in
@@ -104,41 +105,46 @@ def registry_wide(df: DataFrame, keys=("bth_pid", "entryid", "procedurestart_lok
              if c not in keys and c not in (site, sub, *order) and c not in MEASURE_PREFIX]
     first_row = F.struct(*[F.col(c).alias(f"_cl_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in attrs])
     s = F.col(site)
-    cols = {m: [f"{p}{v}" for v in sites] for m, p in MEASURE_PREFIX.items()}
-    level1 = base.groupBy(*keys, sub).agg(
-        F.min(first_row).alias("_cl_attr"),
-        *[F.min(F.when(s == F.lit(v), F.col(m))).alias(f"{p}{v}")
-          for m, p in MEASURE_PREFIX.items() for v in sites],
-        *[F.count_if(s == F.lit(v)).alias(f"_cl_n{i}") for i, v in enumerate(sites) if strict])
+    place = F.coalesce(*[F.when(s == F.lit(v), F.lit(i)) for i, v in enumerate(sites)])
+    # One narrow row per site first: the site columns are spread out in the rows of the result only.
+    cells = base.groupBy(*keys, sub, site).agg(
+        F.min(first_row).alias("_cl_attr"), *[F.min(m).alias(m) for m in MEASURE_PREFIX],
+        F.count(F.lit(1)).alias("_cl_n")).withColumn("_cl_i", place)
+    # Sten / ffr are numbers in the wide table (kartype stays text).
+    values = [F.col(m) if m == "kartype" else N.to_double(F.col(m)).alias(m) for m in MEASURE_PREFIX]
+    cell = F.struct("_cl_i", *values, *["_cl_n"] * strict)
+    # A sub-entry's list holds at most one cell per known site.
+    level1 = cells.groupBy(*keys, sub).agg(
+        F.min("_cl_attr").alias("_cl_attr"), F.collect_list(F.when(F.col("_cl_i").isNotNull(), cell)).alias("_cl_cells"))
     if strict:
-        repeated = F.array_compact(F.array(*[F.when(F.col(f"_cl_n{i}") > 1, F.lit(str(v))) for i, v in enumerate(sites)]))
+        names = F.array(*[F.lit(str(v)) for v in sites])
+        repeated = F.transform(F.filter(F.array_sort("_cl_cells"), lambda c: c["_cl_n"] > 1), lambda c: F.get(names, c["_cl_i"]))
         told = F.concat(F.lit("several rows for "), F.to_json(F.struct(*keys, sub, repeated.alias("sites"))))
         checked = F.when(F.size(repeated) > 0, F.raise_error(told).cast("string")).otherwise(F.col(sub))
         # Every later step needs the sub-entry, so none can leave the check out.
-        level1 = level1.withColumn(sub, checked).drop(*[f"_cl_n{i}" for i in range(len(sites))])
+        level1 = level1.withColumn(sub, checked)
+
+    if mode == "sub_entry":
+        checkpoint_dir(df.sparkSession)
+        level1 = level1.checkpoint()  # read twice below
+
+    def by_site(cells_col: str):
+        return F.map_from_entries(F.transform(cells_col, lambda c: F.struct(c["_cl_i"], c)))
+
+    def spread(by: str, *measures: str):
+        return [F.element_at(by, F.lit(i)).getField(m).alias(f"{MEASURE_PREFIX[m]}{v}") for m in measures for i, v in enumerate(sites)]
+
+    first = level1.groupBy(*keys).agg(F.min("_cl_attr").alias("_cl_attr"), F.min(F.struct(sub, "_cl_cells")).alias("_cl_r"))
+    first = first.select(*keys, "_cl_attr", F.col("_cl_r._cl_cells").alias("_cl_first"))
+    attributes = [F.col(f"_cl_attr.{a}").alias(a) for a in attrs]
     if mode == "entry":
-        carried = [c for m in MEASURE_PREFIX for c in cols[m]]
-        first = level1.groupBy(*keys).agg(
-            F.min("_cl_attr").alias("_cl_attr"),
-            F.min(F.struct(F.col(sub), *[F.col(c) for c in carried])).alias("_cl_r"))
-        wide = first.select(*keys, *[F.col(f"_cl_attr.{a}").alias(a) for a in attrs],
-                            *[F.col(f"_cl_r.`{c}`").alias(c) for m in MEASURE_PREFIX for c in cols[m]])
+        wide = first.withColumn("_cl_at", by_site("_cl_first")).select(*keys, *attributes, *spread("_cl_at", *MEASURE_PREFIX))
     elif mode == "sub_entry":
-        shared = [c for m in ("stenosegrad_eyeball", "ffr") for c in cols[m]]
-        first = level1.groupBy(*keys).agg(
-            F.min("_cl_attr").alias("_cl_attr"),
-            F.min(F.struct(F.col(sub), *[F.col(c) for c in shared])).alias("_cl_r"))
-        j = join_back(level1.select(*keys, sub, *[F.col(f"`{c}`") for c in cols["kartype"]]),
-                      first, keys, "inner", null_safe=True)
-        wide = j.select(*keys, sub, *[F.col(f"_cl_attr.{a}").alias(a) for a in attrs],
-                        *[F.col(f"_cl_r.`{c}`").alias(c) for c in shared],
-                        *[F.col(f"`{c}`") for c in cols["kartype"]])
+        j = join_back(level1.select(*keys, sub, "_cl_cells"), first, keys, "inner", null_safe=True)
+        j = j.withColumn("_cl_at", by_site("_cl_first")).withColumn("_cl_own", by_site("_cl_cells"))
+        wide = j.select(*keys, sub, *attributes, *spread("_cl_at", "stenosegrad_eyeball", "ffr"), *spread("_cl_own", "kartype"))
     else:
         raise ValueError(mode)
-    # Sten / ffr are numbers in the wide table (kartype stays text).
-    numeric = {c for m in ("stenosegrad_eyeball", "ffr") for c in cols[m]}
-    wide = wide.select(*[N.to_double(F.col(f"`{c}`")).alias(c) if c in numeric else F.col(f"`{c}`")
-                         for c in wide.columns])
     return (wide.withColumnRenamed(start, "timestamp")
             .withColumn("timestamp", F.to_timestamp_ntz(F.col("timestamp"))))
 
@@ -174,8 +180,12 @@ def cardinality_profile(df: DataFrame, keys: Sequence[str], cols: Sequence[str]
     cols = [c for c in (cols or df.columns) if c not in keys]
     named = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
     text = df.where(named).select(*keys, *[F.col(c).cast("string").alias(c) for c in cols])
-    # One narrow row per value instead of one wide row per counted column.
-    values = text.unpivot(keys, cols, "column", "value")
-    per_group = values.groupBy(*keys, "column").agg(F.count_distinct("value").alias("n"))
-    long = per_group.groupBy("column").agg(F.count_distinct("n").cast("long").alias("distinct_counts"))
-    return long.withColumn("multi_entry", F.col("distinct_counts") != 1)
+    # One narrow row per value instead of one wide row per counted column; its column is told by one character before
+    # the value, and the value by another before its text, so that null and the empty text differ.
+    tagged = [F.concat(F.lit(chr(i + 1)), F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))) for i, c in enumerate(cols)]
+    values = text.select(*[F.col(k).alias(f"_cl_k{i}") for i, k in enumerate(keys)], F.explode(F.array(*tagged)).alias("_cl_v")).distinct()
+    by = [f"_cl_k{i}" for i in range(len(keys))]
+    per_group = values.groupBy(*by, F.ascii("_cl_v").alias("_cl_i")).agg(F.count_if(F.length("_cl_v") > 1).alias("n"))
+    long = per_group.groupBy("_cl_i").agg(F.count_distinct("n").cast("long").alias("distinct_counts"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return long.select(F.get(names, F.col("_cl_i") - 1).alias("column"), "distinct_counts", (F.col("distinct_counts") != 1).alias("multi_entry"))

@@ -207,3 +207,31 @@ def test_cohort_report_approx_close_to_exact(spark):
     approx = cohort.cohort_report(o, modalities=("F",), main="F", approx=True).collect()[0].asDict()
     for k, v in exact.items():
         assert abs(approx[k] - v) <= 0.05 * v + 1, k
+
+
+def _entries(spark):
+    cols = "bth_pid string, entryid string, procedurestart_lokalbed_velse string, sub_entryid string, proceduresite string, " \
+           "stenosegrad_eyeball string, ffr string, kartype string, note string, n int"
+    t = "2000-01-01 00:00:00"
+    return spark.createDataFrame([
+        ("p", "e", t, "10", "10 D2", "5", "0.5", "b", "second", 2), ("p", "e", t, "2", "10 D2", "7", None, "a", "first", 1),
+        ("p", "e", t, "10", "elsewhere", "9", "0.9", "c", "third", 3), ("p", "e", t, "10", None, "9", "0.9", "c", "fourth", 4),
+        (None, "e", t, None, "5 LM", "x", "1", None, None, 1), ("p", "e", None, "1", "5 LM", "1", "1", "z", "none", 0)], cols)
+
+
+def test_registry_site_columns_are_spread_last(spark):
+    """Unknown and null sites give attributes only; no aggregate carries one buffer per measure and site."""
+    for mode, want in (("entry", {("p", 5.0, 0.5, "b", "first", None), (None, None, None, None, None, 1.0)}),
+                       ("sub_entry", {("p", 5.0, 0.5, "b", "first", None), ("p", 5.0, 0.5, "a", "first", None),
+                                      (None, None, None, None, None, 1.0)})):
+        wide = registry.registry_wide(_entries(spark), mode=mode, order=["n"])
+        got = {(r.bth_pid, r["Sten %: 10 D2"], r["ffr %: 10 D2"], r["kartype: 10 D2"], r.note, r["ffr %: 5 LM"]) for r in wide.collect()}
+        assert got == want and wide.count() == len(want)
+        assert "min(CASE WHEN" not in wide._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cardinality_profile_moves_no_column_names(spark):
+    df = spark.createDataFrame([(1, None, "x"), (1, "", "x"), (2, None, None), (3, "", "y"), (3, "a", "z"), (4, "a", "a")], "g int, a string, b string")
+    prof = registry.cardinality_profile(df, ["g"])
+    assert {(r.column, r.distinct_counts, r.multi_entry) for r in prof.collect()} == {("a", 3, True), ("b", 3, True)}
+    assert "Expand" not in prof._jdf.queryExecution().optimizedPlan().toString()
