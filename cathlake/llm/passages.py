@@ -5,11 +5,10 @@ Units of a text, in words ``[^\\x20\\x09-\\x0D]+``:
 * paragraphs: lines of at least ``MIN_PARAGRAPH`` words. Equal paragraphs are
   one node. Their five-word shingles give a MinHash signature; ``tune_bands``
   picks the bands for the wanted recall. Paragraphs that collide in a band are
-  first compared with the shortest of the band's bucket. Members of buckets
-  that are then still apart are joined on prefixes: with shingles ordered from
-  rare to frequent, two sets of Jaccard 0.8 or more share one among the first
-  n - ceil(0.8 n) + 1 of either, so no link is lost, and a passage that very
-  many paragraphs hold is not a prefix unless it makes up most of a paragraph.
+  first compared with the shortest of the band's bucket, its head. Members of a
+  head that are then still apart are joined on their differences to it
+  (``difference_pairs``), so no link between members is lost, and variants
+  with edits of their own give no pairs.
   Exact Jaccard of 0.8 or more on the texts links; linked paragraphs form
   components.
 * passages: a repeated passage may begin and end inside paragraphs. Windows of
